@@ -11,10 +11,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# The two rules of the silver step.
-SILVER_RULES: dict[str, tuple[Column, str]] = {}
-
-
 def silver_rules() -> dict[str, tuple[Column, str]]:
     """name -> (condition, action); action is "drop" or "warn"."""
     return {
@@ -92,7 +88,7 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 def dimension_guard(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per (table, key) that breaks uniqueness, plus the orphan-reading count.
 
-    Columns: check, table_name, key_value, n_rows.
+    Columns: guard, table_name, key_value, n_rows.
     """
     checks = [
         ("regions", "region_id"),
@@ -101,7 +97,7 @@ def dimension_guard(tables: dict[str, DataFrame]) -> DataFrame:
     ]
     parts = [
         duplicate_keys(tables[t], k).select(
-            F.lit("duplicate_key").alias("check"),
+            F.lit("duplicate_key").alias("guard"),
             F.lit(t).alias("table_name"),
             F.col(k).cast("string").alias("key_value"),
             "n_rows",
@@ -113,7 +109,7 @@ def dimension_guard(tables: dict[str, DataFrame]) -> DataFrame:
     )
     parts.append(
         orphan_count.select(
-            F.lit("orphan_readings").alias("check"),
+            F.lit("orphan_readings").alias("guard"),
             F.lit("meter_readings").alias("table_name"),
             F.lit(None).cast("string").alias("key_value"),
             "n_rows",

@@ -1,8 +1,9 @@
 """Registry of runnable queries over the driver tables, and their SQL oracles.
 
 Every query reads the whole driver tables through the adapter; nothing is
-sampled or capped except where a limit is the feature (top-k). ``AS_OF`` is
-the last event date (D1).
+sampled or capped except where a limit is the feature (top-k, preview).
+``AS_OF`` is the last event date (D1). Keys are SURVEY section 2 op ids,
+lower-cased, with the function name.
 """
 
 from __future__ import annotations
@@ -11,12 +12,25 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sitewatts import oracle_sql as O
-from sitewatts.plans import pipeline
-from sitewatts.sources import adapter
+from sitewatts.functions import sql_functions
+from sitewatts.functions.columns import utc_date
+from sitewatts.operators import aggregates as A
+from sitewatts.operators import filters, forecast, joins, measures, quality, topk, windows
+from sitewatts.plans import pipeline, questions, triage
+from sitewatts.sources import adapter, generate, tables
 
 AS_OF = dt.date(2024, 1, 30)
+MONTH = "2024-01"
+ONE_SITE = "8"
+TYPES = ["factory", "data_center"]
+
+
+def _d(days_back: int) -> str:
+    return f"DATE '{(AS_OF - dt.timedelta(days=days_back)).isoformat()}'"
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,16 +54,981 @@ def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.build(star(spark, sf_dir))
 
 
-def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    t = star(spark, sf_dir)
+    return pipeline.build(t), t["sites"]
+
+
+CENTS = "CAST(floor(total_kwh * 100 + 0.5) AS BIGINT)"
+KWH_TOTAL = f"CAST(SUM({CENTS}) AS DOUBLE) / 100.0::DOUBLE"
+
+# ---------------------------------------------------------------------------
+# Sources, silver, gold
+# ---------------------------------------------------------------------------
+
+
+@register("src1_scan_meter_readings", "SELECT * FROM meter_readings")
+def src1_scan_meter_readings(spark, sf_dir):
+    return adapter.meter_readings(spark, sf_dir)
+
+
+@register("src1_scan_sites", "SELECT * FROM sites")
+def src1_scan_sites(spark, sf_dir):
+    return adapter.sites(spark, sf_dir)
+
+
+@register("src1_scan_regions", "SELECT * FROM regions")
+def src1_scan_regions(spark, sf_dir):
+    return adapter.regions(spark, sf_dir)
+
+
+@register("src1_scan_business_units", "SELECT * FROM business_units")
+def src1_scan_business_units(spark, sf_dir):
+    return adapter.business_units(spark, sf_dir)
+
+
+@register("src4_generate_readings")
+def src4_generate_readings(spark, sf_dir):
+    """Readings generated for every driver site (30 days), summarised per status."""
+    sites = adapter.sites(spark, sf_dir)
+    gen = generate.generate_readings(spark, sites, dt.datetime(2024, 1, 30, 23), days=30)
+    return gen.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n_readings"),
+        F.countDistinct("site_id").alias("n_sites"),
+        F.min("kwh_consumed").alias("min_kwh"),
+        F.max("kwh_consumed").alias("max_kwh"),
+    )
+
+
+@register("lim1_preview")
+def lim1_preview(spark, sf_dir):
+    return topk.preview(adapter.meter_readings(spark, sf_dir), 5)
+
+
+@register(
+    "set1_row_count_audit",
+    """
+SELECT 'regions' AS table_name, COUNT(*) AS row_count FROM regions
+UNION ALL SELECT 'business_units', COUNT(*) FROM business_units
+UNION ALL SELECT 'sites', COUNT(*) FROM sites
+UNION ALL SELECT 'meter_readings', COUNT(*) FROM meter_readings
+""",
+)
+def set1_row_count_audit(spark, sf_dir):
+    return tables.row_count_audit(star(spark, sf_dir))
+
+
+@register("flt1_drop_errors", "SELECT * FROM meter_readings WHERE status <> 'error'")
+def flt1_drop_errors(spark, sf_dir):
+    return filters.drop_errors(adapter.meter_readings(spark, sf_dir))
+
+
+@register(
+    "dq1_expect_or_drop",
+    "SELECT * FROM meter_readings WHERE status <> 'error' AND COALESCE(kwh_consumed >= 0, FALSE)",
+)
+def dq1_expect_or_drop(spark, sf_dir):
+    return pipeline.clean_readings(adapter.meter_readings(spark, sf_dir))
+
+
+@register(
+    "dq3_expectation_metrics",
+    """
+SELECT 'non_negative_kwh' AS rule, 'drop' AS action,
+       COUNT_IF(COALESCE(kwh_consumed >= 0, FALSE)) AS passed,
+       COUNT(*) - COUNT_IF(COALESCE(kwh_consumed >= 0, FALSE)) AS failed
+FROM silver_unchecked
+UNION ALL
+SELECT 'voltage_in_range', 'warn',
+       COUNT_IF(COALESCE(voltage BETWEEN 100 AND 600, FALSE)),
+       COUNT(*) - COUNT_IF(COALESCE(voltage BETWEEN 100 AND 600, FALSE))
+FROM silver_unchecked
+""",
+)
+def dq3_expectation_metrics(spark, sf_dir):
+    t = star(spark, sf_dir)
+    rows = pipeline.silver_unchecked(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
+    return quality.expectation_metrics(rows, quality.silver_rules())
+
+
+@register(
+    "dq_dimension_guard",
+    """
+SELECT 'duplicate_key' AS guard, 'regions' AS table_name, region_id AS key_value, COUNT(*) AS n_rows
+FROM regions GROUP BY region_id HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'duplicate_key', 'business_units', business_unit_id, COUNT(*)
+FROM business_units GROUP BY business_unit_id HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'duplicate_key', 'sites', site_id, COUNT(*) FROM sites GROUP BY site_id HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'orphan_readings', 'meter_readings', CAST(NULL AS VARCHAR), COUNT(*)
+FROM meter_readings m WHERE NOT EXISTS (SELECT 1 FROM sites s WHERE s.site_id = m.site_id)
+""",
+)
+def dq_dimension_guard(spark, sf_dir):
+    return quality.dimension_guard(star(spark, sf_dir))
+
+
+@register("prj1_site_dim", "SELECT * FROM site_dim")
+def prj1_site_dim(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return joins.site_dim(t["sites"], t["regions"], t["business_units"])
+
+
+@register(
+    "join3_enrich",
+    "SELECT m.*, d.* EXCLUDE (site_id) FROM meter_readings m LEFT JOIN site_dim d ON m.site_id = d.site_id",
+)
+def join3_enrich(spark, sf_dir):
+    t = star(spark, sf_dir)
+    dim = joins.site_dim(t["sites"], t["regions"], t["business_units"])
+    return joins.enrich(t["meter_readings"], dim)
+
+
+@register(
+    "prj4_with_reading_date",
+    "SELECT reading_id, reading_timestamp, CAST(reading_timestamp AS DATE) AS reading_date FROM meter_readings",
+)
+def prj4_with_reading_date(spark, sf_dir):
+    r = adapter.meter_readings(spark, sf_dir)
+    return r.select("reading_id", "reading_timestamp", utc_date("reading_timestamp").alias("reading_date"))
+
+
+@register("cmp1_silver", "SELECT * FROM silver")
+def cmp1_silver(spark, sf_dir):
     t = star(spark, sf_dir)
     return pipeline.silver(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
 
 
+@register(
+    "agg1_daily",
+    """
+SELECT site_id, site_type, business_unit_id, business_unit_name, region_id, region_name, reading_date,
+       CAST(total_cents AS DOUBLE) / 100.0::DOUBLE AS total_kwh, peak_kw, avg_voltage, warning_count
+FROM daily
+""",
+)
+def agg1_daily(spark, sf_dir):
+    t = star(spark, sf_dir)
+    silver = pipeline.silver(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
+    return pipeline.daily(silver).drop("total_milli", "total_cents")
+
+
 @register("cmp2_gold", "SELECT * FROM gold")
 def cmp2_gold(spark, sf_dir):
     return gold_of(spark, sf_dir)
 
 
-@register("cmp1_silver", "SELECT * FROM silver")
-def cmp1_silver(spark, sf_dir):
-    return silver_of(spark, sf_dir)
+@register("cmp2_gold_from_silver", "SELECT * FROM gold")
+def cmp2_gold_from_silver(spark, sf_dir):
+    """The reference-shaped path: gold from the 7-key roll-up of silver."""
+    t = star(spark, sf_dir)
+    silver = pipeline.silver(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
+    return pipeline.gold(silver)
+
+
+@register(
+    "win1_win2_site_baseline",
+    "SELECT DISTINCT site_id, site_mean_kwh, site_stddev_kwh FROM gold",
+)
+def win1_win2_site_baseline(spark, sf_dir):
+    return gold_of(spark, sf_dir).select("site_id", "site_mean_kwh", "site_stddev_kwh").distinct()
+
+
+@register("win3_anomaly_flag", "SELECT site_id, reading_date, total_kwh, anomaly_flag FROM gold")
+def win3_anomaly_flag(spark, sf_dir):
+    return gold_of(spark, sf_dir).select("site_id", "reading_date", "total_kwh", "anomaly_flag")
+
+
+@register("win4_deviation", "SELECT site_id, reading_date, deviation_pct FROM gold")
+def win4_deviation(spark, sf_dir):
+    return gold_of(spark, sf_dir).select("site_id", "reading_date", "deviation_pct")
+
+
+@register(
+    "agg2_gold_audit",
+    """
+SELECT COUNT(*) AS total_rows, COUNT_IF(anomaly_flag) AS anomaly_rows,
+       COUNT(DISTINCT site_id) AS sites_covered, MIN(reading_date) AS first_date,
+       MAX(reading_date) AS last_date
+FROM gold
+""",
+)
+def agg2_gold_audit(spark, sf_dir):
+    return A.gold_audit(gold_of(spark, sf_dir))
+
+
+@register(
+    "agg3_reading_span",
+    """
+SELECT COUNT(*) AS row_count, MIN(reading_timestamp) AS first_reading, MAX(reading_timestamp) AS last_reading
+FROM meter_readings
+""",
+)
+def agg3_reading_span(spark, sf_dir):
+    return A.reading_span(adapter.meter_readings(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Filters
+# ---------------------------------------------------------------------------
+
+
+@register("flt2_anomalies", "SELECT * FROM gold WHERE anomaly_flag")
+def flt2_anomalies(spark, sf_dir):
+    return filters.anomalies(gold_of(spark, sf_dir))
+
+
+@register("flt3_since_7d", f"SELECT * FROM gold WHERE reading_date >= {_d(7)}")
+def flt3_since_7d(spark, sf_dir):
+    return filters.since(gold_of(spark, sf_dir), AS_OF, 7)
+
+
+@register("flt4_between_dates", f"SELECT * FROM gold WHERE reading_date BETWEEN {_d(14)} AND {_d(0)}")
+def flt4_between_dates(spark, sf_dir):
+    start, end = filters.default_range(AS_OF, 14)
+    return filters.between_dates(gold_of(spark, sf_dir), start, end)
+
+
+@register("flt5_of_types", "SELECT * FROM gold WHERE site_type IN ('factory', 'data_center')")
+def flt5_of_types(spark, sf_dir):
+    return filters.of_types(gold_of(spark, sf_dir), TYPES)
+
+
+@register("flt5_of_types_empty", "SELECT * FROM gold")
+def flt5_of_types_empty(spark, sf_dir):
+    return filters.of_types(gold_of(spark, sf_dir), [])
+
+
+@register("flt6_triage_window_yesterday", f"SELECT * FROM gold WHERE reading_date = {_d(1)}")
+def flt6_triage_window_yesterday(spark, sf_dir):
+    return filters.in_window(gold_of(spark, sf_dir), filters.triage_window(AS_OF, "yesterday"))
+
+
+@register(
+    "flt6_triage_window_default",
+    f"SELECT * FROM gold WHERE reading_date BETWEEN {_d(7)} AND {_d(0)}",
+)
+def flt6_triage_window_default(spark, sf_dir):
+    return filters.in_window(gold_of(spark, sf_dir), filters.triage_window(AS_OF))
+
+
+@register(
+    "flt7_in_month",
+    "SELECT * FROM gold WHERE reading_date >= DATE '2024-01-01' AND reading_date < DATE '2024-02-01'",
+)
+def flt7_in_month(spark, sf_dir):
+    return filters.in_month(gold_of(spark, sf_dir), MONTH)
+
+
+@register("flt8_for_site", f"SELECT * FROM gold WHERE site_id = '{ONE_SITE}'")
+def flt8_for_site(spark, sf_dir):
+    return filters.for_site(gold_of(spark, sf_dir), ONE_SITE)
+
+
+@register("prj5_site_types", "SELECT DISTINCT site_type FROM gold")
+def prj5_site_types(spark, sf_dir):
+    return questions.site_types(gold_of(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Joins
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "join4_with_site_details",
+    "SELECT g.*, s.site_name, s.city, s.state, s.square_footage FROM gold g JOIN sites s ON g.site_id = s.site_id",
+)
+def join4_with_site_details(spark, sf_dir):
+    g, sites = gold_sites(spark, sf_dir)
+    return joins.with_site_details(g, sites, ["site_name", "city", "state", "square_footage"])
+
+
+@register(
+    "join5_gold_regions",
+    "SELECT g.*, r.timezone FROM gold g JOIN regions r ON g.region_id = r.region_id",
+)
+def join5_gold_regions(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return joins.join_related(pipeline.build(t), "daily_site_consumption", "regions", t["regions"])
+
+
+@register(
+    "join5_sites_business_units",
+    "SELECT s.*, b.business_unit_name, b.description FROM sites s JOIN business_units b "
+    "ON s.business_unit_id = b.business_unit_id",
+)
+def join5_sites_business_units(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return joins.join_related(t["sites"], "sites", "business_units", t["business_units"])
+
+
+STATUS_COUNTS = """
+status_counts AS (
+  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date,
+         COUNT_IF(status = 'warning') AS warning_readings,
+         COUNT_IF(status = 'error') AS error_readings
+  FROM meter_readings GROUP BY ALL
+)"""
+
+
+@register(
+    "join6_meter_health",
+    f"""
+, {STATUS_COUNTS.strip()}
+SELECT g.site_id, g.reading_date, g.deviation_pct,
+       COALESCE(c.warning_readings, 0) AS warning_readings, COALESCE(c.error_readings, 0) AS error_readings
+FROM gold g LEFT JOIN status_counts c ON g.site_id = c.site_id AND g.reading_date = c.reading_date
+WHERE g.anomaly_flag AND g.reading_date >= {_d(7)}
+""",
+)
+def join6_meter_health(spark, sf_dir):
+    t = star(spark, sf_dir)
+    anoms = filters.since(filters.anomalies(pipeline.build(t)), AS_OF, 7).select(
+        "site_id", "reading_date", "deviation_pct"
+    )
+    return joins.meter_health(anoms, A.status_counts(t["meter_readings"]))
+
+
+INTENSITY = f"""
+, st AS (
+  SELECT site_id, COUNT({CENTS}) AS n, SUM({CENTS}) AS s FROM gold GROUP BY site_id
+),
+per AS (
+  SELECT g.site_id, si.site_name, g.business_unit_name, si.square_footage,
+         SUM(CAST(floor(g.total_kwh * 100 + 0.5) AS BIGINT)) AS p, COUNT(*) AS d,
+         ANY_VALUE(st.n) AS n, ANY_VALUE(st.s) AS s
+  FROM gold g JOIN st ON g.site_id = st.site_id JOIN sites si ON g.site_id = si.site_id
+  WHERE g.reading_date >= {_d(14)}
+  GROUP BY g.site_id, si.site_name, g.business_unit_name, si.square_footage
+),
+intensity AS (
+  SELECT site_id, site_name, business_unit_name, d AS days_in_period,
+         CASE WHEN square_footage <> 0
+              THEN CAST(p AS DOUBLE) / CAST(CAST(square_footage AS BIGINT) * d * 100 AS DOUBLE) END
+           AS avg_kwh_per_sqft,
+         CASE WHEN s <> 0 THEN CAST((n * p - d * s) * 100 AS DOUBLE) / CAST(d * s AS DOUBLE) END
+           AS avg_deviation_from_baseline_pct
+  FROM per
+)
+"""
+
+
+@register(
+    "join7_warnings_for_top_sites",
+    INTENSITY
+    + f"""
+, top3 AS (SELECT * FROM intensity ORDER BY avg_kwh_per_sqft DESC NULLS LAST, site_id LIMIT 3)
+SELECT m.site_id, COUNT_IF(m.status = 'warning') AS warning_readings
+FROM meter_readings m
+WHERE m.site_id IN (SELECT site_id FROM top3) AND CAST(m.reading_timestamp AS DATE) >= {_d(14)}
+GROUP BY m.site_id
+""",
+)
+def join7_warnings_for_top_sites(spark, sf_dir):
+    t = star(spark, sf_dir)
+    ranked = topk.top_sites_intensity_detail(pipeline.build(t), t["sites"], AS_OF, 14, 3)
+    rows = joins.warnings_for(ranked, t["meter_readings"])
+    recent = rows.filter(utc_date("reading_timestamp") >= F.date_sub(F.lit(AS_OF), 14))
+    return recent.groupBy("site_id").agg(F.count_if(F.col("status") == "warning").alias("warning_readings"))
+
+
+@register(
+    "join8_explore_view",
+    """
+SELECT m.*, s.site_name, s.site_type, s.square_footage, s.business_unit_id, b.business_unit_name,
+       s.region_id, r.region_name, r.timezone
+FROM meter_readings m
+LEFT JOIN sites s ON m.site_id = s.site_id
+LEFT JOIN regions r ON s.region_id = r.region_id
+LEFT JOIN business_units b ON s.business_unit_id = b.business_unit_id
+""",
+)
+def join8_explore_view(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return joins.explore_view(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
+
+
+# ---------------------------------------------------------------------------
+# Aggregations
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "agg4_anomalies_by_bu",
+    f"""
+SELECT business_unit_name, COUNT(*) AS anomaly_count FROM gold
+WHERE anomaly_flag AND reading_date >= {_d(7)}
+GROUP BY business_unit_name
+""",
+)
+def agg4_anomalies_by_bu(spark, sf_dir):
+    return A.anomalies_by_bu(gold_of(spark, sf_dir), AS_OF, 7)
+
+
+@register(
+    "agg5_kwh_by_site",
+    f"""
+SELECT s.site_name, g.site_type, g.business_unit_name,
+       CAST(SUM(CAST(floor(g.total_kwh * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE AS total_kwh_14d
+FROM gold g JOIN sites s ON g.site_id = s.site_id
+WHERE g.reading_date >= {_d(14)}
+GROUP BY s.site_name, g.site_type, g.business_unit_name
+""",
+)
+def agg5_kwh_by_site(spark, sf_dir):
+    g, sites = gold_sites(spark, sf_dir)
+    return A.kwh_by_site(g, sites, AS_OF, 14)
+
+
+DETAILS = f"""
+, details AS (
+  SELECT g.reading_date, g.site_id, s.site_name, g.site_type, g.business_unit_name, g.region_name,
+         s.city, s.state, g.total_kwh, g.peak_kw, g.deviation_pct, g.warning_count
+  FROM gold g JOIN sites s ON g.site_id = s.site_id
+  WHERE g.anomaly_flag AND g.reading_date BETWEEN {_d(14)} AND {_d(0)}
+)
+"""
+
+
+def _details(spark, sf_dir, types=None):
+    g, sites = gold_sites(spark, sf_dir)
+    start, end = filters.default_range(AS_OF, 14)
+    return questions.anomaly_details(g, sites, start, end, types)
+
+
+@register("cmp3_anomaly_details", DETAILS + "SELECT * FROM details")
+def cmp3_anomaly_details(spark, sf_dir):
+    return _details(spark, sf_dir)
+
+
+@register(
+    "cmp3_anomaly_details_types",
+    DETAILS + "SELECT * FROM details WHERE site_type IN ('factory', 'data_center')",
+)
+def cmp3_anomaly_details_types(spark, sf_dir):
+    return _details(spark, sf_dir, TYPES)
+
+
+@register(
+    "agg6_anomalies_per_day",
+    DETAILS + "SELECT reading_date, COUNT(*) AS anomaly_count FROM details GROUP BY reading_date",
+)
+def agg6_anomalies_per_day(spark, sf_dir):
+    return A.anomalies_per_day(_details(spark, sf_dir))
+
+
+@register(
+    "agg6_anomalies_per_day_30d",
+    f"SELECT reading_date, COUNT(*) AS anomaly_count FROM gold WHERE anomaly_flag AND reading_date >= {_d(30)} "
+    "GROUP BY reading_date",
+)
+def agg6_anomalies_per_day_30d(spark, sf_dir):
+    return A.anomalies_per_day(filters.since(filters.anomalies(gold_of(spark, sf_dir)), AS_OF, 30))
+
+
+@register(
+    "agg7_anomalies_bu_type",
+    "SELECT business_unit_name, site_type, COUNT(*) AS anomaly_count FROM gold WHERE anomaly_flag GROUP BY ALL",
+)
+def agg7_anomalies_bu_type(spark, sf_dir):
+    return A.anomalies_bu_type(filters.anomalies(gold_of(spark, sf_dir)))
+
+
+@register(
+    "agg8_anomaly_kpi",
+    f"SELECT COUNT(*) AS anomalies_last_7d FROM gold WHERE anomaly_flag AND reading_date >= {_d(7)}",
+)
+def agg8_anomaly_kpi(spark, sf_dir):
+    return A.anomaly_kpi(gold_of(spark, sf_dir), AS_OF, 7)
+
+
+@register(
+    "agg9_anomaly_headline",
+    DETAILS
+    + """
+SELECT COUNT(*) AS anomalies_in_range, COUNT(DISTINCT site_id) AS distinct_sites_flagged,
+       MAX(deviation_pct) AS highest_deviation_pct,
+       COALESCE(CAST(CAST(round_even(MAX(deviation_pct), 0) AS BIGINT) AS VARCHAR) || '%', '—')
+         AS highest_deviation_label
+FROM details
+""",
+)
+def agg9_anomaly_headline(spark, sf_dir):
+    return A.anomaly_headline(_details(spark, sf_dir))
+
+
+@register(
+    "agg10_kwh_by_type_day",
+    f"SELECT reading_date, site_type, {KWH_TOTAL} AS total_kwh FROM gold GROUP BY reading_date, site_type",
+)
+def agg10_kwh_by_type_day(spark, sf_dir):
+    return A.kwh_by_type_day(gold_of(spark, sf_dir))
+
+
+@register(
+    "agg11_site_month_kwh",
+    f"""
+SELECT business_unit_name, site_id, {KWH_TOTAL} AS month_kwh FROM gold
+WHERE reading_date >= DATE '2024-01-01' AND reading_date < DATE '2024-02-01'
+GROUP BY business_unit_name, site_id
+""",
+)
+def agg11_site_month_kwh(spark, sf_dir):
+    return A.site_month_kwh(gold_of(spark, sf_dir), MONTH)
+
+
+@register("agg12_status_counts", f", {STATUS_COUNTS.strip()} SELECT * FROM status_counts")
+def agg12_status_counts(spark, sf_dir):
+    return A.status_counts(adapter.meter_readings(spark, sf_dir))
+
+
+TRIAGE_ANOMS = f"""
+, tri AS (
+  SELECT * FROM gold WHERE anomaly_flag AND reading_date BETWEEN {_d(7)} AND {_d(0)}
+)
+"""
+
+
+@register(
+    "agg13_triage_summary",
+    TRIAGE_ANOMS + "SELECT COUNT(*) AS anomalies_found, COUNT(DISTINCT site_id) AS sites_affected FROM tri",
+)
+def agg13_triage_summary(spark, sf_dir):
+    return A.triage_summary(filters.in_window(filters.anomalies(gold_of(spark, sf_dir)), filters.triage_window(AS_OF)))
+
+
+@register(
+    "agg13_triage_by_bu",
+    TRIAGE_ANOMS + "SELECT business_unit_name, COUNT(*) AS anomaly_count FROM tri GROUP BY business_unit_name",
+)
+def agg13_triage_by_bu(spark, sf_dir):
+    return A.triage_by_bu(filters.in_window(filters.anomalies(gold_of(spark, sf_dir)), filters.triage_window(AS_OF)))
+
+
+def _temps_sql(source: str) -> str:
+    return f"""
+temp_rows AS (
+  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date, temperature_c,
+         CAST(floor(temperature_c * 100 + 0.5) AS BIGINT) AS tc
+  FROM {source} WHERE status <> 'error'
+),
+temp_day AS (
+  SELECT site_id, reading_date, CAST(SUM(tc) AS HUGEINT) AS a, CAST(COUNT(tc) AS HUGEINT) AS b,
+         SUM(CAST(tc AS HUGEINT) * tc) AS q, MAX(temperature_c) AS max_temp_c
+  FROM temp_rows GROUP BY site_id, reading_date
+),
+temp_site AS (
+  SELECT site_id, SUM(a) AS sa, SUM(b) AS nb, SUM(q) AS sq FROM temp_day GROUP BY site_id
+),
+temps AS (
+  SELECT d.site_id, d.reading_date,
+         CAST(d.a AS DOUBLE) / CAST(d.b * 100 AS DOUBLE) AS avg_temp_c,
+         d.max_temp_c,
+         CAST(t.sa AS DOUBLE) / CAST(t.nb * 100 AS DOUBLE) AS site_mean_temp_c,
+         sqrt(CAST(CAST(t.nb * t.sq - t.sa * t.sa AS VARCHAR) AS DOUBLE)) / CAST(t.nb * 100 AS DOUBLE)
+           AS site_stddev_temp_c,
+         COALESCE((d.a * t.nb - t.sa * d.b) > 0
+                  AND (d.a * t.nb - t.sa * d.b) * (d.a * t.nb - t.sa * d.b) > d.b * d.b * (t.nb * t.sq - t.sa * t.sa),
+                  FALSE) AS temp_elevated
+  FROM temp_day d JOIN temp_site t ON d.site_id = t.site_id
+)"""
+
+
+@register("agg14_temperature_evidence", ", " + _temps_sql("meter_readings").strip() + " SELECT * FROM temps")
+def agg14_temperature_evidence(spark, sf_dir):
+    return A.temperature_evidence(filters.drop_errors(adapter.meter_readings(spark, sf_dir)))
+
+
+@register(
+    "agg15_hourly_profile_utc",
+    """
+SELECT s.site_type, CAST(hour(m.reading_timestamp) AS INTEGER) AS utc_hour,
+       COUNT(m.kwh_consumed) AS n_readings,
+       CAST(SUM(CAST(floor(m.kwh_consumed * 1000 + 0.5) AS BIGINT)) AS DOUBLE)
+         / CAST(COUNT(m.kwh_consumed) * 1000 AS DOUBLE) AS mean_kwh
+FROM meter_readings m JOIN sites s ON m.site_id = s.site_id
+GROUP BY ALL
+""",
+)
+def agg15_hourly_profile_utc(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return A.hourly_profile(t["meter_readings"], t["sites"])
+
+
+@register(
+    "agg15_hourly_profile_local",
+    """
+SELECT s.site_type, CAST(hour(timezone(r.timezone, timezone('UTC', m.reading_timestamp))) AS INTEGER) AS local_hour,
+       COUNT(m.kwh_consumed) AS n_readings,
+       CAST(SUM(CAST(floor(m.kwh_consumed * 1000 + 0.5) AS BIGINT)) AS DOUBLE)
+         / CAST(COUNT(m.kwh_consumed) * 1000 AS DOUBLE) AS mean_kwh
+FROM meter_readings m JOIN sites s ON m.site_id = s.site_id LEFT JOIN regions r ON s.region_id = r.region_id
+GROUP BY ALL
+""",
+)
+def agg15_hourly_profile_local(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return A.hourly_profile(t["meter_readings"], t["sites"], local=True, regions=t["regions"])
+
+
+@register(
+    "agg16_status_share",
+    """
+SELECT status, COUNT(*) AS n_readings,
+       CAST(COUNT(*) AS DOUBLE) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS share
+FROM meter_readings GROUP BY status
+""",
+)
+def agg16_status_share(spark, sf_dir):
+    return A.status_share(adapter.meter_readings(spark, sf_dir))
+
+
+def _profile_sql(col: str) -> str:
+    m = f"CAST(floor({col} * 1000 + 0.5) AS BIGINT)"
+    n = f"COUNT({col})"
+    s = f"CAST(SUM({m}) AS HUGEINT)"
+    q = f"SUM(CAST({m} AS HUGEINT) * {m})"
+    return f"""
+SELECT '{col}' AS column_name, {n} AS non_null, COUNT_IF({col} IS NULL) AS null_count,
+       CAST(MIN({col}) AS DOUBLE) AS min_value, CAST(MAX({col}) AS DOUBLE) AS max_value,
+       CASE WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / CAST({n} * 1000 AS DOUBLE) END AS mean_value,
+       CASE WHEN {n} > 0 THEN sqrt(CAST(CAST({n} * {q} - {s} * {s} AS VARCHAR) AS DOUBLE))
+            / CAST({n} * 1000 AS DOUBLE) END AS stddev_value
+FROM meter_readings"""
+
+
+@register("agg17_profile", "\nUNION ALL".join(_profile_sql(c) for c in A.PROFILE_COLUMNS))
+def agg17_profile(spark, sf_dir):
+    return A.profile(adapter.meter_readings(spark, sf_dir))
+
+
+def _by_dim_sql(dim: str) -> str:
+    return (
+        f"SELECT {dim}, {KWH_TOTAL} AS total_kwh, "
+        f"CAST(SUM({CENTS}) AS DOUBLE) / CAST(COUNT(total_kwh) * 100 AS DOUBLE) AS mean_daily_kwh, "
+        f"COUNT(*) AS site_days FROM gold GROUP BY {dim}"
+    )
+
+
+for _dim, _key in (
+    ("site_type", "agg18_kwh_by_site_type"),
+    ("business_unit_name", "agg18_kwh_by_business_unit"),
+    ("region_name", "agg18_kwh_by_region"),
+):
+
+    def _mk(dim):
+        return lambda spark, sf_dir: A.kwh_by_dimension(gold_of(spark, sf_dir), dim)
+
+    register(_key, _by_dim_sql(_dim))(_mk(_dim))
+
+
+# ---------------------------------------------------------------------------
+# Windows, measures, top-k
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "win5_top_consumers",
+    f"""
+, pm AS (
+  SELECT business_unit_name, site_id, {KWH_TOTAL} AS month_kwh FROM gold
+  WHERE reading_date >= DATE '2024-01-01' AND reading_date < DATE '2024-02-01'
+  GROUP BY business_unit_name, site_id
+)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY business_unit_name ORDER BY month_kwh DESC, site_id) AS INTEGER)
+    AS rank
+  FROM pm
+) WHERE rank <= 3
+""",
+)
+def win5_top_consumers(spark, sf_dir):
+    return gold_of(spark, sf_dir).transform(windows.top_consumers_fn(MONTH, 3))
+
+
+MSR2 = f"""
+, st2 AS (SELECT site_id, COUNT({CENTS}) AS n, SUM({CENTS}) AS s FROM gold GROUP BY site_id),
+msr AS (
+  SELECT g.*, CASE WHEN st2.s <> 0
+                   THEN CAST((st2.n * {CENTS.replace('total_kwh', 'g.total_kwh')} - st2.s) * 100 AS DOUBLE)
+                        / CAST(st2.s AS DOUBLE) END AS deviation_from_baseline_pct
+  FROM gold g JOIN st2 ON g.site_id IS NOT DISTINCT FROM st2.site_id
+)
+"""
+
+
+@register(
+    "win6_site_trend",
+    MSR2
+    + f"""
+SELECT site_id, reading_date, total_kwh, site_mean_kwh, deviation_pct, deviation_from_baseline_pct, anomaly_flag
+FROM msr WHERE site_id = '{ONE_SITE}'
+""",
+)
+def win6_site_trend(spark, sf_dir):
+    return windows.site_trend(gold_of(spark, sf_dir), ONE_SITE)
+
+
+@register(
+    "msr1_kwh_per_sqft",
+    "SELECT g.site_id, g.reading_date, g.total_kwh / NULLIF(s.square_footage, 0) AS kwh_per_sqft "
+    "FROM gold g JOIN sites s ON g.site_id = s.site_id",
+)
+def msr1_kwh_per_sqft(spark, sf_dir):
+    g, sites = gold_sites(spark, sf_dir)
+    return joins.with_site_details(g, sites, ["square_footage"]).select(
+        "site_id", "reading_date", measures.kwh_per_sqft().alias("kwh_per_sqft")
+    )
+
+
+@register("msr2_deviation_from_baseline", MSR2 + "SELECT site_id, reading_date, deviation_from_baseline_pct FROM msr")
+def msr2_deviation_from_baseline(spark, sf_dir):
+    return measures.with_deviation_from_baseline(gold_of(spark, sf_dir)).select(
+        "site_id", "reading_date", "deviation_from_baseline_pct"
+    )
+
+
+@register("msr3_is_anomaly", "SELECT site_id, reading_date, anomaly_flag = TRUE AS is_anomaly FROM gold")
+def msr3_is_anomaly(spark, sf_dir):
+    return gold_of(spark, sf_dir).select("site_id", "reading_date", measures.is_anomaly().alias("is_anomaly"))
+
+
+@register(
+    "msr4_measured",
+    MSR2
+    + """
+SELECT m.*, s.site_name, m.total_kwh / NULLIF(s.square_footage, 0) AS kwh_per_sqft,
+       m.anomaly_flag = TRUE AS is_anomaly
+FROM msr m JOIN sites s ON m.site_id = s.site_id
+""",
+)
+def msr4_measured(spark, sf_dir):
+    g, sites = gold_sites(spark, sf_dir)
+    return measures.measured(g, sites)
+
+
+@register("msr5_ensure_deviation", "SELECT site_id, reading_date, deviation_pct FROM gold")
+def msr5_ensure_deviation(spark, sf_dir):
+    g = gold_of(spark, sf_dir).drop("deviation_pct")
+    return measures.ensure_deviation(g).select("site_id", "reading_date", "deviation_pct")
+
+
+@register(
+    "srt1_anomaly_list",
+    "SELECT * FROM gold WHERE anomaly_flag",
+)
+def srt1_anomaly_list(spark, sf_dir):
+    return topk.anomaly_order(filters.anomalies(gold_of(spark, sf_dir)))
+
+
+@register(
+    "top1_top_sites_kwh",
+    f"""
+SELECT s.site_name, g.site_type, g.business_unit_name,
+       CAST(SUM(CAST(floor(g.total_kwh * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE AS total_kwh_14d
+FROM gold g JOIN sites s ON g.site_id = s.site_id
+WHERE g.reading_date >= {_d(14)}
+GROUP BY s.site_name, g.site_type, g.business_unit_name
+ORDER BY total_kwh_14d DESC NULLS LAST, s.site_name LIMIT 5
+""",
+)
+def top1_top_sites_kwh(spark, sf_dir):
+    g, sites = gold_sites(spark, sf_dir)
+    return topk.top_sites_kwh(g, sites, AS_OF, 14, 5)
+
+
+@register(
+    "top2_top_sites_intensity",
+    INTENSITY
+    + """
+SELECT site_id, site_name, days_in_period, avg_kwh_per_sqft FROM intensity
+ORDER BY avg_kwh_per_sqft DESC NULLS LAST, site_id LIMIT 5
+""",
+)
+def top2_top_sites_intensity(spark, sf_dir):
+    g, sites = gold_sites(spark, sf_dir)
+    return topk.top_sites_intensity(g, sites, AS_OF, 14, 5)
+
+
+@register(
+    "top3_top_sites_intensity_detail",
+    INTENSITY + "SELECT * FROM intensity ORDER BY avg_kwh_per_sqft DESC NULLS LAST, site_id LIMIT 3",
+)
+def top3_top_sites_intensity_detail(spark, sf_dir):
+    g, sites = gold_sites(spark, sf_dir)
+    return topk.top_sites_intensity_detail(g, sites, AS_OF, 14, 3)
+
+
+@register(
+    "top4_top_deviation",
+    "SELECT * FROM gold ORDER BY deviation_pct DESC NULLS LAST, site_id, reading_date LIMIT 10",
+)
+def top4_top_deviation(spark, sf_dir):
+    return topk.top_deviation(gold_of(spark, sf_dir), 10)
+
+
+TRIAGE_SQL = f"""
+, win AS (
+  SELECT * FROM gold WHERE anomaly_flag AND reading_date BETWEEN {_d(7)} AND {_d(0)}
+),
+det AS (
+  SELECT w.*, s.site_name, s.city, s.state, s.square_footage FROM win w JOIN sites s ON w.site_id = s.site_id
+),
+flagged AS (SELECT * FROM meter_readings WHERE site_id IN (SELECT site_id FROM win)),
+sc AS (
+  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date,
+         COUNT_IF(status = 'warning') AS warning_readings, COUNT_IF(status = 'error') AS error_readings
+  FROM flagged GROUP BY ALL
+),
+hb AS (
+  SELECT *, COUNT(*) OVER (PARTITION BY site_id) AS issue_days,
+         SUM(warning_readings + error_readings) OVER (PARTITION BY site_id) AS issue_total
+  FROM sc
+),
+{_temps_sql("flagged").strip()},
+triage AS (
+  SELECT d.reading_date, d.site_id, d.site_name, d.city, d.state, d.site_type, d.business_unit_name,
+         d.region_name, d.square_footage, d.total_kwh, d.site_mean_kwh, d.deviation_pct,
+         COALESCE(hb.warning_readings, 0) AS warning_readings, COALESCE(hb.error_readings, 0) AS error_readings,
+         t.avg_temp_c, COALESCE(t.temp_elevated, FALSE) AS temp_elevated,
+         CASE WHEN COALESCE((COALESCE(hb.warning_readings, 0) + COALESCE(hb.error_readings, 0)) * hb.issue_days
+                            > 2 * hb.issue_total, FALSE)
+              THEN 'meter_issue' ELSE 'genuine' END AS cause_class
+  FROM det d
+  LEFT JOIN hb ON d.site_id = hb.site_id AND d.reading_date = hb.reading_date
+  LEFT JOIN temps t ON d.site_id = t.site_id AND d.reading_date = t.reading_date
+)
+"""
+
+
+def _triage(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return triage.triage(pipeline.build(t), t["sites"], t["meter_readings"], filters.triage_window(AS_OF))
+
+
+@register("cmp5_triage", TRIAGE_SQL + "SELECT * FROM triage")
+def cmp5_triage(spark, sf_dir):
+    return _triage(spark, sf_dir)
+
+
+@register(
+    "top5_triage_top",
+    TRIAGE_SQL + "SELECT * FROM triage ORDER BY deviation_pct DESC NULLS LAST, site_id, reading_date LIMIT 3",
+)
+def top5_triage_top(spark, sf_dir):
+    return topk.triage_top(_triage(spark, sf_dir), 3)
+
+
+@register(
+    "top6_top_sites_peak",
+    f"""
+SELECT site_id, site_type, business_unit_name, MAX(peak_kw) AS max_peak_kw FROM gold
+WHERE reading_date >= {_d(14)}
+GROUP BY site_id, site_type, business_unit_name
+ORDER BY max_peak_kw DESC NULLS LAST, site_id LIMIT 5
+""",
+)
+def top6_top_sites_peak(spark, sf_dir):
+    return topk.top_sites_peak(gold_of(spark, sf_dir), AS_OF, 14, 5)
+
+
+# ---------------------------------------------------------------------------
+# Table function, forecast
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "udf1_get_site_anomalies",
+    f"SELECT * FROM gold WHERE anomaly_flag AND reading_date >= {_d(14)}",
+)
+def udf1_get_site_anomalies(spark, sf_dir):
+    """The SQL table function applied to every site (LATERAL), past 14 days."""
+    gold_of(spark, sf_dir).createOrReplaceTempView(sql_functions.GOLD_VIEW)
+    sql_functions.register_get_site_anomalies(spark)
+    return spark.sql(
+        f"""
+        SELECT a.* FROM (SELECT DISTINCT site_id FROM {sql_functions.GOLD_VIEW}) s,
+        LATERAL get_site_anomalies(s.site_id, 14, DATE'{AS_OF.isoformat()}') a
+        """
+    )
+
+
+FORECAST_SQL = f"""
+, fd AS (
+  SELECT site_id, reading_date, CAST(reading_date - DATE '1970-01-01' AS BIGINT) AS day,
+         {CENTS} AS y
+  FROM gold WHERE total_kwh IS NOT NULL
+),
+fdw AS (SELECT *, CAST((day + 3) % 7 + 1 AS BIGINT) AS dow FROM fd),
+fs AS (
+  SELECT site_id, COUNT(y) AS n, MIN(reading_date) AS first_date, MAX(reading_date) AS last_date,
+         SUM(day) AS sx, SUM(y) AS sy, SUM(day * y) AS sxy, SUM(day * day) AS sxx
+  FROM fdw GROUP BY site_id
+),
+frel AS (
+  SELECT *, CAST(first_date - DATE '1970-01-01' AS BIGINT) AS f0 FROM fs
+),
+frel2 AS (
+  SELECT *, sx - n * f0 AS rx, sxx - 2 * f0 * sx + n * f0 * f0 AS rxx, sxy - f0 * sy AS rxy FROM frel
+),
+ffit AS (
+  SELECT *, CASE WHEN n >= 2 AND (n * rxx - rx * rx) <> 0
+                 THEN CAST(n * rxy - rx * sy AS DOUBLE) / CAST(n * rxx - rx * rx AS DOUBLE)
+                 ELSE 0.0::DOUBLE END AS slope_c
+  FROM frel2
+),
+ffit2 AS (
+  SELECT *, (CAST(sy AS DOUBLE) - slope_c * CAST(rx AS DOUBLE)) / CAST(n AS DOUBLE) AS intercept_c FROM ffit
+),
+fwd AS (
+  SELECT site_id, dow, COUNT(y) AS nd, SUM(day) AS sxd, SUM(y) AS syd FROM fdw GROUP BY site_id, dow
+),
+fgrid AS (
+  SELECT f.*, CAST(w.d AS BIGINT) AS iso_weekday FROM ffit2 f CROSS JOIN range(1, 8) w(d)
+),
+model AS (
+  SELECT g.site_id, g.first_date, g.last_date, g.iso_weekday, g.n AS n_days,
+         g.slope_c / 100.0::DOUBLE AS slope_kwh_per_day, g.intercept_c / 100.0::DOUBLE AS intercept_kwh,
+         CASE WHEN wd.nd > 0
+              THEN ((CAST(wd.syd AS DOUBLE) - g.intercept_c * CAST(wd.nd AS DOUBLE))
+                    - g.slope_c * CAST(wd.sxd - wd.nd * g.f0 AS DOUBLE)) / CAST(wd.nd AS DOUBLE) / 100.0::DOUBLE
+              ELSE 0.0::DOUBLE END AS weekday_resid_kwh
+  FROM fgrid g LEFT JOIN fwd wd ON g.site_id = wd.site_id AND g.iso_weekday = wd.dow
+)
+"""
+
+
+@register(
+    "udf3_fit_forecast",
+    FORECAST_SQL
+    + "SELECT site_id, CAST(iso_weekday AS INTEGER) AS iso_weekday, n_days, slope_kwh_per_day, intercept_kwh, "
+    "weekday_resid_kwh FROM model",
+)
+def udf3_fit_forecast(spark, sf_dir):
+    return forecast.model_rows(forecast.fit_forecast(gold_of(spark, sf_dir)))
+
+
+@register(
+    "udf4_forecast",
+    FORECAST_SQL
+    + """
+, fsteps AS (
+  SELECT DISTINCT m.site_id, m.first_date, m.last_date, m.slope_kwh_per_day, m.intercept_kwh, CAST(h.h AS INTEGER) AS h
+  FROM model m CROSS JOIN range(1, 8) h(h)
+),
+ftarget AS (
+  SELECT *, CAST(last_date + h AS DATE) AS forecast_date,
+         CAST((CAST(last_date + h AS DATE) - DATE '1970-01-01' + 3) % 7 + 1 AS BIGINT) AS tdow
+  FROM fsteps
+)
+SELECT t.site_id, t.h AS horizon_day, t.forecast_date,
+       (t.intercept_kwh + t.slope_kwh_per_day * CAST(t.forecast_date - t.first_date AS DOUBLE)) + m.weekday_resid_kwh
+         AS forecast_kwh
+FROM ftarget t JOIN model m ON t.site_id = m.site_id AND t.tdow = m.iso_weekday
+""",
+)
+def udf4_forecast(spark, sf_dir):
+    return forecast.forecast(forecast.fit_forecast(gold_of(spark, sf_dir)), 7)
