@@ -135,13 +135,13 @@ def dq1_expect_or_drop(spark, sf_dir):
     "dq3_expectation_metrics",
     """
 SELECT 'non_negative_kwh' AS rule, 'drop' AS action,
-       COUNT_IF(COALESCE(kwh_consumed >= 0, FALSE)) AS passed,
-       COUNT(*) - COUNT_IF(COALESCE(kwh_consumed >= 0, FALSE)) AS failed
+       CAST(COUNT_IF(COALESCE(kwh_consumed >= 0, FALSE)) AS BIGINT) AS passed,
+       COUNT(*) - CAST(COUNT_IF(COALESCE(kwh_consumed >= 0, FALSE)) AS BIGINT) AS failed
 FROM silver_unchecked
 UNION ALL
 SELECT 'voltage_in_range', 'warn',
-       COUNT_IF(COALESCE(voltage BETWEEN 100 AND 600, FALSE)),
-       COUNT(*) - COUNT_IF(COALESCE(voltage BETWEEN 100 AND 600, FALSE))
+       CAST(COUNT_IF(COALESCE(voltage BETWEEN 100 AND 600, FALSE)) AS BIGINT),
+       COUNT(*) - CAST(COUNT_IF(COALESCE(voltage BETWEEN 100 AND 600, FALSE)) AS BIGINT)
 FROM silver_unchecked
 """,
 )
@@ -249,7 +249,7 @@ def win4_deviation(spark, sf_dir):
 @register(
     "agg2_gold_audit",
     """
-SELECT COUNT(*) AS total_rows, COUNT_IF(anomaly_flag) AS anomaly_rows,
+SELECT COUNT(*) AS total_rows, CAST(COUNT_IF(anomaly_flag) AS BIGINT) AS anomaly_rows,
        COUNT(DISTINCT site_id) AS sites_covered, MIN(reading_date) AS first_date,
        MAX(reading_date) AS last_date
 FROM gold
@@ -368,8 +368,8 @@ def join5_sites_business_units(spark, sf_dir):
 STATUS_COUNTS = """
 status_counts AS (
   SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date,
-         COUNT_IF(status = 'warning') AS warning_readings,
-         COUNT_IF(status = 'error') AS error_readings
+         CAST(COUNT_IF(status = 'warning') AS BIGINT) AS warning_readings,
+         CAST(COUNT_IF(status = 'error') AS BIGINT) AS error_readings
   FROM meter_readings GROUP BY ALL
 )"""
 
@@ -421,7 +421,7 @@ intensity AS (
     INTENSITY
     + f"""
 , top3 AS (SELECT * FROM intensity ORDER BY avg_kwh_per_sqft DESC NULLS LAST, site_id LIMIT 3)
-SELECT m.site_id, COUNT_IF(m.status = 'warning') AS warning_readings
+SELECT m.site_id, CAST(COUNT_IF(m.status = 'warning') AS BIGINT) AS warning_readings
 FROM meter_readings m
 WHERE m.site_id IN (SELECT site_id FROM top3) AND CAST(m.reading_timestamp AS DATE) >= {_d(14)}
 GROUP BY m.site_id
@@ -692,7 +692,7 @@ def _profile_sql(col: str) -> str:
     s = f"CAST(SUM({m}) AS HUGEINT)"
     q = f"SUM(CAST({m} AS HUGEINT) * {m})"
     return f"""
-SELECT '{col}' AS column_name, {n} AS non_null, COUNT_IF({col} IS NULL) AS null_count,
+SELECT '{col}' AS column_name, {n} AS non_null, CAST(COUNT_IF({col} IS NULL) AS BIGINT) AS null_count,
        CAST(MIN({col}) AS DOUBLE) AS min_value, CAST(MAX({col}) AS DOUBLE) AS max_value,
        CASE WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / CAST({n} * 1000 AS DOUBLE) END AS mean_value,
        CASE WHEN {n} > 0 THEN sqrt(CAST(CAST({n} * {q} - {s} * {s} AS VARCHAR) AS DOUBLE))
@@ -880,7 +880,7 @@ det AS (
 flagged AS (SELECT * FROM meter_readings WHERE site_id IN (SELECT site_id FROM win)),
 sc AS (
   SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date,
-         COUNT_IF(status = 'warning') AS warning_readings, COUNT_IF(status = 'error') AS error_readings
+         CAST(COUNT_IF(status = 'warning') AS BIGINT) AS warning_readings, CAST(COUNT_IF(status = 'error') AS BIGINT) AS error_readings
   FROM flagged GROUP BY ALL
 ),
 hb AS (
