@@ -202,9 +202,11 @@ def hourly_profile(readings: DataFrame, sites: DataFrame, local: bool = False, r
     from sitewatts.operators.joins import broadcast_if_small
 
     cols = ["site_id", "site_type"] + (["region_id"] if local else [])
-    r = readings.join(broadcast_if_small(sites.select(*cols)), on="site_id", how="inner")
+    dim = sites.select(*cols)
+    if local:
+        dim = dim.join(regions.select("region_id", "timezone"), on="region_id", how="left")
+    r = readings.join(broadcast_if_small(dim), on="site_id", how="inner")
     if local:
-        r = r.join(broadcast_if_small(regions.select("region_id", "timezone")), on="region_id", how="left")
         hour = local_hour("reading_timestamp", F.col("timezone")).alias("local_hour")
     else:
         hour = utc_hour("reading_timestamp").alias("utc_hour")

@@ -1,8 +1,12 @@
 """Joins of the star schema (JOIN1-JOIN8) and the broadcast size check.
 
-A side is broadcast only after a bounded row count proves it small; beyond
-the bound the join is left to the planner (sort-merge on the key, with AQE
-splitting skewed partitions).
+Where one side is the raw fact table (readings), the dimension side is
+broadcast only after a bounded row count proves it small, so the fact table
+is never shuffled for a small dimension; beyond the bound the join is left
+to the planner (sort-merge on the key, AQE splitting skewed partitions).
+Joins between dimension-sized or daily-sized tables are left to the
+planner's size statistics and AQE's runtime conversion: there a sort-merge
+join costs one shuffle of the smaller side at most.
 """
 
 from __future__ import annotations
@@ -30,8 +34,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 def site_dim(sites: DataFrame, regions: DataFrame, business_units: DataFrame) -> DataFrame:
     """sites ⟕ regions ⟕ business_units, 8 columns (JOIN1, JOIN2, PRJ1)."""
     return (
-        sites.join(broadcast_if_small(regions), on="region_id", how="left")
-        .join(broadcast_if_small(business_units), on="business_unit_id", how="left")
+        sites.join(regions, on="region_id", how="left")
+        .join(business_units, on="business_unit_id", how="left")
         .select(*schemas.SITE_DIM_COLUMNS)
     )
 
@@ -49,7 +53,7 @@ def with_site_details(df: DataFrame, sites: DataFrame, columns: list[str] | None
     present = set(df.columns)
     wanted = columns or [c for c in sites.columns if c not in present]
     right = sites.select("site_id", *[c for c in wanted if c != "site_id"])
-    return df.join(broadcast_if_small(right), on="site_id", how="inner")
+    return df.join(right, on="site_id", how="inner")
 
 
 # Declared join relationships usable by any question (JOIN5):
@@ -70,7 +74,7 @@ def join_related(df: DataFrame, left: str, right: str, right_df: DataFrame, how:
         raise ValueError(f"no declared relationship {left} -> {right}")
     key = keys[0]
     extra = [c for c in right_df.columns if c == key or c not in df.columns]
-    return df.join(broadcast_if_small(right_df.select(*extra)), on=key, how=how)
+    return df.join(right_df.select(*extra), on=key, how=how)
 
 
 def meter_health(anoms: DataFrame, counts: DataFrame) -> DataFrame:
@@ -96,8 +100,8 @@ def warnings_for(ranked: DataFrame, readings: DataFrame) -> DataFrame:
 def explore_view(readings: DataFrame, sites: DataFrame, regions: DataFrame, business_units: DataFrame) -> DataFrame:
     """Readings with all three dimensions, keeping site_name and timezone (JOIN8)."""
     dim = (
-        sites.join(broadcast_if_small(regions), on="region_id", how="left")
-        .join(broadcast_if_small(business_units), on="business_unit_id", how="left")
+        sites.join(regions, on="region_id", how="left")
+        .join(business_units, on="business_unit_id", how="left")
         .select(
             "site_id",
             "site_name",

@@ -145,7 +145,9 @@ def build_gold(
 ) -> DataFrame:
     """Gold for large data: aggregate first, then attach dimensions, then the window."""
     dim = joins.site_dim(sites, regions, business_units).select("site_id", *schemas.GOLD_ATTRIBUTES)
-    per_day = daily_by_site(readings).join(joins.broadcast_if_small(dim), on="site_id", how="left")
+    # Daily rows x site attributes: a sort-merge join here shuffles only the
+    # dimension, because the window below needs site_id partitioning anyway.
+    per_day = daily_by_site(readings).join(dim, on="site_id", how="left")
     out = with_baseline(per_day)
     cols = schemas.GOLD_COLUMNS + (["total_cents"] if keep_cents else [])
     return out.select(*cols)

@@ -26,6 +26,15 @@ SITE_TYPES = ["factory", "warehouse", "office", "data_center", "retail"]
 INSTALL_EPOCH = dt.date(2020, 1, 1)
 NOMINAL_VOLTAGE = 480
 
+# Reader schemas of the driver tables (only the columns the adapter uses).
+# Passing them skips Parquet footer inference on every read.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def _pick(index: F.Column, values: list[str]) -> F.Column:
     expr = None
@@ -35,7 +44,10 @@ def _pick(index: F.Column, values: list[str]) -> F.Column:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
