@@ -38,9 +38,12 @@ def utc_hour(ts: str | Column) -> Column:
 
 
 def local_hour(ts: str | Column, tz: str | Column) -> Column:
-    """Hour of day in the region's IANA zone (SCL9)."""
-    zone = F.lit(tz) if isinstance(tz, str) and not tz.isidentifier() else col(tz)
-    return utc_hour(F.from_utc_timestamp(col(ts), zone))
+    """Hour of day in an IANA zone (SCL9).
+
+    ``tz`` is a column (name or Column) holding the zone, e.g. the region's
+    ``timezone``; pass ``F.lit("America/Phoenix")`` for a fixed zone.
+    """
+    return utc_hour(F.from_utc_timestamp(col(ts), col(tz)))
 
 
 def ntz_as_utc(ts: str | Column) -> Column:
@@ -78,8 +81,11 @@ def safe_div(num: str | Column, den: str | Column) -> Column:
 
 
 def pct_text(c: str | Column) -> Column:
-    """Whole-percent text such as ``412%``; a dash for NULL (SCL11)."""
-    return F.coalesce(F.format_string("%.0f%%", col(c)), F.lit("—"))
+    """Whole-percent text such as ``412%``; a dash for NULL (SCL11).
+
+    Rounds half to even, as formatting a float with ``.0f`` does.
+    """
+    return F.coalesce(F.concat(F.bround(col(c), 0).cast("long").cast("string"), F.lit("%")), F.lit("—"))
 
 
 def reading_id(n: str | Column) -> Column:

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewatts.functions.columns import kwh_milli, utc_hour, local_hour
+from sitewatts.functions.columns import kwh_milli, local_hour, pct_text, utc_hour
 from sitewatts.operators import filters
 
 DateLike = str | dt.date
@@ -95,11 +95,8 @@ def anomaly_kpi(gold: DataFrame, as_of: DateLike, days: int = 7) -> DataFrame:
 
 
 def pct_label(c: Column) -> Column:
-    """Whole-percent label of a deviation, dash when NULL (SCL11).
-
-    Half-to-even on the 1-dp value, as string formatting of a float does.
-    """
-    return F.coalesce(F.concat(F.bround(c, 0).cast("long").cast("string"), F.lit("%")), F.lit("—"))
+    """Whole-percent label of a deviation, dash when NULL (SCL11)."""
+    return pct_text(c)
 
 
 def anomaly_headline(anoms: DataFrame) -> DataFrame:

@@ -24,8 +24,12 @@ def passes(cond: Column) -> Column:
 
 
 def expect_or_drop(df: DataFrame, name: str, cond: Column) -> DataFrame:
-    """Drop rows failing ``cond`` (DQ1)."""
-    return df.filter(passes(cond))
+    """Drop rows failing ``cond`` (DQ1).
+
+    A filter keeps only rows where ``cond`` is TRUE, so NULL is dropped as a
+    failure; the bare predicate (no coalesce) stays pushable to the scan.
+    """
+    return df.filter(cond)
 
 
 def expect(df: DataFrame, name: str, cond: Column) -> DataFrame:

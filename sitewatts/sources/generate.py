@@ -96,6 +96,12 @@ def uniform(seed: int, *parts: Column) -> Column:
     return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
 
 
+def _round(c: Column, dp: int) -> Column:
+    """Half-up rounding to ``dp`` decimals in double arithmetic (stays in codegen)."""
+    scale = float(10**dp)
+    return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
 def _between(u: Column, lo: float | Column, hi: float | Column) -> Column:
     """Map U[0, 1) onto [lo, hi)."""
     lo = lo if isinstance(lo, Column) else F.lit(float(lo))
@@ -177,7 +183,7 @@ def generate_readings(
     days_ago = F.floor((F.lit(end_us) - ts_us) / F.lit(86_400_000_000))
     in_spike = F.coalesce((days_ago >= F.col("spike_end")) & (days_ago <= F.col("spike_start")), F.lit(False))
     spike = F.when(in_spike, _between(u["spike"], *SPIKE_RANGE)).otherwise(F.lit(1.0))
-    kwh = F.round(_between(u["base"], F.col("lo"), F.col("hi")) * factor * spike, 3)
+    kwh = _round(_between(u["base"], F.col("lo"), F.col("hi")) * factor * spike, 3)
     out = steps.select(
         F.format_string("R-%08d", F.col("site_seq") * n_steps + step + 1).alias("reading_id"),
         sid.alias("site_id"),
@@ -194,9 +200,9 @@ def generate_readings(
         "site_id",
         "reading_timestamp",
         "kwh_consumed",
-        F.round(F.col("kwh_consumed") * _between(F.col("_ud"), *DEMAND_RANGE), 3).alias("kw_demand"),
-        F.round(F.col("voltage_nominal") * _between(F.col("_uv"), *VOLTAGE_BAND), 2).alias("voltage"),
-        F.round(F.lit(TEMP_BASE) + _between(F.col("_ut"), *TEMP_RANGE), 2).alias("temperature_c"),
+        _round(F.col("kwh_consumed") * _between(F.col("_ud"), *DEMAND_RANGE), 3).alias("kw_demand"),
+        _round(F.col("voltage_nominal") * _between(F.col("_uv"), *VOLTAGE_BAND), 2).alias("voltage"),
+        _round(F.lit(TEMP_BASE) + _between(F.col("_ut"), *TEMP_RANGE), 2).alias("temperature_c"),
         F.when(F.col("_us") < ERROR_BELOW, "error").when(F.col("_us") < WARNING_BELOW, "warning").otherwise("normal").alias("status"),
     )
 
