@@ -27,7 +27,9 @@ def col(c: str | Column) -> Column:
 
 def utc_date(ts: str | Column) -> Column:
     """Calendar date of an instant in UTC (SCL1 / PRJ4, pinned to UTC)."""
-    micros = F.unix_micros(col(ts))
+    if isinstance(ts, str):  # one JVM call for the whole expression
+        return F.expr(f"date_from_unix_date(CAST(floor(unix_micros(`{ts}`) / {MICROS_PER_DAY}D) AS INT))")
+    micros = F.unix_micros(ts)
     return F.date_from_unix_date(F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int"))
 
 

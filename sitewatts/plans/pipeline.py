@@ -25,11 +25,11 @@ depend on row order or partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatts import schemas
-from sitewatts.functions.columns import div_round_half_up, kwh_milli, utc_date
+from sitewatts.functions.columns import utc_date
 from sitewatts.operators import filters, joins, quality
 
 ANOMALY_SIGMAS = 2
@@ -61,18 +61,26 @@ def silver_unchecked(readings: DataFrame, sites: DataFrame, regions: DataFrame,
 
 
 def _daily_aggs() -> list[Column]:
+    """AGG1a-d. kWh is summed as integer milli-kWh (see module doc)."""
     return [
-        F.sum(kwh_milli("kwh_consumed")).alias("total_milli"),
-        F.round(F.max("kw_demand"), 2).alias("peak_kw"),
-        F.round(F.avg("voltage"), 2).alias("avg_voltage"),
-        F.sum(F.when(F.col("status") == "warning", 1).otherwise(0)).alias("warning_count"),
+        F.expr("sum(floor(kwh_consumed * 1000 + 0.5)) AS total_milli"),
+        F.expr("round(max(kw_demand), 2) AS peak_kw"),
+        F.expr("round(avg(voltage), 2) AS avg_voltage"),
+        F.expr("sum(CASE WHEN status = 'warning' THEN 1 ELSE 0 END) AS warning_count"),
     ]
 
 
+# total_cents = milli-kWh rounded half up (away from zero) to cents, in integers
+_CENTS_SQL = (
+    "CASE WHEN total_milli >= 0 THEN (2 * total_milli + 10) div 20 "
+    "ELSE -((-2 * total_milli + 10) div 20) END"
+)
+
+
 def _with_total(df: DataFrame) -> DataFrame:
-    """total_cents = milli-kWh rounded half up to cents; total_kwh its double."""
-    return df.withColumn("total_cents", div_round_half_up("total_milli", "10")).withColumn(
-        "total_kwh", F.col("total_cents") / F.lit(100.0)
+    """total_cents from total_milli; total_kwh its double."""
+    return df.selectExpr("*", f"{_CENTS_SQL} AS total_cents").selectExpr(
+        "*", "total_cents / 100.0D AS total_kwh"
     )
 
 
@@ -88,40 +96,35 @@ def with_baseline(df: DataFrame, sigmas: int = ANOMALY_SIGMAS) -> DataFrame:
     Adds site_mean_kwh (WIN1), site_stddev_kwh (population, WIN2),
     anomaly_flag (strict, never NULL, WIN3) and deviation_pct (1 dp, NULL when
     the mean is 0, WIN4). Mean and sigma cover the whole site partition,
-    current day included (T10).
+    current day included (T10). All three window sums share one Window
+    operator (one sort of the daily rows per site).
     """
-    w = Window.partitionBy("site_id")
-    t = F.col("total_cents")
-    big = "decimal(38,0)"
-    staged = df.withColumns(
-        {
-            "_n": F.count(t).over(w),
-            "_s": F.sum(t).over(w),
-            "_q": F.sum(t.cast(big) * t.cast(big)).over(w),
-        }
+    w = "OVER (PARTITION BY site_id)"
+    staged = df.selectExpr(
+        "*",
+        f"count(total_cents) {w} AS _n",
+        f"sum(total_cents) {w} AS _s",
+        f"sum(CAST(total_cents AS DECIMAL(38,0)) * CAST(total_cents AS DECIMAL(38,0))) {w} AS _q",
+    ).selectExpr(
+        "*",
+        # n^2 * sigma^2 and n * (t - mean), both in cents, exact
+        "CAST(_n AS DECIMAL(38,0)) * _q - CAST(_s AS DECIMAL(38,0)) * CAST(_s AS DECIMAL(38,0)) AS _var",
+        "CAST(_n * total_cents - _s AS DECIMAL(38,0)) AS _spread",
     )
-    n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
-    var_num = n.cast(big) * q - s.cast(big) * s.cast(big)  # n^2 * sigma^2, in cents^2
-    spread = (n * t - s).cast(big)  # n * (t - mean), in cents
-    flag = (spread > 0) & (spread * spread > F.lit(sigmas * sigmas) * var_num)
-    return (
-        staged.withColumns(
-            {
-                "site_mean_kwh": F.when(n > 0, s.cast("double") / (n * 100).cast("double")),
-                "site_stddev_kwh": F.when(
-                    n > 0, F.sqrt(var_num.cast("double")) / (n * 100).cast("double")
-                ),
-                "anomaly_flag": F.coalesce(flag, F.lit(False)),
-                "_dev_num": (n * t - s) * 1000 * F.signum(s).cast("long"),
-                "_dev_den": F.abs(s),
-            }
-        )
-        .withColumn(
-            "deviation_pct",
-            F.when(F.col("_dev_den") != 0, div_round_half_up("_dev_num", "_dev_den") / F.lit(10.0)),
-        )
-        .drop("_n", "_s", "_q", "_dev_num", "_dev_den")
+    dev_num = "(_n * total_cents - _s) * 1000 * CAST(signum(_s) AS BIGINT)"
+    dev_den = "abs(_s)"
+    deviation = (
+        f"CASE WHEN _s <> 0 THEN (CASE WHEN {dev_num} >= 0 "
+        f"THEN (2 * {dev_num} + {dev_den}) div (2 * {dev_den}) "
+        f"ELSE -((-2 * {dev_num} + {dev_den}) div (2 * {dev_den})) END) / 10.0D END"
     )
+    return staged.selectExpr(
+        "*",
+        "CASE WHEN _n > 0 THEN CAST(_s AS DOUBLE) / CAST(_n * 100 AS DOUBLE) END AS site_mean_kwh",
+        "CASE WHEN _n > 0 THEN sqrt(CAST(_var AS DOUBLE)) / CAST(_n * 100 AS DOUBLE) END AS site_stddev_kwh",
+        f"coalesce(_spread > 0 AND _spread * _spread > {sigmas * sigmas} * _var, false) AS anomaly_flag",
+        f"{deviation} AS deviation_pct",
+    ).drop("_n", "_s", "_q", "_var", "_spread")
 
 
 def gold(silver_df: DataFrame) -> DataFrame:

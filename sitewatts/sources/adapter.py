@@ -14,7 +14,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewatts.functions.columns import ntz_as_utc
 
 # The four time zones of the reference regions, in order of
 # first appearance; a driver region takes the zone at r_regionkey mod 4.
@@ -36,11 +35,10 @@ DRIVER_SCHEMAS = {
 }
 
 
-def _pick(index: F.Column, values: list[str]) -> F.Column:
-    expr = None
-    for i, value in enumerate(values):
-        expr = (F.when(index == i, value) if expr is None else expr.when(index == i, value))
-    return expr
+def _pick_sql(index_sql: str, values: list[str]) -> str:
+    """SQL CASE choosing ``values[i]`` where ``index_sql`` = i."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {index_sql} {whens} END"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,24 +49,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = read_table(spark, sf_dir, "region")
-    return r.select(
-        r.r_regionkey.cast("string").alias("region_id"),
-        r.r_name.alias("region_name"),
-        _pick(r.r_regionkey % 4, TIMEZONES).alias("timezone"),
+    return read_table(spark, sf_dir, "region").selectExpr(
+        "CAST(r_regionkey AS STRING) AS region_id",
+        "r_name AS region_name",
+        f"{_pick_sql('r_regionkey % 4', TIMEZONES)} AS timezone",
     )
 
 
 def business_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    return (
-        c.select(F.col("c_mktsegment").alias("business_unit_id"))
-        .distinct()
-        .select(
-            "business_unit_id",
-            F.col("business_unit_id").alias("business_unit_name"),
-            F.lit(None).cast("string").alias("description"),
-        )
+    segments = read_table(spark, sf_dir, "customer").selectExpr("c_mktsegment AS business_unit_id").distinct()
+    return segments.selectExpr(
+        "business_unit_id",
+        "business_unit_id AS business_unit_name",
+        "CAST(NULL AS STRING) AS description",
     )
 
 
@@ -77,35 +70,32 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     # nation is a fixed 25-row dimension: broadcasting it is always safe.
     j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
-    return j.select(
-        c.c_custkey.cast("string").alias("site_id"),
-        c.c_name.alias("site_name"),
-        _pick(c.c_custkey % 5, SITE_TYPES).alias("site_type"),
-        c.c_mktsegment.alias("business_unit_id"),
-        n.n_regionkey.cast("string").alias("region_id"),
-        n.n_name.alias("city"),
-        n.n_nationkey.cast("string").alias("state"),
-        (F.lit(1000) + (c.c_custkey % 97) * 100).cast("int").alias("square_footage"),
-        F.date_add(F.lit(INSTALL_EPOCH), (c.c_custkey % 1000).cast("int")).alias("installation_date"),
-        F.lit(NOMINAL_VOLTAGE).cast("int").alias("voltage_nominal"),
+    return j.selectExpr(
+        "CAST(c_custkey AS STRING) AS site_id",
+        "c_name AS site_name",
+        f"{_pick_sql('c_custkey % 5', SITE_TYPES)} AS site_type",
+        "c_mktsegment AS business_unit_id",
+        "CAST(n_regionkey AS STRING) AS region_id",
+        "n_name AS city",
+        "CAST(n_nationkey AS STRING) AS state",
+        "CAST(1000 + (c_custkey % 97) * 100 AS INT) AS square_footage",
+        f"date_add(DATE'{INSTALL_EPOCH.isoformat()}', CAST(c_custkey % 1000 AS INT)) AS installation_date",
+        f"CAST({NOMINAL_VOLTAGE} AS INT) AS voltage_nominal",
     )
 
 
 def meter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    k = F.get_json_object(e.props, "$.k").cast("double")
-    return e.select(
-        e.event_id.cast("string").alias("reading_id"),
-        e.user_id.cast("string").alias("site_id"),
-        ntz_as_utc(e.ts).alias("reading_timestamp"),
-        e.value.alias("kwh_consumed"),
-        (e.value * 4).alias("kw_demand"),
-        (F.lit(50.0) + F.lit(6.0) * k).alias("voltage"),
-        (F.lit(15) + e.event_id % 20).cast("double").alias("temperature_c"),
-        F.when(e.event_type == "error", "error")
-        .when(e.event_type == "signup", "warning")
-        .otherwise("normal")
-        .alias("status"),
+    return read_table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS reading_id",
+        "CAST(user_id AS STRING) AS site_id",
+        # NTZ wall clock read as a UTC instant, whatever the session zone
+        "timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)) AS reading_timestamp",
+        "value AS kwh_consumed",
+        "value * 4 AS kw_demand",
+        "50.0D + 6.0D * CAST(get_json_object(props, '$.k') AS DOUBLE) AS voltage",
+        "CAST(15 + event_id % 20 AS DOUBLE) AS temperature_c",
+        "CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'signup' THEN 'warning' "
+        "ELSE 'normal' END AS status",
     )
 
 
