@@ -190,27 +190,53 @@ def temperature_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     )
 
 
+QUARTER_HOUR_MICROS = 900_000_000
+
+
 def hourly_profile(readings: DataFrame, sites: DataFrame, local: bool = False, regions: DataFrame | None = None) -> DataFrame:
     """Mean kWh per hour of day by site type (AGG15).
 
     UTC hour by default; ``local=True`` uses the region's zone (SCL9). Shows
     the business-hours / night load pattern.
+
+    UTC: aggregate first. Readings are summed per (site, hour of day), 24
+    rows per site, before the site type is joined; raw rows are never joined.
+    Local: the zone offset depends on the instant, so each reading needs its
+    site's zone. A checked-small site -> zone map is broadcast and the hour
+    computed per reading; a large one is joined after summing per (site,
+    15-minute instant): every zone offset is a multiple of 15 minutes, so each
+    bucket falls in one local hour.
     """
-    from sitewatts.operators.joins import broadcast_if_small
-
-    cols = ["site_id", "site_type"] + (["region_id"] if local else [])
-    dim = sites.select(*cols)
-    if local:
-        dim = dim.join(regions.select("region_id", "timezone"), on="region_id", how="left")
-    r = readings.join(broadcast_if_small(dim), on="site_id", how="inner")
-    if local:
-        hour = local_hour("reading_timestamp", F.col("timezone")).alias("local_hour")
-    else:
-        hour = utc_hour("reading_timestamp").alias("utc_hour")
+    from sitewatts.operators.joins import broadcast_if_small, is_small
+
     m = kwh_milli("kwh_consumed")
+    sums = [F.sum(m).alias("_m"), F.count("kwh_consumed").alias("_c")]
+    if not local:
+        per_site = readings.groupBy("site_id", utc_hour("reading_timestamp").alias("utc_hour")).agg(*sums)
+        joined = per_site.join(sites.select("site_id", "site_type"), on="site_id", how="inner")
+        hour = F.col("utc_hour")
+    else:
+        zones = sites.select("site_id", "site_type", "region_id").join(
+            regions.select("region_id", "timezone"), on="region_id", how="left"
+        ).drop("region_id")
+        if is_small(zones):
+            joined = readings.join(F.broadcast(zones), on="site_id", how="inner").select(
+                "site_type",
+                local_hour("reading_timestamp", F.col("timezone")).alias("local_hour"),
+                m.alias("_m"),
+                F.col("kwh_consumed").isNotNull().cast("long").alias("_c"),
+            )
+        else:
+            bucket = F.floor(F.unix_micros("reading_timestamp") / F.lit(QUARTER_HOUR_MICROS)).alias("_q")
+            per_site = readings.groupBy("site_id", bucket).agg(*sums)
+            start = F.timestamp_micros(F.col("_q") * F.lit(QUARTER_HOUR_MICROS))
+            joined = per_site.join(zones, on="site_id", how="inner").select(
+                "site_type", local_hour(start, F.col("timezone")).alias("local_hour"), "_m", "_c"
+            )
+        hour = F.col("local_hour")
     return (
-        r.groupBy("site_type", hour)
-        .agg(F.sum(m).alias("_m"), F.count("kwh_consumed").alias("n_readings"))
+        joined.groupBy("site_type", hour)
+        .agg(F.sum("_m").alias("_m"), F.sum("_c").alias("n_readings"))
         .withColumn("mean_kwh", F.try_divide(F.col("_m").cast("double"), (F.col("n_readings") * 1000).cast("double")))
         .drop("_m")
     )

@@ -21,12 +21,16 @@ from sitewatts import schemas
 BROADCAST_MAX_ROWS = 200_000
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+
+    Default bound: the module's ``BROADCAST_MAX_ROWS``, read at call time.
+    """
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint only behind a checked size; otherwise leave the join to the planner."""
     return F.broadcast(df) if is_small(df, max_rows) else df
 

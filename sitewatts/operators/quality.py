@@ -108,8 +108,11 @@ def dimension_guard(tables: dict[str, DataFrame]) -> DataFrame:
         )
         for t, k in checks
     ]
-    orphan_count = orphans(tables["meter_readings"], tables["sites"], "site_id").agg(
-        F.count(F.lit(1)).alias("n_rows")
+    # Aggregate first: readings per site (partial aggregation), then the anti
+    # join runs on one row per site instead of on every reading.
+    per_site = tables["meter_readings"].groupBy("site_id").agg(F.count(F.lit(1)).alias("_n"))
+    orphan_count = orphans(per_site, tables["sites"], "site_id").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_rows")
     )
     parts.append(
         orphan_count.select(
