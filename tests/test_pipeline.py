@@ -140,3 +140,18 @@ def test_streaming_silver_matches_batch(spark):
     want = pipeline.silver(spark.read.parquet(src), t["sites"], t["regions"], t["business_units"])
     assert got.count() == want.count()
     assert got.select(*schemas.SILVER_COLUMNS).exceptAll(want).count() == 0
+
+
+def test_seed_and_run_lab_jobs(spark):
+    from sitewatts.plans import jobs
+
+    audit = {r["table_name"]: r["row_count"] for r in jobs.seed_lab(
+        spark, "sw_job", AS_OF, dt.datetime(2024, 1, 30, 9), days=30).collect()}
+    assert audit == {"regions": 5, "business_units": 5, "sites": 10, "meter_readings": 28_800}
+    out = jobs.run_pipeline(spark, "sw_job")
+    assert out["expectations"]["rows"] > 28_000
+    assert out["expectations"]["non_negative_kwh__failed"] == 0
+    a = out["audit"]
+    assert a["sites_covered"] == 10 and a["total_rows"] == 310 and a["anomaly_rows"] > 0
+    flagged = {r["site_id"] for r in spark.table("sw_job.daily_site_consumption").filter("anomaly_flag").collect()}
+    assert set(generate.LAB_ANOMALOUS_SITES) <= flagged
