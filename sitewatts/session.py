@@ -20,17 +20,36 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (100 TB of readings, ~1000 executors):
+# many initial shuffle partitions that AQE coalesces to ~256 MB, 512 MB scan
+# splits (~200k scan tasks over 100 TB), skew splitting above 1 GB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "sitewatts",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
-    """Build (or reuse) a SparkSession with the sitewatts defaults."""
+    """Build (or reuse) a SparkSession with the sitewatts defaults.
+
+    ``cluster=True`` adds ``CLUSTER_CONF`` (sizes for the large deployment).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -73,6 +73,8 @@ ERROR_BELOW, WARNING_BELOW = 0.01, 0.05
 LAB_ANOMALOUS_SITES = ("SITE-0005", "SITE-0010")
 
 STEPS_PER_DAY = 96
+# Generated rows per task when the caller gives no partition count.
+ROWS_PER_TASK = 2_000_000
 
 
 def seed_dimensions(spark: SparkSession, as_of: dt.date, seed: int = 43) -> dict[str, DataFrame]:
@@ -142,7 +144,8 @@ def generate_readings(
     voltage = nominal x U(0.98, 1.02), 2 dp; temperature 22 + U(-7, 12), 2 dp;
     status error / warning / normal by one roll. ``reading_id`` is
     ``R-%08d`` of site_seq * steps + step + 1, site_seq being the trailing
-    number of the site id.
+    number of the site id. Sites are spread over ``partitions`` tasks
+    (default: about ``ROWS_PER_TASK`` generated rows each).
     """
     n_steps = days * STEPS_PER_DAY
     if end_ts.tzinfo is None:
@@ -167,8 +170,11 @@ def generate_readings(
         spike_start.alias("spike_start"),
         spike_end.alias("spike_end"),
     )
-    if partitions:
-        base = base.repartition(partitions, "site_id")
+    if partitions is None:
+        # one cheap count of the site dimension sizes the generator's tasks
+        n_sites = sites.count()
+        partitions = max(1, -(-n_sites * n_steps // ROWS_PER_TASK))
+    base = base.repartition(partitions, "site_id")
     steps = base.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1))))
     # step 0 is the oldest interval; the last step is end_ts itself.
     ts_us = F.lit(end_us) - (F.lit(n_steps - 1) - F.col("step")).cast("long") * F.lit(15 * 60 * 1_000_000)
