@@ -95,9 +95,17 @@ def meter_health(anoms: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def warnings_for(ranked: DataFrame, readings: DataFrame) -> DataFrame:
-    """Raw readings of previously ranked sites only (JOIN7): ``readings ⋉ ranked``."""
+def warnings_for(ranked: DataFrame, readings: DataFrame, max_keys: int | None = None) -> DataFrame:
+    """Raw readings of previously ranked sites only (JOIN7): ``readings ⋉ ranked``.
+
+    ``max_keys`` is a bound the caller can prove (a top-k result has at most
+    k sites): then the key set is broadcast with no check. Otherwise its size
+    is checked first. The semi join runs map-side, pruning the raw readings
+    before anything is shuffled.
+    """
     keys = ranked.select("site_id").distinct()
+    if max_keys is not None and max_keys <= BROADCAST_MAX_ROWS:
+        return readings.join(F.broadcast(keys), on="site_id", how="left_semi")
     return readings.join(broadcast_if_small(keys), on="site_id", how="left_semi")
 
 

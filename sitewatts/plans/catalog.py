@@ -430,7 +430,7 @@ GROUP BY m.site_id
 def join7_warnings_for_top_sites(spark, sf_dir):
     t = star(spark, sf_dir)
     ranked = topk.top_sites_intensity_detail(pipeline.build(t), t["sites"], AS_OF, 14, 3)
-    rows = joins.warnings_for(ranked, t["meter_readings"])
+    rows = joins.warnings_for(ranked, t["meter_readings"], max_keys=3)
     recent = rows.filter(utc_date("reading_timestamp") >= F.date_sub(F.lit(AS_OF), 14))
     return recent.groupBy("site_id").agg(F.count_if(F.col("status") == "warning").alias("warning_readings"))
 

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewatts.operators import aggregates, filters, measures
-from sitewatts.operators.joins import meter_health, warnings_for, with_site_details
+from sitewatts.functions.columns import utc_date
+from sitewatts.operators import filters, measures
+from sitewatts.operators.joins import meter_health, with_site_details
 
 DateLike = str | dt.date
 
@@ -44,12 +45,55 @@ TRIAGE_COLUMNS = [
 ]
 
 
-def health_baseline(counts: DataFrame) -> DataFrame:
-    """Per (site, day) status counts with the site's totals over all its days."""
-    w = Window.partitionBy("site_id")
-    issues = F.col("warning_readings") + F.col("error_readings")
-    return counts.withColumns(
-        {"_issue_days": F.count(F.lit(1)).over(w), "_issue_total": F.sum(issues).over(w)}
+def daily_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
+    """Per (site, UTC day) evidence from raw readings, one aggregation (AGG12 + AGG14).
+
+    warning / error readings (all rows, T15); mean and max temperature of the
+    non-error rows and whether the day's mean is above the site's mean by more
+    than ``k_sigma`` population sigmas (D12, decided in integers); and the
+    site's day count and total of warning + error readings (for D11).
+    Grouping is by (site, day) with map-side partial aggregation, so a hot
+    site costs one row per day per task in the shuffle.
+    """
+    ok = F.col("status") != "error"
+    t = F.floor(F.col("temperature_c") * F.lit(100) + F.lit(0.5))
+    t_ok = F.when(ok, t)
+    per_day = readings.withColumn("reading_date", utc_date("reading_timestamp")).groupBy(
+        "site_id", "reading_date"
+    ).agg(
+        F.count_if(F.col("status") == "warning").alias("warning_readings"),
+        F.count_if(F.col("status") == "error").alias("error_readings"),
+        F.sum(t_ok).alias("_a"),
+        F.count(t_ok).alias("_b"),
+        F.sum(t_ok.cast("decimal(38,0)") * t_ok.cast("decimal(38,0)")).alias("_q"),
+        F.max(F.when(ok, F.col("temperature_c"))).alias("max_temp_c"),
+    )
+    w = "OVER (PARTITION BY site_id)"
+    staged = per_day.selectExpr(
+        "*",
+        f"count(1) {w} AS _issue_days",
+        f"sum(warning_readings + error_readings) {w} AS _issue_total",
+        f"sum(_a) {w} AS _site_s",
+        f"sum(_b) {w} AS _site_n",
+        f"sum(_q) {w} AS _site_q",
+    ).selectExpr(
+        "*",
+        "CAST(_site_n AS DECIMAL(38,0)) * _site_q - CAST(_site_s AS DECIMAL(38,0)) * CAST(_site_s AS DECIMAL(38,0))"
+        " AS _var",
+        "CAST(_a AS DECIMAL(38,0)) * CAST(_site_n AS DECIMAL(38,0)) - CAST(_site_s AS DECIMAL(38,0))"
+        " * CAST(_b AS DECIMAL(38,0)) AS _gap",
+    )
+    return staged.selectExpr(
+        "site_id",
+        "reading_date",
+        "warning_readings",
+        "error_readings",
+        "CASE WHEN _b > 0 THEN CAST(_a AS DOUBLE) / CAST(_b * 100 AS DOUBLE) END AS avg_temp_c",
+        "max_temp_c",
+        f"coalesce(_gap > 0 AND _gap * _gap > {k_sigma * k_sigma} * CAST(_b AS DECIMAL(38,0)) "
+        "* CAST(_b AS DECIMAL(38,0)) * _var, false) AS temp_elevated",
+        "_issue_days",
+        "_issue_total",
     )
 
 
@@ -60,19 +104,16 @@ def triage(
     window: tuple[dt.date, dt.date],
     ratio: int = 2,
 ) -> DataFrame:
-    """One row per anomalous (site, day) in ``window`` with its evidence (CMP5)."""
+    """One row per anomalous (site, day) in ``window`` with its evidence (CMP5).
+
+    The anomalies are few (flagged days of one window); the evidence is one
+    aggregation of the raw readings per (site, day). They meet at daily
+    granularity, so no raw reading is joined.
+    """
     anoms = filters.in_window(filters.anomalies(gold), window)
     anoms = measures.ensure_deviation(anoms)
     detailed = with_site_details(anoms, sites, ["site_name", "city", "state", "square_footage"])
-    # Only the flagged sites' raw readings are needed (all their days, for
-    # the site baselines): a semi join prunes the raw scan before any shuffle.
-    flagged = warnings_for(anoms, readings)
-    counts = health_baseline(aggregates.status_counts(flagged))
-    with_health = meter_health(detailed, counts)
-    temps = aggregates.temperature_evidence(filters.drop_errors(flagged)).select(
-        "site_id", "reading_date", "avg_temp_c", "temp_elevated"
-    )
-    out = with_health.join(temps, on=["site_id", "reading_date"], how="left")
+    out = meter_health(detailed, daily_evidence(readings))
     issues = F.col("warning_readings") + F.col("error_readings")
     meter = issues * F.col("_issue_days") > F.lit(ratio) * F.col("_issue_total")
     out = out.withColumn(
