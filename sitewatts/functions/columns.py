@@ -8,8 +8,6 @@ belongs to the UTC date whatever zone the session is in).
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,12 +46,6 @@ def local_hour(ts: str | Column, tz: str | Column) -> Column:
     return utc_hour(F.from_utc_timestamp(col(ts), col(tz)))
 
 
-def ntz_as_utc(ts: str | Column) -> Column:
-    """TIMESTAMP_NTZ wall-clock read as a UTC instant, whatever the session zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), col(ts))
-    return F.timestamp_micros(micros)
-
-
 def whole_days_between(later: str | Column, earlier: str | Column) -> Column:
     """Age in whole 24-hour days between two instants (SCL7)."""
     diff = F.unix_micros(col(later)) - F.unix_micros(col(earlier))
@@ -65,18 +57,6 @@ def kwh_milli(c: str | Column) -> Column:
     return F.floor(col(c) * F.lit(KWH_SCALE) + F.lit(0.5))
 
 
-def div_round_half_up(num: str, den: str) -> Column:
-    """Integer ``num / den`` rounded half away from zero, exactly (den > 0).
-
-    Arguments are SQL expressions over integral columns; ``div`` is Spark's
-    integral division, so no floating point is involved.
-    """
-    return F.expr(
-        f"CASE WHEN ({num}) >= 0 THEN (2 * ({num}) + ({den})) div (2 * ({den})) "
-        f"ELSE -((-2 * ({num}) + ({den})) div (2 * ({den}))) END"
-    )
-
-
 def safe_div(num: str | Column, den: str | Column) -> Column:
     """Division that yields NULL on a zero divisor instead of failing (SCL10, T3)."""
     return F.try_divide(col(num), col(den))
@@ -95,6 +75,3 @@ def reading_id(n: str | Column) -> Column:
     return F.format_string("R-%08d", col(n))
 
 
-def no_negative_zero(c: Column) -> Column:
-    """Map -0.0 to 0.0 so equal values hash equally."""
-    return c + F.lit(0.0)

@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewatts.functions.columns import safe_div
 from sitewatts.operators.aggregates import cents
 from sitewatts.operators.joins import with_site_details
 
 
 def kwh_per_sqft() -> Column:
     """Daily kWh per square foot; NULL for zero area (MSR1, T3)."""
-    return F.try_divide(F.col("total_kwh"), F.col("square_footage"))
+    return safe_div("total_kwh", "square_footage")
 
 
 def is_anomaly() -> Column:

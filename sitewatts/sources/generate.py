@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewatts import schemas
+from sitewatts.functions.columns import reading_id
 
 # ---------------------------------------------------------------------------
 # The lab's seeded dimension rows (regions, business units and
@@ -191,7 +192,7 @@ def generate_readings(
     spike = F.when(in_spike, _between(u["spike"], *SPIKE_RANGE)).otherwise(F.lit(1.0))
     kwh = _round(_between(u["base"], F.col("lo"), F.col("hi")) * factor * spike, 3)
     out = steps.select(
-        F.format_string("R-%08d", F.col("site_seq") * n_steps + step + 1).alias("reading_id"),
+        reading_id(F.col("site_seq") * n_steps + step + 1).alias("reading_id"),
         sid.alias("site_id"),
         F.timestamp_micros(ts_us).alias("reading_timestamp"),
         kwh.alias("kwh_consumed"),

@@ -196,3 +196,22 @@ def test_pct_label_half_even(spark):
     df = spark.createDataFrame([(412.5,), (413.5,), (-0.4,), (99.96,)], "d double")
     got = [r[0] for r in df.select(aggregates.pct_label(F.col("d"))).collect()]
     assert got == ["412%", "414%", "0%", "100%"]
+
+
+def test_scalar_helpers(spark):
+    from sitewatts.functions import columns as C
+
+    utc = dt.timezone.utc
+    df = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 3, 1, 0, tzinfo=utc), dt.datetime(2024, 1, 1, 2, 0, tzinfo=utc), 7, "America/Phoenix")],
+        "later timestamp, earlier timestamp, n long, tz string",
+    )
+    r = df.select(
+        C.whole_days_between("later", "earlier").alias("days"),
+        C.reading_id("n").alias("rid"),
+        C.utc_hour("later").alias("h"),
+        C.local_hour("later", "tz").alias("lh"),
+        C.utc_date("later").alias("d"),
+        C.safe_div(F.lit(1.0), F.lit(0)).alias("z"),
+    ).first()
+    assert (r["days"], r["rid"], r["h"], r["lh"], r["d"], r["z"]) == (1, "R-00000007", 1, 18, dt.date(2024, 1, 3), None)
