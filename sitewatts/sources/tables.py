@@ -71,6 +71,19 @@ def materialize(
     return spark.table(name)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    The folder is the shared one the cluster names; a local folder is set only
+    when the session has none (tests, single machine). Never a local
+    checkpoint: a lost executor must not lose the data.
+    """
+    from sitewatts.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def row_count_audit(tables: dict[str, DataFrame]) -> DataFrame:
     """UNION ALL of (table_name, row_count) per table (SET1, DQ5)."""
     parts = [

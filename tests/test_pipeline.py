@@ -155,3 +155,20 @@ def test_seed_and_run_lab_jobs(spark):
     assert a["sites_covered"] == 10 and a["total_rows"] == 310 and a["anomaly_rows"] > 0
     flagged = {r["site_id"] for r in spark.table("sw_job.daily_site_consumption").filter("anomaly_flag").collect()}
     assert set(generate.LAB_ANOMALOUS_SITES) <= flagged
+    # the lab's own checks: the table function for SITE-0005 over 14 days, a two-site forecast
+    from sitewatts.functions import sql_functions
+
+    sql_functions.register_get_site_anomalies(spark, "sw_job.daily_site_consumption")
+    rows = spark.sql("SELECT * FROM get_site_anomalies('SITE-0005', 14, DATE'2024-01-30')").collect()
+    assert rows and all(r["site_id"] == "SITE-0005" and r["anomaly_flag"] for r in rows)
+    model = forecast.fit_forecast(spark.table("sw_job.daily_site_consumption"))
+    sample = forecast.forecast(model, 7, ["SITE-0005", "SITE-0010"]).collect()
+    assert len(sample) == 14 and {r["site_id"] for r in sample} == {"SITE-0005", "SITE-0010"}
+
+
+def test_checkpointed_cuts_lineage(spark):
+    g = gold_for(spark, {"SITE-0001": [1.0, 2.0, 3.0]})
+    c = tables.checkpointed(g)
+    assert c.count() == 3
+    plan = c._jdf.queryExecution().logical().toString()
+    assert "Window" not in plan
