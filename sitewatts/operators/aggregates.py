@@ -14,8 +14,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewatts.functions.columns import kwh_milli, local_hour, pct_text, utc_hour
+from sitewatts.functions.columns import kwh_milli, local_hour, pct_text, utc_date, utc_hour
 from sitewatts.operators import filters
+from sitewatts.operators.joins import is_small, with_site_details
 
 DateLike = str | dt.date
 
@@ -68,8 +69,6 @@ def anomalies_by_bu(gold: DataFrame, as_of: DateLike, days: int = 7) -> DataFram
 
 def kwh_by_site(gold: DataFrame, sites: DataFrame, as_of: DateLike, days: int = 14) -> DataFrame:
     """kWh per (site_name, site_type, business unit) over the last ``days`` (AGG5)."""
-    from sitewatts.operators.joins import with_site_details
-
     recent = filters.since(gold, as_of, days)
     joined = with_site_details(recent, sites, ["site_name"])
     return joined.groupBy("site_name", "site_type", "business_unit_name").agg(
@@ -125,8 +124,6 @@ def site_month_kwh(gold: DataFrame, month: DateLike) -> DataFrame:
 
 def status_counts(readings: DataFrame) -> DataFrame:
     """Warning and error readings per (site, UTC day), from raw readings (AGG12, T15)."""
-    from sitewatts.functions.columns import utc_date
-
     return (
         readings.withColumn("reading_date", utc_date("reading_timestamp"))
         .groupBy("site_id", "reading_date")
@@ -157,8 +154,6 @@ def temperature_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     readings by more than ``k_sigma`` population standard deviations. Decided in
     integers (centi-degrees), like the gold flag.
     """
-    from sitewatts.functions.columns import utc_date
-
     t = F.floor(F.col("temperature_c") * F.lit(100) + F.lit(0.5))
     per_day = (
         readings.withColumn("reading_date", utc_date("reading_timestamp"))
@@ -207,8 +202,6 @@ def hourly_profile(readings: DataFrame, sites: DataFrame, local: bool = False, r
     15-minute instant): every zone offset is a multiple of 15 minutes, so each
     bucket falls in one local hour.
     """
-    from sitewatts.operators.joins import broadcast_if_small, is_small
-
     m = kwh_milli("kwh_consumed")
     sums = [F.sum(m).alias("_m"), F.count("kwh_consumed").alias("_c")]
     if not local:
