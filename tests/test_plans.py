@@ -80,3 +80,14 @@ def test_site_filter_goes_below_the_window(lab):
     win = next(i for i, line in enumerate(lines) if "Window [" in line)
     site_filters = [i for i, line in enumerate(lines) if "Filter" in line and "SITE-0005" in line]
     assert site_filters and min(site_filters) > win
+
+
+def test_bucketed_gold_needs_no_shuffle_for_site_windows(spark, lab):
+    from sitewatts.operators import measures
+    from sitewatts.sources import tables
+
+    tables.ensure_namespace(spark, "sw_plans")
+    gold = tables.materialize(pipeline.build(lab), "sw_plans.gold_bucketed", bucket_by=("site_id", 4))
+    plan = _plan(measures.with_deviation_from_baseline(gold))
+    tree = plan.split("\n\n")[0]
+    assert "Window" in tree and "Exchange" not in tree
