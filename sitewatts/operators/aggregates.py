@@ -147,41 +147,53 @@ def triage_by_bu(anoms: DataFrame) -> DataFrame:
     return anoms.groupBy("business_unit_name").agg(F.count(F.lit(1)).alias("anomaly_count"))
 
 
-def temperature_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
-    """Per (site, day): mean / max temperature vs the site's own level (AGG14, D12).
+def temperature_sums(t_centi: Column) -> list[Column]:
+    """Per-group sums of temperatures in integer centi-degrees: _a, _b, _q."""
+    big = t_centi.cast("decimal(38,0)")
+    return [F.sum(t_centi).alias("_a"), F.count(t_centi).alias("_b"), F.sum(big * big).alias("_q")]
+
+
+def with_temperature_flags(per_day: DataFrame, k_sigma: int = 1) -> DataFrame:
+    """From per (site, day) sums _a, _b, _q: avg_temp_c and temp_elevated (D12).
 
     ``temp_elevated`` when the day's mean exceeds the site's mean over all its
-    readings by more than ``k_sigma`` population standard deviations. Decided in
-    integers (centi-degrees), like the gold flag.
+    readings by more than ``k_sigma`` population standard deviations, decided
+    in integers: with S, N, Q the site sums, (a*N - S*b) > 0 and
+    (a*N - S*b)^2 > k^2 * b^2 * (N*Q - S^2). Also returns the site mean and
+    sigma. Drops the helper columns.
     """
+    w = "OVER (PARTITION BY site_id)"
+    staged = per_day.selectExpr(
+        "*", f"sum(_a) {w} AS _site_s", f"sum(_b) {w} AS _site_n", f"sum(_q) {w} AS _site_q"
+    ).selectExpr(
+        "*",
+        "CAST(_site_n AS DECIMAL(38,0)) * _site_q - CAST(_site_s AS DECIMAL(38,0)) * CAST(_site_s AS DECIMAL(38,0))"
+        " AS _var",
+        "CAST(_a AS DECIMAL(38,0)) * CAST(_site_n AS DECIMAL(38,0)) - CAST(_site_s AS DECIMAL(38,0))"
+        " * CAST(_b AS DECIMAL(38,0)) AS _gap",
+    )
+    return staged.selectExpr(
+        "*",
+        "CASE WHEN _b > 0 THEN CAST(_a AS DOUBLE) / CAST(_b * 100 AS DOUBLE) END AS avg_temp_c",
+        "CASE WHEN _site_n > 0 THEN CAST(_site_s AS DOUBLE) / CAST(_site_n * 100 AS DOUBLE) END AS site_mean_temp_c",
+        "CASE WHEN _site_n > 0 THEN sqrt(CAST(_var AS DOUBLE)) / CAST(_site_n * 100 AS DOUBLE) END"
+        " AS site_stddev_temp_c",
+        f"coalesce(_gap > 0 AND _gap * _gap > {k_sigma * k_sigma} * CAST(_b AS DECIMAL(38,0)) "
+        "* CAST(_b AS DECIMAL(38,0)) * _var, false) AS temp_elevated",
+    ).drop("_a", "_b", "_q", "_site_s", "_site_n", "_site_q", "_var", "_gap")
+
+
+def temperature_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
+    """Per (site, day): mean / max temperature vs the site's own level (AGG14, D12)."""
     t = F.floor(F.col("temperature_c") * F.lit(100) + F.lit(0.5))
     per_day = (
         readings.withColumn("reading_date", utc_date("reading_timestamp"))
         .groupBy("site_id", "reading_date")
-        .agg(
-            F.sum(t).alias("_a"),
-            F.count(t).alias("_b"),
-            F.sum(t.cast("decimal(38,0)") * t.cast("decimal(38,0)")).alias("_q"),
-            F.max("temperature_c").alias("max_temp_c"),
-        )
-    )
-    w = Window.partitionBy("site_id")
-    big = "decimal(38,0)"
-    staged = per_day.withColumns(
-        {"_S": F.sum("_a").over(w), "_N": F.sum("_b").over(w), "_Q": F.sum("_q").over(w)}
+        .agg(*temperature_sums(t), F.max("temperature_c").alias("max_temp_c"))
     )
-    a, b, S, N, Q = (F.col(c) for c in ("_a", "_b", "_S", "_N", "_Q"))
-    var_num = N.cast(big) * Q - S.cast(big) * S.cast(big)  # N^2 * var, centi-degrees^2
-    gap = a.cast(big) * N.cast(big) - S.cast(big) * b.cast(big)  # b*N*(day mean - site mean)
-    elevated = (gap > 0) & (gap * gap > F.lit(k_sigma * k_sigma) * b.cast(big) * b.cast(big) * var_num)
-    return staged.select(
-        "site_id",
-        "reading_date",
-        F.when(b > 0, a.cast("double") / (b * 100).cast("double")).alias("avg_temp_c"),
-        "max_temp_c",
-        F.when(N > 0, S.cast("double") / (N * 100).cast("double")).alias("site_mean_temp_c"),
-        F.when(N > 0, F.sqrt(var_num.cast("double")) / (N * 100).cast("double")).alias("site_stddev_temp_c"),
-        F.coalesce(elevated, F.lit(False)).alias("temp_elevated"),
+    return with_temperature_flags(per_day, k_sigma).select(
+        "site_id", "reading_date", "avg_temp_c", "max_temp_c", "site_mean_temp_c", "site_stddev_temp_c",
+        "temp_elevated",
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewatts.functions.columns import utc_date
-from sitewatts.operators import filters, measures
+from sitewatts.operators import aggregates, filters, measures
 from sitewatts.operators.joins import meter_health, with_site_details
 
 DateLike = str | dt.date
@@ -56,42 +56,27 @@ def daily_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     site costs one row per day per task in the shuffle.
     """
     ok = F.col("status") != "error"
-    t = F.floor(F.col("temperature_c") * F.lit(100) + F.lit(0.5))
-    t_ok = F.when(ok, t)
+    t_ok = F.when(ok, F.floor(F.col("temperature_c") * F.lit(100) + F.lit(0.5)))
     per_day = readings.withColumn("reading_date", utc_date("reading_timestamp")).groupBy(
         "site_id", "reading_date"
     ).agg(
         F.count_if(F.col("status") == "warning").alias("warning_readings"),
         F.count_if(F.col("status") == "error").alias("error_readings"),
-        F.sum(t_ok).alias("_a"),
-        F.count(t_ok).alias("_b"),
-        F.sum(t_ok.cast("decimal(38,0)") * t_ok.cast("decimal(38,0)")).alias("_q"),
+        *aggregates.temperature_sums(t_ok),
         F.max(F.when(ok, F.col("temperature_c"))).alias("max_temp_c"),
     )
     w = "OVER (PARTITION BY site_id)"
     staged = per_day.selectExpr(
-        "*",
-        f"count(1) {w} AS _issue_days",
-        f"sum(warning_readings + error_readings) {w} AS _issue_total",
-        f"sum(_a) {w} AS _site_s",
-        f"sum(_b) {w} AS _site_n",
-        f"sum(_q) {w} AS _site_q",
-    ).selectExpr(
-        "*",
-        "CAST(_site_n AS DECIMAL(38,0)) * _site_q - CAST(_site_s AS DECIMAL(38,0)) * CAST(_site_s AS DECIMAL(38,0))"
-        " AS _var",
-        "CAST(_a AS DECIMAL(38,0)) * CAST(_site_n AS DECIMAL(38,0)) - CAST(_site_s AS DECIMAL(38,0))"
-        " * CAST(_b AS DECIMAL(38,0)) AS _gap",
+        "*", f"count(1) {w} AS _issue_days", f"sum(warning_readings + error_readings) {w} AS _issue_total"
     )
-    return staged.selectExpr(
+    return aggregates.with_temperature_flags(staged, k_sigma).select(
         "site_id",
         "reading_date",
         "warning_readings",
         "error_readings",
-        "CASE WHEN _b > 0 THEN CAST(_a AS DOUBLE) / CAST(_b * 100 AS DOUBLE) END AS avg_temp_c",
+        "avg_temp_c",
         "max_temp_c",
-        f"coalesce(_gap > 0 AND _gap * _gap > {k_sigma * k_sigma} * CAST(_b AS DECIMAL(38,0)) "
-        "* CAST(_b AS DECIMAL(38,0)) * _var, false) AS temp_elevated",
+        "temp_elevated",
         "_issue_days",
         "_issue_total",
     )
