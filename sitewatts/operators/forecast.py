@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitewatts.operators.aggregates import cents
 
 WEEKDAYS = range(1, 8)  # ISO: 1 = Monday ... 7 = Sunday
 
@@ -33,61 +32,48 @@ def fit_forecast(gold: DataFrame) -> DataFrame:
     intercept_kwh (at first_date), weekday_resid_kwh (array of 7, Monday first;
     0.0 for weekdays the site never had).
     """
-    day = F.unix_date("reading_date").cast("long")
-    y = cents("total_kwh")
-    dow = iso_weekday(day)
+    day = "CAST(unix_date(reading_date) AS BIGINT)"
+    dow = f"(pmod({day} + 3, 7) + 1)"
+    y = "floor(total_kwh * 100 + 0.5)"  # exact cents of the 2-dp total
     aggs = [
-        F.count(y).alias("n"),
-        F.min("reading_date").alias("first_date"),
-        F.max("reading_date").alias("last_date"),
-        F.sum(day).alias("sx"),
-        F.sum(y).alias("sy"),
-        F.sum(day * y).alias("sxy"),
-        F.sum(day * day).alias("sxx"),
+        f"count({y}) AS n",
+        "min(reading_date) AS first_date",
+        "max(reading_date) AS last_date",
+        f"sum({day}) AS sx",
+        f"sum({y}) AS sy",
+        f"sum({day} * {y}) AS sxy",
+        f"sum({day} * {day}) AS sxx",
     ]
     for d in WEEKDAYS:
-        hit = dow == d
         aggs += [
-            F.count_if(hit & y.isNotNull()).alias(f"n{d}"),
-            F.sum(F.when(hit & y.isNotNull(), day)).alias(f"sx{d}"),
-            F.sum(F.when(hit, y)).alias(f"sy{d}"),
+            f"count_if({dow} = {d}) AS n{d}",
+            f"sum(CASE WHEN {dow} = {d} THEN {day} END) AS sx{d}",
+            f"sum(CASE WHEN {dow} = {d} THEN {y} END) AS sy{d}",
         ]
-    s = gold.filter(F.col("total_kwh").isNotNull()).groupBy("site_id").agg(*aggs)
-    f = F.unix_date("first_date").cast("long")
-    n, sx, sy, sxy, sxx = (F.col(c) for c in ("n", "sx", "sy", "sxy", "sxx"))
-    # Shift x to days since the site's first date, exactly.
-    rel = s.withColumns(
-        {
-            "rx": sx - n * f,
-            "rxx": sxx - F.lit(2) * f * sx + n * f * f,
-            "rxy": sxy - f * sy,
-        }
-    )
-    rx, rxx, rxy = F.col("rx"), F.col("rxx"), F.col("rxy")
-    num = n * rxy - rx * sy
-    den = n * rxx - rx * rx
-    slope = F.when((n >= 2) & (den != 0), num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
-    fitted = rel.withColumn("slope_c", slope).withColumn(
-        "intercept_c", (sy.cast("double") - F.col("slope_c") * rx.cast("double")) / n.cast("double")
-    )
-    resid = []
-    for d in WEEKDAYS:
-        nd = F.col(f"n{d}")
-        rxd = F.col(f"sx{d}") - nd * f
-        r = (
-            F.col(f"sy{d}").cast("double")
-            - F.col("intercept_c") * nd.cast("double")
-            - F.col("slope_c") * rxd.cast("double")
-        ) / nd.cast("double")
-        resid.append(F.when(nd > 0, r / F.lit(100.0)).otherwise(F.lit(0.0)))
-    return fitted.select(
+    stats = gold.filter(F.col("total_kwh").isNotNull()).groupBy("site_id").agg(*[F.expr(a) for a in aggs])
+    # x = days since the site's first date, shifted exactly in integers
+    rel = stats.selectExpr(
+        "*",
+        "CAST(unix_date(first_date) AS BIGINT) AS f",
+    ).selectExpr("*", "sx - n * f AS rx", "sxx - 2 * f * sx + n * f * f AS rxx", "sxy - f * sy AS rxy")
+    fitted = rel.selectExpr(
+        "*",
+        "CASE WHEN n >= 2 AND n * rxx - rx * rx <> 0 "
+        "THEN CAST(n * rxy - rx * sy AS DOUBLE) / CAST(n * rxx - rx * rx AS DOUBLE) ELSE 0.0D END AS slope_c",
+    ).selectExpr("*", "(CAST(sy AS DOUBLE) - slope_c * CAST(rx AS DOUBLE)) / CAST(n AS DOUBLE) AS intercept_c")
+    resid = [
+        f"CASE WHEN n{d} > 0 THEN ((CAST(sy{d} AS DOUBLE) - intercept_c * CAST(n{d} AS DOUBLE)) "
+        f"- slope_c * CAST(sx{d} - n{d} * f AS DOUBLE)) / CAST(n{d} AS DOUBLE) / 100.0D ELSE 0.0D END"
+        for d in WEEKDAYS
+    ]
+    return fitted.selectExpr(
         "site_id",
         "first_date",
         "last_date",
-        F.col("n").alias("n_days"),
-        (F.col("slope_c") / F.lit(100.0)).alias("slope_kwh_per_day"),
-        (F.col("intercept_c") / F.lit(100.0)).alias("intercept_kwh"),
-        F.array(*resid).alias("weekday_resid_kwh"),
+        "n AS n_days",
+        "slope_c / 100.0D AS slope_kwh_per_day",
+        "intercept_c / 100.0D AS intercept_kwh",
+        f"array({', '.join(resid)}) AS weekday_resid_kwh",
     )
 
 
