@@ -91,3 +91,15 @@ def test_bucketed_gold_needs_no_shuffle_for_site_windows(spark, lab):
     plan = _plan(measures.with_deviation_from_baseline(gold))
     tree = plan.split("\n\n")[0]
     assert "Window" in tree and "Exchange" not in tree
+
+
+def test_silver_table_prunes_date_partitions(spark, lab):
+    from pyspark.sql import functions as F
+
+    from sitewatts.sources import tables
+
+    tables.ensure_namespace(spark, "sw_plans")
+    silver = pipeline.silver(lab["meter_readings"], lab["sites"], lab["regions"], lab["business_units"])
+    back = tables.materialize(silver, "sw_plans.silver_by_date", partition_by=["reading_date"])
+    plan = _plan(back.filter(F.col("reading_date") >= F.lit(dt.date(2024, 1, 29))))
+    assert "PartitionFilters: [isnotnull(reading_date" in plan and "2024-01-29" in plan
