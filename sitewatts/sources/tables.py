@@ -62,6 +62,11 @@ def save_table(
     Use it only on a column without hot keys (e.g. site_id on gold, at most
     one row per site and day), never on raw readings.
     """
+    if partition_by:
+        # AQE regroups rows by partition value into advisory-sized tasks (and
+        # splits large ones), so each task writes few, well-sized files
+        # instead of one small file per partition value per input task.
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
