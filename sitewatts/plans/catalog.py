@@ -46,17 +46,34 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Plan objects are built once per (session, folder) and reused: a DataFrame
+# is an immutable description, so reuse saves driver-side planning only;
+# every query still reads and computes over the whole tables when it runs.
+# The session time zone is part of the key: the analyzer binds it into
+# time-zone-aware expressions.
+_PLANS: dict[tuple[int, str, str, str], tuple[SparkSession, object]] = {}
+
+
+def _memo(spark: SparkSession, sf_dir: str, kind: str, build):
+    key = (id(spark), sf_dir, kind, spark.conf.get("spark.sql.session.timeZone"))
+    hit = _PLANS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    value = build()
+    _PLANS[key] = (spark, value)
+    return value
+
+
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return adapter.load_star(spark, sf_dir)
+    return dict(_memo(spark, sf_dir, "star", lambda: adapter.load_star(spark, sf_dir)))
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.build(star(spark, sf_dir))
+    return _memo(spark, sf_dir, "gold", lambda: pipeline.build(star(spark, sf_dir)))
 
 
 def gold_sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    t = star(spark, sf_dir)
-    return pipeline.build(t), t["sites"]
+    return gold_of(spark, sf_dir), star(spark, sf_dir)["sites"]
 
 
 CENTS = "CAST(floor(total_kwh * 100 + 0.5) AS BIGINT)"
@@ -352,7 +369,7 @@ def join4_with_site_details(spark, sf_dir):
 )
 def join5_gold_regions(spark, sf_dir):
     t = star(spark, sf_dir)
-    return joins.join_related(pipeline.build(t), "daily_site_consumption", "regions", t["regions"])
+    return joins.join_related(gold_of(spark, sf_dir), "daily_site_consumption", "regions", t["regions"])
 
 
 @register(
@@ -386,7 +403,7 @@ WHERE g.anomaly_flag AND g.reading_date >= {_d(7)}
 )
 def join6_meter_health(spark, sf_dir):
     t = star(spark, sf_dir)
-    anoms = filters.since(filters.anomalies(pipeline.build(t)), AS_OF, 7).select(
+    anoms = filters.since(filters.anomalies(gold_of(spark, sf_dir)), AS_OF, 7).select(
         "site_id", "reading_date", "deviation_pct"
     )
     return joins.meter_health(anoms, A.status_counts(t["meter_readings"]))
@@ -429,7 +446,7 @@ GROUP BY m.site_id
 )
 def join7_warnings_for_top_sites(spark, sf_dir):
     t = star(spark, sf_dir)
-    ranked = topk.top_sites_intensity_detail(pipeline.build(t), t["sites"], AS_OF, 14, 3)
+    ranked = topk.top_sites_intensity_detail(gold_of(spark, sf_dir), t["sites"], AS_OF, 14, 3)
     rows = joins.warnings_for(ranked, t["meter_readings"], max_keys=3)
     recent = rows.filter(utc_date("reading_timestamp") >= F.date_sub(F.lit(AS_OF), 14))
     return recent.groupBy("site_id").agg(F.count_if(F.col("status") == "warning").alias("warning_readings"))
@@ -906,7 +923,7 @@ triage AS (
 
 def _triage(spark, sf_dir):
     t = star(spark, sf_dir)
-    return triage.triage(pipeline.build(t), t["sites"], t["meter_readings"], filters.triage_window(AS_OF))
+    return triage.triage(gold_of(spark, sf_dir), t["sites"], t["meter_readings"], filters.triage_window(AS_OF))
 
 
 @register("cmp5_triage", TRIAGE_SQL + "SELECT * FROM triage")
