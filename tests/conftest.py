@@ -33,7 +33,8 @@ def spark():
 def duck():
     import duckdb
 
+    sf = os.environ.get("SITEWATTS_ORACLE_SF", SF_SMALL)
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "events"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con

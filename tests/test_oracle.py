@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 
 import pytest
 
@@ -24,11 +25,12 @@ def _digest(rows, cols):
 
 
 ORACLE = E.oracle_sql()
+SF = os.environ.get("SITEWATTS_ORACLE_SF", SF_SMALL)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
