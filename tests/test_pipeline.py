@@ -172,3 +172,19 @@ def test_checkpointed_cuts_lineage(spark):
     assert c.count() == 3
     plan = c._jdf.queryExecution().logical().toString()
     assert "Window" not in plan
+
+
+def test_overview_and_exploration_composites(spark):
+    from sitewatts.plans import questions
+
+    t = adapter.load_star(spark, SF_SMALL)
+    gold = pipeline.build(t)
+    ov = questions.overview(gold, AS_OF)
+    assert set(ov) == {"kpi", "per_day", "bu_type", "top_deviation"}
+    assert ov["kpi"].count() == 1 and ov["top_deviation"].count() == 10
+    ranged = questions.overview(gold, AS_OF, "2024-01-16", "2024-01-30")
+    assert ranged["per_day"].count() <= ov["per_day"].count()
+    ex = questions.exploration(t["meter_readings"], t["sites"], t["regions"], gold)
+    counts = {k: v.count() for k, v in ex.items()}
+    assert counts["span"] == 1 and counts["profile"] == 4 and counts["hourly_utc"] > 0
+    assert all(n > 0 for n in counts.values())
