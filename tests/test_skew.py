@@ -62,3 +62,32 @@ def test_hot_site_gold_is_exact(spark):
     got = {(r["site_id"], r["reading_date"]): (r["total_kwh"], r["anomaly_flag"]) for r in gold.collect()}
     assert got == _brute_force(rows)
     assert gold.filter(F.col("anomaly_flag") & (F.col("site_id") == "SITE-0001")).count() == 1
+
+
+def test_silver_without_broadcast_splits_the_hot_site(spark, monkeypatch):
+    """Dimension past the broadcast bound: the sort-merge join's hot partition is split by AQE."""
+    from sitewatts.operators import joins
+
+    readings, _rows = _fixture(spark)
+    t = dims(spark)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        silver = pipeline.silver(readings.repartition(8), t["sites"], t["regions"], t["business_units"])
+        n = silver.count()
+        rows = silver.collect()
+        plan = silver._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert n == len(rows) == readings.filter("status <> 'error' AND kwh_consumed >= 0").count()
+    assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
