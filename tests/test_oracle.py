@@ -1,4 +1,4 @@
-"""Every registered query vs its DuckDB oracle on sf0.001 (the driver's check, small)."""
+"""Every registered query vs its DuckDB oracle (sf0.001 by default; SITEWATTS_ORACLE_SF overrides)."""
 
 import hashlib
 import math
