@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sitewatts.llm import huffman, near_dups, packing, prefix_counts
+from sitewatts.llm import fertility, huffman, near_dups, packing, prefix_counts
 
-_MODULES = (packing, huffman, near_dups, prefix_counts)
+_MODULES = (fertility, packing, huffman, near_dups, prefix_counts)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}

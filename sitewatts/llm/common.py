@@ -103,19 +103,29 @@ def uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Words of every text, lower-cased, as (row of each word, 64-bit hash of each word).
+#: Bytes of words that only ASCII blanks separate.
+NOT_BLANK = np.ones(256, bool)
+NOT_BLANK[[*range(9, 14), 32]] = False
 
-    A word is a run of ASCII letters and digits and of non-ASCII characters.
-    Null and empty texts have none. Whole texts are read; no Python loop.
+
+def hashed_words(
+    column: pa.Array, lower: bool = True, word_bytes: np.ndarray = _ALNUM
+) -> tuple[np.ndarray, np.ndarray]:
+    """Words of every text as (row of each word, 64-bit hash of each word).
+
+    By default texts are lower-cased and a word is a run of ASCII letters and
+    digits and of non-ASCII characters. Null and empty texts have none. Whole
+    texts are read; no Python loop.
     """
-    column = pc.utf8_lower(pc.fill_null(column, "").cast(pa.large_string()))
+    column = pc.fill_null(column, "").cast(pa.large_string())
+    if lower:
+        column = pc.utf8_lower(column)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if len(offsets) < 2 or offsets[-1] == offsets[0]:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     rows = (offsets - offsets[0])[:-1]
-    inside = _ALNUM[data]
+    inside = word_bytes[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edge = rows[rows < len(data)]
