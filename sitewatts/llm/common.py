@@ -109,10 +109,13 @@ NOT_BLANK[[*range(9, 14), 32]] = False
 
 
 def hashed_words(
-    column: pa.Array, lower: bool = True, word_bytes: np.ndarray = _ALNUM
-) -> tuple[np.ndarray, np.ndarray]:
+    column: pa.Array, lower: bool = True, word_bytes: np.ndarray = _ALNUM, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
     """Words of every text as (row of each word, 64-bit hash of each word).
 
+    For each length in ``prefixes`` (bytes) an array more: the hash of the word's
+    prefix, or 0 where the word isn't longer.
+
     By default texts are lower-cased and a word is a run of ASCII letters and
     digits and of non-ASCII characters. Null and empty texts have none. Whole
     texts are read; no Python loop.
@@ -121,8 +124,9 @@ def hashed_words(
     if lower:
         column = pc.utf8_lower(column)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    none = (np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * (1 + len(prefixes)))
     if len(offsets) < 2 or offsets[-1] == offsets[0]:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none
     data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     rows = (offsets - offsets[0])[:-1]
     inside = word_bytes[data]
@@ -132,7 +136,7 @@ def hashed_words(
     begins[edge] = inside[edge]
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none
     at = np.flatnonzero(inside)
     first = np.searchsorted(at, starts)
     length = np.diff(np.append(first, len(at)))
@@ -142,7 +146,11 @@ def hashed_words(
     power = np.cumprod(power)
     value = (data[at].astype(np.uint64) + np.uint64(1)) * power[place]
     hashes = mix(np.add.reduceat(value, first) + length.astype(np.uint64) * _MIX[0])
-    return np.searchsorted(rows, starts, side="right") - 1, hashes
+    heads = []
+    for k in prefixes:
+        part = np.add.reduceat(np.where(place < k, value, np.uint64(0)), first) + np.uint64(k) * _MIX[1]
+        heads.append(np.where(length > k, mix(part), np.uint64(0)))
+    return np.searchsorted(rows, starts, side="right") - 1, hashes, *heads
 
 
 def shingles(row: np.ndarray, word: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -313,7 +313,8 @@ def near_dups(docs: DataFrame) -> DataFrame:
         met.join(score, "id").groupBy("bucket").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("top"))
         .select("bucket", (-F.col("top.minus")).alias("pivot"))
     )
-    pairs = stored(met.join(pivots, "bucket").where("id <> pivot").select("id", "pivot").distinct(), "pairs")
+    # stored, so that both sides of the next join are dealt anew and a hot bucket can be split
+    pairs = stored(met.join(stored(pivots, "pivots"), "bucket").where("id <> pivot").select("id", "pivot").distinct(), "pairs")
     wanted = pairs.select("id").union(pairs.select("pivot")).distinct()
     # of several rows with one doc_id, the one whose words gave the representative
     sources = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
