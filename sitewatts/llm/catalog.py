@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sitewatts.llm import fertility, huffman, near_dups, packing, pii, prefix_counts, toxicity
+from sitewatts.llm import fertility, huffman, licenses, near_dups, packing, pii, prefix_counts, toxicity, url_filters
 
-_MODULES = (fertility, pii, packing, huffman, toxicity, near_dups, prefix_counts)
+_MODULES = (fertility, pii, packing, licenses, huffman, toxicity, url_filters, near_dups, prefix_counts)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
