@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from sitewatts.llm import fertility, huffman, licenses, near_dups, packing, pii, prefix_counts, toxicity, url_filters
+import corpus_pipeline
+from sitewatts.llm import (
+    decontaminate,
+    fertility,
+    huffman,
+    licenses,
+    near_dups,
+    packing,
+    pii,
+    prefix_counts,
+    toxicity,
+    url_filters,
+)
 
-_MODULES = (fertility, pii, packing, licenses, huffman, toxicity, url_filters, near_dups, prefix_counts)
+_MODULES = (fertility, pii, packing, decontaminate, licenses, huffman, toxicity, url_filters, near_dups, prefix_counts)
 
-QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
+QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

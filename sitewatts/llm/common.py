@@ -148,7 +148,7 @@ def hashed_words(
     hashes = mix(np.add.reduceat(value, first) + length.astype(np.uint64) * _MIX[0])
     heads = []
     for k in prefixes:
-        part = np.add.reduceat(np.where(place < k, value, np.uint64(0)), first) + np.uint64(k) * _MIX[1]
+        part = np.add.reduceat(np.where(place < k, value, np.uint64(0)), first) + np.uint64(k * int(_MIX[1]) & 0xFFFFFFFFFFFFFFFF)
         heads.append(np.where(length > k, mix(part), np.uint64(0)))
     return np.searchsorted(rows, starts, side="right") - 1, hashes, *heads
 

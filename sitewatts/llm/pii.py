@@ -172,6 +172,17 @@ def spans(docs: DataFrame) -> DataFrame:
     return judged(docs).where("kind is not null")
 
 
+def _shown(kind: Kind, least: float):
+    """What comes before a match, and the match or its kind in brackets."""
+
+    def one(value: Column, i: Column) -> Column:
+        before, after = F.get("__pieces", i), F.get("__pieces", i + 1)
+        score = scored(kind, value, F.right(before, F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT)))
+        return F.concat(before, F.when(score >= least, f"[{kind.name.upper()}]").otherwise(value))
+
+    return one
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span that counts replaced by its kind in brackets, kind after kind; no shuffle.
 
@@ -182,12 +193,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         df = _split(df.withColumn("__text", F.coalesce(F.col(text), F.lit(""))), kind, "__text")
         least = 1e-9 if kind.certain else THRESHOLD
 
-        def shown(value: Column, i: Column, kind: Kind = kind, least: float = least) -> Column:
-            before, after = F.get("__pieces", i), F.get("__pieces", i + 1)
-            score = scored(kind, value, F.right(before, F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT)))
-            return F.concat(before, F.when(score >= least, f"[{kind.name.upper()}]").otherwise(value))
-
-        whole = F.concat(F.array_join(F.transform("__matches", shown), ""), F.element_at("__pieces", -1))
+        whole = F.concat(F.array_join(F.transform("__matches", _shown(kind, least)), ""), F.element_at("__pieces", -1))
         df = df.withColumn(text, F.when(F.col(text).isNotNull(), whole)).drop("__text", "__pieces", "__matches")
     return df
 

@@ -165,17 +165,21 @@ def features_of(column: pa.Array, lexicon: np.ndarray, second: np.ndarray, learn
 
 
 def features(docs: DataFrame, learned: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id and one column per feature."""
+    """doc_id, one column per feature, and the column ``carried`` if there is one."""
+    carried = ["carried"] if "carried" in docs.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, second = _hashes(LEXICON), _hashes(SECOND_PERSON)
         for batch in slices(batches):
             got = features_of(batch.column("text"), lexicon, second, learned)
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id")} | {f: pa.array(got[:, k]) for k, f in enumerate(FEATURES)}
+                {c: batch.column(c) for c in ["doc_id", *carried]} | {f: pa.array(got[:, k]) for k, f in enumerate(FEATURES)}
             )
 
-    return docs.mapInArrow(run, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
+    schema = docs.select("doc_id", *carried).schema
+    for f in FEATURES:
+        schema = schema.add(f, "double")
+    return docs.mapInArrow(run, schema)
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -233,7 +237,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, features, fold and score of every row of ``docs`` (doc_id, text), learned from ``labels`` (doc_id, toxic)."""
     # bounded by 2 x SAMPLE rows, so it may be broadcast
     chosen = stored(sample(labels), "toxic-sample")
-    known = stored(docs.join(F.broadcast(chosen), "doc_id"), "toxic-known")
+    known = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxic-known")
     learned = learned_lexicon(known.where("fold in (2, 3)"))
     measured = features(docs, learned)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="vector", handleInvalid="keep")
@@ -278,6 +282,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (any columns, among them doc_id and text) that aren't predicted toxic; texts aren't shuffled."""
+    whole = docs.select("doc_id", "text", F.struct("*").alias("carried"))
+    return scored(whole, columns(labels, "doc_id", "toxic")).where("score < 0.5").select("carried.*")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
