@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitewatts.llm.common import (
@@ -313,8 +313,7 @@ def near_dups(docs: DataFrame) -> DataFrame:
         met.join(score, "id").groupBy("bucket").agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("top"))
         .select("bucket", (-F.col("top.minus")).alias("pivot"))
     )
-    # stored, so that both sides of the next join are dealt anew and a hot bucket can be split
-    pairs = stored(met.join(stored(pivots, "pivots"), "bucket").where("id <> pivot").select("id", "pivot").distinct(), "pairs")
+    pairs = stored(met.join(pivots, "bucket").where("id <> pivot").select("id", "pivot").distinct(), "pairs")
     wanted = pairs.select("id").union(pairs.select("pivot")).distinct()
     # of several rows with one doc_id, the one whose words gave the representative
     sources = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
@@ -339,6 +338,18 @@ def near_dups(docs: DataFrame) -> DataFrame:
     )
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """One row of each class of ``docs`` (any columns, among them doc_id and text): its smallest doc_id's.
+
+    Of rows with one doc_id the one with the smallest hash of the text stays; rows
+    without doc_id stay.
+    """
+    gone = near_dups(docs).where("not kept").select(F.col("doc_id").alias("__gone"))
+    left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return left.withColumn("__copy", copy).where("doc_id is null or __copy = 1").drop("__copy")
+
+
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups(read(spark, sf_dir, "documents"))
 
