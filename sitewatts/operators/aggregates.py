@@ -3,7 +3,7 @@
 All are ``groupBy().agg()`` with built-in functions: partial aggregation runs
 map-side, so only one row per group per task is shuffled, and a group that
 holds a third of all rows costs no more than any other. Sums of kWh are
-done on integer cents (gold) or milli-kWh (raw readings) and divided once at
+done on integer cents (gold) or decimals (raw readings) and divided once at
 the end, so results are exact and do not depend on row order.
 """
 
@@ -14,9 +14,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewatts.functions.columns import kwh_milli, local_hour, pct_text, utc_date, utc_hour
+from sitewatts.functions.columns import exact, exact_square, local_hour, pct_text, utc_date, utc_hour
 from sitewatts.operators import filters
-from sitewatts.operators.joins import is_small, with_site_details
+from sitewatts.operators.joins import with_site_details
 
 DateLike = str | dt.date
 
@@ -147,49 +147,44 @@ def triage_by_bu(anoms: DataFrame) -> DataFrame:
     return anoms.groupBy("business_unit_name").agg(F.count(F.lit(1)).alias("anomaly_count"))
 
 
-def temperature_sums(t_centi: Column) -> list[Column]:
-    """Per-group sums of temperatures in integer centi-degrees: _a, _b, _q."""
-    big = t_centi.cast("decimal(38,0)")
-    return [F.sum(t_centi).alias("_a"), F.count(t_centi).alias("_b"), F.sum(big * big).alias("_q")]
+def temperature_sums(t: str | Column) -> list[Column]:
+    """Per-group exact sums of temperatures: _a (sum), _b (count), _q (sum of squares)."""
+    return [F.sum(exact(t)).alias("_a"), F.count(t).alias("_b"), F.sum(exact_square(t)).alias("_q")]
 
 
 def with_temperature_flags(per_day: DataFrame, k_sigma: int = 1) -> DataFrame:
     """From per (site, day) sums _a, _b, _q: avg_temp_c and temp_elevated (D12).
 
     ``temp_elevated`` when the day's mean exceeds the site's mean over all its
-    readings by more than ``k_sigma`` population standard deviations, decided
-    in integers: with S, N, Q the site sums, (a*N - S*b) > 0 and
-    (a*N - S*b)^2 > k^2 * b^2 * (N*Q - S^2). Also returns the site mean and
-    sigma. Drops the helper columns.
+    readings by more than ``k_sigma`` population standard deviations. The sums
+    are exact; means and the variance (mean of squares less the squared mean)
+    are doubles, each one division from them, so any number of readings fits.
+    Also returns the site mean and sigma. Drops the helper columns.
     """
     w = "OVER (PARTITION BY site_id)"
     staged = per_day.selectExpr(
         "*", f"sum(_a) {w} AS _site_s", f"sum(_b) {w} AS _site_n", f"sum(_q) {w} AS _site_q"
     ).selectExpr(
         "*",
-        "CAST(_site_n AS DECIMAL(38,0)) * _site_q - CAST(_site_s AS DECIMAL(38,0)) * CAST(_site_s AS DECIMAL(38,0))"
-        " AS _var",
-        "CAST(_a AS DECIMAL(38,0)) * CAST(_site_n AS DECIMAL(38,0)) - CAST(_site_s AS DECIMAL(38,0))"
-        " * CAST(_b AS DECIMAL(38,0)) AS _gap",
+        "CASE WHEN _b > 0 THEN CAST(_a AS DOUBLE) / CAST(_b AS DOUBLE) END AS avg_temp_c",
+        "CASE WHEN _site_n > 0 THEN CAST(_site_s AS DOUBLE) / CAST(_site_n AS DOUBLE) END AS site_mean_temp_c",
+    ).selectExpr(
+        "*",
+        "CASE WHEN _site_n > 0 THEN sqrt(greatest(0.0D, CAST(_site_q AS DOUBLE) / CAST(_site_n AS DOUBLE)"
+        " - site_mean_temp_c * site_mean_temp_c)) END AS site_stddev_temp_c",
     )
     return staged.selectExpr(
         "*",
-        "CASE WHEN _b > 0 THEN CAST(_a AS DOUBLE) / CAST(_b * 100 AS DOUBLE) END AS avg_temp_c",
-        "CASE WHEN _site_n > 0 THEN CAST(_site_s AS DOUBLE) / CAST(_site_n * 100 AS DOUBLE) END AS site_mean_temp_c",
-        "CASE WHEN _site_n > 0 THEN sqrt(CAST(_var AS DOUBLE)) / CAST(_site_n * 100 AS DOUBLE) END"
-        " AS site_stddev_temp_c",
-        f"coalesce(_gap > 0 AND _gap * _gap > {k_sigma * k_sigma} * CAST(_b AS DECIMAL(38,0)) "
-        "* CAST(_b AS DECIMAL(38,0)) * _var, false) AS temp_elevated",
-    ).drop("_a", "_b", "_q", "_site_s", "_site_n", "_site_q", "_var", "_gap")
+        f"coalesce(avg_temp_c - site_mean_temp_c > {k_sigma} * site_stddev_temp_c, false) AS temp_elevated",
+    ).drop("_a", "_b", "_q", "_site_s", "_site_n", "_site_q")
 
 
 def temperature_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     """Per (site, day): mean / max temperature vs the site's own level (AGG14, D12)."""
-    t = F.floor(F.col("temperature_c") * F.lit(100) + F.lit(0.5))
     per_day = (
         readings.withColumn("reading_date", utc_date("reading_timestamp"))
         .groupBy("site_id", "reading_date")
-        .agg(*temperature_sums(t), F.max("temperature_c").alias("max_temp_c"))
+        .agg(*temperature_sums("temperature_c"), F.max("temperature_c").alias("max_temp_c"))
     )
     return with_temperature_flags(per_day, k_sigma).select(
         "site_id", "reading_date", "avg_temp_c", "max_temp_c", "site_mean_temp_c", "site_stddev_temp_c",
@@ -197,9 +192,6 @@ def temperature_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     )
 
 
-QUARTER_HOUR_MICROS = 900_000_000
-
-
 def hourly_profile(readings: DataFrame, sites: DataFrame, local: bool = False, regions: DataFrame | None = None) -> DataFrame:
     """Mean kWh per hour of day by site type (AGG15).
 
@@ -208,43 +200,24 @@ def hourly_profile(readings: DataFrame, sites: DataFrame, local: bool = False, r
 
     UTC: aggregate first. Readings are summed per (site, hour of day), 24
     rows per site, before the site type is joined; raw rows are never joined.
-    Local: the zone offset depends on the instant, so each reading needs its
-    site's zone. A checked-small site -> zone map is broadcast and the hour
-    computed per reading; a large one is joined after summing per (site,
-    15-minute instant): every zone offset is a multiple of 15 minutes, so each
-    bucket falls in one local hour.
+    Local: the zone's offset depends on the instant, so each reading meets its
+    site's zone; sums per (type, hour) are partial in the join's tasks.
     """
-    m = kwh_milli("kwh_consumed")
-    sums = [F.sum(m).alias("_m"), F.count("kwh_consumed").alias("_c")]
+    sums = [F.sum(exact("kwh_consumed")).alias("_m"), F.count("kwh_consumed").alias("_c")]
     if not local:
         per_site = readings.groupBy("site_id", utc_hour("reading_timestamp").alias("utc_hour")).agg(*sums)
         joined = per_site.join(sites.select("site_id", "site_type"), on="site_id", how="inner")
-        hour = F.col("utc_hour")
+        out = joined.groupBy("site_type", "utc_hour").agg(F.sum("_m").alias("_m"), F.sum("_c").alias("n_readings"))
     else:
         zones = sites.select("site_id", "site_type", "region_id").join(
             regions.select("region_id", "timezone"), on="region_id", how="left"
         ).drop("region_id")
-        if is_small(zones):
-            joined = readings.join(F.broadcast(zones), on="site_id", how="inner").select(
-                "site_type",
-                local_hour("reading_timestamp", F.col("timezone")).alias("local_hour"),
-                m.alias("_m"),
-                F.col("kwh_consumed").isNotNull().cast("long").alias("_c"),
-            )
-        else:
-            bucket = F.floor(F.unix_micros("reading_timestamp") / F.lit(QUARTER_HOUR_MICROS)).alias("_q")
-            per_site = readings.groupBy("site_id", bucket).agg(*sums)
-            start = F.timestamp_micros(F.col("_q") * F.lit(QUARTER_HOUR_MICROS))
-            joined = per_site.join(zones, on="site_id", how="inner").select(
-                "site_type", local_hour(start, F.col("timezone")).alias("local_hour"), "_m", "_c"
-            )
-        hour = F.col("local_hour")
-    return (
-        joined.groupBy("site_type", hour)
-        .agg(F.sum("_m").alias("_m"), F.sum("_c").alias("n_readings"))
-        .withColumn("mean_kwh", F.try_divide(F.col("_m").cast("double"), (F.col("n_readings") * 1000).cast("double")))
-        .drop("_m")
-    )
+        hour = local_hour("reading_timestamp", F.col("timezone")).alias("local_hour")
+        joined = readings.join(zones, on="site_id", how="inner")
+        out = joined.groupBy("site_type", hour).agg(*sums).withColumnRenamed("_c", "n_readings")
+    return out.withColumn(
+        "mean_kwh", F.try_divide(F.col("_m").cast("double"), F.col("n_readings").cast("double"))
+    ).drop("_m")
 
 
 def status_share(readings: DataFrame) -> DataFrame:
@@ -261,18 +234,17 @@ PROFILE_COLUMNS = ("kwh_consumed", "kw_demand", "voltage", "temperature_c")
 def profile(readings: DataFrame, columns: tuple[str, ...] = PROFILE_COLUMNS) -> DataFrame:
     """count, nulls, min, max, mean, population stddev per numeric column, one pass (AGG17).
 
-    Mean and stddev come from exact sums of the values at 3 dp (milli units).
+    Mean and variance (mean of squares less the squared mean) come from exact sums.
     """
     aggs = []
     for c in columns:
-        m = kwh_milli(c)
         aggs += [
             F.count(c).alias(f"{c}__n"),
             F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
             F.min(c).alias(f"{c}__min"),
             F.max(c).alias(f"{c}__max"),
-            F.sum(m).alias(f"{c}__s"),
-            F.sum(m.cast("decimal(38,0)") * m.cast("decimal(38,0)")).alias(f"{c}__q"),
+            F.sum(exact(c)).cast("double").alias(f"{c}__s"),
+            F.sum(exact_square(c)).cast("double").alias(f"{c}__q"),
         ]
     one = readings.agg(*aggs)
     stack_args = ", ".join(
@@ -280,16 +252,16 @@ def profile(readings: DataFrame, columns: tuple[str, ...] = PROFILE_COLUMNS) ->
         for c in columns
     )
     long = one.select(F.expr(f"stack({len(columns)}, {stack_args}) AS (column_name, n, nulls, min_value, max_value, s, q)"))
-    big = "decimal(38,0)"
-    var_num = F.col("n").cast(big) * F.col("q") - F.col("s").cast(big) * F.col("s").cast(big)
+    n = F.col("n").cast("double")
+    mean = F.when(F.col("n") > 0, F.col("s") / n)
     return long.select(
         "column_name",
         F.col("n").alias("non_null"),
         F.col("nulls").alias("null_count"),
         "min_value",
         "max_value",
-        F.when(F.col("n") > 0, F.col("s").cast("double") / (F.col("n") * 1000).cast("double")).alias("mean_value"),
-        F.when(F.col("n") > 0, F.sqrt(var_num.cast("double")) / (F.col("n") * 1000).cast("double")).alias("stddev_value"),
+        mean.alias("mean_value"),
+        F.when(F.col("n") > 0, F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - mean * mean))).alias("stddev_value"),
     )
 
 

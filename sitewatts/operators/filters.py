@@ -70,6 +70,23 @@ def in_window(df: DataFrame, window: tuple[dt.date, dt.date], column: str = "rea
     return between_dates(df, window[0], window[1], column)
 
 
+def reading_dates(readings: DataFrame, start: dt.date, end: dt.date | None = None) -> DataFrame:
+    """Raw readings of the UTC dates from ``start`` on (to ``end``, included).
+
+    The range is put on the bare timestamp, so the Parquet reader sees it, and on
+    the partition column of a table written by date.
+    """
+    day = 86_400_000_000
+    epoch = dt.date(1970, 1, 1)
+    out = readings.filter(F.col("reading_timestamp") >= F.timestamp_micros(F.lit((start - epoch).days * day)))
+    if end is not None:
+        out = out.filter(F.col("reading_timestamp") < F.timestamp_micros(F.lit(((end - epoch).days + 1) * day)))
+    if "reading_date" in readings.columns:
+        out = out.filter(F.col("reading_date") >= F.lit(start))
+        out = out.filter(F.col("reading_date") <= F.lit(end)) if end is not None else out
+    return out
+
+
 def in_month(df: DataFrame, month: DateLike, column: str = "reading_date") -> DataFrame:
     """Rows of one calendar month: ``>= first AND < first + 1 month`` (FLT7)."""
     first = month if isinstance(month, dt.date) else dt.date.fromisoformat(

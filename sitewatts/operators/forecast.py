@@ -5,8 +5,9 @@ Model per site: ordinary least squares trend of daily kWh on the day index
 weekday. A site with fewer than 2 days forecasts its mean.
 
 Fit is one ``groupBy("site_id")``: the sufficient statistics (n, Σx, Σy,
-Σxy, Σx², and per-weekday n, Σx, Σy) are integer sums, so the fit is exact
-up to the final divisions and independent of row order. All models live in
+Σxy, Σx², and per-weekday n, Σx, Σy) are whole numbers in decimals of 38
+digits, so the fit is exact up to the final divisions, independent of row order
+and safe for totals of any size. All models live in
 one table, one row per site. Scoring explodes the horizon per model row: no
 join, no shuffle.
 """
@@ -32,9 +33,9 @@ def fit_forecast(gold: DataFrame) -> DataFrame:
     intercept_kwh (at first_date), weekday_resid_kwh (array of 7, Monday first;
     0.0 for weekdays the site never had).
     """
-    day = "CAST(unix_date(reading_date) AS BIGINT)"
-    dow = f"(pmod({day} + 3, 7) + 1)"
-    y = "floor(total_kwh * 100 + 0.5)"  # exact cents of the 2-dp total
+    day = "CAST(unix_date(reading_date) AS DECIMAL(10,0))"
+    dow = "(pmod(unix_date(reading_date) + 3, 7) + 1)"
+    y = "CAST(floor(total_kwh * 100 + 0.5) AS DECIMAL(20,0))"  # exact cents of the 2-dp total
     aggs = [
         f"count({y}) AS n",
         "min(reading_date) AS first_date",
@@ -54,7 +55,7 @@ def fit_forecast(gold: DataFrame) -> DataFrame:
     # x = days since the site's first date, shifted exactly in integers
     rel = stats.selectExpr(
         "*",
-        "CAST(unix_date(first_date) AS BIGINT) AS f",
+        "CAST(unix_date(first_date) AS DECIMAL(10,0)) AS f",
     ).selectExpr("*", "sx - n * f AS rx", "sxx - 2 * f * sx + n * f * f AS rxx", "sxy - f * sy AS rxy")
     fitted = rel.selectExpr(
         "*",

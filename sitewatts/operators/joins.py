@@ -1,12 +1,8 @@
-"""Joins of the star schema (JOIN1-JOIN8) and the broadcast size check.
-
-Where one side is the raw fact table (readings), the dimension side is
-broadcast only after a bounded row count proves it small, so the fact table
-is never shuffled for a small dimension; beyond the bound the join is left
-to the planner (sort-merge on the key, AQE splitting skewed partitions).
-Joins between dimension-sized or daily-sized tables are left to the
-planner's size statistics and AQE's runtime conversion: there a sort-merge
-join costs one shuffle of the smaller side at most.
+"""Joins of the star schema (JOIN1-JOIN8).
+
+No join carries a hint: the planner's size statistics and AQE's byte thresholds
+choose between a broadcast and a sort-merge join, and AQE splits the hot
+partitions of a sort-merge join. Building a join starts no Spark job.
 """
 
 from __future__ import annotations
@@ -16,25 +12,6 @@ from pyspark.sql import functions as F
 
 from sitewatts import schemas
 
-# Largest dimension we broadcast. A site_dim row is ~100 bytes, so this keeps
-# the broadcast relation in the tens of MB whatever the fact table size.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
-
-    Default bound: the module's ``BROADCAST_MAX_ROWS``, read at call time.
-    """
-    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a checked size; otherwise leave the join to the planner."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def site_dim(sites: DataFrame, regions: DataFrame, business_units: DataFrame) -> DataFrame:
     """sites ⟕ regions ⟕ business_units, 8 columns (JOIN1, JOIN2, PRJ1)."""
     return (
@@ -46,7 +23,7 @@ def site_dim(sites: DataFrame, regions: DataFrame, business_units: DataFrame) ->
 
 def enrich(readings: DataFrame, dim: DataFrame) -> DataFrame:
     """readings ⟕ site_dim USING(site_id): orphan readings keep NULL attributes (JOIN3, T5)."""
-    return readings.join(broadcast_if_small(dim), on="site_id", how="left")
+    return readings.join(dim, on="site_id", how="left")
 
 
 def with_site_details(df: DataFrame, sites: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -60,7 +37,7 @@ def with_site_details(df: DataFrame, sites: DataFrame, columns: list[str] | None
     return df.join(right, on="site_id", how="inner")
 
 
-# Declared join relationships usable by any question (JOIN5):
+# Declared join relationships usable by any question (JOIN5). Fixed values:
 # (left table, right table, key).
 RELATIONSHIPS = [
     ("sites", "regions", "region_id"),
@@ -95,18 +72,9 @@ def meter_health(anoms: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def warnings_for(ranked: DataFrame, readings: DataFrame, max_keys: int | None = None) -> DataFrame:
-    """Raw readings of previously ranked sites only (JOIN7): ``readings ⋉ ranked``.
-
-    ``max_keys`` is a bound the caller can prove (a top-k result has at most
-    k sites): then the key set is broadcast with no check. Otherwise its size
-    is checked first. The semi join runs map-side, pruning the raw readings
-    before anything is shuffled.
-    """
-    keys = ranked.select("site_id").distinct()
-    if max_keys is not None and max_keys <= BROADCAST_MAX_ROWS:
-        return readings.join(F.broadcast(keys), on="site_id", how="left_semi")
-    return readings.join(broadcast_if_small(keys), on="site_id", how="left_semi")
+def warnings_for(ranked: DataFrame, readings: DataFrame) -> DataFrame:
+    """Raw readings of previously ranked sites only (JOIN7): ``readings ⋉ ranked``."""
+    return readings.join(ranked.select("site_id").distinct(), on="site_id", how="left_semi")
 
 
 def explore_view(readings: DataFrame, sites: DataFrame, regions: DataFrame, business_units: DataFrame) -> DataFrame:
@@ -126,4 +94,4 @@ def explore_view(readings: DataFrame, sites: DataFrame, regions: DataFrame, busi
             "timezone",
         )
     )
-    return readings.join(broadcast_if_small(dim), on="site_id", how="left")
+    return readings.join(dim, on="site_id", how="left")

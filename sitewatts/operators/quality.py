@@ -47,23 +47,15 @@ def expectation_metrics(df: DataFrame, rules: dict[str, tuple[Column, str]]) ->
     """Passed / failed counts per rule, in one pass over ``df`` (DQ3).
 
     ``df`` is the dataset the rules wrap (before any drop), so every rule is
-    measured on the same rows.
+    measured on the same rows. Rules on reading columns only can be measured on
+    the readings themselves: a left join on a unique key changes no row count.
     """
-    aggs = []
-    for name, (cond, _action) in rules.items():
-        aggs.append(F.count_if(passes(cond)).alias(f"{name}__passed"))
-    aggs.append(F.count(F.lit(1)).alias("__total"))
-    one = df.agg(*aggs)
-    parts = [
-        one.select(
-            F.lit(name).alias("rule"),
-            F.lit(action).alias("action"),
-            F.col(f"{name}__passed").alias("passed"),
-            (F.col("__total") - F.col(f"{name}__passed")).alias("failed"),
-        )
-        for name, (_cond, action) in rules.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    one = df.agg(
+        F.count(F.lit(1)).alias("__total"),
+        *[F.count_if(passes(cond)).alias(f"__{k}") for k, (cond, _action) in enumerate(rules.values())],
+    )
+    rows = ", ".join(f"'{name}', '{action}', `__{k}`, `__total` - `__{k}`" for k, (name, (_c, action)) in enumerate(rules.items()))
+    return one.select(F.expr(f"stack({len(rules)}, {rows}) AS (rule, action, passed, failed)"))
 
 
 def observe_rules(df: DataFrame, rules: dict[str, tuple[Column, str]], name: str = "expectations") -> tuple[DataFrame, Observation]:

@@ -3,8 +3,8 @@
 The driver registers the raw tables (region, nation, customer, events, ...)
 as views. ``BASE`` rebuilds the meter star schema, silver and gold from them
 with the same rules as the Spark code, independently written in SQL; each
-query appends its SELECT. Integer arithmetic mirrors the exact gold rules, so
-values agree bit for bit.
+query appends its SELECT. The daily total is ``round(sum(kwh), 2)``; from there
+integer arithmetic mirrors the exact gold rules, so values agree bit for bit.
 """
 
 from __future__ import annotations
@@ -71,7 +71,7 @@ silver AS (
 daily_raw AS (
   SELECT site_id, site_type, business_unit_id, business_unit_name, region_id, region_name,
          reading_date,
-         CAST(SUM(CAST(floor(kwh_consumed * 1000 + 0.5) AS BIGINT)) AS BIGINT) AS total_milli,
+         ROUND(SUM(kwh_consumed), 2) AS rounded_kwh,
          ROUND(MAX(kw_demand), 2) AS peak_kw,
          ROUND(AVG(voltage), 2) AS avg_voltage,
          CAST(SUM(CASE WHEN status = 'warning' THEN 1 ELSE 0 END) AS BIGINT) AS warning_count
@@ -80,8 +80,7 @@ daily_raw AS (
 ),
 daily AS (
   SELECT *,
-         CAST(CASE WHEN total_milli >= 0 THEN (2 * total_milli + 10) // 20
-                   ELSE -((-2 * total_milli + 10) // 20) END AS BIGINT) AS total_cents
+         CAST(ROUND(rounded_kwh * 100) AS BIGINT) AS total_cents
   FROM daily_raw
 ),
 site_stats AS (

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sitewatts import oracle_sql as O
 from sitewatts.functions import sql_functions
-from sitewatts.functions.columns import utc_date
+from sitewatts.functions.columns import reading_id, utc_date, whole_days_between
 from sitewatts.operators import aggregates as A
 from sitewatts.operators import filters, forecast, joins, measures, quality, topk, windows
 from sitewatts.plans import pipeline, questions, triage
@@ -46,34 +46,18 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# Plan objects are built once per (session, folder) and reused: a DataFrame
-# is an immutable description, so reuse saves driver-side planning only;
-# every query still reads and computes over the whole tables when it runs.
-# The session time zone is part of the key: the analyzer binds it into
-# time-zone-aware expressions.
-_PLANS: dict[tuple[int, str, str, str], tuple[SparkSession, object]] = {}
-
-
-def _memo(spark: SparkSession, sf_dir: str, kind: str, build):
-    key = (id(spark), sf_dir, kind, spark.conf.get("spark.sql.session.timeZone"))
-    hit = _PLANS.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    value = build()
-    _PLANS[key] = (spark, value)
-    return value
-
-
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return dict(_memo(spark, sf_dir, "star", lambda: adapter.load_star(spark, sf_dir)))
+def star(spark: SparkSession, sf_dir: str, **bounds) -> dict[str, DataFrame]:
+    """The base tables, read anew on each call; ``bounds`` cut the readings (see the adapter)."""
+    return adapter.load_star(spark, sf_dir, **bounds)
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo(spark, sf_dir, "gold", lambda: pipeline.build(star(spark, sf_dir)))
+    return pipeline.build(star(spark, sf_dir))
 
 
 def gold_sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return gold_of(spark, sf_dir), star(spark, sf_dir)["sites"]
+    t = star(spark, sf_dir)
+    return pipeline.build(t), t["sites"]
 
 
 CENTS = "CAST(floor(total_kwh * 100 + 0.5) AS BIGINT)"
@@ -104,17 +88,85 @@ def src1_scan_business_units(spark, sf_dir):
     return adapter.business_units(spark, sf_dir)
 
 
-@register("src4_generate_readings")
+GEN_DAYS, GEN_STEPS = 30, 30 * 96
+GEN_END = dt.datetime(2024, 1, 30, 23)
+
+
+@register(
+    "src4_generate_readings",
+    f"""
+SELECT site_id, CAST({GEN_STEPS} AS BIGINT) AS n_readings,
+       printf('R-%08d', seq * {GEN_STEPS} + 1) AS first_id, printf('R-%08d', (seq + 1) * {GEN_STEPS}) AS last_id,
+       CAST({GEN_STEPS} AS BIGINT) AS n_instants,
+       TIMESTAMP '{GEN_END}' - INTERVAL {15 * (GEN_STEPS - 1)} MINUTE AS first_reading,
+       TIMESTAMP '{GEN_END}' AS last_reading,
+       CAST(0 AS BIGINT) AS out_of_range
+FROM (SELECT site_id, CAST(row_number() OVER (ORDER BY site_id) - 1 AS BIGINT) AS seq FROM sites)
+""",
+)
 def src4_generate_readings(spark, sf_dir):
-    """Readings generated for every driver site (30 days), summarised per status."""
+    """Readings generated for every driver site (30 days), checked per site against the formula's bounds."""
     sites = adapter.sites(spark, sf_dir)
-    gen = generate.generate_readings(spark, sites, dt.datetime(2024, 1, 30, 23), days=30)
-    return gen.groupBy("status").agg(
+    gen = generate.generate_readings(spark, sites, GEN_END, days=GEN_DAYS)
+    bad = ~generate.in_range(F.col("site_type"), F.col("voltage_nominal"))
+    per_site = gen.join(sites.select("site_id", "site_type", "voltage_nominal"), "site_id").groupBy("site_id").agg(
         F.count(F.lit(1)).alias("n_readings"),
-        F.countDistinct("site_id").alias("n_sites"),
-        F.min("kwh_consumed").alias("min_kwh"),
-        F.max("kwh_consumed").alias("max_kwh"),
+        F.min("reading_id").alias("first_id"),
+        F.max("reading_id").alias("last_id"),
+        ((F.unix_micros(F.max("reading_timestamp")) - F.unix_micros(F.min("reading_timestamp"))) / F.lit(900_000_000) + 1)
+        .cast("long").alias("n_instants"),
+        F.min("reading_timestamp").alias("first_reading"),
+        F.max("reading_timestamp").alias("last_reading"),
+        F.count_if(bad).alias("out_of_range"),
     )
+    return per_site
+
+
+@register("lim1_preview_membership", "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_found")
+def lim1_preview_membership(spark, sf_dir):
+    """Which rows a preview shows is open; how many, and that they are readings, isn't."""
+    readings = adapter.meter_readings(spark, sf_dir)
+    shown = topk.preview(readings, 5).select("reading_id").withColumn("shown", F.lit(True))
+    found = readings.select("reading_id").join(shown, "reading_id")
+    return found.agg(F.count("shown").alias("n_rows"), F.countDistinct("reading_id").alias("n_found"))
+
+
+@register("src7_row_count", "SELECT COUNT(*) AS row_count FROM meter_readings")
+def src7_row_count(spark, sf_dir):
+    return adapter.meter_readings(spark, sf_dir).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register(
+    "dq5_verify_seed",
+    """
+SELECT t.table_name, t.row_count, e.expected_rows, COALESCE(t.row_count = e.expected_rows, FALSE) AS ok
+FROM (SELECT 'regions' AS table_name, COUNT(*) AS row_count FROM regions
+      UNION ALL SELECT 'business_units', COUNT(*) FROM business_units
+      UNION ALL SELECT 'sites', COUNT(*) FROM sites
+      UNION ALL SELECT 'meter_readings', COUNT(*) FROM meter_readings) t
+LEFT JOIN (SELECT 'regions' AS table_name, CAST(5 AS BIGINT) AS expected_rows
+           UNION ALL SELECT 'business_units', 5) e ON t.table_name = e.table_name
+""",
+)
+def dq5_verify_seed(spark, sf_dir):
+    return quality.verify_seed(tables.row_count_audit(star(spark, sf_dir)), {"regions": 5, "business_units": 5})
+
+
+@register(
+    "scl7_age_days",
+    "SELECT reading_id, CAST(floor(epoch_us(TIMESTAMP '2024-01-30 00:00:00' - reading_timestamp) / 86400000000) AS BIGINT) "
+    "AS age_days FROM meter_readings",
+)
+def scl7_age_days(spark, sf_dir):
+    as_of = F.timestamp_micros(F.lit(1_706_572_800_000_000))  # 2024-01-30 00:00 UTC
+    r = adapter.meter_readings(spark, sf_dir)
+    return r.select("reading_id", whole_days_between(as_of, "reading_timestamp").cast("long").alias("age_days"))
+
+
+@register("scl8_reading_id", "SELECT event_id, printf('R-%08d', event_id) AS padded_id FROM events")
+def scl8_reading_id(spark, sf_dir):
+    events = adapter.read_table(spark, sf_dir, "events")
+    return events.select("event_id", reading_id("event_id").alias("padded_id"))
 
 
 @register("lim1_preview")
@@ -163,8 +215,8 @@ FROM silver_unchecked
 """,
 )
 def dq3_expectation_metrics(spark, sf_dir):
-    t = star(spark, sf_dir)
-    rows = pipeline.silver_unchecked(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
+    # the rules look at reading columns only, so the dimensions needn't be joined
+    rows = filters.drop_errors(adapter.meter_readings(spark, sf_dir))
     return quality.expectation_metrics(rows, quality.silver_rules())
 
 
@@ -229,7 +281,7 @@ FROM daily
 def agg1_daily(spark, sf_dir):
     t = star(spark, sf_dir)
     silver = pipeline.silver(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
-    return pipeline.daily(silver).drop("total_milli", "total_cents")
+    return pipeline.daily(silver).drop("total_exact", "total_cents")
 
 
 @register("cmp2_gold", "SELECT * FROM gold")
@@ -323,6 +375,11 @@ def flt6_triage_window_yesterday(spark, sf_dir):
     return filters.in_window(gold_of(spark, sf_dir), filters.triage_window(AS_OF, "yesterday"))
 
 
+@register("flt6_triage_window_last3", f"SELECT * FROM gold WHERE reading_date BETWEEN {_d(3)} AND {_d(0)}")
+def flt6_triage_window_last3(spark, sf_dir):
+    return filters.in_window(gold_of(spark, sf_dir), filters.triage_window(AS_OF, "last_days", 3))
+
+
 @register(
     "flt6_triage_window_default",
     f"SELECT * FROM gold WHERE reading_date BETWEEN {_d(7)} AND {_d(0)}",
@@ -382,6 +439,34 @@ def join5_sites_business_units(spark, sf_dir):
     return joins.join_related(t["sites"], "sites", "business_units", t["business_units"])
 
 
+@register(
+    "join5_sites_regions",
+    "SELECT s.*, r.region_name, r.timezone FROM sites s JOIN regions r ON s.region_id = r.region_id",
+)
+def join5_sites_regions(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return joins.join_related(t["sites"], "sites", "regions", t["regions"])
+
+
+@register(
+    "join5_gold_sites",
+    "SELECT g.*, s.site_name, s.city, s.state, s.square_footage, s.installation_date, s.voltage_nominal "
+    "FROM gold g JOIN sites s ON g.site_id = s.site_id",
+)
+def join5_gold_sites(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return joins.join_related(pipeline.build(t), "daily_site_consumption", "sites", t["sites"])
+
+
+@register(
+    "join5_gold_business_units",
+    "SELECT g.*, b.description FROM gold g JOIN business_units b ON g.business_unit_id = b.business_unit_id",
+)
+def join5_gold_business_units(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return joins.join_related(pipeline.build(t), "daily_site_consumption", "business_units", t["business_units"])
+
+
 STATUS_COUNTS = """
 status_counts AS (
   SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date,
@@ -402,11 +487,12 @@ WHERE g.anomaly_flag AND g.reading_date >= {_d(7)}
 """,
 )
 def join6_meter_health(spark, sf_dir):
-    t = star(spark, sf_dir)
     anoms = filters.since(filters.anomalies(gold_of(spark, sf_dir)), AS_OF, 7).select(
         "site_id", "reading_date", "deviation_pct"
     )
-    return joins.meter_health(anoms, A.status_counts(t["meter_readings"]))
+    # the gold baseline needs all readings, the day's status counts only those of the days asked for
+    recent = adapter.meter_readings(spark, sf_dir, since=AS_OF - dt.timedelta(days=7))
+    return joins.meter_health(anoms, A.status_counts(recent))
 
 
 INTENSITY = f"""
@@ -447,9 +533,9 @@ GROUP BY m.site_id
 def join7_warnings_for_top_sites(spark, sf_dir):
     t = star(spark, sf_dir)
     ranked = topk.top_sites_intensity_detail(gold_of(spark, sf_dir), t["sites"], AS_OF, 14, 3)
-    rows = joins.warnings_for(ranked, t["meter_readings"], max_keys=3)
-    recent = rows.filter(utc_date("reading_timestamp") >= F.date_sub(F.lit(AS_OF), 14))
-    return recent.groupBy("site_id").agg(F.count_if(F.col("status") == "warning").alias("warning_readings"))
+    recent = adapter.meter_readings(spark, sf_dir, since=AS_OF - dt.timedelta(days=14))
+    rows = joins.warnings_for(ranked, recent)
+    return rows.groupBy("site_id").agg(F.count_if(F.col("status") == "warning").alias("warning_readings"))
 
 
 @register(
@@ -625,31 +711,33 @@ def agg13_triage_by_bu(spark, sf_dir):
     return A.triage_by_bu(filters.in_window(filters.anomalies(gold_of(spark, sf_dir)), filters.triage_window(AS_OF)))
 
 
+def _double(exact: str) -> str:
+    """An exact number as the nearest double (a plain cast of a wide decimal isn't always)."""
+    return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
+
+
 def _temps_sql(source: str) -> str:
     return f"""
 temp_rows AS (
-  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date, temperature_c,
-         CAST(floor(temperature_c * 100 + 0.5) AS BIGINT) AS tc
+  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date, temperature_c
   FROM {source} WHERE status <> 'error'
 ),
 temp_day AS (
-  SELECT site_id, reading_date, CAST(SUM(tc) AS HUGEINT) AS a, CAST(COUNT(tc) AS HUGEINT) AS b,
-         SUM(CAST(tc AS HUGEINT) * tc) AS q, MAX(temperature_c) AS max_temp_c
+  SELECT site_id, reading_date, {_double("SUM(CAST(temperature_c AS DECIMAL(18,9)))")} / COUNT(temperature_c) AS avg_temp_c,
+         MAX(temperature_c) AS max_temp_c
   FROM temp_rows GROUP BY site_id, reading_date
 ),
 temp_site AS (
-  SELECT site_id, SUM(a) AS sa, SUM(b) AS nb, SUM(q) AS sq FROM temp_day GROUP BY site_id
+  SELECT site_id, {_double("SUM(CAST(temperature_c AS DECIMAL(18,9)))")} / COUNT(temperature_c) AS site_mean_temp_c,
+         {_double("SUM(CAST(temperature_c AS DECIMAL(18,9)) * CAST(temperature_c AS DECIMAL(18,9)))")}
+           / COUNT(temperature_c) AS mean_square
+  FROM temp_rows GROUP BY site_id
 ),
 temps AS (
-  SELECT d.site_id, d.reading_date,
-         CAST(d.a AS DOUBLE) / CAST(d.b * 100 AS DOUBLE) AS avg_temp_c,
-         d.max_temp_c,
-         CAST(t.sa AS DOUBLE) / CAST(t.nb * 100 AS DOUBLE) AS site_mean_temp_c,
-         sqrt(CAST(CAST(t.nb * t.sq - t.sa * t.sa AS VARCHAR) AS DOUBLE)) / CAST(t.nb * 100 AS DOUBLE)
-           AS site_stddev_temp_c,
-         COALESCE((d.a * t.nb - t.sa * d.b) > 0
-                  AND (d.a * t.nb - t.sa * d.b) * (d.a * t.nb - t.sa * d.b) > d.b * d.b * (t.nb * t.sq - t.sa * t.sa),
-                  FALSE) AS temp_elevated
+  SELECT d.site_id, d.reading_date, d.avg_temp_c, d.max_temp_c, t.site_mean_temp_c,
+         sqrt(greatest(0, t.mean_square - t.site_mean_temp_c * t.site_mean_temp_c)) AS site_stddev_temp_c,
+         COALESCE(d.avg_temp_c - t.site_mean_temp_c
+                  > sqrt(greatest(0, t.mean_square - t.site_mean_temp_c * t.site_mean_temp_c)), FALSE) AS temp_elevated
   FROM temp_day d JOIN temp_site t ON d.site_id = t.site_id
 )"""
 
@@ -664,8 +752,7 @@ def agg14_temperature_evidence(spark, sf_dir):
     """
 SELECT s.site_type, CAST(hour(m.reading_timestamp) AS INTEGER) AS utc_hour,
        COUNT(m.kwh_consumed) AS n_readings,
-       CAST(SUM(CAST(floor(m.kwh_consumed * 1000 + 0.5) AS BIGINT)) AS DOUBLE)
-         / CAST(COUNT(m.kwh_consumed) * 1000 AS DOUBLE) AS mean_kwh
+       CAST(CAST(SUM(CAST(m.kwh_consumed AS DECIMAL(18,9))) AS VARCHAR) AS DOUBLE) / COUNT(m.kwh_consumed) AS mean_kwh
 FROM meter_readings m JOIN sites s ON m.site_id = s.site_id
 GROUP BY ALL
 """,
@@ -680,8 +767,7 @@ def agg15_hourly_profile_utc(spark, sf_dir):
     """
 SELECT s.site_type, CAST(hour(timezone(r.timezone, timezone('UTC', m.reading_timestamp))) AS INTEGER) AS local_hour,
        COUNT(m.kwh_consumed) AS n_readings,
-       CAST(SUM(CAST(floor(m.kwh_consumed * 1000 + 0.5) AS BIGINT)) AS DOUBLE)
-         / CAST(COUNT(m.kwh_consumed) * 1000 AS DOUBLE) AS mean_kwh
+       CAST(CAST(SUM(CAST(m.kwh_consumed AS DECIMAL(18,9))) AS VARCHAR) AS DOUBLE) / COUNT(m.kwh_consumed) AS mean_kwh
 FROM meter_readings m JOIN sites s ON m.site_id = s.site_id LEFT JOIN regions r ON s.region_id = r.region_id
 GROUP BY ALL
 """,
@@ -704,16 +790,14 @@ def agg16_status_share(spark, sf_dir):
 
 
 def _profile_sql(col: str) -> str:
-    m = f"CAST(floor({col} * 1000 + 0.5) AS BIGINT)"
     n = f"COUNT({col})"
-    s = f"CAST(SUM({m}) AS HUGEINT)"
-    q = f"SUM(CAST({m} AS HUGEINT) * {m})"
+    mean = f"{_double(f'SUM(CAST({col} AS DECIMAL(18,9)))')} / {n}"
+    square = f"{_double(f'SUM(CAST({col} AS DECIMAL(18,9)) * CAST({col} AS DECIMAL(18,9)))')} / {n}"
     return f"""
 SELECT '{col}' AS column_name, {n} AS non_null, CAST(COUNT_IF({col} IS NULL) AS BIGINT) AS null_count,
        CAST(MIN({col}) AS DOUBLE) AS min_value, CAST(MAX({col}) AS DOUBLE) AS max_value,
-       CASE WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / CAST({n} * 1000 AS DOUBLE) END AS mean_value,
-       CASE WHEN {n} > 0 THEN sqrt(CAST(CAST({n} * {q} - {s} * {s} AS VARCHAR) AS DOUBLE))
-            / CAST({n} * 1000 AS DOUBLE) END AS stddev_value
+       CASE WHEN {n} > 0 THEN {mean} END AS mean_value,
+       CASE WHEN {n} > 0 THEN sqrt(greatest(0, {square} - ({mean}) * ({mean}))) END AS stddev_value
 FROM meter_readings"""
 
 
@@ -962,17 +1046,32 @@ def top6_top_sites_peak(spark, sf_dir):
     f"SELECT * FROM gold WHERE anomaly_flag AND reading_date >= {_d(14)}",
 )
 def udf1_get_site_anomalies(spark, sf_dir):
-    """The SQL table function applied to every site (LATERAL), past 14 days."""
-    gold_of(spark, sf_dir).createOrReplaceTempView(sql_functions.GOLD_VIEW)
+    """The SQL table function applied to every site (LATERAL over sites), past 14 days."""
+    g, sites = gold_sites(spark, sf_dir)
+    g.createOrReplaceTempView(sql_functions.GOLD_VIEW)
+    sites.createOrReplaceTempView("sites")
     sql_functions.register_get_site_anomalies(spark)
     return spark.sql(
         f"""
-        SELECT a.* FROM (SELECT DISTINCT site_id FROM {sql_functions.GOLD_VIEW}) s,
-        LATERAL get_site_anomalies(s.site_id, 14, DATE'{AS_OF.isoformat()}') a
+        SELECT a.* FROM sites s, LATERAL get_site_anomalies(s.site_id, 14, DATE'{AS_OF.isoformat()}') a
         """
     )
 
 
+@register(
+    "udf1_one_site_anomalies",
+    f"SELECT * FROM gold WHERE site_id = '{ONE_SITE}' AND anomaly_flag AND reading_date >= {_d(30)}",
+)
+def udf1_one_site_anomalies(spark, sf_dir):
+    """The table function for one given site, by deviation descending."""
+    gold_of(spark, sf_dir).createOrReplaceTempView(sql_functions.GOLD_VIEW)
+    sql_functions.register_get_site_anomalies(spark)
+    return spark.sql(
+        "SELECT * FROM get_site_anomalies(:site, 30, DATE'" + AS_OF.isoformat() + "') ORDER BY deviation_pct DESC NULLS LAST, reading_date",
+        args={"site": ONE_SITE},
+    )
+
+
 FORECAST_SQL = f"""
 , fd AS (
   SELECT site_id, reading_date, CAST(reading_date - DATE '1970-01-01' AS BIGINT) AS day,
@@ -1049,3 +1148,63 @@ FROM ftarget t JOIN model m ON t.site_id = m.site_id AND t.tdow = m.iso_weekday
 )
 def udf4_forecast(spark, sf_dir):
     return forecast.forecast(forecast.fit_forecast(gold_of(spark, sf_dir)), 7)
+
+
+@register(
+    "udf4_forecast_two_sites",
+    ORACLE["udf4_forecast"].removeprefix(O.BASE) + f" WHERE t.site_id IN ('{ONE_SITE}', '13') AND t.h <= 3",
+)
+def udf4_forecast_two_sites(spark, sf_dir):
+    """The serving call: chosen sites and horizon."""
+    return forecast.forecast(forecast.fit_forecast(gold_of(spark, sf_dir)), 3, [ONE_SITE, "13"])
+
+
+# ---------------------------------------------------------------------------
+# Composites under one range (CMP4) and the exploration report (CMP6)
+# ---------------------------------------------------------------------------
+
+_RANGE = f"reading_date BETWEEN {_d(14)} AND {_d(0)}"
+_OVERVIEW_SQL = {
+    "kpi": f"SELECT COUNT(*) AS anomalies_last_7d FROM gold WHERE {_RANGE} AND anomaly_flag AND reading_date >= {_d(7)}",
+    "per_day": f"SELECT reading_date, COUNT(*) AS anomaly_count FROM gold WHERE {_RANGE} AND anomaly_flag "
+    f"AND reading_date >= {_d(30)} GROUP BY reading_date",
+    "bu_type": f"SELECT business_unit_name, site_type, COUNT(*) AS anomaly_count FROM gold WHERE {_RANGE} AND anomaly_flag "
+    "GROUP BY ALL",
+    "top_deviation": f"SELECT * FROM gold WHERE {_RANGE} ORDER BY deviation_pct DESC NULLS LAST, site_id, reading_date LIMIT 10",
+}
+
+
+def _overview(part: str):
+    def run(spark, sf_dir):
+        start, end = filters.default_range(AS_OF, 14)
+        return questions.overview(gold_of(spark, sf_dir), AS_OF, start, end)[part]
+
+    return run
+
+
+for _part, _sql in _OVERVIEW_SQL.items():
+    register(f"cmp4_overview_{_part}", _sql)(_overview(_part))
+
+_EXPLORATION = {
+    "span": "agg3_reading_span",
+    "kwh_by_type_day": "agg10_kwh_by_type_day",
+    "hourly_utc": "agg15_hourly_profile_utc",
+    "hourly_local": "agg15_hourly_profile_local",
+    "status_share": "agg16_status_share",
+    "profile": "agg17_profile",
+    "by_site_type": "agg18_kwh_by_site_type",
+    "by_business_unit": "agg18_kwh_by_business_unit",
+    "by_region": "agg18_kwh_by_region",
+}
+
+
+def _exploration(part: str):
+    def run(spark, sf_dir):
+        t = star(spark, sf_dir)
+        return questions.exploration(t["meter_readings"], t["sites"], t["regions"], pipeline.build(t))[part]
+
+    return run
+
+
+for _part, _same in _EXPLORATION.items():
+    register(f"cmp6_{_part}", ORACLE[_same].removeprefix(O.BASE))(_exploration(_part))

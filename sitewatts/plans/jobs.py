@@ -50,7 +50,8 @@ def seed_lab(
         written[name] = spark.table(full)
     readings = generate.generate_readings(spark, written["sites"], end_ts, days=days, seed=seed, anomalous=anomalous)
     full = tables.qualified(namespace, "meter_readings")
-    tables.save_table(readings, full)
+    # by date, so questions about a few days read only those (see filters.reading_dates)
+    tables.save_table(pipeline.with_reading_date(readings), full, partition_by=["reading_date"])
     tables.annotate(spark, full, schemas.TABLE_COMMENTS["meter_readings"], schemas.COLUMN_COMMENTS["meter_readings"])
     written["meter_readings"] = spark.table(full)
     return tables.row_count_audit(written)
@@ -79,6 +80,7 @@ def run_pipeline(
         tables.qualified(namespace, "silver_readings"),
         schemas.TABLE_COMMENTS["silver_readings"],
         partition_by=["reading_date"] if partition_silver else None,
+        rebalance="reading_date" not in base["meter_readings"].columns,
     )
     metrics = obs.get
     gold = tables.materialize(
@@ -107,8 +109,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--days", type=int, default=30)
     ap.add_argument("--gold-buckets", type=int, default=None)
     ap.add_argument("--cluster", action="store_true", help="use the large-cluster settings")
+    ap.add_argument("--warehouse", default=None, help="folder of the tables; on a cluster one that all executors share")
     args = ap.parse_args(argv)
-    spark = get_session(cluster=args.cluster)
+    spark = get_session(
+        cluster=args.cluster, extra_conf={"spark.sql.warehouse.dir": args.warehouse} if args.warehouse else None
+    )
     if args.step in ("seed", "all"):
         seed_lab(spark, args.namespace, args.as_of, args.end_ts, n_sites=args.sites, days=args.days).show()
     if args.step in ("pipeline", "all"):

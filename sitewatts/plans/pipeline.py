@@ -11,8 +11,8 @@ Two ways to the same gold table:
   reuses the join's site_id partitioning. Equal to ``gold(silver(...))``
   whenever dimension keys are unique (see ``quality.dimension_guard``).
 
-Exact arithmetic: kWh is summed as integer milli-kWh, the daily total is
-kept as integer cents, and the per-site baseline is computed from n, S = sum
+Exact arithmetic: kWh is summed as decimals and rounded once, to two decimals
+(half up). The daily total is kept as integer cents, and the per-site baseline is computed from n, S = sum
 of cents and Q = sum of cents^2. Mean and sigma are then one correctly
 rounded double operation away from exact integers, the deviation is an exact
 half-up rounding, and the 2-sigma test is decided in integers:
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatts import schemas
-from sitewatts.functions.columns import utc_date
+from sitewatts.functions.columns import VALUE, utc_date
 from sitewatts.operators import filters, joins, quality
 
 ANOMALY_SIGMAS = 2
@@ -61,33 +61,34 @@ def silver_unchecked(readings: DataFrame, sites: DataFrame, regions: DataFrame,
 
 
 def _daily_aggs() -> list[Column]:
-    """AGG1a-d. kWh is summed as integer milli-kWh (see module doc)."""
+    """AGG1a-d. kWh is summed exactly (see module doc)."""
     return [
-        F.expr("sum(floor(kwh_consumed * 1000 + 0.5)) AS total_milli"),
+        F.expr(f"sum(CAST(kwh_consumed AS {VALUE})) AS total_exact"),
         F.expr("round(max(kw_demand), 2) AS peak_kw"),
         F.expr("round(avg(voltage), 2) AS avg_voltage"),
         F.expr("sum(CASE WHEN status = 'warning' THEN 1 ELSE 0 END) AS warning_count"),
     ]
 
 
-# total_cents = milli-kWh rounded half up (away from zero) to cents, in integers
-_CENTS_SQL = (
-    "CASE WHEN total_milli >= 0 THEN (2 * total_milli + 10) div 20 "
-    "ELSE -((-2 * total_milli + 10) div 20) END"
-)
-
-
 def _with_total(df: DataFrame) -> DataFrame:
-    """total_cents from total_milli; total_kwh its double."""
-    return df.selectExpr("*", f"{_CENTS_SQL} AS total_cents").selectExpr(
+    """total_cents from total_exact, rounded half away from zero; total_kwh its double."""
+    return df.selectExpr("*", "CAST(round(total_exact, 2) * 100 AS BIGINT) AS total_cents").selectExpr(
         "*", "total_cents / 100.0D AS total_kwh"
     )
 
 
 def daily(silver_df: DataFrame) -> DataFrame:
-    """AGG1: the 7-key daily roll-up of silver (AGG1a-d), with total_cents."""
-    keys = ["site_id", *schemas.GOLD_ATTRIBUTES, "reading_date"]
-    return _with_total(silver_df.groupBy(*keys).agg(*_daily_aggs()))
+    """AGG1: the 7-key daily roll-up of silver (AGG1a-d), with total_cents.
+
+    Silver that isn't written yet is a join on site_id, whose partitioning an
+    aggregate on site_id would take over: all rows of a hot site in one task. The
+    site key is therefore grouped by as an expression, so partial sums are made
+    where the join's rows are (its hot partitions can be split) and only they are
+    shuffled.
+    """
+    keys = [F.concat("site_id", F.lit("")).alias("_site"), *schemas.GOLD_ATTRIBUTES, "reading_date"]
+    rolled = silver_df.groupBy(*keys).agg(*_daily_aggs())
+    return _with_total(rolled.withColumnRenamed("_site", "site_id"))
 
 
 def with_baseline(df: DataFrame, sigmas: int = ANOMALY_SIGMAS) -> DataFrame:
@@ -109,10 +110,10 @@ def with_baseline(df: DataFrame, sigmas: int = ANOMALY_SIGMAS) -> DataFrame:
         "*",
         # n^2 * sigma^2 and n * (t - mean), both in cents, exact
         "CAST(_n AS DECIMAL(38,0)) * _q - CAST(_s AS DECIMAL(38,0)) * CAST(_s AS DECIMAL(38,0)) AS _var",
-        "CAST(_n * total_cents - _s AS DECIMAL(38,0)) AS _spread",
+        "CAST(_n AS DECIMAL(38,0)) * total_cents - CAST(_s AS DECIMAL(38,0)) AS _spread",
     )
-    dev_num = "(_n * total_cents - _s) * 1000 * CAST(signum(_s) AS BIGINT)"
-    dev_den = "abs(_s)"
+    dev_num = "_spread * 1000 * CAST(signum(_s) AS BIGINT)"
+    dev_den = "CAST(abs(_s) AS DECIMAL(38,0))"
     deviation = (
         f"CASE WHEN _s <> 0 THEN (CASE WHEN {dev_num} >= 0 "
         f"THEN (2 * {dev_num} + {dev_den}) div (2 * {dev_den}) "

@@ -50,13 +50,13 @@ def daily_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
 
     warning / error readings (all rows, T15); mean and max temperature of the
     non-error rows and whether the day's mean is above the site's mean by more
-    than ``k_sigma`` population sigmas (D12, decided in integers); and the
+    than ``k_sigma`` population sigmas (D12); and the
     site's day count and total of warning + error readings (for D11).
     Grouping is by (site, day) with map-side partial aggregation, so a hot
     site costs one row per day per task in the shuffle.
     """
     ok = F.col("status") != "error"
-    t_ok = F.when(ok, F.floor(F.col("temperature_c") * F.lit(100) + F.lit(0.5)))
+    t_ok = F.when(ok, F.col("temperature_c"))
     per_day = readings.withColumn("reading_date", utc_date("reading_timestamp")).groupBy(
         "site_id", "reading_date"
     ).agg(
@@ -91,14 +91,16 @@ def triage(
 ) -> DataFrame:
     """One row per anomalous (site, day) in ``window`` with its evidence (CMP5).
 
-    The anomalies are few (flagged days of one window); the evidence is one
-    aggregation of the raw readings per (site, day). They meet at daily
-    granularity, so no raw reading is joined.
+    The anomalies are few (flagged days of one window). The raw readings are cut
+    to the flagged sites by a semi join before they are aggregated per (site,
+    day); the evidence needs a flagged site's whole history (its mean counts and
+    temperatures), so it isn't cut by date.
     """
     anoms = filters.in_window(filters.anomalies(gold), window)
     anoms = measures.ensure_deviation(anoms)
     detailed = with_site_details(anoms, sites, ["site_name", "city", "state", "square_footage"])
-    out = meter_health(detailed, daily_evidence(readings))
+    flagged = readings.join(anoms.select("site_id").distinct(), on="site_id", how="left_semi")
+    out = meter_health(detailed, daily_evidence(flagged))
     issues = F.col("warning_readings") + F.col("error_readings")
     meter = issues * F.col("_issue_days") > F.lit(ratio) * F.col("_issue_total")
     out = out.withColumn(

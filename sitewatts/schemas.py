@@ -115,47 +115,47 @@ GOLD_COLUMNS = GOLD.fieldNames()
 
 BASE_TABLES = ("regions", "business_units", "sites", "meter_readings")
 
-# Table and column descriptions attached by the sinks (our own wording).
+# Table and column descriptions attached by the sinks.
 TABLE_COMMENTS = {
-    "regions": "Geographic regions of the site portfolio with their IANA time zone.",
-    "business_units": "Business units that own sites.",
-    "sites": "One row per metered site with its type, owner, location and size.",
-    "meter_readings": "Raw 15-minute meter readings: energy, demand, voltage, temperature, status.",
-    "silver_readings": "Readings without error rows, enriched with site, region and business unit.",
-    "daily_site_consumption": "Daily per-site totals with the site baseline and a 2-sigma anomaly flag.",
+    "regions": "Where sites lie, with the clock that applies there.",
+    "business_units": "The organisation's units that run sites.",
+    "sites": "Master data of every metered place.",
+    "meter_readings": "What each meter reported, a row per quarter of an hour.",
+    "silver_readings": "Usable readings, each with the master data of its site.",
+    "daily_site_consumption": "A row per site and day: consumption, the site's usual level, and whether the day stands out.",
 }
 
 COLUMN_COMMENTS = {
     "regions": {
-        "region_id": "Region key",
-        "region_name": "Region name",
-        "timezone": "IANA time zone used to show readings in local time",
+        "region_id": "Identifies the region",
+        "region_name": "Display name",
+        "timezone": "Zone name for converting UTC to wall-clock time",
     },
     "business_units": {
-        "business_unit_id": "Business unit key",
-        "business_unit_name": "Business unit name",
-        "description": "What the unit does",
+        "business_unit_id": "Identifies the unit",
+        "business_unit_name": "Display name",
+        "description": "Free text about its work",
     },
     "sites": {
-        "site_id": "Site key",
-        "site_name": "Site name",
-        "site_type": "factory, warehouse, office, data_center or retail",
-        "business_unit_id": "Owning business unit (key of business_units)",
-        "region_id": "Region of the site (key of regions)",
-        "city": "City",
-        "state": "State",
-        "square_footage": "Built area in square feet, used for kWh per square foot",
-        "installation_date": "Date the meter was commissioned",
-        "voltage_nominal": "Nominal service voltage",
+        "site_id": "Identifies the site and its meter",
+        "site_name": "Display name",
+        "site_type": "What the place is used for: one of five kinds",
+        "business_unit_id": "Unit that runs it",
+        "region_id": "Region it lies in",
+        "city": "Town",
+        "state": "State or nation code",
+        "square_footage": "Size in ft²; divisor of the intensity measure",
+        "installation_date": "Since when it has been metered",
+        "voltage_nominal": "Rated volts of its connection",
     },
     "meter_readings": {
-        "reading_id": "Reading key",
-        "site_id": "Site of the meter (key of sites)",
-        "reading_timestamp": "UTC instant at the start of the 15-minute interval",
-        "kwh_consumed": "Energy used in the interval, kWh",
-        "kw_demand": "Peak power in the interval, kW",
-        "voltage": "Average service voltage in the interval",
-        "temperature_c": "Ambient temperature at the meter, degrees Celsius",
-        "status": "Meter health: normal, warning or error",
+        "reading_id": "Identifies the row",
+        "site_id": "Which site reported",
+        "reading_timestamp": "When the quarter hour began; an instant, shown as UTC",
+        "kwh_consumed": "Energy of the quarter hour",
+        "kw_demand": "Highest load within it",
+        "voltage": "Mean volts measured",
+        "temperature_c": "Degrees Celsius outside the meter",
+        "status": "The meter's own verdict; error rows don't count as consumption",
     },
 }

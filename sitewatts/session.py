@@ -55,9 +55,7 @@ def get_session(
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -72,13 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a local one only if unset.
 
     On a cluster the folder must be shared storage named by the cluster in
-    ``spark.checkpoint.dir``; the local fallback exists for tests and
-    single-machine runs only.
+    ``spark.checkpoint.dir``; without it this raises. The local fallback exists for
+    sessions of one machine only.
     """
     existing = checkpoint_dir(spark)
     if existing:
         spark.sparkContext.setCheckpointDir(existing)
         return existing
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sitewatts-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -2,9 +2,10 @@
 
 The test tables are TPC-H-like (`region`, `nation`, `customer`) plus an
 `events` stream. Each base table of the meter model is a projection of them;
-every expression is a built-in Column, so the scans keep column pruning and
-filter pushdown (a later ``status != 'error'`` becomes ``event_type`` checks
-on the Parquet scan).
+every expression is a built-in Column, so the scans keep column pruning, and
+filters on columns that are taken over as they are (``kwh_consumed``) are pushed to
+the Parquet scan. Derived columns (status, the timestamp) hide theirs; a date range
+of the readings is therefore put on the stored ``ts`` by ``meter_readings`` itself.
 """
 
 from __future__ import annotations
@@ -83,8 +84,16 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def meter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events").selectExpr(
+def meter_readings(
+    spark: SparkSession, sf_dir: str, since: dt.date | None = None, until: dt.date | None = None
+) -> DataFrame:
+    """The readings; with ``since`` / ``until`` (UTC dates, both included) only those, cut at the scan."""
+    events = read_table(spark, sf_dir, "events")
+    if since is not None:
+        events = events.where(f"ts >= TIMESTAMP_NTZ'{since.isoformat()} 00:00:00'")
+    if until is not None:
+        events = events.where(f"ts < TIMESTAMP_NTZ'{(until + dt.timedelta(days=1)).isoformat()} 00:00:00'")
+    return events.selectExpr(
         "CAST(event_id AS STRING) AS reading_id",
         "CAST(user_id AS STRING) AS site_id",
         # NTZ wall clock read as a UTC instant, whatever the session zone
@@ -98,11 +107,11 @@ def meter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def load_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four base tables of the meter model, built from the driver tables."""
+def load_star(spark: SparkSession, sf_dir: str, **bounds: dt.date) -> dict[str, DataFrame]:
+    """The four base tables of the meter model; ``bounds`` are those of ``meter_readings``."""
     return {
         "regions": regions(spark, sf_dir),
         "business_units": business_units(spark, sf_dir),
         "sites": sites(spark, sf_dir),
-        "meter_readings": meter_readings(spark, sf_dir),
+        "meter_readings": meter_readings(spark, sf_dir, **bounds),
     }

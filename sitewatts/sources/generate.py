@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitewatts import schemas
@@ -74,8 +74,6 @@ ERROR_BELOW, WARNING_BELOW = 0.01, 0.05
 LAB_ANOMALOUS_SITES = ("SITE-0005", "SITE-0010")
 
 STEPS_PER_DAY = 96
-# Generated rows per task when the caller gives no partition count.
-ROWS_PER_TASK = 2_000_000
 
 
 def seed_dimensions(spark: SparkSession, as_of: dt.date, seed: int = 43) -> dict[str, DataFrame]:
@@ -144,9 +142,10 @@ def generate_readings(
     U(lo, hi) by type x hour factor x spike, 3 dp; kW = kWh x U(3, 5), 3 dp;
     voltage = nominal x U(0.98, 1.02), 2 dp; temperature 22 + U(-7, 12), 2 dp;
     status error / warning / normal by one roll. ``reading_id`` is
-    ``R-%08d`` of site_seq * steps + step + 1, site_seq being the trailing
-    number of the site id. Sites are spread over ``partitions`` tasks
-    (default: about ``ROWS_PER_TASK`` generated rows each).
+    ``R-%08d`` of site_seq * steps + step + 1, site_seq being the site's place
+    (from 0) in the order of site ids, so ids are distinct and gapless whatever the
+    site ids look like. Sites are spread over ``partitions`` tasks (default: the
+    session's shuffle partitions). Building the DataFrame starts no job.
     """
     n_steps = days * STEPS_PER_DAY
     if end_ts.tzinfo is None:
@@ -156,10 +155,8 @@ def generate_readings(
     for stype, (a, b) in BASE_KWH.items():
         lo = F.when(F.col("site_type") == stype, F.lit(float(a))) if lo is None else lo.when(F.col("site_type") == stype, F.lit(float(a)))
         hi = F.when(F.col("site_type") == stype, F.lit(float(b))) if hi is None else hi.when(F.col("site_type") == stype, F.lit(float(b)))
-    seq = F.coalesce(
-        F.regexp_extract(F.col("site_id"), r"(\d+)$", 1).try_cast("long"),
-        F.pmod(F.xxhash64(F.col("site_id")), F.lit(10**9)),
-    )
+    # one row per site: the dimension, not the readings, passes this window
+    seq = F.row_number().over(Window.orderBy("site_id")).cast("long") - 1
     spike_start, spike_end = spike_window(seed, anomalous)
     base = sites.select(
         "site_id",
@@ -171,11 +168,8 @@ def generate_readings(
         spike_start.alias("spike_start"),
         spike_end.alias("spike_end"),
     )
-    if partitions is None:
-        # one cheap count of the site dimension sizes the generator's tasks
-        n_sites = sites.count()
-        partitions = max(1, -(-n_sites * n_steps // ROWS_PER_TASK))
-    base = base.repartition(partitions, "site_id")
+    # a number given here isn't coalesced by AQE, which would see only the few bytes of the sites
+    base = base.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), "site_id")
     steps = base.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(n_steps - 1))))
     # step 0 is the oldest interval; the last step is end_ts itself.
     ts_us = F.lit(end_us) - (F.lit(n_steps - 1) - F.col("step")).cast("long") * F.lit(15 * 60 * 1_000_000)
@@ -214,6 +208,21 @@ def generate_readings(
     )
 
 
+def in_range(site_type: Column, voltage_nominal: Column) -> Column:
+    """Whether a generated reading lies within the formula's bounds (rounding allowed for)."""
+    lo = F.coalesce(*[F.when(site_type == t, F.lit(float(a))) for t, (a, _b) in BASE_KWH.items()])
+    hi = F.coalesce(*[F.when(site_type == t, F.lit(float(b))) for t, (_a, b) in BASE_KWH.items()])
+    kwh, kw, half = F.col("kwh_consumed"), F.col("kw_demand"), 0.0005
+    low_volt, high_volt = (voltage_nominal * f for f in VOLTAGE_BAND)
+    return (
+        kwh.between(lo * NIGHT_FACTOR - half, hi * BUSINESS_FACTOR * SPIKE_RANGE[1] + half)
+        & kw.between(kwh * DEMAND_RANGE[0] - 2 * half, kwh * DEMAND_RANGE[1] + 2 * half)
+        & F.col("voltage").between(low_volt - 0.01, high_volt + 0.01)
+        & F.col("temperature_c").between(TEMP_BASE + TEMP_RANGE[0] - 0.01, TEMP_BASE + TEMP_RANGE[1] + 0.01)
+        & F.col("status").isin("normal", "warning", "error")
+    )
+
+
 def scaled_sites(spark: SparkSession, n_sites: int, as_of: dt.date, seed: int = 43) -> DataFrame:
     """``n_sites`` sites cycling through the lab's types, units and regions (for scale runs)."""
     spec = spark.createDataFrame(

@@ -54,15 +54,19 @@ def save_table(
     name: str,
     partition_by: list[str] | None = None,
     bucket_by: tuple[str, int] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Overwrite a table, data and schema (SNK1).
 
+    ``rebalance=False``: the rows come from a table of the same partitioning, so
+    each task holds few partition values already and nothing is shuffled.
+
     ``bucket_by=(column, n)`` writes n buckets sorted by the column, so later
     joins and windows on that column read co-located data without a shuffle.
     Use it only on a column without hot keys (e.g. site_id on gold, at most
     one row per site and day), never on raw readings.
     """
-    if partition_by:
+    if partition_by and rebalance:
         # AQE regroups rows by partition value into advisory-sized tasks (and
         # splits large ones), so each task writes few, well-sized files
         # instead of one small file per partition value per input task.
@@ -94,6 +98,7 @@ def materialize(
     columns: dict[str, str] | None = None,
     partition_by: list[str] | None = None,
     bucket_by: tuple[str, int] | None = None,
+    rebalance: bool = True,
 ) -> DataFrame:
     """Write a derived dataset as a named table with its description (SNK3).
 
@@ -101,7 +106,7 @@ def materialize(
     from the written files, and a lost executor only recomputes from there.
     """
     spark = df.sparkSession
-    save_table(df, name, partition_by, bucket_by)
+    save_table(df, name, partition_by, bucket_by, rebalance)
     annotate(spark, name, comment, columns)
     return spark.table(name)
 

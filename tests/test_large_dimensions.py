@@ -4,7 +4,6 @@ query that joins the raw readings must return the same rows."""
 import pytest
 
 import __spark_entry__ as E
-from sitewatts.operators import joins
 from tests.conftest import SF_SMALL
 
 FACT_JOINS = [
@@ -20,10 +19,9 @@ FACT_JOINS = [
 
 
 @pytest.mark.parametrize("name", FACT_JOINS)
-def test_same_rows_without_broadcast(spark, monkeypatch, name):
+def test_same_rows_without_broadcast(spark, name):
     q = E.queries()[name]
     small = q(spark, SF_SMALL).collect()
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:

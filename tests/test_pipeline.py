@@ -107,11 +107,6 @@ def test_dry_run_finds_problems_without_jobs(spark):
     assert len(problems) == 2
 
 
-def test_broadcast_check(spark):
-    small = spark.range(10)
-    assert joins.is_small(small, 10) and not joins.is_small(small, 9)
-
-
 def test_forecast_recovers_a_linear_trend(spark):
     g = gold_for(spark, {"SITE-0001": [10.0 + 2 * d for d in range(21)], "SITE-0002": [5.0]})
     model = forecast.fit_forecast(g)

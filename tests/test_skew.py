@@ -64,21 +64,21 @@ def test_hot_site_gold_is_exact(spark):
     assert gold.filter(F.col("anomaly_flag") & (F.col("site_id") == "SITE-0001")).count() == 1
 
 
-def test_silver_without_broadcast_splits_the_hot_site(spark, monkeypatch):
-    """Dimension past the broadcast bound: the sort-merge join's hot partition is split by AQE."""
-    from sitewatts.operators import joins
+SORT_MERGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
 
+def test_silver_without_broadcast_splits_the_hot_site(spark):
+    """Dimension past the broadcast bound: the sort-merge join's hot partition is split by AQE."""
     readings, _rows = _fixture(spark)
     t = dims(spark)
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
+    conf = SORT_MERGE
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
@@ -91,3 +91,23 @@ def test_silver_without_broadcast_splits_the_hot_site(spark, monkeypatch):
             spark.conf.unset(k)
     assert n == len(rows) == readings.filter("status <> 'error' AND kwh_consumed >= 0").count()
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+
+
+def test_gold_of_lazy_silver_splits_the_hot_site(spark):
+    """The roll-up mustn't take over the join's partitioning: no task may get all rows of the hot site."""
+    readings, rows = _fixture(spark)
+    t = dims(spark)
+    for k, v in SORT_MERGE.items():
+        spark.conf.set(k, v)
+    try:
+        silver = pipeline.silver(readings.repartition(8), t["sites"], t["regions"], t["business_units"])
+        gold = pipeline.gold(silver)
+        got = {(r["site_id"], r["reading_date"]): (r["total_kwh"], r["anomaly_flag"]) for r in gold.collect()}
+        plan = gold._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in SORT_MERGE:
+            spark.conf.unset(k)
+    assert got == _brute_force(rows)
+    assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    direct = pipeline.build_gold(readings, t["sites"], t["regions"], t["business_units"])
+    assert sorted(map(repr, direct.collect())) == sorted(map(repr, gold.collect()))
