@@ -52,3 +52,14 @@ def classes(links, ids) -> dict:
         a, b = find(a), find(b)
         parent[max(a, b)] = min(a, b)
     return {i: find(i) for i in ids}
+
+
+#: Null, empty and blank texts, ties, repeated rows, special strings, other scripts, one very long text.
+ODD_TEXTS = (
+    None, "", " \n\t ", "a", "A a", "same words here", "same words here", "x" * 5000, "word " * 30_000, "<|endoftext|> in a text",
+    "日本語のテキスト и русский", "é" * 300, "1234 5678", "...!!!", "\x0b\x0c\x1c odd blanks\x85\xa0", "it's we'LL they 're",
+)
+
+
+def odd_rows() -> list[tuple]:
+    return [(k, t) for k, t in enumerate(ODD_TEXTS)] + [(5, "same words here"), (None, "no id")]
