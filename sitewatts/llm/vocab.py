@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
+import struct
 import unicodedata
 
 import numpy as np
@@ -84,45 +86,101 @@ def encode_bytes(file: str, texts: list[str]) -> list[list[int]]:
     return out
 
 
-class WordIds:
-    """Ids under a vocabulary that splits at white space, remembered word by word.
+def _reproduce_themselves(model: dict, specials: dict[str, int]) -> bool:
+    """Whether merging the symbols of each token, earliest merge first, gives that token again.
 
-    The library encodes each word it hasn't seen; ``limit`` bounds the memory,
-    later words are encoded each time. ids are kept as little-endian 32-bit bytes.
-    Texts with white space beyond ASCII blanks, which the vocabulary's own rules
-    may see differently, are encoded whole.
+    Then merging by the rank of joined strings, as rank-based encoders do, never
+    differs from merging by the list of pairs.
     """
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    rank = {(a, b): k for k, (a, b) in enumerate(merges)}
+    suffix = model.get("end_of_word_suffix") or ""
+    for token in model["vocab"]:
+        if token in specials:
+            continue
+        ends = bool(suffix) and token.endswith(suffix) and len(token) > len(suffix)
+        parts = list(token[: -len(suffix)] if ends else token)
+        if ends:
+            parts[-1] += suffix
+        while len(parts) > 1:
+            pairs = [rank.get(p, 1 << 40) for p in itertools.pairwise(parts)]
+            best = min(pairs)
+            if best == 1 << 40:
+                return False
+            k = pairs.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+    return True
 
-    ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u3000\ufeff]")
+
+class WordIds:
+    """Ids under a lower-casing vocabulary of words, remembered word by word.
+
+    For texts of plain characters: lower-cased words between blanks are looked up;
+    a new one is split by the vocabulary's rule (letters, single digits, runs of
+    others, contractions) and its pieces are merged by rank, the end of a word being a
+    byte that no UTF-8 text has. ``limit`` bounds the memory; later words are encoded
+    each time. Other texts, and files of another kind, go to the tokenizers library.
+    ids are little-endian 32-bit bytes.
+    """
+
+    END = b"\xff"
+    #: What the library's rules may see differently: blanks and controls beyond ASCII's, a dotted
+    #: capital I, and everything from where lower case may leave the plain range.
+    ODD = re.compile("[\x1c-\x1f\x85\xa0\u0130\u0180-\U0010ffff]")
+    #: The splitting rule that this class follows. Fixed value.
+    RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, file: str, limit: int = 700_000):
         self.library, self.limit, self.seen = library(file), limit, {}
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        got = self.library.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+        self.parts: dict[str, bytes] = {}
+        spec, specials = definition(file), special_tokens(file)
+        self.specials = list(specials)
+        model, suffix = spec["model"], spec["model"].get("end_of_word_suffix")
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        rules = [p.get("pattern", {}).get("Regex") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.ranked = None
+        if kinds == ["NFC", "Replace", "Lowercase"] and rules == [self.RULE, None] and suffix and _reproduce_themselves(model, specials):
+            alphabet = byte_alphabet()
+            ranks = {}
+            for token, i in model["vocab"].items():
+                if token not in specials:
+                    ends = token.endswith(suffix) and len(token) > len(suffix)
+                    ranks[bytes(alphabet[c] for c in (token[: -len(suffix)] if ends else token)) + (self.END if ends else b"")] = i
+            self.ranked = tiktoken.Encoding(file, pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        letter, number = plain_class("L"), plain_class("N")
+        self.split = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^\s{letter}{number}]+")
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        got = b""
+        for part in self.split.findall(word):
+            ids = self.parts.get(part)
+            if ids is None:
+                raw = self.ranked._core_bpe.encode_single_piece(part.encode() + self.END)
+                ids = struct.pack(f"<{len(raw)}I", *raw)
+                if len(self.parts) < self.limit // 2 and len(part) < 64:
+                    self.parts[part] = ids
+            got += ids
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if self.ODD.search(t) else t.split() for t in texts]
-        seen = self.seen
-        fresh = list({w for ws in split if ws for w in ws if w not in seen})
-        extra = {}
-        for k in range(0, len(fresh), 4096):
-            part = fresh[k : k + 4096]
-            new = dict(zip(part, self._ids(part), strict=True))
-            if len(seen) < self.limit:
-                seen.update(new)
-            else:
-                extra.update(new)
-        if extra:
-            return [
-                self._ids([t])[0] if ws is None else b"".join([seen.get(w) or extra.get(w, b"") for w in ws])
-                for t, ws in zip(texts, split, strict=True)
-            ]
-        return [
-            self._ids([t])[0] if ws is None else b"".join([seen[w] for w in ws])
-            for t, ws in zip(texts, split, strict=True)
-        ]
+        out, seen = [], self.seen
+        for text in texts:
+            if self.ranked is None or self.ODD.search(text) or any(s in text for s in self.specials):
+                out.append(self._whole(text))
+                continue
+            words = text.lower().split()
+            found = list(map(seen.get, words))
+            if None in found:
+                for k, ids in enumerate(found):
+                    if ids is None:
+                        found[k] = ids = self._word(words[k])
+                        if len(seen) < self.limit and len(words[k]) < 64:
+                            seen[words[k]] = ids
+            out.append(b"".join(found))
+        return out
 
 
 @functools.cache
