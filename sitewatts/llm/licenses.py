@@ -192,3 +192,52 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_licenses": op5_licenses}
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SPLIT = f"regexp_extract_all({{}}, '{_WORD.pattern}')"
+
+
+def _oracle() -> str:
+    """The same in DuckDB: every line against every template, without filters."""
+    templates = ", ".join(f"('{label}', {sorted(set(words_of(t)))})" for label, notices in TEMPLATES.items() for t in notices)
+    at = {
+        label: f"list_filter(range(len(w)), lambda i: {' AND '.join(f'w[i + {k + 1}] = {chr(39)}{x}{chr(39)}' for k, x in enumerate(words_of(p)))})"
+        for p, label in PHRASES.items()
+    }
+    places = " || ".join(at.values())
+    base = ", ".join(f"CASE WHEN len({x}) > 0 THEN '{label}' END" for label, x in at.items())
+    return f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS t FROM documents
+),
+b AS (
+  SELECT doc_id, r, len(w) AS n_words, {places} AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS base
+  FROM (SELECT doc_id, r, {_SPLIT.format('t')} AS w FROM d)
+),
+templates(label, words) AS (VALUES {templates}),
+lines AS (
+  SELECT r, row_number() OVER () AS line, list_distinct({_SPLIT.format('x')}) AS words
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d)
+),
+hits AS (
+  SELECT r, line, label, len(list_intersect(l.words, s.words)) AS common, common / len(s.words) AS share
+  FROM lines l, templates s WHERE len(list_intersect(l.words, s.words)) >= {THRESHOLD} * len(s.words) - 1e-9
+),
+best AS (
+  SELECT * FROM hits
+  QUALIFY rank() OVER (PARTITION BY line ORDER BY share DESC, common DESC) = 1
+),
+found AS (
+  SELECT r, list(DISTINCT label) AS labels, max(share) AS score, count(DISTINCT line) AS n_blocks FROM best GROUP BY r
+)
+SELECT b.doc_id, CAST(b.n_words AS BIGINT) AS n_words, CAST(len(b.places) AS BIGINT) AS n_base,
+       CAST(list_min(b.places) AS BIGINT) AS first_word, CAST(list_max(b.places) AS BIGINT) AS last_word,
+       array_to_string(list_sort(b.base), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(b.base || coalesce(f.labels, []))), ',') AS labels,
+       CAST(greatest(CASE WHEN len(b.base) > 0 THEN 1 ELSE 0 END, coalesce(f.score, 0)) AS DOUBLE) AS score,
+       coalesce(f.n_blocks, 0) AS n_blocks
+FROM b LEFT JOIN found f ON b.r = f.r
+"""
+
+
+ORACLE = {"op5_licenses": _oracle()}
