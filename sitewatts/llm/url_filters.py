@@ -167,3 +167,89 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_url_filter": op8_url_filter}
+
+
+def _oracle() -> str:
+    """The same in DuckDB, level by level."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rules = sorted(RULES, key=lambda r: (-len(r.text), r.text))
+    fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in rules]
+    rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, rules, strict=True))
+    ruled = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, rules, strict=True))
+    ending = r"regexp_extract({0}, '(\.[A-Za-z]{{1,5}})$', 1)"
+    stem = r"regexp_replace({0}, '\.[A-Za-z]{{1,5}}$', '')"
+    classes = (
+        ("{date}", "regexp_matches(stem, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')"),
+        ("{n}", "regexp_matches(stem, '^[0-9]+$')"),
+        ("{uuid}", "regexp_matches(stem, '^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$')"),
+        ("{hex}", "regexp_matches(stem, '^[0-9A-Fa-f]{8,}$') AND regexp_matches(stem, '[0-9]')"),
+    )
+    kinds = " ".join(f"WHEN {test} THEN '{name}' || ending" for name, test in classes)
+    levels = []
+    for k in range(1, MAX_DEPTH + 1):
+        before = f"t{k - 1}"
+        levels.append(f"""
+s{k} AS (
+  SELECT *, CASE WHEN seg IS NULL THEN NULL {kinds} ELSE seg END AS token
+  FROM (SELECT *, segments[{k}] AS seg, {ending.format(f"segments[{k}]")} AS ending, {stem.format(f"segments[{k}]")} AS stem FROM {before})
+),
+c{k} AS (SELECT host, template, token, sum(n) AS child_n FROM s{k} WHERE token IS NOT NULL GROUP BY ALL),
+n{k} AS (SELECT host, template, count(*) AS kids, sum(child_n) AS node_n FROM c{k} GROUP BY ALL),
+t{k} AS (
+  SELECT s.host, s.path, s.n, s.blocked, s.labelled, s.segments,
+         CASE WHEN s.token IS NULL THEN s.template ELSE s.template || '/' ||
+           CASE WHEN NOT starts_with(s.token, '{{') AND s.token <> '' AND m.kids >= {MANY_CHILDREN}
+                     AND c.child_n < {RARE_SHARE} * m.node_n THEN '*' ELSE s.token END END AS template
+  FROM s{k} s LEFT JOIN c{k} c ON s.host = c.host AND s.template = c.template AND s.token = c.token
+  LEFT JOIN n{k} m ON s.host = m.host AND s.template = m.template
+)""")
+    smooth = "({0} + {2}::DOUBLE * {1[1]}) / ({1[0]} + {2}::DOUBLE)"
+    mean = lambda blocked, labelled, above: smooth.format(blocked, (labelled, above), SMOOTHING)
+    return f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{upper}', '{upper.lower()}') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+),
+urls AS (SELECT *, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM p),
+t0 AS (
+  SELECT host, path, count(*) AS n, count(*) FILTER (WHERE ruled = 'block') AS blocked, count(ruled) AS labelled,
+         string_split(regexp_replace(path, '^/', ''), '/') AS segments, '' AS template
+  FROM urls GROUP BY host, path
+),{",".join(levels)},
+tree AS (
+  SELECT host, path, n, blocked, labelled,
+         template || CASE WHEN len(segments) > {MAX_DEPTH} THEN '/{{rest}}' ELSE '' END AS template FROM t{MAX_DEPTH}
+),
+leaf AS (
+  SELECT host, template, regexp_replace(template, '[^/{{}}*]+(/|$)', '+\\1', 'g') AS family,
+         CAST(sum(blocked) AS DOUBLE) AS blocked, CAST(sum(labelled) AS DOUBLE) AS labelled
+  FROM tree GROUP BY host, template
+),
+o AS (SELECT CASE WHEN sum(labelled) > 0 THEN sum(blocked) / sum(labelled) ELSE 0 END AS overall FROM leaf),
+hosts AS (SELECT host, {mean("sum(blocked)", "sum(labelled)", "any_value(overall)")} AS host_share FROM leaf, o GROUP BY host),
+families AS (
+  SELECT l.host, family, {mean("sum(blocked)", "sum(labelled)", "any_value(host_share)")} AS share
+  FROM leaf l JOIN hosts h ON l.host = h.host GROUP BY l.host, family
+),
+d AS (
+  SELECT l.*, share, NOT (labelled > 0 AND abs(blocked / greatest(labelled, 1) - share)
+           > {SIGNIFICANT}::DOUBLE * sqrt(greatest(share * (1 - share), 1e-4::DOUBLE) / greatest(labelled, 1))) AS merged
+  FROM leaf l JOIN families f ON l.host = f.host AND l.family = f.family
+),
+pool AS (SELECT host, family, sum(blocked) AS mb, sum(labelled) AS ml FROM d WHERE merged GROUP BY host, family),
+judged AS (
+  SELECT d.host, d.template, CASE WHEN merged THEN {mean("mb", "ml", "share")} ELSE {mean("blocked", "labelled", "share")} END AS purity
+  FROM d LEFT JOIN pool ON d.host = pool.host AND d.family = pool.family
+)
+SELECT page_id, urls.host, urls.path, rule, coalesce(ruled, CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+       tree.template, purity
+FROM urls JOIN tree ON urls.host = tree.host AND urls.path = tree.path
+JOIN judged ON tree.host = judged.host AND tree.template = judged.template
+"""
+
+
+ORACLE = {"op8_url_filter": _oracle()}
