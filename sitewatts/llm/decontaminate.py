@@ -3,8 +3,8 @@
 1. Texts and items are series of passages: windows of WINDOW words, each half a
    window on. Words are hashed to DIMENSIONS. Weights are TF-IDF: document
    frequencies are counted over all texts; a weight is at least FLOOR, so a passage
-   that very many texts share stays visible, and words that many items have (stop
-   words) weigh nothing.
+   that very many texts share stays visible, and at most CEILING; words that many
+   items have (stop words) weigh nothing.
 2. The benchmark goes to all texts in blocks of at most BLOCK_PASSAGES passages. A
    randomised SVD finds the latent directions of a block's TF-IDF passages; tasks
    multiply their passages with a thin matrix and sum up what they get. The rank is
@@ -32,6 +32,7 @@ best counts, the first of equals. An empty table on either side gives an empty r
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,12 +46,13 @@ from sitewatts.llm.common import columns, hashed_words, read, slices, stored
 WINDOW = 32
 HALF = WINDOW // 2
 DIMENSIONS = 1 << 18
-FLOOR = 3.0
+#: Bounds of a word's weight; their ratio, and so the cosines of copies, don't change with the number of texts.
+FLOOR, CEILING = 3.0, 8.0
 #: A word is a stop word if more than this share of the items has it, and more than STOP_ITEMS.
 STOP_SHARE, STOP_ITEMS = 0.02, 3
 BLOCK_PASSAGES = 512
 KEEP, POWERS, SEED = 0.7, 2, 7
-CANDIDATE = 0.3
+CANDIDATE = 0.25
 COPY, PARAPHRASE, ANSWER = 0.85, 0.6, 0.8
 LEAST_WORDS = 8
 #: Rows of the thin matrix that are shuffled together, and windows that are searched together.
@@ -99,7 +101,13 @@ class Passages:
         if len(kept):
             owner = self.half_of_word[kept]
             first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-            halves[owner[first]] = np.add.reduceat(table[at[kept]], first, axis=0)
+            place = np.arange(len(kept)) - np.repeat(first, np.diff(np.append(first, len(kept))))
+            # the first kept words of all halves, then the second ones, ...: each half once a round
+            order = np.argsort(place, kind="stable")
+            ends = np.cumsum(np.bincount(place))
+            for a, b in zip(ends - np.bincount(place), ends, strict=True):
+                now = order[a:b]
+                halves[owner[now]] += table[at[kept[now]]]
         return self._windows(halves)
 
 
@@ -169,14 +177,14 @@ def basis(spark: SparkSession, matrix: list[tuple[np.ndarray, np.ndarray]], heig
     return directions[:, : min(rank, directions.shape[1])]
 
 
-def common_subsequence(a: list[int], b: np.ndarray) -> int:
+def common_subsequence(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence, bit-parallel over ``a``."""
     where: dict[int, int] = {}
     for k, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << k
     full = (1 << len(a)) - 1
     row = full
-    for x in b.tolist():
+    for x in b:
         match = where.get(x)
         if match:
             both = row & match
@@ -191,6 +199,7 @@ class Items:
         self.ids = [i for i, _, _ in rows]
         self.words = _by_row(*hashed_words(pa.array([t for _, t, _ in rows], pa.string())), len(rows))
         self.answers = _by_row(*hashed_words(pa.array([a for _, _, a in rows], pa.string())), len(rows))
+        self.told = [(w.tolist(), Counter(w.tolist()), a.tolist()) for w, a in zip(self.words, self.answers, strict=True)]
         self.owner: list[int] = []
         passages: list[np.ndarray] = []
         for k, words in enumerate(self.words):
@@ -229,18 +238,19 @@ def _by_row(row: np.ndarray, word: np.ndarray, rows: int) -> list[np.ndarray]:
     return np.split(word, np.searchsorted(row, np.arange(1, rows)))
 
 
-def checked(item: np.ndarray, answer: np.ndarray, around: np.ndarray) -> tuple[float, float, bool]:
-    """(share of the item's words in the common subsequence, of the answer's, contaminated)."""
-    names, need = np.unique(item, return_counts=True)
-    there, have = np.unique(around[np.isin(around, names)], return_counts=True)
-    bound = np.minimum(need[np.searchsorted(names, there)], have).sum()
+def checked(item: list[int], need: Counter, answer: list[int], around: list[int]) -> tuple[float, float, bool]:
+    """(share of the item's words in the common subsequence, of the answer's, contaminated).
+
+    ``need`` counts the item's words. A share below PARAPHRASE may be the bound on it.
+    """
+    near = [x for x in around if x in need]  # other words can't be in a common subsequence
+    bound = sum(min(n, need[x]) for x, n in Counter(near).items())
     if bound < PARAPHRASE * len(item):
         return bound / len(item), 0.0, False
-    near = around[np.isin(around, names)]  # other words can't be in a common subsequence
-    share = common_subsequence(item.tolist(), near) / len(item)
+    share = common_subsequence(item, near) / len(item)
     if share < PARAPHRASE:
         return share, 0.0, False
-    told = common_subsequence(answer.tolist(), around) / len(answer) if len(answer) else 1.0
+    told = common_subsequence(answer, around) / len(answer) if answer else 1.0
     return share, told, share >= COPY or told >= ANSWER
 
 
@@ -265,7 +275,7 @@ def _matches(batch: pa.RecordBatch, items: Items, weight: np.ndarray) -> dict[tu
             start = passages.half_start[half]
             low = max(passages.first_word[r], start - lengths[k])
             high = min(passages.first_word[r] + passages.counts[r], start + WINDOW + lengths[k])
-            got = checked(items.words[k], items.answers[k], passages.words[low:high])
+            got = checked(*items.told[k], passages.words[low:high].tolist())
             if key not in best or (got[2], got[0], got[1]) > (best[key][3], best[key][1], best[key][2]):
                 best[key] = (float(cosine[w, q]), *got)
     return best
@@ -311,7 +321,7 @@ def indexed(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Items, np.n
     benchmark = benchmark.select("item_id", "text", answer.alias("answer"))
     frequency, n = document_frequency(docs)
     in_items, n_items = document_frequency(benchmark)
-    weight = np.maximum(np.log((n + 1.0) / (frequency + 1.0)), FLOOR)
+    weight = np.clip(np.log((n + 1.0) / (frequency + 1.0)), FLOOR, CEILING)
     weight[in_items > max(STOP_SHARE * n_items, STOP_ITEMS)] = 0
     weight = weight.astype(np.float32)
     rows = ((r["item_id"], r["text"] or "", r["answer"] or last_sentence(r["text"] or "")) for r in benchmark.toLocalIterator())
@@ -347,10 +357,11 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return df.mapInArrow(run, df.schema)
 
-    out = docs
+    # the row travels as one struct, whatever its columns are called
+    out = docs.select("text", F.struct("*").alias("carried"))
     for items, weight in indexed(docs, benchmark):
         out = kept(out, items, weight)
-    return out
+    return out.select("carried.*")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
