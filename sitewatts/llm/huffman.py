@@ -15,7 +15,7 @@ bits; checkpoints let any id be reached, and many places be decoded at a time.
 
 Counts come from all ids; only the counts (bounded by the vocabulary) reach the
 driver. Null and empty texts are the end id alone. Repeated rows are written
-each; rows without doc_id come first, ties in doc_id by the text's hash. A single
+each; rows without doc_id come first, ties in doc_id in input order. A single
 document stays in one block. An empty table gives an empty file.
 """
 
@@ -189,8 +189,8 @@ def id_blocks(docs: DataFrame, file: str, end_id: int) -> DataFrame:
         if names:
             yield close()
 
-    # the text's hash spreads a doc_id that many rows share, and orders them
-    ordered = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
+    # the place in the input spreads a doc_id that many rows share; finding the ranges reads no text
+    ordered = docs.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange("doc_id", "tie")
     ordered = ordered.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     return ordered.mapInArrow(
         run, "shard int, block int, first_id long, doc_ids array<long>, doc_tokens array<long>, ids binary"

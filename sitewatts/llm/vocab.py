@@ -130,7 +130,7 @@ class WordIds:
     #: The splitting rule that this class follows. Fixed value.
     RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, file: str, limit: int = 700_000):
+    def __init__(self, file: str, limit: int = 300_000):
         self.library, self.limit, self.seen = library(file), limit, {}
         self.parts: dict[str, bytes] = {}
         spec, specials = definition(file), special_tokens(file)
