@@ -281,7 +281,7 @@ FROM daily
 def agg1_daily(spark, sf_dir):
     t = star(spark, sf_dir)
     silver = pipeline.silver(t["meter_readings"], t["sites"], t["regions"], t["business_units"])
-    return pipeline.daily(silver).drop("total_exact", "total_cents")
+    return pipeline.daily(silver).drop("total_cents")
 
 
 @register("cmp2_gold", "SELECT * FROM gold")

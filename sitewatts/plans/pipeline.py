@@ -11,8 +11,8 @@ Two ways to the same gold table:
   reuses the join's site_id partitioning. Equal to ``gold(silver(...))``
   whenever dimension keys are unique (see ``quality.dimension_guard``).
 
-Exact arithmetic: kWh is summed as decimals and rounded once, to two decimals
-(half up). The daily total is kept as integer cents, and the per-site baseline is computed from n, S = sum
+Exact arithmetic: kWh is summed as whole units and billionths (exact for values of
+up to nine decimals) and rounded once, to two decimals (half up). The daily total is kept as integer cents, and the per-site baseline is computed from n, S = sum
 of cents and Q = sum of cents^2. Mean and sigma are then one correctly
 rounded double operation away from exact integers, the deviation is an exact
 half-up rounding, and the 2-sigma test is decided in integers:
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatts import schemas
-from sitewatts.functions.columns import VALUE, utc_date
+from sitewatts.functions.columns import utc_date
 from sitewatts.operators import filters, joins, quality
 
 ANOMALY_SIGMAS = 2
@@ -63,7 +63,9 @@ def silver_unchecked(readings: DataFrame, sites: DataFrame, regions: DataFrame,
 def _daily_aggs() -> list[Column]:
     """AGG1a-d. kWh is summed exactly (see module doc)."""
     return [
-        F.expr(f"sum(CAST(kwh_consumed AS {VALUE})) AS total_exact"),
+        # whole kWh and billionths as longs: as exact as a decimal of nine places, and several times faster
+        F.expr("sum(floor(kwh_consumed)) AS total_whole"),
+        F.expr("sum(CAST((kwh_consumed - floor(kwh_consumed)) * 1e9D + 0.5D AS BIGINT)) AS total_nano"),
         F.expr("round(max(kw_demand), 2) AS peak_kw"),
         F.expr("round(avg(voltage), 2) AS avg_voltage"),
         F.expr("sum(CASE WHEN status = 'warning' THEN 1 ELSE 0 END) AS warning_count"),
@@ -71,9 +73,11 @@ def _daily_aggs() -> list[Column]:
 
 
 def _with_total(df: DataFrame) -> DataFrame:
-    """total_cents from total_exact, rounded half away from zero; total_kwh its double."""
-    return df.selectExpr("*", "CAST(round(total_exact, 2) * 100 AS BIGINT) AS total_cents").selectExpr(
-        "*", "total_cents / 100.0D AS total_kwh"
+    """total_cents from the exact sums, rounded half away from zero; total_kwh its double."""
+    nano = "(CAST(total_whole AS DECIMAL(38,0)) * 1000000000 + total_nano)"
+    cents = f"CASE WHEN {nano} >= 0 THEN ({nano} + 5000000) div 10000000 ELSE -((-{nano} + 5000000) div 10000000) END"
+    return df.selectExpr("*", f"{cents} AS total_cents").selectExpr("*", "total_cents / 100.0D AS total_kwh").drop(
+        "total_whole", "total_nano"
     )
 
 
