@@ -14,8 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that a Python worker looks at in one go.
-SLICE_BYTES = 2 << 20
+#: Bytes of text that a Python worker looks at in one go; its arrays take some fifty times that.
+SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,17 +52,26 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``max_bytes`` of text, or one row."""
+    """Cut batches so that each holds about ``max_bytes`` of text, or one row.
+
+    ``column`` is the text column, or a struct that has a field ``text``.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(field(batch, column, "text")), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(size.astype(np.int64)) // max_bytes
         cuts = np.flatnonzero(np.diff(group)) + 1
         for a, b in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
             yield batch.slice(a, b - a)
 
 
+def field(batch: pa.RecordBatch, column: str, name: str) -> pa.Array:
+    """The column, or if it's a struct its field ``name``."""
+    whole = batch.column(column)
+    return whole.field(name) if pa.types.is_struct(whole.type) else whole
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column as Python strings; null becomes the empty text."""
     return pc.fill_null(batch.column(column), "").to_pylist()

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewatts.llm.common import columns, hashed_words, read, slices, stored
+from sitewatts.llm.common import columns, field, hashed_words, read, slices, stored
 
 WINDOW = 32
 HALF = WINDOW // 2
@@ -125,9 +125,9 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
             {"dim": pa.array(np.append(used, -1), pa.int32()), "n": pa.array(np.append(total[used], n), pa.int64())}
         )
 
+    found = docs.select("text").mapInArrow(run, "dim int, n long").groupBy("dim").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(DIMENSIONS + 1, np.int64)
-    for r in docs.select("text").mapInArrow(run, "dim int, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect():
-        out[r["dim"]] = r["n"]
+    out[found["dim"].to_numpy()] = found["n"].to_numpy()
     return out[:-1], int(out[-1])
 
 
@@ -254,10 +254,10 @@ def checked(item: list[int], need: Counter, answer: list[int], around: list[int]
     return share, told, share >= COPY or told >= ANSWER
 
 
-def _matches(batch: pa.RecordBatch, items: Items, weight: np.ndarray) -> dict[tuple[int, int], tuple]:
+def _matches(text: pa.Array, items: Items, weight: np.ndarray) -> dict[tuple[int, int], tuple]:
     """(row, item) -> (cosine, lcs, answer, contaminated) of the best place, for all candidates of a batch."""
     lengths = [len(w) for w in items.words]
-    passages = Passages(*hashed_words(batch.column("text")), batch.num_rows)
+    passages = Passages(*hashed_words(text), len(text))
     best: dict[tuple[int, int], tuple] = {}
     vectors, size = passages.projected(items.column, items.table), passages.lengths(weight)
     # the cosine is at most the projection's length by the vector's
@@ -286,7 +286,7 @@ def _search(docs: DataFrame, items: Items, weight: np.ndarray, only_found: bool)
         for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "cosine", "lcs", "answer", "contaminated")}
             names = batch.column("doc_id").to_pylist()
-            for (r, k), (cosine, share, told, found) in sorted(_matches(batch, items, weight).items()):
+            for (r, k), (cosine, share, told, found) in sorted(_matches(batch.column("text"), items, weight).items()):
                 if found or not only_found:
                     for c, v in zip(out, (names[r], items.ids[k], cosine, share, told, found), strict=True):
                         out[c].append(v)
@@ -351,14 +351,14 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def kept(df: DataFrame, items: Items, weight: np.ndarray) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                bad = {r for (r, _), got in _matches(batch, items, weight).items() if got[3]}
+            for batch in slices(batches, "carried"):
+                bad = {r for (r, _), got in _matches(field(batch, "carried", "text"), items, weight).items() if got[3]}
                 yield batch.filter(pa.array([r not in bad for r in range(batch.num_rows)]))
 
         return df.mapInArrow(run, df.schema)
 
     # the row travels as one struct, whatever its columns are called
-    out = docs.select("text", F.struct("*").alias("carried"))
+    out = docs.select(F.struct("*").alias("carried"))
     for items, weight in indexed(docs, benchmark):
         out = kept(out, items, weight)
     return out.select("carried.*")

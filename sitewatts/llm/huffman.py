@@ -208,9 +208,9 @@ def id_counts(blocks: DataFrame, size: int, kind: str) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": pa.array(used, pa.int32()), "n": pa.array(total[used], pa.int64())})
 
+    found = blocks.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(size, np.int64)
-    for r in blocks.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
-        counts[r["id"]] = r["n"]
+    counts[found["id"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 

@@ -34,7 +34,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewatts.llm.common import columns, hashed_words, read, slices, stored
+from sitewatts.llm.common import columns, field, hashed_words, read, slices, stored
 
 #: Insults of the languages at hand, lower case.
 LEXICON = (
@@ -165,18 +165,22 @@ def features_of(column: pa.Array, lexicon: np.ndarray, second: np.ndarray, learn
 
 
 def features(docs: DataFrame, learned: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, one column per feature, and the column ``carried`` if there is one."""
+    """doc_id, one column per feature, and ``carried`` if ``docs`` is that struct of whole rows (doc_id, text, more)."""
     carried = ["carried"] if "carried" in docs.columns else []
+    source = "carried" if carried else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, second = _hashes(LEXICON), _hashes(SECOND_PERSON)
-        for batch in slices(batches):
-            got = features_of(batch.column("text"), lexicon, second, learned)
+        for batch in slices(batches, source):
+            got = features_of(field(batch, source, "text"), lexicon, second, learned)
             yield pa.RecordBatch.from_pydict(
-                {c: batch.column(c) for c in ["doc_id", *carried]} | {f: pa.array(got[:, k]) for k, f in enumerate(FEATURES)}
+                {"doc_id": field(batch, carried[0] if carried else "doc_id", "doc_id")}
+                | {c: batch.column(c) for c in carried}
+                | {f: pa.array(got[:, k]) for k, f in enumerate(FEATURES)}
             )
 
-    schema = docs.select("doc_id", *carried).schema
+    names = ["carried.doc_id", "carried"] if carried else ["doc_id"]
+    schema = docs.select(*names).schema
     for f in FEATURES:
         schema = schema.add(f, "double")
     return docs.mapInArrow(run, schema)
@@ -237,7 +241,8 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, features, fold and score of every row of ``docs`` (doc_id, text), learned from ``labels`` (doc_id, toxic)."""
     # bounded by 2 x SAMPLE rows, so it may be broadcast
     chosen = stored(sample(labels), "toxic-sample")
-    known = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxic-known")
+    plain = docs.select("carried.doc_id", "carried.text") if "carried" in docs.columns else docs
+    known = stored(plain.join(F.broadcast(chosen), "doc_id"), "toxic-known")
     learned = learned_lexicon(known.where("fold in (2, 3)"))
     measured = features(docs, learned)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="vector", handleInvalid="keep")
@@ -284,8 +289,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` (any columns, among them doc_id and text) that aren't predicted toxic; texts aren't shuffled."""
-    whole = docs.select("doc_id", "text", F.struct("*").alias("carried"))
-    return scored(whole, columns(labels, "doc_id", "toxic")).where("score < 0.5").select("carried.*")
+    return scored(docs.select(F.struct("*").alias("carried")), columns(labels, "doc_id", "toxic")).where("score < 0.5").select("carried.*")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,12 +42,13 @@ def library(file: str) -> Tokenizer:
     return Tokenizer.from_file(file)
 
 
-@functools.cache
 def definition(file: str) -> dict:
+    """The file's contents; not remembered, as they take tens of MB."""
     with open(file, encoding="utf-8") as f:
         return json.load(f)
 
 
+@functools.cache
 def special_tokens(file: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in definition(file)["added_tokens"]}
 
