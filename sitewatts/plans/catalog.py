@@ -109,17 +109,20 @@ def src4_generate_readings(spark, sf_dir):
     sites = adapter.sites(spark, sf_dir)
     gen = generate.generate_readings(spark, sites, GEN_END, days=GEN_DAYS)
     bad = ~generate.in_range(F.col("site_type"), F.col("voltage_nominal"))
+    number = F.expr("CAST(substr(reading_id, 3) AS BIGINT)")
     per_site = gen.join(sites.select("site_id", "site_type", "voltage_nominal"), "site_id").groupBy("site_id").agg(
         F.count(F.lit(1)).alias("n_readings"),
-        F.min("reading_id").alias("first_id"),
-        F.max("reading_id").alias("last_id"),
+        # numbers, not texts: their minima can be kept in a hash aggregate
+        F.min(number).alias("first_number"),
+        F.max(number).alias("last_number"),
         ((F.unix_micros(F.max("reading_timestamp")) - F.unix_micros(F.min("reading_timestamp"))) / F.lit(900_000_000) + 1)
         .cast("long").alias("n_instants"),
         F.min("reading_timestamp").alias("first_reading"),
         F.max("reading_timestamp").alias("last_reading"),
         F.count_if(bad).alias("out_of_range"),
     )
-    return per_site
+    ids = {"first_id": reading_id("first_number"), "last_id": reading_id("last_number")}
+    return per_site.withColumns(ids).drop("first_number", "last_number")
 
 
 @register("lim1_preview_membership", "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_found")
