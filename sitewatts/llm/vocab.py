@@ -55,7 +55,7 @@ def special_tokens(file: str) -> dict[str, int]:
 
 @functools.cache
 def _ranked(file: str) -> tiktoken.Encoding | None:
-    """The same byte-level BPE as merge ranks; None if the file isn't of that kind."""
+    """The same byte-level BPE as merge ranks; None if the file isn't of that kind or ranks could differ from pairs."""
     spec = definition(file)
     model, alphabet = spec["model"], byte_alphabet()
     if spec["normalizer"] or spec["pre_tokenizer"].get("type") != "ByteLevel" or model.get("end_of_word_suffix"):
@@ -63,7 +63,7 @@ def _ranked(file: str) -> tiktoken.Encoding | None:
     specials = special_tokens(file)
     merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
     order = [model["vocab"][a + b] for a, b in merges]
-    if order != sorted(order):
+    if order != sorted(order) or not _reproduce_themselves(model, specials):
         return None
     ranks = {bytes(alphabet[c] for c in t): i for t, i in model["vocab"].items() if t not in specials}
     return tiktoken.Encoding(file, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
