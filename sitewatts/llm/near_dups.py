@@ -189,7 +189,8 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Exact similarities of (id, pivot). A pivot with many pairs is salted: 64 pairs share a copy of it."""
-    parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / 64).cast("int").alias("salts"))
+    # per-pivot tables are stored, so that both sides of a join are dealt anew and a hot pivot can be split
+    parts = stored(pairs.groupBy("pivot").agg(F.ceil(F.count("*") / 64).cast("int").alias("salts")), "parts")
     left = (
         pairs.join(parts, "pivot")
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
@@ -272,7 +273,7 @@ def _family_links(compared: DataFrame, prints: DataFrame, sets: DataFrame, comp:
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("length") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
     )
     # a family of two has been compared already
-    families = families.where("lo < hi and n > 2").select("pivot", "blocks")
+    families = stored(families.where("lo < hi and n > 2").select("pivot", "blocks"), "families")
     open_rows = (
         members.join(families, "pivot")
         .withColumn("block", F.pmod(F.xxhash64("id", "pivot"), F.col("blocks")).cast("int"))
@@ -330,7 +331,8 @@ def near_dups(docs: DataFrame) -> DataFrame:
     )
     found = prints.select("doc_id", "text_key").join(classes, "text_key", "left")
     found = found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    sizes = found.groupBy("class_id").agg(F.count("*").alias("class_size"))
+    # stored, so that a large class can be split in the join
+    sizes = stored(found.groupBy("class_id").agg(F.count("*").alias("class_size")), "sizes")
     return found.join(sizes, "class_id", "left").select(
         "doc_id",
         "class_id",
