@@ -70,8 +70,6 @@ FEATURES = (
 _ALIKE = bytes.maketrans(b"013457@$!|", b"oieastasil")
 _WORD = np.zeros(256, bool)
 _WORD[np.r_[48:58, 65:91, 97:123, 128:256]] = True
-_LOOSE = _WORD.copy()
-_LOOSE[list(b"@$!|")] = True
 _CLASSES = {
     "upper": list(range(65, 91)),
     "letter": [*range(65, 91), *range(97, 123), *range(192, 248)],  # one byte of each two-byte letter
