@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from sitewatts import schemas
-from sitewatts.operators import forecast, joins, quality
+from sitewatts.operators import forecast, quality
 from sitewatts.plans import pipeline
 from sitewatts.sources import adapter, generate, tables
 from sitewatts.streaming import silver_stream
