@@ -4,7 +4,7 @@
    window on. Words are hashed to DIMENSIONS. Weights are TF-IDF: document
    frequencies are counted over all texts; a weight is at least FLOOR, so a passage
    that very many texts share stays visible, and at most CEILING; words that many
-   items have (stop words) weigh nothing.
+   items of different words have (stop words) weigh nothing.
 2. The benchmark goes to all texts in blocks of at most BLOCK_PASSAGES passages. A
    randomised SVD finds the latent directions of a block's TF-IDF passages; tasks
    multiply their passages with a thin matrix and sum up what they get. The rank is
@@ -14,6 +14,10 @@
    passage is at least CANDIDATE are candidates. (The length of a text's passage is
    that of its whole TF-IDF vector, so what lies outside the latent space counts
    against it. A projection shorter than CANDIDATE of it can't reach the cosine.)
+   An item of stop words and light words (templated questions) may stay below that
+   cosine among other words even if it's copied word for word. Where the estimate
+   in ``weak`` says so, each place that holds RUN of the item's words in a row is a
+   candidate too (its cosine is null where only the run was found).
 4. A candidate's surroundings in the text are compared with the item: if enough of
    the item's words are there at all (a bound that loses nothing), the longest
    common subsequence of words decides. From COPY of the item's words on it's a copy; from
@@ -33,7 +37,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewatts.llm.common import columns, field, hashed_words, read, slices, stored
+from sitewatts.llm.common import columns, field, hashed_words, mix, read, slices, stored
 
 WINDOW = 32
 HALF = WINDOW // 2
@@ -55,6 +59,8 @@ KEEP, POWERS, SEED = 0.7, 2, 7
 CANDIDATE = 0.25
 COPY, PARAPHRASE, ANSWER = 0.85, 0.6, 0.8
 LEAST_WORDS = 8
+#: Words in a row that make a place a candidate for an item that its weights may not find.
+RUN = 3
 #: Rows of the thin matrix that are shuffled together, and windows that are searched together.
 CHUNK, ROUND = 512, 4096
 
@@ -192,6 +198,32 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def weak(weights: np.ndarray) -> bool:
+    """Whether a copy of a passage, given its words' weights, may miss CANDIDATE among other words of weight CEILING.
+
+    The copy begins at any place of a half window; of the two windows that share it the better one counts.
+    """
+    energy = np.append(0.0, np.cumsum(weights.astype(np.float64) ** 2))
+    n, total = len(weights), energy[-1]
+    if not total:
+        return True
+    before = np.arange(HALF)
+    first, second = np.minimum(n, WINDOW - before), np.minimum(n, HALF - before)
+    reach = []
+    for held, words in ((energy[first], first), (total - energy[second], n - second)):
+        size = np.sqrt(held + (WINDOW - words) * CEILING**2)
+        reach.append(KEEP * held / np.sqrt(total) / np.maximum(size, 1e-12))
+    return bool(np.maximum(*reach).min() < CANDIDATE)
+
+
+def runs(word: np.ndarray) -> np.ndarray:
+    """The hash of the RUN words that begin at each place but the last ones."""
+    out = np.zeros(max(0, len(word) - RUN + 1), np.uint64)
+    for j in range(RUN):
+        out = mix(out * np.uint64(31) + word[j : j + len(out)])
+    return out
+
+
 class Items:
     """A block of benchmark items: words, answers, passages, and the latent space of the passages."""
 
@@ -216,6 +248,29 @@ class Items:
             at, count = np.unique(self.column[p[weight[p] > 0]], return_counts=True)
             self.matrix.append((at, count * weight[self.used[at]].astype(np.float64)))
         self.table = self.vectors = np.zeros((0, 0), np.float32)
+        strong = {k for k, p in zip(self.owner, passages, strict=True) if not weak(weight[p])}
+        self.weak = sorted(set(self.owner) - strong)
+        pairs = {(int(h), k) for k in self.weak for h in runs(self.words[k])}
+        #: Runs of the weak items, sorted, with the item of each; a bit for each value of a run's low bits.
+        self.runs = np.array([h for h, _ in sorted(pairs)], np.uint64)
+        self.run_owner = np.array([k for _, k in sorted(pairs)], np.int64)
+        self.run_bits = np.zeros(DIMENSIONS, bool)
+        self.run_bits[dims(self.runs)] = True
+
+    def run_places(self, row: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(place of a word, weak item) where a run of the item begins; one of each WINDOW places."""
+        if not len(self.runs) or len(word) < RUN:
+            return
+        found = runs(word)
+        at = np.flatnonzero(self.run_bits[dims(found)] & (row[: len(found)] == row[RUN - 1 :]))
+        low, high = np.searchsorted(self.runs, found[at]), np.searchsorted(self.runs, found[at], side="right")
+        seen: set[tuple[int, int, int]] = set()
+        for place, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
+            for k in self.run_owner[a:b].tolist():
+                key = (int(row[place]), place // WINDOW, k)
+                if key not in seen:
+                    seen.add(key)
+                    yield place, k
 
     def fit(self, spark: SparkSession, weight: np.ndarray) -> None:
         if not len(self.used):
@@ -257,8 +312,30 @@ def checked(item: list[int], need: Counter, answer: list[int], around: list[int]
 def _matches(text: pa.Array, items: Items, weight: np.ndarray) -> dict[tuple[int, int], tuple]:
     """(row, item) -> (cosine, lcs, answer, contaminated) of the best place, for all candidates of a batch."""
     lengths = [len(w) for w in items.words]
-    passages = Passages(*hashed_words(text), len(text))
+    row, word = hashed_words(text)
+    passages = Passages(row, word, len(text))
     best: dict[tuple[int, int], tuple] = {}
+
+    def compare(r: int, k: int, start: int, cosine: float | None) -> None:
+        key = (r, k)
+        if key in best and best[key][1] >= COPY:
+            return
+        low = max(passages.first_word[r], start - lengths[k])
+        high = min(passages.first_word[r] + passages.counts[r], start + WINDOW + lengths[k])
+        got = checked(*items.told[k], passages.words[low:high].tolist())
+        if key not in best or (got[2], got[0], got[1]) > (best[key][3], best[key][1], best[key][2]):
+            best[key] = (cosine, *got)
+
+    if len(items.vectors):
+        _latent(passages, items, weight, compare)
+    for place, k in items.run_places(row, word):
+        # the first of the places that one of WINDOW stands for, so that all of them are in the surroundings
+        compare(int(row[place]), k, place, None)
+    return best
+
+
+def _latent(passages: Passages, items: Items, weight: np.ndarray, compare: Callable[[int, int, int, float], None]) -> None:
+    """Compares the items and places whose passages are near by cosine."""
     vectors, size = passages.projected(items.column, items.table), passages.lengths(weight)
     # the cosine is at most the projection's length by the vector's
     able = np.flatnonzero((size > 0) & (np.linalg.norm(vectors, axis=1) >= CANDIDATE * size))
@@ -268,17 +345,7 @@ def _matches(text: pa.Array, items: Items, weight: np.ndarray) -> dict[tuple[int
         for w, q in np.argwhere(cosine >= CANDIDATE).tolist():
             k = items.owner[q]
             half = passages.window[part[w]]
-            r = int(passages.half_row[half])
-            key = (r, k)
-            if key in best and best[key][1] >= COPY:
-                continue
-            start = passages.half_start[half]
-            low = max(passages.first_word[r], start - lengths[k])
-            high = min(passages.first_word[r] + passages.counts[r], start + WINDOW + lengths[k])
-            got = checked(*items.told[k], passages.words[low:high].tolist())
-            if key not in best or (got[2], got[0], got[1]) > (best[key][3], best[key][1], best[key][2]):
-                best[key] = (float(cosine[w, q]), *got)
-    return best
+            compare(int(passages.half_row[half]), k, int(passages.half_start[half]), float(cosine[w, q]))
 
 
 def _search(docs: DataFrame, items: Items, weight: np.ndarray, only_found: bool) -> DataFrame:
@@ -320,7 +387,9 @@ def indexed(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Items, np.n
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit(None).cast("string")
     benchmark = benchmark.select("item_id", "text", answer.alias("answer"))
     frequency, n = document_frequency(docs)
-    in_items, n_items = document_frequency(benchmark)
+    # items of the same words count once, or repeated items would be made of stop words
+    plain = F.trim(F.regexp_replace(F.lower("text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    in_items, n_items = document_frequency(benchmark.select(plain.alias("text")).distinct())
     weight = np.clip(np.log((n + 1.0) / (frequency + 1.0)), FLOOR, CEILING)
     weight[in_items > max(STOP_SHARE * n_items, STOP_ITEMS)] = 0
     weight = weight.astype(np.float32)
@@ -328,7 +397,7 @@ def indexed(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Items, np.n
     for block in blocks(rows):
         items = Items(block, weight)
         items.fit(docs.sparkSession, weight)
-        if len(items.vectors):
+        if len(items.vectors) or items.weak:
             yield items, weight
 
 

@@ -106,3 +106,25 @@ def test_odd_rows(spark, extra, stage):
         empty = h.frame(spark, [])
         assert dc.contaminated(empty, bench).count() == 0
         assert dc.contaminated(docs, h.frame(spark, [], "item_id long, text string")).count() == 0
+
+
+def test_repeated_and_templated_items_are_found_in_other_prose(spark):
+    """Words that many items hold weigh nothing; items made of them have to be found all the same."""
+    rng = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    repeated = "which seven green apples did the old farmer sell before noon today"
+    items = [(k, repeated) for k in range(5)]
+    items += [(10 + k, f"what is the capital of the country named x{k}") for k in range(10)]
+    items += [(100 + k, prose(20)) for k in range(85)]
+    rows = [(k, prose(300)) for k in range(200)]
+    for k, item in items:
+        rows += [(1000 + 10 * k + c, f"{prose(20 + c)} {item} {prose(60)}") for c in range(3)]
+    bench = h.frame(spark, items, "item_id long, text string")
+    want = contained(rows, items)
+    assert len(want) == 3 * (5 * 5 + 95)
+    docs = h.frame(spark, rows)
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()}
+    assert want <= got
+    assert all(i >= 1000 for i, _ in got)
+    assert {r.doc_id for r in dc.without_contaminated(docs, bench).collect()} == set(range(200))
