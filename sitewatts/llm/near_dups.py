@@ -14,15 +14,17 @@ Steps (everything stays in Spark tables; nothing of a document comes to the driv
    agree with a chance of the probability Jaccard similarity. Arrivals later
    than a time by which all registers are almost surely filled are never
    generated (the time doubles where a register stayed empty, so the result is
-   exact).
-3. Bands of registers are bucket keys. In a bucket every member is compared
+   exact). A text with repeated shingles has a second set of registers, drawn with
+   all weights 1, which agree with a chance of the plain Jaccard similarity. (For
+   other texts both sets are the same.)
+3. Bands of registers of both sets are bucket keys. In a bucket every member is compared
    exactly with one pivot, the member that meets the most others; the pivot's
    side of the join is salted.
 4. What is then still open is a family (all that met one pivot) that is in two
    or more components. Its members are compared block by block: pairs of blocks
    of bounded size are spread over tasks, a pair is skipped if it's already
    connected, if the triangle inequality through the pivot rules it out, or if
-   the signatures are far apart; the others are verified exactly. Only links
+   both sets of registers are far apart; the others are verified exactly. Only links
    leave the task, never pairs.
 
 Null and empty texts, and texts without words, have no shingles: each is its
@@ -117,7 +119,11 @@ def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, rows: i
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key (hash of the words), bands, signature (one byte a register); nulls without words."""
+    """doc_id, text_key (hash of the words), bands, signature (two bytes a register), plain; nulls without words.
+
+    ``bands`` are the different keys of both sets of registers, the band's number
+    in them. ``plain`` is the signature of the second set, null where it's the same.
+    """
 
     def fn(batch: pa.RecordBatch) -> dict:
         n = batch.num_rows
@@ -126,6 +132,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         srow, shingle, count = weighted(column)
         sig = signatures(srow, shingle, count, n)
         has = sig.any(axis=1)
+        repeats = np.bincount(srow, count > 1, n) > 0
+        twice = repeats[srow]
+        flat = sig.copy()
+        flat[repeats] = signatures(srow[twice], shingle[twice], np.ones(int(twice.sum()), np.int64), n)[repeats]
         start = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
         place = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
         keys = []
@@ -135,18 +145,27 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 key[row[start]] = np.add.reduceat(mix(word + mix(place.astype(np.uint64) * salt + salt)), start)
             keys.append(key)
         key = np.stack(keys, axis=1)
-        band = np.zeros((n, BANDS), np.uint64)
-        for i in range(ROWS):
-            band = mix(band * np.uint64(31) + sig[:, i::ROWS][:, :BANDS])
-        low = sig.astype(np.uint16).astype("<u2")
+        bands = [b if ok else None for b, ok in zip(_bands(sig).view(np.int64), has, strict=True)]
+        for r, more in zip(np.flatnonzero(repeats).tolist(), _bands(flat[repeats]).view(np.int64), strict=True):
+            bands[r] = np.union1d(bands[r], more)
+        low, flat_low = (x.astype(np.uint16).astype("<u2") for x in (sig, flat))
         return {
             "doc_id": batch.column("doc_id"),
             "text_key": pa.array([k.tobytes() if ok else None for k, ok in zip(key, has, strict=True)], pa.binary()),
-            "bands": pa.array([b if ok else None for b, ok in zip(band.view(np.int64), has, strict=True)], pa.list_(pa.int64())),
+            "bands": pa.array(bands, pa.list_(pa.int64())),
             "signature": pa.array([s.tobytes() if ok else None for s, ok in zip(low, has, strict=True)], pa.binary()),
+            "plain": pa.array([s.tobytes() if ok else None for s, ok in zip(flat_low, repeats, strict=True)], pa.binary()),
         }
 
-    return map_rows(docs, fn, "doc_id long, text_key binary, bands array<long>, signature binary")
+    return map_rows(docs, fn, "doc_id long, text_key binary, bands array<long>, signature binary, plain binary")
+
+
+def _bands(sig: np.ndarray) -> np.ndarray:
+    """Rows x BANDS keys; a key tells its band."""
+    band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(sig), BANDS)).copy()
+    for i in range(ROWS):
+        band = mix(band * np.uint64(31) + sig[:, i::ROWS][:, :BANDS])
+    return band
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -238,6 +257,7 @@ def _block_links(group: pd.DataFrame) -> pd.DataFrame:
     side = group["side"].to_numpy()
     diagonal = bool((group["a"] == group["b"]).all())
     sig = np.stack([np.frombuffer(s, "<u2") for s in group["signature"]])
+    flat = np.stack([np.frombuffer(f or s, "<u2") for f, s in zip(group["flat"], group["signature"], strict=True)])
     near = np.stack([group["weighted"].to_numpy(), group["plain"].to_numpy()], axis=1)
     sets = [(np.asarray(s), np.asarray(c)) for s, c in zip(group["shingles"], group["counts"], strict=True)]
     links = []
@@ -251,7 +271,8 @@ def _block_links(group: pd.DataFrame) -> pd.DataFrame:
         # d(i, j) >= |d(i, pivot) - d(j, pivot)| for either distance
         gap = np.abs(near[other] - near[i]).min(axis=1)
         other = other[gap <= 1 - THRESHOLD + 1e-9]
-        other = other[(sig[other] == sig[i]).mean(axis=1) >= LEAST_AGREE]
+        agree = np.maximum((sig[other] == sig[i]).mean(axis=1), (flat[other] == flat[i]).mean(axis=1))
+        other = other[agree >= LEAST_AGREE]
         for j in other.tolist():
             if find(comp[i]) != find(comp[j]) and max(similarity(*sets[i], *sets[j])) >= THRESHOLD:
                 parent[find(comp[i])] = find(comp[j])
@@ -277,11 +298,11 @@ def _family_links(compared: DataFrame, prints: DataFrame, sets: DataFrame, comp:
     open_rows = (
         members.join(families, "pivot")
         .withColumn("block", F.pmod(F.xxhash64("id", "pivot"), F.col("blocks")).cast("int"))
-        .join(prints.select(F.col("doc_id").alias("id"), "signature"), "id")
+        .join(prints.select(F.col("doc_id").alias("id"), "signature", F.col("plain").alias("flat")), "id")
         .join(sets.select(F.col("doc_id").alias("id"), "shingles", "counts"), "id")
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "id", "component", "weighted", "plain", "signature", "shingles", "counts", "pivot",
+            "id", "component", "weighted", "plain", "signature", "flat", "shingles", "counts", "pivot",
             F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"), F.col("block").alias("side"),
         )
     )
@@ -299,14 +320,12 @@ def near_dups(docs: DataFrame) -> DataFrame:
     worded = prints.where("text_key is not null")
     reps = stored(
         worded.groupBy("text_key").agg(
-            F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.any_value("signature").alias("signature")
+            F.min("doc_id").alias("doc_id"), *[F.any_value(c).alias(c) for c in ("bands", "signature", "plain")]
         ),
         "reps",
     )
-    # one row per band and representative; the band's number is part of the key
-    keys = reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key")).select(
-        "id", F.xxhash64("band", "key").alias("bucket")
-    )
+    # one row per band and representative
+    keys = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = stored(keys.join(shared, "bucket"), "met")
     score = met.groupBy("id").agg(F.sum("n").alias("score"))

@@ -78,6 +78,19 @@ def test_family_blocks_find_links_that_the_pivot_misses(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_copies_with_a_line_repeated_many_times(spark):
+    """Plain Jaccard stays high and the weighted similarity falls: the plain registers have to find them."""
+    rng = random.Random(13)
+    rows = []
+    for k in range(12):
+        base = [f"w{rng.randrange(9999)}" for _ in range(304)]
+        line = base[96:108]
+        rows.append((10 * k, " ".join(base)))
+        rows += [(10 * k + c, " ".join([*base[:108], *line * n, *base[108:]])) for c, n in ((1, 40), (2, 100), (3, 400))]
+    got = {r.doc_id: r.class_id for r in nd.near_dups(h.frame(spark, rows)).collect()}
+    assert got == brute(rows) and set(got.values()) == set(range(0, 120, 10))
+
+
 def test_odd_rows(spark, extra):
     long = " ".join(f"v{k}" for k in range(60_000))
     rows = [(1, None), (2, ""), (3, " ,.\n"), (4, "a b"), (5, "A b!"), (6, long), (7, long + " end"), (8, "a c"), (4, "a b"), (None, "zz top")]
