@@ -1,6 +1,7 @@
 """License scans by an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text; templates are short notices. Both are sets of words.
+A block is a line of a text, or a run of lines that a notice may be wrapped over;
+templates are short notices. Both are sets of words.
 A block is joined with a template if it holds at least THRESHOLD of the template's
 words (containment). The join is exact:
 
@@ -15,6 +16,13 @@ words (containment). The join is exact:
   template has);
 * what is left is counted exactly.
 
+A run is two or more lines in a row that have words (lines without are passed over).
+Of its first line the last and of its last line the first words count, as many as the
+longest template has, and no more than so many may stand between: a copy of a
+template fits in, wherever it's wrapped. Of overlapping blocks that meet a template
+the best counts (largest containment, then most words, fewest lines, the first), so
+a notice is one block, and a run counts only if it's better than its lines.
+
 Of the templates that a block meets it takes the label of the one it holds best
 (largest containment, then most words; ties: all of them).
 
@@ -95,6 +103,8 @@ class Join:
                     self.prefixes.setdefault(rank, []).append((len(self.templates), i))
                 self.templates.append((label, frozenset(ranks), ranks, need))
         self.prefix_words = [order[r] for r in self.prefixes]
+        #: Words of the longest template, repeated ones too.
+        self.longest = max((len(words_of(t)) for notices in templates.values() for t in notices), default=0)
 
     def match(self, block: set[str]) -> list[tuple[str, float, int]]:
         """(label, containment, common words) of every template that the block meets."""
@@ -114,6 +124,48 @@ class Join:
         return out
 
 
+def blocks(lines: list[list[str]], join: Join, prefix: frozenset[str]) -> list[list[tuple[str, float, int]]]:
+    """What the lines and runs of lines that count meet, one list of matches for each."""
+    lines = [line for line in lines if line]
+    sets = [set(line) for line in lines]
+    hot = [k for k, line in enumerate(sets) if not prefix.isdisjoint(line)]
+    found = [(k, k, got) for k in hot if (got := join.match(sets[k]))]
+    for first in _run_starts(lines, hot, join.longest):
+        words, between, runs = set(lines[first][-join.longest :]), 0, []
+        for last in range(first + 1, len(lines)):
+            runs.append((last, words.union(lines[last][: join.longest])))
+            between += len(lines[last])
+            if between > join.longest:
+                break
+            words = words | sets[last]
+        # a shorter run meets nothing if the longest one, which holds its words, meets nothing
+        if runs and join.match(words.union(*(r for _, r in runs))):
+            found += [(first, last, got) for last, run in runs if (got := join.match(run))]
+    top = lambda got: max(g[1:] for g in got)
+    found.sort(key=lambda x: (*(-v for v in top(x[2])), x[1] - x[0], x[0]))
+    taken: set[int] = set()
+    out = []
+    for first, last, got in found:
+        if taken.isdisjoint(range(first, last + 1)):
+            taken.update(range(first, last + 1))
+            out.append(got)
+    return out
+
+
+def _run_starts(lines: list[list[str]], hot: list[int], longest: int) -> list[int]:
+    """First lines of the runs that can hold one of the lines ``hot``."""
+    out: set[int] = set()
+    for k in hot:
+        out.add(k)
+        between = 0
+        for first in range(k - 1, -1, -1):
+            if between > longest or first in out:
+                break
+            out.add(first)
+            between += len(lines[first])
+    return sorted(out)
+
+
 def block_frequency(docs: DataFrame, vocabulary: frozenset[str]) -> DataFrame:
     """(word, blocks) for the given words over all blocks; each task sums up before the shuffle."""
 
@@ -138,7 +190,7 @@ def scan(
 
     doc_id, n_words, n_base, first_word, last_word, base_labels, labels (base and
     joined), score (the best containment, 1 where a phrase stands), n_blocks (blocks
-    that meet a template).
+    that count).
     """
     templates, phrases = TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases
     docs = columns(docs, "doc_id", "text")
@@ -163,17 +215,14 @@ def scan(
                                 if tuple(words[k : k + len(phrase)]) == phrase:
                                     places.append(k)
                                     base.add(label)
-                found, best, blocks = set(base), 1.0 if base else 0.0, 0
+                found, best, n_blocks = set(base), 1.0 if base else 0.0, 0
                 if not prefix.isdisjoint(words):
-                    for line in lines:
-                        block = set(line)
-                        if not prefix.isdisjoint(block):
-                            got = join.match(block)
-                            blocks += bool(got)
-                            top = max((g[1:] for g in got), default=(0.0, 0))
-                            found.update(g[0] for g in got if g[1:] == top)
-                            best = max(best, top[0])
-                row = (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(found)), best, blocks)
+                    for got in blocks(lines, join, prefix):
+                        n_blocks += 1
+                        top = max(g[1:] for g in got)
+                        found.update(g[0] for g in got if g[1:] == top)
+                        best = max(best, top[0])
+                row = (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(found)), best, n_blocks)
                 for name, value in zip(out, row, strict=True):
                     out[name].append(value)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64())

@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 from collections import Counter
 
 from sitewatts.llm import licenses as li
@@ -79,3 +80,27 @@ def test_odd_rows(spark, extra):
     ]
     check(rows, li.scan(extra(h.frame(spark, rows))).collect())
     assert li.scan(h.frame(spark, [])).count() == 0
+
+
+def test_wrapped_notices_are_found(spark):
+    """Every template hard-wrapped, in comments, between other lines, and begun in the middle of a line."""
+    notices = [(label, t) for label, ts in li.TEMPLATES.items() for t in ts]
+    rows, want = [], {}
+    for width in (30, 50, 76):
+        for label, t in notices:
+            for k, lines in enumerate((textwrap.wrap(t, width), textwrap.wrap(f"Some other prose stands here first. {t} Then more of it.", width))):
+                i = len(rows)
+                body = [" * " + line for line in lines] if k else ["#", *lines, "#", "int main"]
+                rows.append((i, "\n".join(["first line of a file", *body, "last line of it"])))
+                want[i] = label
+    got = {r.doc_id: r for r in li.scan(h.frame(spark, rows), phrases={}).collect()}
+    assert {i: (r.labels, r.score, r.n_blocks) for i, r in got.items()} == {i: (label, 1.0, 1) for i, label in want.items()}
+
+
+def test_a_run_replaces_its_lines_only_if_better():
+    join = li.Join({"a": ("one two three four five",), "b": ("six seven eight nine ten",)}, {}, 0.8)
+    split = lambda text: [li.words_of(line) for line in text.split("\n")]
+    met = lambda text: [g for g in li.blocks(split(text), join, frozenset(join.prefix_words))]
+    assert met("one two three four five\nsix seven eight nine ten") == [[("a", 1.0, 5)], [("b", 1.0, 5)]]
+    assert met("one two three four\n\nfive") == [[("a", 1.0, 5)]]
+    assert met("one two\n" + "x " * 6 + "\nthree four five") == []
