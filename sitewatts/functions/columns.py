@@ -14,12 +14,6 @@ from pyspark.sql import functions as F
 MICROS_PER_DAY = 86_400_000_000
 MICROS_PER_HOUR = 3_600_000_000
 
-# Measured values are summed as decimals: exact up to nine decimals, whatever the
-# order of the rows, and rounded once after the sum. VALUE holds any value's sum;
-# SQUARE is narrower so that the product of two still is exact (values below 1e9).
-VALUE = "decimal(28,9)"
-SQUARE = "decimal(18,9)"
-
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -54,16 +48,6 @@ def whole_days_between(later: str | Column, earlier: str | Column) -> Column:
     return F.floor(diff / F.lit(MICROS_PER_DAY))
 
 
-def exact(c: str | Column) -> Column:
-    """A measured value as a decimal, to be summed exactly."""
-    return col(c).cast(VALUE)
-
-
-def exact_square(c: str | Column) -> Column:
-    """The square of a measured value as a decimal."""
-    return col(c).cast(SQUARE) * col(c).cast(SQUARE)
-
-
 def safe_div(num: str | Column, den: str | Column) -> Column:
     """Division that yields NULL on a zero divisor instead of failing (SCL10, T3)."""
     return F.try_divide(col(num), col(den))

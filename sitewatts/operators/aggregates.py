@@ -3,8 +3,8 @@
 All are ``groupBy().agg()`` with built-in functions: partial aggregation runs
 map-side, so only one row per group per task is shuffled, and a group that
 holds a third of all rows costs no more than any other. Sums of kWh are
-done on integer cents (gold) or decimals (raw readings) and divided once at
-the end, so results are exact and do not depend on row order.
+done on integer cents (gold) or exact parts (raw readings, ``functions.exact``) and divided
+once at the end, so results are exact and do not depend on row order.
 """
 
 from __future__ import annotations
@@ -14,27 +14,34 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewatts.functions.columns import exact, exact_square, local_hour, pct_text, utc_date, utc_hour
+from sitewatts.functions import zones
+from sitewatts.functions.columns import pct_text, utc_date, utc_hour
+from sitewatts.functions.exact import (
+    cents_sql,
+    kwh_mean,
+    kwh_sum,
+    mean_sql,
+    merged_moments,
+    merged_sum_sql,
+    moment_columns,
+    moments,
+    parts,
+    with_spread,
+)
 from sitewatts.operators import filters
 from sitewatts.operators.joins import with_site_details
 
 DateLike = str | dt.date
 
 
-def cents(c: str | Column) -> Column:
-    """A 2-dp kWh value (gold) as integer cents."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c * F.lit(100) + F.lit(0.5))
+def cents(c: str) -> Column:
+    """A 2-dp kWh total (gold) as integer cents; null for NaN, infinite and huge ones."""
+    return F.expr(cents_sql(c))
 
 
-def kwh_total(c: str | Column) -> Column:
+def kwh_total(c: str) -> Column:
     """Exact sum of 2-dp kWh values, as a double."""
-    return F.sum(cents(c)) / F.lit(100.0)
-
-
-def kwh_mean(c: str | Column) -> Column:
-    """Exact mean of 2-dp kWh values (one division), as a double."""
-    return F.try_divide(F.sum(cents(c)).cast("double"), (F.count(c) * 100).cast("double"))
+    return kwh_sum(c)
 
 
 def gold_audit(gold: DataFrame) -> DataFrame:
@@ -147,36 +154,25 @@ def triage_by_bu(anoms: DataFrame) -> DataFrame:
     return anoms.groupBy("business_unit_name").agg(F.count(F.lit(1)).alias("anomaly_count"))
 
 
-def temperature_sums(t: str | Column) -> list[Column]:
-    """Per-group exact sums of temperatures: _a (sum), _b (count), _q (sum of squares)."""
-    return [F.sum(exact(t)).alias("_a"), F.count(t).alias("_b"), F.sum(exact_square(t)).alias("_q")]
+def temperature_sums(t: str) -> list[Column]:
+    """Per-group exact sums (_t_*) of the temperatures in the column or SQL ``t``."""
+    return moments(t, "_t")
 
 
 def with_temperature_flags(per_day: DataFrame, k_sigma: int = 1) -> DataFrame:
-    """From per (site, day) sums _a, _b, _q: avg_temp_c and temp_elevated (D12).
+    """From the per (site, day) sums of ``temperature_sums``: avg_temp_c and temp_elevated (D12).
 
     ``temp_elevated`` when the day's mean exceeds the site's mean over all its
-    readings by more than ``k_sigma`` population standard deviations. The sums
-    are exact; means and the variance (mean of squares less the squared mean)
-    are doubles, each one division from them, so any number of readings fits.
-    Also returns the site mean and sigma. Drops the helper columns.
+    readings by more than ``k_sigma`` population standard deviations. Also returns
+    the site mean and sigma. Drops the helper columns.
     """
-    w = "OVER (PARTITION BY site_id)"
-    staged = per_day.selectExpr(
-        "*", f"sum(_a) {w} AS _site_s", f"sum(_b) {w} AS _site_n", f"sum(_q) {w} AS _site_q"
-    ).selectExpr(
-        "*",
-        "CASE WHEN _b > 0 THEN CAST(_a AS DOUBLE) / CAST(_b AS DOUBLE) END AS avg_temp_c",
-        "CASE WHEN _site_n > 0 THEN CAST(_site_s AS DOUBLE) / CAST(_site_n AS DOUBLE) END AS site_mean_temp_c",
-    ).selectExpr(
-        "*",
-        "CASE WHEN _site_n > 0 THEN sqrt(greatest(0.0D, CAST(_site_q AS DOUBLE) / CAST(_site_n AS DOUBLE)"
-        " - site_mean_temp_c * site_mean_temp_c)) END AS site_stddev_temp_c",
-    )
+    staged = per_day.selectExpr("*", *merged_moments("_t", "OVER (PARTITION BY site_id)", into="_site"))
+    staged = staged.selectExpr("*", f"{mean_sql('_t')} AS avg_temp_c", f"{mean_sql('_site')} AS site_mean_temp_c")
+    staged = with_spread(staged, "_site", "site_stddev_temp_c")
     return staged.selectExpr(
         "*",
         f"coalesce(avg_temp_c - site_mean_temp_c > {k_sigma} * site_stddev_temp_c, false) AS temp_elevated",
-    ).drop("_a", "_b", "_q", "_site_s", "_site_n", "_site_q")
+    ).drop(*moment_columns("_t"), *moment_columns("_site"))
 
 
 def temperature_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
@@ -198,26 +194,33 @@ def hourly_profile(readings: DataFrame, sites: DataFrame, local: bool = False, r
     UTC hour by default; ``local=True`` uses the region's zone (SCL9). Shows
     the business-hours / night load pattern.
 
-    UTC: aggregate first. Readings are summed per (site, hour of day), 24
-    rows per site, before the site type is joined; raw rows are never joined.
-    Local: the zone's offset depends on the instant, so each reading meets its
-    site's zone; sums per (type, hour) are partial in the join's tasks.
+    Both aggregate first; raw rows are never joined. Readings are summed per (site,
+    hour of day), or for local hours per (site, segment of constant zone offsets, UTC
+    quarter of the day; see ``functions.zones``), before the site's type and zone are joined.
     """
-    sums = [F.sum(exact("kwh_consumed")).alias("_m"), F.count("kwh_consumed").alias("_c")]
     if not local:
-        per_site = readings.groupBy("site_id", utc_hour("reading_timestamp").alias("utc_hour")).agg(*sums)
+        per_site = readings.groupBy("site_id", utc_hour("reading_timestamp").alias("utc_hour")).agg(*hourly_sums())
         joined = per_site.join(sites.select("site_id", "site_type"), on="site_id", how="inner")
-        out = joined.groupBy("site_type", "utc_hour").agg(F.sum("_m").alias("_m"), F.sum("_c").alias("n_readings"))
-    else:
-        zones = sites.select("site_id", "site_type", "region_id").join(
-            regions.select("region_id", "timezone"), on="region_id", how="left"
-        ).drop("region_id")
-        hour = local_hour("reading_timestamp", F.col("timezone")).alias("local_hour")
-        joined = readings.join(zones, on="site_id", how="inner")
-        out = joined.groupBy("site_type", hour).agg(*sums).withColumnRenamed("_c", "n_readings")
-    return out.withColumn(
-        "mean_kwh", F.try_divide(F.col("_m").cast("double"), F.col("n_readings").cast("double"))
-    ).drop("_m")
+        return joined.groupBy("site_type", "utc_hour").agg(*hourly_means())
+    per_site = zones.with_segment(readings, regions).groupBy("site_id", "_segment", "_time").agg(*hourly_sums())
+    joined = per_site.join(site_zones(sites, regions), on="site_id", how="inner")
+    return joined.groupBy("site_type", F.expr(zones.hour_sql("timezone")).alias("local_hour")).agg(*hourly_means())
+
+
+def site_zones(sites: DataFrame, regions: DataFrame) -> DataFrame:
+    """site_id, site_type and the region's timezone."""
+    zone = regions.select("region_id", "timezone")
+    return sites.select("site_id", "site_type", "region_id").join(zone, on="region_id", how="left").drop("region_id")
+
+
+def hourly_sums(kwh: str = "kwh_consumed") -> list[Column]:
+    return [*parts(kwh, "_m"), F.count(kwh).alias("_c")]
+
+
+def hourly_means() -> list[Column]:
+    """n_readings and mean_kwh over rows of ``hourly_sums``."""
+    mean = f"try_divide({merged_sum_sql('_m')}, CAST(sum(_c) AS DOUBLE))"
+    return [F.sum("_c").alias("n_readings"), F.expr(mean).alias("mean_kwh")]
 
 
 def status_share(readings: DataFrame) -> DataFrame:
@@ -231,40 +234,52 @@ def status_share(readings: DataFrame) -> DataFrame:
 PROFILE_COLUMNS = ("kwh_consumed", "kw_demand", "voltage", "temperature_c")
 
 
-def profile(readings: DataFrame, columns: tuple[str, ...] = PROFILE_COLUMNS) -> DataFrame:
-    """count, nulls, min, max, mean, population stddev per numeric column, one pass (AGG17).
+def profile_sums(columns: tuple[str, ...] = PROFILE_COLUMNS) -> list[Column]:
+    """Mergeable sums of each column's profile."""
+    aggs = []
+    for c in columns:
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+        aggs += moments(c, c)
+    return aggs
 
-    Mean and variance (mean of squares less the squared mean) come from exact sums.
-    """
+
+def merged_profile_sums(columns: tuple[str, ...] = PROFILE_COLUMNS) -> list[Column]:
+    """The sums of ``profile_sums`` added up over groups."""
     aggs = []
     for c in columns:
-        aggs += [
-            F.count(c).alias(f"{c}__n"),
-            F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-            F.min(c).alias(f"{c}__min"),
-            F.max(c).alias(f"{c}__max"),
-            F.sum(exact(c)).cast("double").alias(f"{c}__s"),
-            F.sum(exact_square(c)).cast("double").alias(f"{c}__q"),
-        ]
-    one = readings.agg(*aggs)
-    stack_args = ", ".join(
-        f"'{c}', `{c}__n`, `{c}__nulls`, CAST(`{c}__min` AS DOUBLE), CAST(`{c}__max` AS DOUBLE), `{c}__s`, `{c}__q`"
-        for c in columns
-    )
-    long = one.select(F.expr(f"stack({len(columns)}, {stack_args}) AS (column_name, n, nulls, min_value, max_value, s, q)"))
-    n = F.col("n").cast("double")
-    mean = F.when(F.col("n") > 0, F.col("s") / n)
-    return long.select(
-        "column_name",
-        F.col("n").alias("non_null"),
-        F.col("nulls").alias("null_count"),
-        "min_value",
-        "max_value",
-        mean.alias("mean_value"),
-        F.when(F.col("n") > 0, F.sqrt(F.greatest(F.lit(0.0), F.col("q") / n - mean * mean))).alias("stddev_value"),
+        aggs += [F.sum(f"{c}_nulls").alias(f"{c}_nulls"), F.min(f"{c}_min").alias(f"{c}_min"), F.max(f"{c}_max").alias(f"{c}_max")]
+        aggs += [F.expr(m) for m in merged_moments(c)]
+    return aggs
+
+
+def profiled(sums: DataFrame, columns: tuple[str, ...] = PROFILE_COLUMNS, keys: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
+    """Rows of ``profile_sums`` as one row per column; the columns of ``sums`` named in ``keys`` stay.
+
+    ``whole``: and one row more with nulls for them.
+    """
+    names = ["nulls", "min", "max", *[m.removeprefix("c_") for m in moment_columns("c")]]
+    doubles = ("min", "max")
+    rows = [
+        f"'{c}', " + ", ".join(f"CAST(`{c}_{m}` AS DOUBLE)" if m in doubles else f"`{c}_{m}`" for m in names) for c in columns
+    ]
+    if whole:
+        rows.append(", ".join(["NULL"] * (1 + len(names))))
+    stacked = F.expr(f"stack({len(rows)}, {', '.join(rows)}) AS (column_name, {', '.join('v_' + m for m in names)})")
+    long = with_spread(sums.select(*keys, stacked), "v", "stddev_value")
+    return long.selectExpr(
+        *keys, "column_name", "v_n + v_fn AS non_null", "v_nulls AS null_count", "v_min AS min_value", "v_max AS max_value",
+        f"{mean_sql('v')} AS mean_value", "stddev_value",
     )
 
 
+def profile(readings: DataFrame, columns: tuple[str, ...] = PROFILE_COLUMNS) -> DataFrame:
+    """count, nulls, min, max, mean, population stddev per numeric column, one pass (AGG17).
+
+    Mean and spread come from exact sums. NaN is a value: it is counted, and makes mean and spread NaN.
+    """
+    return profiled(readings.agg(*profile_sums(columns)), columns)
+
+
 def kwh_by_dimension(gold: DataFrame, dim: str) -> DataFrame:
     """Total and mean daily kWh per site_type / business_unit_name / region_name (AGG18)."""
     return gold.groupBy(dim).agg(

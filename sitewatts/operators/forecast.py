@@ -2,7 +2,8 @@
 
 Model per site: ordinary least squares trend of daily kWh on the day index
 (days since the site's first date) plus the mean residual of each ISO
-weekday. A site with fewer than 2 days forecasts its mean.
+weekday. A site with fewer than 2 days forecasts its mean. Days whose total is NaN,
+infinite or from 1e12 kWh on are left out of the fit.
 
 Fit is one ``groupBy("site_id")``: the sufficient statistics (n, Σx, Σy,
 Σxy, Σx², and per-weekday n, Σx, Σy) are whole numbers in decimals of 38
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitewatts.functions.exact import MOST_KWH
 
 WEEKDAYS = range(1, 8)  # ISO: 1 = Monday ... 7 = Sunday
 
@@ -51,7 +53,7 @@ def fit_forecast(gold: DataFrame) -> DataFrame:
             f"sum(CASE WHEN {dow} = {d} THEN {day} END) AS sx{d}",
             f"sum(CASE WHEN {dow} = {d} THEN {y} END) AS sy{d}",
         ]
-    stats = gold.filter(F.col("total_kwh").isNotNull()).groupBy("site_id").agg(*[F.expr(a) for a in aggs])
+    stats = gold.filter(f"abs(total_kwh) < {MOST_KWH!r}D").groupBy("site_id").agg(*[F.expr(a) for a in aggs])
     # x = days since the site's first date, shifted exactly in integers
     rel = stats.selectExpr(
         "*",

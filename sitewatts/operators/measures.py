@@ -8,11 +8,11 @@ form for callers who want it (T11).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewatts.functions.columns import safe_div
-from sitewatts.operators.aggregates import cents
+from sitewatts.functions.exact import cents_sql, far_sql
 from sitewatts.operators.joins import with_site_details
 
 
@@ -27,20 +27,26 @@ def is_anomaly() -> Column:
 
 
 def with_site_stats(gold: DataFrame) -> DataFrame:
-    """Add _n / _s: the site's day count and cents total over the whole partition."""
-    w = Window.partitionBy("site_id")
-    c = cents("total_kwh")
-    return gold.withColumns({"_n": F.count(c).over(w), "_s": F.sum(c).over(w)})
+    """Add _n / _s: the site's day count and cents total over the whole partition; _f: its NaN, infinite and
+    huge totals (kWh) added up, null without any."""
+    w = "OVER (PARTITION BY site_id)"
+    return gold.selectExpr(
+        "*", f"count(total_kwh) {w} AS _n", f"sum({cents_sql('total_kwh')}) {w} AS _s", f"sum({far_sql('total_kwh')}) {w} AS _f"
+    )
+
+
+#: The site's mean (kWh) where _f isn't null.
+ROUGH_MEAN = "((_f + coalesce(_s, 0) / 100D) / _n)"
 
 
 def deviation_from_baseline_pct_expr() -> Column:
-    """(total - site mean) / site mean * 100, unrounded, from _n/_s (MSR2).
+    """(total - site mean) / site mean * 100, unrounded, from _n/_s/_f (MSR2).
 
-    (n*t - S) * 100 / S in exact integers, then one division.
+    (n*t - S) * 100 / S in exact integers, then one division; in doubles where a total isn't near.
     """
-    t = cents("total_kwh")
-    num = (F.col("_n") * t - F.col("_s")) * F.lit(100)
-    return F.when(F.col("_s") != 0, num.cast("double") / F.col("_s").cast("double"))
+    exact = f"CASE WHEN _s <> 0 THEN CAST((_n * {cents_sql('total_kwh')} - _s) * 100 AS DOUBLE) / CAST(_s AS DOUBLE) END"
+    rough = f"try_divide(total_kwh - {ROUGH_MEAN}, {ROUGH_MEAN}) * 100D"
+    return F.expr(f"CASE WHEN _f IS NULL THEN {exact} ELSE {rough} END")
 
 
 def with_deviation_from_baseline(gold: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ def with_deviation_from_baseline(gold: DataFrame) -> DataFrame:
     return (
         with_site_stats(gold)
         .withColumn("deviation_from_baseline_pct", deviation_from_baseline_pct_expr())
-        .drop("_n", "_s")
+        .drop("_n", "_s", "_f")
     )
 
 

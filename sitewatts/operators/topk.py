@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewatts.functions.exact import far_sql
 from sitewatts.operators import aggregates, filters, measures
 from sitewatts.operators.joins import with_site_details
 
@@ -42,23 +43,26 @@ def _intensity(gold: DataFrame, sites: DataFrame, as_of: DateLike, days: int) ->
     staged = measures.with_site_stats(gold)
     recent = filters.since(staged, as_of, days)
     joined = with_site_details(recent, sites, ["site_name", "square_footage"])
-    c = aggregates.cents("total_kwh")
     per_site = joined.groupBy("site_id", "site_name", "business_unit_name", "square_footage").agg(
-        F.sum(c).alias("_p"),
+        F.sum(aggregates.cents("total_kwh")).alias("_p"),
+        F.expr(f"sum({far_sql('total_kwh')})").alias("_pf"),
         F.count(F.lit(1)).alias("days_in_period"),
-        F.first("_n").alias("_n"),
-        F.first("_s").alias("_s"),
+        *[F.first(c).alias(c) for c in ("_n", "_s", "_f")],
     )
-    p, d, n, s, sq = (F.col(x) for x in ("_p", "days_in_period", "_n", "_s", "square_footage"))
-    return per_site.select(
-        "site_id",
-        "site_name",
-        "business_unit_name",
-        "days_in_period",
-        F.when(sq != 0, p.cast("double") / (sq.cast("long") * d * 100).cast("double")).alias("avg_kwh_per_sqft"),
-        F.when(s != 0, ((n * p - d * s) * 100).cast("double") / (d * s).cast("double")).alias(
-            "avg_deviation_from_baseline_pct"
-        ),
+    area = "CAST(square_footage AS BIGINT) * days_in_period"
+    kwh = "(_pf + coalesce(_p, 0) / 100D)"  # of the period, where a total isn't near
+    intensity = (
+        f"CASE WHEN square_footage = 0 THEN NULL WHEN _pf IS NULL THEN CAST(_p AS DOUBLE) / CAST({area} * 100 AS DOUBLE) "
+        f"ELSE {kwh} / CAST({area} AS DOUBLE) END"
+    )
+    deviation = (
+        "CASE WHEN _f IS NULL THEN CASE WHEN _s <> 0 THEN "
+        "CAST((_n * _p - days_in_period * _s) * 100 AS DOUBLE) / CAST(days_in_period * _s AS DOUBLE) END "
+        f"ELSE (coalesce({kwh}, _p / 100D) / days_in_period - {measures.ROUGH_MEAN}) / {measures.ROUGH_MEAN} * 100D END"
+    )
+    return per_site.selectExpr(
+        "site_id", "site_name", "business_unit_name", "days_in_period",
+        f"{intensity} AS avg_kwh_per_sqft", f"{deviation} AS avg_deviation_from_baseline_pct",
     )
 
 

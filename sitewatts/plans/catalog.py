@@ -107,10 +107,11 @@ FROM (SELECT site_id, CAST(row_number() OVER (ORDER BY site_id) - 1 AS BIGINT) A
 def src4_generate_readings(spark, sf_dir):
     """Readings generated for every driver site (30 days), checked per site against the formula's bounds."""
     sites = adapter.sites(spark, sf_dir)
-    gen = generate.generate_readings(spark, sites, GEN_END, days=GEN_DAYS)
+    # what the bounds need comes along with the readings
+    gen = generate.generate_readings(spark, sites, GEN_END, days=GEN_DAYS, carry=("site_type", "voltage_nominal"))
     bad = ~generate.in_range(F.col("site_type"), F.col("voltage_nominal"))
     number = F.expr("CAST(substr(reading_id, 3) AS BIGINT)")
-    per_site = gen.join(sites.select("site_id", "site_type", "voltage_nominal"), "site_id").groupBy("site_id").agg(
+    per_site = gen.groupBy("site_id").agg(
         F.count(F.lit(1)).alias("n_readings"),
         # numbers, not texts: their minima can be kept in a hash aggregate
         F.min(number).alias("first_number"),
@@ -719,10 +720,21 @@ def _double(exact: str) -> str:
     return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
 
 
+def _spread(x: str, n: str) -> str:
+    """Population spread of whole billionths ``x`` (HUGEINT): exact integers up to one root and one division."""
+    exact = f"CAST({n} AS HUGEINT) * SUM({x} * {x}) - SUM({x}) * SUM({x})"
+    return f"sqrt({_double(exact)}) / (CAST({n} AS DOUBLE) * 1e9::DOUBLE)"
+
+
+def _nano(v: str) -> str:
+    return f"(CAST(floor({v}) AS HUGEINT) * 1000000000 + CAST(floor(({v} - floor({v})) * 1e9::DOUBLE + 0.5::DOUBLE) AS HUGEINT))"
+
+
 def _temps_sql(source: str) -> str:
     return f"""
 temp_rows AS (
-  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date, temperature_c
+  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date, temperature_c,
+         {_nano("temperature_c")} - min({_nano("temperature_c")}) OVER (PARTITION BY site_id) AS above
   FROM {source} WHERE status <> 'error'
 ),
 temp_day AS (
@@ -732,15 +744,12 @@ temp_day AS (
 ),
 temp_site AS (
   SELECT site_id, {_double("SUM(CAST(temperature_c AS DECIMAL(18,9)))")} / COUNT(temperature_c) AS site_mean_temp_c,
-         {_double("SUM(CAST(temperature_c AS DECIMAL(18,9)) * CAST(temperature_c AS DECIMAL(18,9)))")}
-           / COUNT(temperature_c) AS mean_square
+         {_spread("above", "COUNT(temperature_c)")} AS site_stddev_temp_c
   FROM temp_rows GROUP BY site_id
 ),
 temps AS (
-  SELECT d.site_id, d.reading_date, d.avg_temp_c, d.max_temp_c, t.site_mean_temp_c,
-         sqrt(greatest(0, t.mean_square - t.site_mean_temp_c * t.site_mean_temp_c)) AS site_stddev_temp_c,
-         COALESCE(d.avg_temp_c - t.site_mean_temp_c
-                  > sqrt(greatest(0, t.mean_square - t.site_mean_temp_c * t.site_mean_temp_c)), FALSE) AS temp_elevated
+  SELECT d.site_id, d.reading_date, d.avg_temp_c, d.max_temp_c, t.site_mean_temp_c, t.site_stddev_temp_c,
+         COALESCE(d.avg_temp_c - t.site_mean_temp_c > t.site_stddev_temp_c, FALSE) AS temp_elevated
   FROM temp_day d JOIN temp_site t ON d.site_id = t.site_id
 )"""
 
@@ -795,13 +804,12 @@ def agg16_status_share(spark, sf_dir):
 def _profile_sql(col: str) -> str:
     n = f"COUNT({col})"
     mean = f"{_double(f'SUM(CAST({col} AS DECIMAL(18,9)))')} / {n}"
-    square = f"{_double(f'SUM(CAST({col} AS DECIMAL(18,9)) * CAST({col} AS DECIMAL(18,9)))')} / {n}"
     return f"""
 SELECT '{col}' AS column_name, {n} AS non_null, CAST(COUNT_IF({col} IS NULL) AS BIGINT) AS null_count,
        CAST(MIN({col}) AS DOUBLE) AS min_value, CAST(MAX({col}) AS DOUBLE) AS max_value,
        CASE WHEN {n} > 0 THEN {mean} END AS mean_value,
-       CASE WHEN {n} > 0 THEN sqrt(greatest(0, {square} - ({mean}) * ({mean}))) END AS stddev_value
-FROM meter_readings"""
+       CASE WHEN {n} > 0 THEN {_spread("above", n)} END AS stddev_value
+FROM (SELECT {col}, {_nano(col)} - min({_nano(col)}) OVER () AS above FROM meter_readings)"""
 
 
 @register("agg17_profile", "\nUNION ALL".join(_profile_sql(c) for c in A.PROFILE_COLUMNS))
@@ -809,6 +817,121 @@ def agg17_profile(spark, sf_dir):
     return A.profile(adapter.meter_readings(spark, sf_dir))
 
 
+# Readings as they come from broken meters: a few are NaN, infinite or absurdly large.
+NAN, SQL_NAN = "double('NaN')", "'nan'::DOUBLE"
+_ODD_KWH = """CASE WHEN CAST({id} AS BIGINT) % 2503 = 7 THEN {nan} WHEN CAST({id} AS BIGINT) % 2003 = 11 THEN {inf}
+     WHEN CAST({id} AS BIGINT) % 499 = 3 THEN 1e18 WHEN CAST({id} AS BIGINT) % 997 = 5 THEN 5e12 ELSE kwh_consumed END"""
+_FINITE = ("total_kwh", "site_mean_kwh", "site_stddev_kwh", "deviation_pct")
+
+
+@register(
+    "agg1_odd_readings",
+    f"""
+, odd AS (
+  SELECT site_id, CAST(reading_timestamp AS DATE) AS reading_date,
+         {_ODD_KWH.format(id="reading_id", nan=SQL_NAN, inf="'inf'::DOUBLE")} AS kwh
+  FROM meter_readings WHERE status <> 'error'
+),
+odd_day AS (
+  SELECT site_id, reading_date, SUM(CASE WHEN abs(kwh) < 2147483648 THEN CAST(kwh AS DECIMAL(28,9)) END) AS near,
+         SUM(CASE WHEN abs(kwh) < 2147483648 THEN NULL ELSE kwh END) AS far
+  FROM (SELECT site_id, reading_date, kwh FROM odd WHERE kwh >= 0) GROUP BY ALL
+),
+odd_total AS (
+  SELECT site_id, reading_date,
+         CASE WHEN far IS NULL THEN {_double("ROUND(near, 2)")}
+              WHEN abs(far) < 1e15 THEN ROUND(far + COALESCE({_double("near")}, 0), 2)
+              ELSE far + COALESCE({_double("near")}, 0) END AS total
+  FROM odd_day
+),
+odd_site AS (
+  SELECT *, BOOL_AND(isfinite(total)) OVER (PARTITION BY site_id) AS fine,
+         SUM(CASE WHEN isfinite(total) THEN 0 ELSE total END) OVER (PARTITION BY site_id) AS beyond,
+         MAX(CASE WHEN isfinite(total) THEN total END) OVER (PARTITION BY site_id) AS most
+  FROM odd_total
+),
+odd_unit AS (
+  SELECT *, CASE WHEN most >= 1e12 THEN pow(2::DOUBLE, floor(log2(most)) - 45) END AS unit FROM odd_site
+),
+odd_count AS (
+  SELECT *, CASE WHEN NOT fine THEN NULL WHEN unit IS NULL THEN CAST(round(total * 100) AS HUGEINT)
+                 ELSE CAST(round_even(total / unit, 0) AS HUGEINT) END AS t
+  FROM odd_unit
+),
+odd_state AS (
+  SELECT *, COUNT(t) OVER w AS n, SUM(t) OVER w AS s, SUM(t * t) OVER w AS q FROM odd_count WINDOW w AS (PARTITION BY site_id)
+)
+SELECT site_id, reading_date,
+       CASE WHEN isnan(total) THEN 'nan' WHEN isinf(total) THEN 'inf' ELSE 'finite' END AS total_kwh_kind,
+       CASE WHEN isnan(beyond) THEN 'nan' WHEN isinf(beyond) THEN 'inf' ELSE 'finite' END AS site_mean_kwh_kind,
+       CASE WHEN fine THEN 'finite' ELSE 'nan' END AS site_stddev_kwh_kind,
+       CASE WHEN fine THEN 'finite' ELSE 'nan' END AS deviation_pct_kind,
+       CASE WHEN isfinite(total) THEN total END AS total_kwh,
+       CASE WHEN fine THEN CASE WHEN unit IS NULL THEN CAST(s AS DOUBLE) / CAST(n * 100 AS DOUBLE)
+                                ELSE {_double("s")} / CAST(n AS DOUBLE) * unit END END AS site_mean_kwh,
+       CASE WHEN fine THEN CASE WHEN unit IS NULL THEN sqrt({_double("n * q - s * s")}) / CAST(n * 100 AS DOUBLE)
+                                ELSE sqrt({_double("n * q - s * s")}) / CAST(n AS DOUBLE) * unit END END AS site_stddev_kwh,
+       CASE WHEN fine THEN CAST(floor((2 * (n * t - s) * 1000 + s) / (2 * s)) AS DOUBLE) / 10.0::DOUBLE END AS deviation_pct,
+       COALESCE(fine AND n * t - s > 0 AND (n * t - s) * (n * t - s) > 4 * (n * q - s * s), FALSE) AS anomaly_flag
+FROM odd_state
+""",
+)
+def agg1_odd_readings(spark, sf_dir):
+    """Gold from readings of which some are NaN, infinite or huge; numbers that aren't finite are named."""
+    t = star(spark, sf_dir)
+    odd = F.expr(_ODD_KWH.format(id="reading_id", nan=NAN, inf="double('Infinity')"))
+    g = pipeline.build(t | {"meter_readings": t["meter_readings"].withColumn("kwh_consumed", odd)})
+    kind = "CASE WHEN isnan({c}) THEN 'nan' WHEN abs({c}) = double('Infinity') THEN 'inf' ELSE 'finite' END"
+    return g.selectExpr(
+        "site_id", "reading_date", *[f"{kind.format(c=c)} AS {c}_kind" for c in _FINITE],
+        *[f"CASE WHEN {kind.format(c=c)} = 'finite' THEN {c} END AS {c}" for c in _FINITE], "anomaly_flag",
+    )
+
+
+# Values of which a plain mean of squares loses the spread, and a column with NaN.
+_WIDE = {
+    "near_1e8": "1e8{d} + 0.001{d} * (CAST(reading_id AS BIGINT) % 2)",
+    "near_1e12": "-1e12{d} + 3.0{d} + CAST(reading_id AS BIGINT) % 3",
+    "straddling": "(CAST(reading_id AS BIGINT) % 2) * 2e-6{d} + 0.999999{d}",
+    "huge": "CASE WHEN CAST(reading_id AS BIGINT) % 2 = 0 THEN 0.0{d} ELSE 1e150{d} END",
+    "with_nan": "CASE WHEN CAST(reading_id AS BIGINT) % 499 = 3 THEN {nan} ELSE kwh_consumed END",
+}
+
+
+def _wide_sql(col: str) -> str:
+    head = f"SELECT '{col}' AS column_name, COUNT({col}) AS non_null, "
+    if col == "with_nan":
+        return head + "TRUE AS is_nan, CAST(NULL AS DOUBLE) AS mean_value, CAST(NULL AS DOUBLE) AS stddev_value FROM wide"
+    if col == "huge":
+        half = "COUNT_IF(huge > 0) * 1e150::DOUBLE / COUNT(huge)"
+        return head + (
+            f"FALSE AS is_nan, round({half} / 1e147::DOUBLE, 3) * 1e147::DOUBLE AS mean_value, "
+            "round(sqrt(COUNT_IF(huge > 0) * CAST(COUNT_IF(huge = 0) AS DOUBLE)) / COUNT(huge), 3) * 1e150::DOUBLE AS stddev_value "
+            "FROM wide"
+        )
+    mean = f"{_double(f'SUM({_nano(col)})')} / COUNT({col}) / 1e9::DOUBLE"
+    return head + f"FALSE AS is_nan, round({mean}, 2) AS mean_value, {_spread('above', f'COUNT({col})')} AS stddev_value FROM (SELECT {col}, {_nano(col)} - min({_nano(col)}) OVER () AS above FROM wide)"
+
+
+@register(
+    "agg17_wide_values",
+    ", wide AS (SELECT "
+    + ", ".join(f"{e.format(d='::DOUBLE', nan=SQL_NAN)} AS {c}" for c, e in _WIDE.items())
+    + " FROM meter_readings) "
+    + "\nUNION ALL\n".join(_wide_sql(c) for c in _WIDE),
+)
+def agg17_wide_values(spark, sf_dir):
+    """The profile of columns whose values are large, far apart or NaN."""
+    values = [f"{e.format(d='D', nan=NAN)} AS {c}" for c, e in _WIDE.items()]
+    p = A.profile(adapter.meter_readings(spark, sf_dir).selectExpr(*values), tuple(_WIDE))
+    return p.selectExpr(
+        "column_name", "non_null", "isnan(mean_value) AS is_nan",
+        "CASE WHEN isnan(mean_value) THEN NULL WHEN column_name = 'huge' THEN round(mean_value / 1e147D, 3) * 1e147D ELSE round(mean_value, 2) END AS mean_value",
+        "CASE WHEN isnan(stddev_value) THEN NULL WHEN column_name = 'huge' THEN round(stddev_value / 1e150D, 3) * 1e150D "
+        "ELSE stddev_value END AS stddev_value",
+    )
+
+
 def _by_dim_sql(dim: str) -> str:
     return (
         f"SELECT {dim}, {KWH_TOTAL} AS total_kwh, "
@@ -1204,10 +1327,41 @@ _EXPLORATION = {
 def _exploration(part: str):
     def run(spark, sf_dir):
         t = star(spark, sf_dir)
-        return questions.exploration(t["meter_readings"], t["sites"], t["regions"], pipeline.build(t))[part]
+        return questions.exploration(t["meter_readings"], t["sites"], t["regions"], lambda: pipeline.build(t), part)
 
     return run
 
 
 for _part, _same in _EXPLORATION.items():
     register(f"cmp6_{_part}", ORACLE[_same].removeprefix(O.BASE))(_exploration(_part))
+
+#: The report's columns as each part has them.
+_REPORTED = {
+    "span": {"n": "row_count", "first_reading": "first_reading", "last_reading": "last_reading"},
+    "kwh_by_type_day": {"reading_date": "reading_date", "site_type": "site_type", "total_kwh": "total_kwh"},
+    "hourly_utc": {"site_type": "site_type", "hour": "utc_hour", "n": "n_readings", "mean_value": "mean_kwh"},
+    "hourly_local": {"site_type": "site_type", "hour": "local_hour", "n": "n_readings", "mean_value": "mean_kwh"},
+    "status_share": {"status": "status", "n": "n_readings", "share": "share"},
+    "profile": {c: c for c in ("column_name", "null_count", "min_value", "max_value", "mean_value", "stddev_value")} | {"n": "non_null"},
+    **{
+        p: {d: d, "n": "site_days", "total_kwh": "total_kwh", "mean_value": "mean_daily_kwh"}
+        for p, d in (("by_site_type", "site_type"), ("by_business_unit", "business_unit_name"), ("by_region", "region_name"))
+    },
+}
+
+
+def _report_sql() -> str:
+    """The nine parts side by side."""
+    kinds = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP"}
+    parts = []
+    for part, same in _EXPLORATION.items():
+        has = _REPORTED[part] | {"part": f"'{part}'"}
+        columns = ", ".join(f"CAST({has.get(c, 'NULL')} AS {kinds[k]}) AS {c}" for c, k in questions.REPORT_COLUMNS.items())
+        parts.append(f"SELECT {columns} FROM ({ORACLE[same].removeprefix(O.BASE)})")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("cmp6_report", _report_sql())
+def cmp6_report(spark, sf_dir):
+    t = star(spark, sf_dir)
+    return questions.exploration_report(t["meter_readings"], t["sites"], t["regions"], pipeline.build(t))

@@ -12,15 +12,22 @@ Two ways to the same gold table:
   whenever dimension keys are unique (see ``quality.dimension_guard``).
 
 Exact arithmetic: kWh is summed as whole units and billionths (exact for values of
-up to nine decimals) and rounded once, to two decimals (half up). The daily total is kept as integer cents, and the per-site baseline is computed from n, S = sum
-of cents and Q = sum of cents^2. Mean and sigma are then one correctly
-rounded double operation away from exact integers, the deviation is an exact
+up to nine decimals) and rounded once, to two decimals (half up). The per-site baseline is
+computed from n, S = sum of cents and Q = sum of cents^2. Mean and sigma are then one
+correctly rounded double operation away from exact integers, the deviation is an exact
 half-up rounding, and the 2-sigma test is decided in integers:
 
     total > mean + 2*sigma  <=>  (n*t - S) > 0 and (n*t - S)^2 > 4*(n*Q - S^2)
 
 so a flat site never flags on float noise (T19) and the result does not
 depend on row order or partitioning.
+
+Bad readings stop nothing. NaN and infinite readings pass the rules as they do any
+comparison in SQL, and make the day's total NaN or infinite; the site's mean is then what
+adding them up gives, its sigma NaN, its deviations NaN, and no day of it is
+flagged. Readings from 2^31 kWh on are added as doubles. A site with a daily total from
+1e12 kWh on counts in a power of two instead of cents, chosen so that its largest
+total has 46 bits: the test stays one of integers.
 """
 
 from __future__ import annotations
@@ -30,6 +37,7 @@ from pyspark.sql import functions as F
 
 from sitewatts import schemas
 from sitewatts.functions.columns import utc_date
+from sitewatts.functions.exact import MOST_KWH, cents_sql, near_sql, parts
 from sitewatts.operators import filters, joins, quality
 
 ANOMALY_SIGMAS = 2
@@ -63,9 +71,7 @@ def silver_unchecked(readings: DataFrame, sites: DataFrame, regions: DataFrame,
 def _daily_aggs() -> list[Column]:
     """AGG1a-d. kWh is summed exactly (see module doc)."""
     return [
-        # whole kWh and billionths as longs: as exact as a decimal of nine places, and several times faster
-        F.expr("sum(floor(kwh_consumed)) AS total_whole"),
-        F.expr("sum(CAST((kwh_consumed - floor(kwh_consumed)) * 1e9D + 0.5D AS BIGINT)) AS total_nano"),
+        *parts("kwh_consumed", "total"),
         F.expr("round(max(kw_demand), 2) AS peak_kw"),
         F.expr("round(avg(voltage), 2) AS avg_voltage"),
         F.expr("sum(CASE WHEN status = 'warning' THEN 1 ELSE 0 END) AS warning_count"),
@@ -73,11 +79,14 @@ def _daily_aggs() -> list[Column]:
 
 
 def _with_total(df: DataFrame) -> DataFrame:
-    """total_cents from the exact sums, rounded half away from zero; total_kwh its double."""
-    nano = "(CAST(total_whole AS DECIMAL(38,0)) * 1000000000 + total_nano)"
-    cents = f"CASE WHEN {nano} >= 0 THEN ({nano} + 5000000) div 10000000 ELSE -((-{nano} + 5000000) div 10000000) END"
-    return df.selectExpr("*", f"{cents} AS total_cents").selectExpr("*", "total_cents / 100.0D AS total_kwh").drop(
-        "total_whole", "total_nano"
+    """total_kwh from the exact sums, rounded half up once, and total_cents (null from 1e12 kWh on)."""
+    near = near_sql("total")
+    kwh = (
+        f"CASE WHEN total_far IS NULL THEN CAST(round({near}, 2) AS DOUBLE) "
+        f"ELSE round(total_far + CAST({near} AS DOUBLE), 2) END"
+    )
+    return df.selectExpr("*", f"{kwh} AS total_kwh").selectExpr("*", f"{cents_sql('total_kwh')} AS total_cents").drop(
+        "total_whole", "total_nano", "total_far"
     )
 
 
@@ -96,40 +105,61 @@ def daily(silver_df: DataFrame) -> DataFrame:
 
 
 def with_baseline(df: DataFrame, sigmas: int = ANOMALY_SIGMAS) -> DataFrame:
-    """WIN1-WIN4 over ``Window.partitionBy("site_id")``, from ``total_cents``.
+    """WIN1-WIN4 over ``Window.partitionBy("site_id")``, from ``total_kwh`` and ``total_cents``.
 
     Adds site_mean_kwh (WIN1), site_stddev_kwh (population, WIN2),
     anomaly_flag (strict, never NULL, WIN3) and deviation_pct (1 dp, NULL when
     the mean is 0, WIN4). Mean and sigma cover the whole site partition,
-    current day included (T10). All three window sums share one Window
-    operator (one sort of the daily rows per site).
+    current day included (T10). The window sums share one sort of the daily rows
+    per site.
     """
     w = "OVER (PARTITION BY site_id)"
+    scaled = _counted(df.selectExpr("*", f"max(abs(total_kwh)) {w} AS _most", f"sum({_ODD}) {w} AS _odd"))
+    return with_measures(scaled.selectExpr("*", *[f"{e} {w} AS {c}" for c, e in _STATE.items()]), sigmas).drop("_most", "_odd")
+
+
+#: 0 for a finite total, else the total: its sum is 0 unless a total isn't finite.
+_ODD = "CASE WHEN abs(total_kwh) < double('Infinity') THEN 0D ELSE total_kwh END"
+#: A site's count, sum and sum of squares of its days' totals in its unit.
+_STATE = {"_n": "count(_t)", "_s": "sum(_t)", "_q": "sum(CAST(_t AS DECIMAL(38,0)) * CAST(_t AS DECIMAL(38,0)))"}
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    """_t: the total in the site's unit, from _most and _odd; _unit: the unit in kWh, null for cents."""
+    huge = f"_odd = 0D AND _most >= {MOST_KWH!r}D"
+    return df.selectExpr("*", f"CASE WHEN {huge} THEN pow(2D, floor(log2(_most)) - 45) END AS _unit").selectExpr(
+        "*", "CASE WHEN _odd <> 0D THEN NULL WHEN _unit IS NULL THEN total_cents ELSE CAST(rint(total_kwh / _unit) AS BIGINT) END AS _t"
+    )
+
+
+def with_measures(df: DataFrame, sigmas: int = ANOMALY_SIGMAS) -> DataFrame:
+    """WIN1-WIN4 of rows that have their site's _n, _s, _q, _unit and _odd; drops these but for _odd."""
     staged = df.selectExpr(
         "*",
-        f"count(total_cents) {w} AS _n",
-        f"sum(total_cents) {w} AS _s",
-        f"sum(CAST(total_cents AS DECIMAL(38,0)) * CAST(total_cents AS DECIMAL(38,0))) {w} AS _q",
-    ).selectExpr(
-        "*",
-        # n^2 * sigma^2 and n * (t - mean), both in cents, exact
+        # n^2 * sigma^2 and n * (t - mean), both in units, exact
         "CAST(_n AS DECIMAL(38,0)) * _q - CAST(_s AS DECIMAL(38,0)) * CAST(_s AS DECIMAL(38,0)) AS _var",
-        "CAST(_n AS DECIMAL(38,0)) * total_cents - CAST(_s AS DECIMAL(38,0)) AS _spread",
+        "CAST(_n AS DECIMAL(38,0)) * _t - CAST(_s AS DECIMAL(38,0)) AS _spread",
     )
     dev_num = "_spread * 1000 * CAST(signum(_s) AS BIGINT)"
     dev_den = "CAST(abs(_s) AS DECIMAL(38,0))"
     deviation = (
-        f"CASE WHEN _s <> 0 THEN (CASE WHEN {dev_num} >= 0 "
+        "CASE WHEN _odd <> 0D THEN double('NaN') "
+        f"WHEN _s <> 0 THEN (CASE WHEN {dev_num} >= 0 "
         f"THEN (2 * {dev_num} + {dev_den}) div (2 * {dev_den}) "
         f"ELSE -((-2 * {dev_num} + {dev_den}) div (2 * {dev_den})) END) / 10.0D END"
     )
+
+    def of(state: str) -> str:
+        in_unit = f"CASE WHEN _unit IS NULL THEN {state} / CAST(_n * 100 AS DOUBLE) ELSE {state} / CAST(_n AS DOUBLE) * _unit END"
+        return f"CASE WHEN _n > 0 THEN {in_unit} END"
+
     return staged.selectExpr(
         "*",
-        "CASE WHEN _n > 0 THEN CAST(_s AS DOUBLE) / CAST(_n * 100 AS DOUBLE) END AS site_mean_kwh",
-        "CASE WHEN _n > 0 THEN sqrt(CAST(_var AS DOUBLE)) / CAST(_n * 100 AS DOUBLE) END AS site_stddev_kwh",
+        f"CASE WHEN _odd <> 0D THEN _odd ELSE {of('CAST(_s AS DOUBLE)')} END AS site_mean_kwh",
+        f"CASE WHEN _odd <> 0D THEN double('NaN') ELSE {of('sqrt(CAST(_var AS DOUBLE))')} END AS site_stddev_kwh",
         f"coalesce(_spread > 0 AND _spread * _spread > {sigmas * sigmas} * _var, false) AS anomaly_flag",
         f"{deviation} AS deviation_pct",
-    ).drop("_n", "_s", "_q", "_var", "_spread")
+    ).drop("_n", "_s", "_q", "_unit", "_t", "_var", "_spread")
 
 
 def gold(silver_df: DataFrame) -> DataFrame:

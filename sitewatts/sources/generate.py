@@ -126,6 +126,30 @@ def spike_window(seed: int, anomalous: list[str] | None, fraction: int = 5) -> t
     return F.when(chosen, start), F.when(chosen, start - duration)
 
 
+#: Keys that cut a table into ranges for ``with_rank``.
+RANK_CUTS = 255
+
+
+def with_rank(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Add ``out``: each row's place (from 0) in the order of ``key``, without bringing all rows to one task.
+
+    The ``RANK_CUTS`` keys of the smallest hashes, a random sample that is the same whenever it is drawn, cut the
+    keys into ranges. Rows are numbered within their range, and the number of rows in the ranges before
+    is added. Both the cuts and these numbers (at most 256) enter the plan as scalar subqueries.
+    Rows of one key are numbered in any order; null keys come first.
+    """
+    sample = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key), key).limit(RANK_CUTS)
+    cuts = sample.agg(F.sort_array(F.collect_list(key)).alias("cuts")).scalar()
+    ranged = df.withColumn("_cuts", cuts).withColumn("_range", F.expr(f"size(filter(_cuts, c -> c <= `{key}`))")).drop("_cuts")
+    ranged = ranged.withColumn("_range", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.col("_range")))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.agg(F.collect_list(F.struct("_range", "n")).alias("sizes")).scalar()
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(key)).cast("long") - 1
+    numbered = ranged.withColumns({"_place": place, "_sizes": before})
+    offset = "aggregate(_sizes, 0L, (n, s) -> n + IF(s._range < _range, s.n, 0L))"
+    return numbered.withColumn(out, F.expr(f"_place + {offset}")).drop("_place", "_sizes", "_range")
+
+
 def generate_readings(
     spark: SparkSession,
     sites: DataFrame,
@@ -134,6 +158,7 @@ def generate_readings(
     seed: int = 44,
     anomalous: list[str] | None = None,
     partitions: int | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Synthetic 15-minute readings for every site (SRC4).
 
@@ -145,7 +170,8 @@ def generate_readings(
     ``R-%08d`` of site_seq * steps + step + 1, site_seq being the site's place
     (from 0) in the order of site ids, so ids are distinct and gapless whatever the
     site ids look like. Sites are spread over ``partitions`` tasks (default: the
-    session's shuffle partitions). Building the DataFrame starts no job.
+    session's shuffle partitions). Columns of ``sites`` named in ``carry`` follow the
+    reading's own. Building the DataFrame starts no job.
     """
     n_steps = days * STEPS_PER_DAY
     if end_ts.tzinfo is None:
@@ -155,16 +181,15 @@ def generate_readings(
     for stype, (a, b) in BASE_KWH.items():
         lo = F.when(F.col("site_type") == stype, F.lit(float(a))) if lo is None else lo.when(F.col("site_type") == stype, F.lit(float(a)))
         hi = F.when(F.col("site_type") == stype, F.lit(float(b))) if hi is None else hi.when(F.col("site_type") == stype, F.lit(float(b)))
-    # one row per site: the dimension, not the readings, passes this window
-    seq = F.row_number().over(Window.orderBy("site_id")).cast("long") - 1
     spike_start, spike_end = spike_window(seed, anomalous)
-    base = sites.select(
+    base = with_rank(sites, "site_id", "site_seq").select(
         "site_id",
         "site_type",
         "voltage_nominal",
+        "site_seq",
+        F.struct(F.lit(0).alias("_"), *carry).alias("carry"),
         lo.alias("lo"),
         hi.alias("hi"),
-        seq.alias("site_seq"),
         spike_start.alias("spike_start"),
         spike_end.alias("spike_end"),
     )
@@ -195,6 +220,7 @@ def generate_readings(
         u["volt"].alias("_uv"),
         u["temp"].alias("_ut"),
         u["status"].alias("_us"),
+        "carry",
     )
     return out.select(
         "reading_id",
@@ -205,6 +231,7 @@ def generate_readings(
         _round(F.col("voltage_nominal") * _between(F.col("_uv"), *VOLTAGE_BAND), 2).alias("voltage"),
         _round(F.lit(TEMP_BASE) + _between(F.col("_ut"), *TEMP_RANGE), 2).alias("temperature_c"),
         F.when(F.col("_us") < ERROR_BELOW, "error").when(F.col("_us") < WARNING_BELOW, "warning").otherwise("normal").alias("status"),
+        *[F.col(f"carry.`{c}`") for c in carry],
     )
 
 

@@ -57,11 +57,12 @@ def test_no_overflow_at_design_scale(spark):
     assert out[0]["deviation_pct"] == 0.0 and out[-1]["site_mean_kwh"] == pytest.approx(40_000_018_245.0)
     model = forecast.fit_forecast(days).first()
     assert model["slope_kwh_per_day"] == pytest.approx(10.0) and model["n_days"] == 3650
+    t = F.when(F.col("id") == 3, 22).otherwise(20).cast("decimal(20,0)")
+    many = F.lit(10**9).cast("decimal(20,0)")
+    sums = {"n": F.lit(10**9), "a": t * many, "aa": t * t * many, **dict.fromkeys(("b", "ab", "bb"), F.lit(0).cast("decimal(28,0)"))}
+    sums |= {"fn": F.lit(0).cast("long"), "f": F.lit(None).cast("double"), "ff": F.lit(None).cast("double")}
     temps = spark.range(30).select(
-        F.lit("S").alias("site_id"), F.col("id").alias("day"),
-        (F.when(F.col("id") == 3, 22).otherwise(20).cast("decimal(20,0)") * F.lit(10**9)).cast("decimal(38,9)").alias("_a"),
-        F.lit(10**9).alias("_b"),
-        (F.when(F.col("id") == 3, 484).otherwise(400).cast("decimal(20,0)") * F.lit(10**9)).cast("decimal(38,18)").alias("_q"),
+        F.lit("S").alias("site_id"), F.col("id").alias("day"), *[sums[m].alias(f"_t_{m}") for m in sums]
     )
     flagged = aggregates.with_temperature_flags(temps).where("temp_elevated").collect()
     assert [r["day"] for r in flagged] == [3]

@@ -179,7 +179,7 @@ def test_overview_and_exploration_composites(spark):
     assert ov["kpi"].count() == 1 and ov["top_deviation"].count() == 10
     ranged = questions.overview(gold, AS_OF, "2024-01-16", "2024-01-30")
     assert ranged["per_day"].count() <= ov["per_day"].count()
-    ex = questions.exploration(t["meter_readings"], t["sites"], t["regions"], gold)
+    ex = {p: questions.exploration(t["meter_readings"], t["sites"], t["regions"], lambda: gold, p) for p in questions.EXPLORATION}
     counts = {k: v.count() for k, v in ex.items()}
     assert counts["span"] == 1 and counts["profile"] == 4 and counts["hourly_utc"] > 0
     assert all(n > 0 for n in counts.values())
