@@ -26,23 +26,39 @@ _RETURNS = (
 )
 
 
-def register_get_site_anomalies(spark: SparkSession, gold_view: str = GOLD_VIEW) -> None:
-    """Create the temporary SQL table function over the view ``gold_view``."""
-    if not gold_view.replace("_", "").replace(".", "").isalnum():
-        raise ValueError(f"bad view name {gold_view!r}")
-    spark.sql(
-        f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION get_site_anomalies(
-            site_id STRING, days INT, as_of DATE DEFAULT current_date())
+def _plain(name: str) -> str:
+    if not name.replace("_", "").replace(".", "").isalnum():
+        raise ValueError(f"bad name {name!r}")
+    return name
+
+
+def _definition(create: str, function: str, gold: str) -> str:
+    return f"""
+        {create} {_plain(function)}(site_id STRING, days INT, as_of DATE DEFAULT current_date())
         RETURNS TABLE ({_RETURNS})
         COMMENT 'Flagged daily rows of one site within the past N days (as_of - N .. as_of and later).'
         RETURN
-          SELECT g.* FROM {gold_view} g
+          SELECT {', '.join('g.' + c.split()[0] for c in _RETURNS.split(', '))} FROM {_plain(gold)} g
           WHERE g.site_id = get_site_anomalies.site_id
             AND g.anomaly_flag = TRUE
             AND g.reading_date >= date_sub(get_site_anomalies.as_of, get_site_anomalies.days)
         """
-    )
+
+
+def register_get_site_anomalies(spark: SparkSession, gold_view: str = GOLD_VIEW) -> None:
+    """Create the temporary SQL table function over the view ``gold_view``."""
+    spark.sql(_definition("CREATE OR REPLACE TEMPORARY FUNCTION", "get_site_anomalies", gold_view))
+
+
+def create_get_site_anomalies(spark: SparkSession, namespace: str) -> str:
+    """Create the table function in the catalog, over the namespace's gold *table*; returns its name.
+
+    Call it after ``USE <namespace>``: SQL takes no schema's name before a table function. It lives as long
+    as the catalog: every session of the application sees it, and with a metastore every later application. Without one it is gone with the application, as the tables are.
+    """
+    name = f"{namespace}.get_site_anomalies"
+    spark.sql(_definition("CREATE OR REPLACE FUNCTION", name, f"{namespace}.{GOLD_VIEW}"))
+    return name
 
 
 def site_anomalies(gold: DataFrame, site_id: str, days: int, as_of: dt.date) -> DataFrame:

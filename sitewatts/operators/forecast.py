@@ -5,6 +5,10 @@ Model per site: ordinary least squares trend of daily kWh on the day index
 weekday. A site with fewer than 2 days forecasts its mean. Days whose total is NaN,
 infinite or from 1e12 kWh on are left out of the fit.
 
+Models are registered by name: ``save_model`` writes one Parquet folder per version, with
+the window of days it was fitted on and its formula, and never changes it again;
+``load_model`` reads the last or a given version, from any session.
+
 Fit is one ``groupBy("site_id")``: the sufficient statistics (n, Σx, Σy,
 Σxy, Σx², and per-weekday n, Σx, Σy) are whole numbers in decimals of 38
 digits, so the fit is exact up to the final divisions, independent of row order
@@ -15,7 +19,8 @@ join, no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewatts.functions.exact import MOST_KWH
@@ -118,3 +123,56 @@ def forecast(model: DataFrame, horizon_days: int, site_ids: list[str] | None = N
         target.alias("forecast_date"),
         value.alias("forecast_kwh"),
     )
+
+
+FORMULA = (
+    "forecast_kwh(date) = intercept_kwh + slope_kwh_per_day * (date - first_date) + weekday_resid_kwh[ISO weekday of date]"
+)
+_SCHEMA = (
+    "site_id string, first_date date, last_date date, n_days bigint, slope_kwh_per_day double, intercept_kwh double, "
+    "weekday_resid_kwh array<double>, formula string, version int"
+)
+
+
+def save_model(model: DataFrame, root: str, name: str, note: str = FORMULA) -> int:
+    """Register a fitted model as the next version of ``name`` below ``root`` (shared storage); returns the version.
+
+    One row per site; its first and last day say what it was fitted on. A version is never
+    overwritten: of two writers of one version the second fails.
+    """
+    spark = model.sparkSession
+    known = model_versions(spark, root, name)
+    version = 1 + (known.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0] if known is not None else 0)
+    kept = f"{root.rstrip('/')}/{name}/version={version}"
+    model.withColumn("formula", F.lit(note)).write.mode("errorifexists").parquet(kept)
+    return version
+
+
+def _stored(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(_SCHEMA).parquet(f"{root.rstrip('/')}/{name}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def model_versions(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """Per version: its sites, the first and last day it was fitted on and its formula; None if there is no such model."""
+    rows = _stored(spark, root, name)
+    if rows is None:
+        return None
+    return rows.groupBy("version").agg(
+        F.count("site_id").alias("n_sites"), F.min("first_date").alias("fit_from"), F.max("last_date").alias("fit_to"),
+        F.first("formula").alias("formula"),
+    )
+
+
+def load_model(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """The model rows of a version (default: the last), ready for ``forecast``."""
+    known = model_versions(spark, root, name)
+    there = [] if known is None else sorted(r["version"] for r in known.select("version").collect())
+    chosen = version if version is not None else (there[-1] if there else None)
+    if chosen not in there:
+        raise ValueError(f"no version {version or 1} of model {name!r}; there are: {there}")
+    return _stored(spark, root, name).where(F.col("version") == chosen).drop("version", "formula")

@@ -6,10 +6,13 @@ expect-or-drop the row goes, for expect it stays and is counted.
 
 from __future__ import annotations
 
+import dataclasses
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
 
 def silver_rules() -> dict[str, tuple[Column, str]]:
     """name -> (condition, action); action is "drop" or "warn"."""
@@ -117,20 +120,53 @@ def dimension_guard(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def validate(datasets: dict[str, DataFrame], expected: dict[str, list[str]]) -> list[str]:
-    """Dry run: resolve every dataset's schema without moving data (DQ4)."""
+@dataclasses.dataclass(frozen=True)
+class Problem:
+    """What a dry run finds about a dataset."""
+
+    dataset: str
+    kind: str  # missing, ring, twice, analysis, columns or type
+    text: str
+
+    def __str__(self) -> str:
+        return f"{self.dataset}: {self.text}"
+
+
+def schema_problems(name: str, have: StructType, declared: StructType) -> list[Problem]:
+    """Differences in columns (one problem) and in the types of those that are in both (one each)."""
+    missing = [f.name for f in declared if f.name not in have.fieldNames()]
+    extra = [c for c in have.fieldNames() if c not in declared.fieldNames()]
+    found = []
+    if missing or extra:
+        found.append(Problem(name, "columns", f"columns missing: {missing}, not declared: {extra}"))
+    elif have.fieldNames() != declared.fieldNames():
+        found.append(Problem(name, "columns", f"columns in another order: {have.fieldNames()}"))
+    for f in declared:
+        if f.name in have.fieldNames() and have[f.name].dataType != f.dataType:
+            got = have[f.name].dataType.simpleString()
+            found.append(Problem(name, "type", f"{f.name} is {got}, declared as {f.dataType.simpleString()}"))
+    return found
+
+
+def validate(datasets: dict[str, DataFrame], expected: dict[str, list[str] | StructType]) -> list[str]:
+    """Dry run of separate datasets against their column names, or names and types, without moving data (DQ4).
+
+    ``plans.graph`` does it for datasets that are built from one another.
+    """
     problems: list[str] = []
-    for name, cols in expected.items():
+    for name, declared in expected.items():
         if name not in datasets:
             problems.append(f"{name}: missing")
             continue
         try:
-            have = datasets[name].schema.fieldNames()
+            have = datasets[name].schema
         except Exception as exc:  # analysis error surfaces here, before any job
             problems.append(f"{name}: {type(exc).__name__}: {exc}")
             continue
-        if have != cols:
-            problems.append(f"{name}: columns {have} != {cols}")
+        if isinstance(declared, StructType):
+            problems += map(str, schema_problems(name, have, declared))
+        elif have.fieldNames() != declared:
+            problems.append(f"{name}: columns {have.fieldNames()} != {declared}")
     return problems
 
 

@@ -19,7 +19,7 @@ from sitewatts.functions import sql_functions
 from sitewatts.functions.columns import reading_id, utc_date, whole_days_between
 from sitewatts.operators import aggregates as A
 from sitewatts.operators import filters, forecast, joins, measures, quality, topk, windows
-from sitewatts.plans import pipeline, questions, triage
+from sitewatts.plans import incremental, pipeline, questions, triage
 from sitewatts.sources import adapter, generate, tables
 
 AS_OF = dt.date(2024, 1, 30)
@@ -301,6 +301,16 @@ def cmp2_gold_from_silver(spark, sf_dir):
     return pipeline.gold(silver)
 
 
+@register("cmp2_gold_from_states", "SELECT * FROM gold")
+def cmp2_gold_from_states(spark, sf_dir):
+    """Gold from two periods' daily rows, their sites' n, S and Q added up (what the incremental tables do)."""
+    t = star(spark, sf_dir)
+    cut = AS_OF - dt.timedelta(days=14)
+    early = adapter.meter_readings(spark, sf_dir, until=cut - dt.timedelta(days=1))
+    parts = [pipeline.daily_by_site(r) for r in (early, adapter.meter_readings(spark, sf_dir, since=cut))]
+    return incremental.merge_gold(parts, t["sites"], t["regions"], t["business_units"])
+
+
 @register(
     "win1_win2_site_baseline",
     "SELECT DISTINCT site_id, site_mean_kwh, site_stddev_kwh FROM gold",

@@ -83,6 +83,11 @@ SILVER_COLUMNS = [
     "reading_date",
 ]
 
+_TYPES = {f.name: f.dataType for table in (REGIONS, BUSINESS_UNITS, SITES, METER_READINGS) for f in table}
+_TYPES["reading_date"] = T.DateType()
+SITE_DIM = T.StructType([T.StructField(c, _TYPES[c]) for c in SITE_DIM_COLUMNS])
+SILVER = T.StructType([T.StructField(c, _TYPES[c]) for c in SILVER_COLUMNS])
+
 # Attributes of a site carried into gold; (site_id, reading_date) is the key.
 GOLD_ATTRIBUTES = [
     "site_type",
@@ -113,6 +118,16 @@ GOLD = T.StructType(
 )
 GOLD_COLUMNS = GOLD.fieldNames()
 
+GOLD_AUDIT = T.StructType(
+    [
+        T.StructField("total_rows", T.LongType()),
+        T.StructField("anomaly_rows", T.LongType()),
+        T.StructField("sites_covered", T.LongType()),
+        T.StructField("first_date", T.DateType()),
+        T.StructField("last_date", T.DateType()),
+    ]
+)
+
 BASE_TABLES = ("regions", "business_units", "sites", "meter_readings")
 
 # Table and column descriptions attached by the sinks.
