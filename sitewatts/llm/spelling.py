@@ -108,7 +108,9 @@ def word_counts(
 
 # -- rotations ----------------------------------------------------------------
 
-_ROTATIONS = "prefix string, skipped string, n long, first boolean, name string"
+_ROTATIONS = "prefix string, skipped string, n long, name string"
+#: Marks a skipped letter that is the same as the one before it.
+_AGAIN = "="
 
 
 def name_of(word: str) -> str:
@@ -125,25 +127,24 @@ def _fingerprints(ring: str, length: int, n: int) -> list[str]:
 
 
 def rotations(words: DataFrame) -> DataFrame:
-    """Every rotation of every word as (prefix, skipped letter, n, first, name).
+    """Every rotation of every word as (prefix, skipped, n, name).
 
-    The skipped letter is empty for a whole rotation. ``first``: the skipped letter
-    isn't the same as the one before it. ``name`` is set for fingerprint keys only.
+    ``skipped`` is the skipped letter, with a mark if it's the same as the one before
+    it, and empty for a whole rotation. ``name`` is set for fingerprint keys only.
     """
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefix: list[str] = []
         skipped: list[str] = []
         count: list[int] = []
-        first: list[bool] = []
         name: list[str | None] = []
 
         def rows() -> pa.RecordBatch:
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.string())
-            arrays = [pa.array(v, t) for v, t in zip((prefix, skipped, count, first, name), kinds, strict=True)]
-            for v in (prefix, skipped, count, first, name):
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
+            arrays = [pa.array(v, t) for v, t in zip((prefix, skipped, count, name), kinds, strict=True)]
+            for v in (prefix, skipped, count, name):
                 v.clear()
-            return pa.RecordBatch.from_arrays(arrays, ["prefix", "skipped", "n", "first", "name"])
+            return pa.RecordBatch.from_arrays(arrays, ["prefix", "skipped", "n", "name"])
 
         for batch in batches:
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
@@ -160,12 +161,10 @@ def rotations(words: DataFrame) -> DataFrame:
                 called = name_of(word)
                 prefix += keys
                 prefix += whole
-                skipped += word
+                skipped += word[:1]
+                skipped += [b + _AGAIN if a == b else b for a, b in itertools.pairwise(word)]
                 skipped += [""] * (length + 1)
                 count += [n] * (2 * length + 1)
-                first.append(True)
-                first += [a != b for a, b in zip(word, word[1:])]  # noqa: B905
-                first += [True] * (length + 1)
                 name += [called if length > INLINE else None] * length
                 name += [called if length >= INLINE else None] * (length + 1)
                 if len(prefix) >= 20_000:
@@ -181,12 +180,12 @@ def _members(prefix: str, skipped: list[str], names: list[str | None]) -> list[s
     if names[0] is not None:
         return names
     right, left = prefix.split(_END)
-    return [left + c + right for c in skipped]
+    return [left + c[:1] + right for c in skipped]
 
 
 def _told(group: tuple, out: tuple[list, list, list, list]) -> None:
     """Neighbours of the members of one group, whose rows are sorted by count downwards, then letter."""
-    prefix, skipped, n, first, names = group
+    prefix, skipped, n, names = group
     words = _members(prefix, skipped, names)
     whole = skipped.index("") if "" in skipped else None
     letters = [k for k in range(len(n)) if k != whole]
@@ -201,7 +200,7 @@ def _told(group: tuple, out: tuple[list, list, list, list]) -> None:
         for k in letters:
             tell(k, len(letters) - 1, letters[0] if k != letters[0] else letters[1])
     if whole is not None:
-        longer = [k for k in letters if first[k]]
+        longer = [k for k in letters if len(skipped[k]) == 1]
         for k in longer:
             tell(k, 1, whole)
         if longer:
@@ -217,10 +216,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = batch.filter(pa.array(shared))
         prefix = rows.column("prefix").to_pylist()
         cuts = [*np.flatnonzero(~np.append(False, same)[shared]).tolist(), len(prefix)]
-        skipped, n, first, names = (rows.column(c).to_pylist() for c in ("skipped", "n", "first", "name"))
+        skipped, n, names = (rows.column(c).to_pylist() for c in ("skipped", "n", "name"))
         out: tuple[list, list, list, list] = ([], [], [], [])
         for a, b in itertools.pairwise(cuts):
-            _told((prefix[a], skipped[a:b], n[a:b], first[a:b], names[a:b]), out)
+            _told((prefix[a], skipped[a:b], n[a:b], names[a:b]), out)
         return pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.int64())],
             ["word", "near", "other", "other_n"],
@@ -246,7 +245,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def neighbours(words: DataFrame) -> DataFrame:
     """Words with a neighbour: (word, n_near, other, other_n), ``other`` being the neighbour of the
     largest count (ties: the smallest word). ``words`` has one row (word, n) per word."""
-    rows = rotations(columns(words, "word", "n"))
+    # a word has many rotations: its rows are made in as many tasks as they are sorted in
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rotations(columns(words, "word", "n").repartition(tasks, "word"))
     ordered = rows.repartition("prefix").sortWithinPartitions("prefix", F.desc("n"), "skipped")
     told = ordered.mapInArrow(_scan, "word string, near long, other string, other_n long")
     long = words.where(F.length("word") > INLINE)
