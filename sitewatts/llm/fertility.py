@@ -4,11 +4,15 @@ Two public vocabularies measure every text: characters per token under each,
 the share of byte-fallback tokens under the one that falls back to bytes, and the
 entropy of its tokens as a share of the most that so many tokens could have. A
 text is rejected if a measure leaves its band. Bands come from the corpus itself:
-median and median absolute deviation over all documents of the same language
-(where that's null, of the same dominant script) and similar length. A group with
-few documents takes the band of its language, then that of the whole corpus.
-Spreads have a floor, so a group that is mostly copies of one text doesn't reject
-everything else.
+median and quartile range over all documents of the same language (where that's
+null, of the same dominant script) and similar length. A group of n documents counts
+with weight n / (n + prior) and the level above it (its language, then the whole
+corpus) with the rest, so there is no size at which a group's band changes at once. A
+language's spread is that of the mixture, with the distance of the two centres in it: a
+small language that lies apart widens its band instead of losing its documents. The
+lengths of one language lie within its spread; theirs is the weighted geometric mean of their
+own and the language's, so a handful of odd texts among few can't widen it much. Spreads have
+a floor, so a group that is mostly copies of one text doesn't reject everything else.
 
 Base rules come first (contract): too few words or too many repeated windows.
 
@@ -47,8 +51,10 @@ BANDS = {
     "fallback_share": (None, 8.0, 0.01),
     "entropy": (5.0, None, 0.012),
 }
-#: A group needs so many documents for a band of its own.
-LEAST_GROUP = 100
+#: Documents that the level above a language, and above a length of one, weighs.
+PRIOR, LENGTH_PRIOR = 50, 300
+#: Quartile range of a normal distribution, in standard deviations.
+QUARTILE_RANGE = 1.349
 
 
 @functools.cache
@@ -138,33 +144,46 @@ def measured(docs: DataFrame, language: str | None, pieces: str, byte_level: str
     )
 
 
+def _mixed(rows: DataFrame, apart: bool) -> DataFrame:
+    """Centre and spread of each group (m_mid, m_spread) mixed with the level above (m_up_mid, m_up_spread).
+
+    ``apart``: as a mixture of two, whose centres may lie apart; else the geometric mean of the spreads.
+    """
+    w = F.col("docs") / (F.col("docs") + F.lit(PRIOR if apart else LENGTH_PRIOR))
+    out = {}
+    for m, (_, _, least) in BANDS.items():
+        mid, up_mid = F.col(f"{m}_mid"), F.col(f"{m}_up_mid")
+        spread, up_spread = (F.greatest(F.col(f"{m}_{c}"), F.lit(least)) for c in ("spread", "up_spread"))
+        out[f"{m}_mid"] = w * mid + (1 - w) * up_mid
+        between = w * (1 - w) * (mid - up_mid) * (mid - up_mid)
+        mixture = F.sqrt(w * spread * spread + (1 - w) * up_spread * up_spread + between)
+        out[f"{m}_spread"] = mixture if apart else F.pow(spread, w) * F.pow(up_spread, 1 - w)
+    return rows.withColumns(out).select("grp", "size", "docs", *out)
+
+
 def bands(measures: DataFrame) -> DataFrame:
-    """Per group, and length (null: all lengths; null group: all): docs, and lo and hi of each measure.
+    """grp, size (of texts of about the same length), docs, and lo and hi of each measure.
 
-    Only texts that pass the base rules count. Groups are languages times about
-    40 lengths, so this is a small table.
+    Only rows of texts that pass the base rules are to be given. One pass gives the quartiles of
+    all three levels; what is joined afterwards are groups: languages times about 40 lengths.
     """
-    levels = [("grp", "size"), ("grp",), ()]
-    out = None
-    for keys in levels:
-        shape = [F.col(k) if k in keys else F.lit(None).cast(t).alias(k) for k, t in (("grp", "string"), ("size", "int"))]
-        rows = measures.select(*shape, *BANDS)
-        middle = rows.groupBy("grp", "size").agg(*[F.percentile_approx(m, 0.5, 1000).alias(f"{m}_mid") for m in BANDS])
-        on = [F.col("r.grp").eqNullSafe(F.col("m.grp")), F.col("r.size").eqNullSafe(F.col("m.size"))]
-        off = rows.alias("r").join(F.broadcast(middle.alias("m")), on)
-        spread = off.groupBy("r.grp", "r.size").agg(
-            F.count("*").alias("docs"),
-            *[F.first(f"{m}_mid").alias(f"{m}_mid") for m in BANDS],
-            *[F.percentile_approx(F.abs(F.col(m) - F.col(f"{m}_mid")), 0.5, 1000).alias(f"{m}_mad") for m in BANDS],
-        )
-        limits = []
-        for m, (below, above, least) in BANDS.items():
-            wide = F.greatest(1.4826 * F.col(f"{m}_mad"), F.lit(least))
-            limits.append((F.col(f"{m}_mid") - below * wide if below else F.lit(float("-inf"))).alias(f"{m}_lo"))
-            limits.append((F.col(f"{m}_mid") + above * wide if above else F.lit(float("inf"))).alias(f"{m}_hi"))
-        level = spread.select("grp", "size", "docs", *limits)
-        out = level if out is None else out.unionByName(level)
-    return out.where((F.col("docs") >= LEAST_GROUP) | F.col("grp").isNull())
+    quartiles = [F.percentile_approx(m, [0.25, 0.5, 0.75], 1000).alias(m) for m in BANDS]
+    levels = measures.rollup("grp", "size").agg(F.grouping_id().alias("level"), F.count(F.lit(1)).alias("docs"), *quartiles)
+    shape = {f"{m}_mid": F.get(F.col(m), F.lit(1)) for m in BANDS}
+    shape |= {f"{m}_spread": (F.get(F.col(m), F.lit(2)) - F.get(F.col(m), F.lit(0))) / QUARTILE_RANGE for m in BANDS}
+    levels = stored(levels.withColumns(shape).drop(*BANDS), "levels")
+    whole = levels.where("level = 3").first()
+    names = [f"{m}_{c}" for m in BANDS for c in ("mid", "spread")]
+    up = {n.replace("_mid", "_up_mid").replace("_spread", "_up_spread"): F.lit(whole[n] if whole else None).cast("double") for n in names}
+    by_group = _mixed(levels.where("level = 1").withColumns(up), apart=True)
+    above = by_group.select("grp", *[F.col(n).alias(u) for n, u in zip(names, up, strict=True)])
+    cells = _mixed(levels.where("level = 0").join(above, "grp"), apart=False)
+    limits = []
+    for m, (below, over, _) in BANDS.items():
+        wide = F.col(f"{m}_spread")
+        limits.append((F.col(f"{m}_mid") - below * wide if below else F.lit(float("-inf"))).alias(f"{m}_lo"))
+        limits.append((F.col(f"{m}_mid") + over * wide if over else F.lit(float("inf"))).alias(f"{m}_hi"))
+    return cells.select("grp", "size", "docs", *limits)
 
 
 def fertility(
@@ -173,7 +192,7 @@ def fertility(
     """One row per row of ``docs`` (doc_id, text, and the language column if named).
 
     doc_id, the base measures, base_failed, kept, the method's measures and
-    ``failed_measures`` (which left their band, comma-joined).
+    ``failed_measures`` (which left their band, comma-joined; empty for texts like which none passes the base rules).
     """
     measures = stored(
         measured(docs, language, pieces or vocab.path(PIECES), byte_level or vocab.path(BYTES)).withColumn(
@@ -182,23 +201,10 @@ def fertility(
         ).withColumn("size", F.floor(2 * F.log2(F.greatest("n_words", F.lit(1)))).cast("int")),
         "fertility",
     )
-    # at most languages x lengths rows, whatever the number of documents
-    limits = stored(bands(measures.where("not base_failed")), "bands")
-    table = {(r["grp"], r["size"]): r for r in limits.where(F.col("grp").isNull()).collect()}
-    overall = table.get((None, None))
-    own = F.broadcast(limits.alias("o"))
-    wide = F.broadcast(limits.where(F.col("grp").isNotNull() & F.col("size").isNull()).alias("w"))
-    joined = (
-        measures.alias("m")
-        .join(own, (F.col("m.grp") == F.col("o.grp")) & (F.col("m.size") == F.col("o.size")), "left")
-        .join(wide, F.col("m.grp") == F.col("w.grp"), "left")
-    )
-    failures = []
-    for m in BANDS:
-        lo = F.coalesce(f"o.{m}_lo", f"w.{m}_lo", F.lit(overall[f"{m}_lo"] if overall else float("-inf")))
-        hi = F.coalesce(f"o.{m}_hi", f"w.{m}_hi", F.lit(overall[f"{m}_hi"] if overall else float("inf")))
-        failures.append(F.when((F.col(f"m.{m}") < lo) | (F.col(f"m.{m}") > hi), m))
-    judged = joined.select("m.*", F.concat_ws(",", *failures).alias("failed_measures"))
+    limits = stored(bands(measures.where("not base_failed")).drop("docs"), "bands")
+    joined = measures.join(limits, ["grp", "size"], "left")
+    outside = [F.when((F.col(m) < F.col(f"{m}_lo")) | (F.col(m) > F.col(f"{m}_hi")), m) for m in BANDS]
+    judged = joined.withColumn("failed_measures", F.concat_ws(",", *outside))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("failed_measures") == "")).alias("kept"), *BANDS, "failed_measures",
