@@ -2,7 +2,8 @@
 
 Only built-in column expressions: ``split`` and ``regexp_extract_all`` on the same
 pattern give what lies between the matches and the matches themselves; running
-sums of their lengths (code points) are the positions.
+sums of their lengths (code points) are the positions. The context of a match is the
+text's ``CONTEXT`` characters on either side of it, whatever lies there, other matches too.
 
 A kind is *certain* if a match that passes its check always counts (email, ip,
 card with Luhn, phone with a plus); these are the base spans. The other kinds
@@ -14,9 +15,13 @@ certain span.
 All patterns run in linear time: a match starts where a run of its characters
 starts or where the match before ended, and runs aren't given back.
 
-Null texts are empty texts and have no spans. Rows are kept apart even if they
-have the same doc_id or the same text. Several kinds may claim the same
-characters. An empty table gives an empty result.
+``redact`` replaces exactly the spans that ``spans`` lists, found in the original text;
+where several overlap, all of their characters become one bracket, with the kind listed
+first. Texts are cut into blocks for this, so the work grows with the text.
+
+Null texts are empty texts and have no spans (``redact`` leaves them null). Rows are kept apart
+even if they have the same doc_id or the same text. Several kinds may claim the same
+characters. ``redact`` keeps all columns, however named. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,6 +44,8 @@ class Kind:
     certain: bool
     score: float
     words: str
+    #: Fewest characters of a match.
+    least: int
     #: A cheap test of the text before the pattern runs, as a literal that has to be there; "" for none.
     needs: str = ""
 
@@ -46,13 +53,13 @@ class Kind:
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: In the order in which spans are listed.
 KINDS = (
-    Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", True, 0.9, "mail|contact|write", "@"),
-    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", True, 0.6, "ip|host|server|address|login", "."),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", True, 0.8, "card|visa|credit|karte|tarjeta|carte"),
-    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", True, 0.7, "call|phone|tel|mobile|fax", "+"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", False, 0.2, "iban|account|bank|konto|compte|cuenta"),
-    Kind("local_phone", r"(?<![0-9+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])", False, 0.4, "call|phone|tel|mobile|fax|telefon|móvil"),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", False, 0.4, "ssn|social security", "-"),
+    Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", True, 0.9, "mail|contact|write", 5, "@"),
+    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", True, 0.6, "ip|host|server|address|login", 7, "."),
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", True, 0.8, "card|visa|credit|karte|tarjeta|carte", 2),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", True, 0.7, "call|phone|tel|mobile|fax", 4, "+"),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", False, 0.2, "iban|account|bank|konto|compte|cuenta", 15),
+    Kind("local_phone", r"(?<![0-9+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])", False, 0.4, "call|phone|tel|mobile|fax|telefon|móvil", 12),
+    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", False, 0.4, "ssn|social security", 11, "-"),
 )
 CERTAIN = tuple(k.name for k in KINDS if k.certain)
 
@@ -107,45 +114,50 @@ def scored(kind: Kind, value: Column, before: Column, after: Column) -> Column:
     return F.when(good.isNull() | good, F.least(F.lit(1.0), F.lit(kind.score) + sum_bonus + bonus)).otherwise(0.0)
 
 
-def _found(kind: Kind, text: Column, pieces: Column, matches: Column) -> Column:
-    """array<struct(kind, rank, i, gap, value, score)> of one kind; gap: code points since the match before."""
+def _found(kind: Kind, pieces: Column, matches: Column, around: Column) -> Column:
+    """array<struct(rank, i, gap, value, score)> of one kind; gap: code points since the match before.
+
+    ``around``: pieces and matches in the text's order. So many of them as hold CONTEXT
+    characters, each cut to that, are put together on either side of a match.
+    """
+    reach = 2 * -(-CONTEXT // kind.least)
 
     def one(value: Column, i: Column) -> Column:
-        before = F.get(pieces, i)
+        first = F.greatest(2 * i - reach, F.lit(0))
+        before = F.transform(F.slice(around, first + 1, 2 * i - first + 1), lambda x: F.right(x, F.lit(CONTEXT)))
+        after = F.transform(F.slice(around, 2 * i + 3, F.lit(reach + 1)), lambda x: F.left(x, F.lit(CONTEXT)))
         return F.struct(
             F.lit(KINDS.index(kind)).alias("rank"),
             i.alias("i"),
-            F.length(before).alias("gap"),
+            F.length(F.get(pieces, i)).alias("gap"),
             value.alias("value"),
-            scored(kind, value, F.right(before, F.lit(CONTEXT)), F.left(F.get(pieces, i + 1), F.lit(CONTEXT))).alias("score"),
+            scored(kind, value, F.right(F.array_join(before, ""), F.lit(CONTEXT)), F.left(F.array_join(after, ""), F.lit(CONTEXT))).alias("score"),
         )
 
     return F.transform(matches, one)
 
 
-def _split(df: DataFrame, kind: Kind, text: str) -> DataFrame:
-    """Adds __pieces and __matches of one kind."""
-    t = F.col(text)
-    has = F.contains(t, F.lit(kind.needs)) if kind.needs else t.rlike("[0-9]")
-    return df.withColumn("__pieces", F.when(has, F.split(t, kind.pattern, -1)).otherwise(F.array(t))).withColumn(
-        "__matches", F.when(F.size("__pieces") > 1, F.regexp_extract_all(t, F.lit(kind.pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    )
-
-
-def judged(docs: DataFrame) -> DataFrame:
-    """row_id, doc_id, and a candidate each with kind (null: it doesn't count), rank, start, end, value, score, certain.
-
-    A row without candidates is there once, with nulls. All candidates of a row are
-    in one partition, so callers can group by row_id without a shuffle.
-    """
-    df = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("__text")
-    )
+def _candidates(docs: DataFrame, kept: Column, text: str = "text") -> DataFrame:
+    """row_id, the column ``kept`` (named), and ``found``: the candidates of all kinds in the text."""
+    df = docs.select(F.monotonically_increasing_id().alias("row_id"), kept, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+    t = F.col("__text")
     for kind in KINDS:
-        df = _split(df, kind, "__text")
-        df = df.withColumn(f"__{kind.name}", _found(kind, F.col("__text"), F.col("__pieces"), F.col("__matches"))).drop("__pieces", "__matches")
-    found = df.select("row_id", "doc_id", F.explode_outer(F.concat(*[F.col(f"__{k.name}") for k in KINDS])).alias("s"))
-    found = found.select("row_id", "doc_id", "s.*").repartition("row_id")
+        has = F.contains(t, F.lit(kind.needs)) if kind.needs else t.rlike("[0-9]")
+        df = df.withColumn("__pieces", F.when(has, F.split(t, kind.pattern, -1)).otherwise(F.array(t)))
+        some = F.size("__pieces") > 1
+        none = F.array().cast("array<string>")
+        df = df.withColumn("__matches", F.when(some, F.regexp_extract_all(t, F.lit(kind.pattern), F.lit(0))).otherwise(none))
+        pairs = F.flatten(F.transform("__matches", lambda m, i: F.array(F.get(F.col("__pieces"), i), m)))
+        around = F.when(some, F.concat(pairs, F.array(F.element_at("__pieces", -1)))).otherwise(none)
+        df = df.withColumn("__around", around)
+        found = _found(kind, F.col("__pieces"), F.col("__matches"), F.col("__around"))
+        df = df.withColumn(f"__{kind.name}", found).drop("__pieces", "__matches", "__around")
+    names = [f"__{k.name}" for k in KINDS]
+    return df.withColumn("found", F.concat(*names)).drop("__text", *names)
+
+
+def _judged(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Candidates (row_id, ``keys``, and the fields of a candidate) with their place, and whether and as what they count."""
     upto = Window.partitionBy("row_id", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     ends = F.sum(F.col("gap") + F.length("value")).over(upto)
     placed = found.withColumn("end", ends).withColumn("start", F.col("end") - F.length("value"))
@@ -159,11 +171,21 @@ def judged(docs: DataFrame) -> DataFrame:
     extra = (F.col("rank") >= len(CERTAIN)) & (F.col("score") >= THRESHOLD) & F.col("clear")
     names = F.array(*[F.lit(k.name) for k in KINDS])
     return placed.select(
-        "row_id", "doc_id", F.when(F.col("certain") | extra, F.get(names, F.col("rank"))).alias("kind"),
+        "row_id", *keys, F.when(F.col("certain") | extra, F.get(names, F.col("rank"))).alias("kind"),
         "rank", F.col("start").cast("long"), F.col("end").cast("long"), "value", "score", "certain",
     )
 
 
+def judged(docs: DataFrame) -> DataFrame:
+    """row_id, doc_id, and a candidate each with kind (null: it doesn't count), rank, start, end, value, score, certain.
+
+    A row without candidates is there once, with nulls. All candidates of a row are
+    in one partition, so callers can group by row_id without a shuffle.
+    """
+    found = _candidates(docs, F.col("doc_id")).select("row_id", "doc_id", F.explode_outer("found").alias("s"))
+    return _judged(found.select("row_id", "doc_id", "s.*").repartition("row_id"), ["doc_id"])
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """One row per span that counts: row_id, doc_id, kind, rank, start, end, value, score, certain.
 
@@ -172,30 +194,53 @@ def spans(docs: DataFrame) -> DataFrame:
     return judged(docs).where("kind is not null")
 
 
-def _shown(kind: Kind, least: float):
-    """What comes before a match, and the match or its kind in brackets."""
+#: Code points of the blocks that texts are cut into.
+BLOCK = 1024
 
-    def one(value: Column, i: Column) -> Column:
-        before, after = F.get("__pieces", i), F.get("__pieces", i + 1)
-        score = scored(kind, value, F.right(before, F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT)))
-        return F.concat(before, F.when(score >= least, f"[{kind.name.upper()}]").otherwise(value))
 
-    return one
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` (exclusive) of a text that is cut into blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    few = F.slice(blocks, first + 1, F.floor((end - 1) / BLOCK).cast("int") - first + 1)
+    return F.when(end > start, F.substring(F.array_join(few, ""), (start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))).otherwise("")
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every span that counts replaced by its kind in brackets, kind after kind; no shuffle.
+    """``docs`` with every span that counts (``spans``) replaced by its kind in brackets; other columns as they are.
 
-    A null text stays null.
+    Rows go to their spans in one shuffle, once each. A null text stays null.
     """
-    df = docs
-    for kind in KINDS:
-        df = _split(df.withColumn("__text", F.coalesce(F.col(text), F.lit(""))), kind, "__text")
-        least = 1e-9 if kind.certain else THRESHOLD
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = _candidates(docs, row, text).select("row_id", "row", F.posexplode_outer("found").alias("pos", "s"))
+    # of a row's candidates the first carries the row
+    found = found.select("row_id", F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("row")).alias("row"), "s.*")
+    spots = _judged(found.repartition("row_id"), ["row"])
+    counts = F.col("kind").isNotNull()
+    in_order = Window.partitionBy("row_id").orderBy("start", "rank")
+    reached = F.max(F.when(counts, F.col("end"))).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.when(counts & (F.coalesce(reached, F.lit(0)) <= F.col("start")), 1).otherwise(0)
+    spots = spots.withColumn("apart", apart)
+    spots = spots.withColumn("place", F.sum("apart").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    counted = lambda c: F.when(F.col("kind").isNotNull(), F.col(c))
+    merged = spots.groupBy("row_id", "place").agg(
+        F.first("row", ignorenulls=True).alias("row"), F.min(counted("start")).alias("start"), F.max(counted("end")).alias("end"),
+        F.min(counted("rank")).alias("rank"),
+    )
+    span = F.when(F.col("rank").isNotNull(), F.struct("start", "end", "rank"))
+    whole = merged.groupBy("row_id").agg(
+        F.first("row", ignorenulls=True).alias("row"), F.sort_array(F.collect_list(span)).alias("cut")
+    )
+    old = F.col("row").getField(text)
+    whole = whole.withColumn("blocks", F.when(F.size("cut") > 0, F.regexp_extract_all(old, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
+    labels = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
+
+    def shown(s: Column, i: Column) -> Column:
+        since = F.coalesce(F.get(F.col("cut"), i - 1)["end"], F.lit(0).cast("long"))
+        return F.concat(_between(F.col("blocks"), since, s["start"]), F.get(labels, s["rank"]))
 
-        whole = F.concat(F.array_join(F.transform("__matches", _shown(kind, least)), ""), F.element_at("__pieces", -1))
-        df = df.withColumn(text, F.when(F.col(text).isNotNull(), whole)).drop("__text", "__pieces", "__matches")
-    return df
+    rest = _between(F.col("blocks"), F.element_at("cut", -1)["end"], F.length(old).cast("long"))
+    new = F.when(F.size("cut") > 0, F.concat(F.array_join(F.transform("cut", shown), ""), rest)).otherwise(old)
+    return whole.select(*[new.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def listed(only_certain: bool) -> Column:
