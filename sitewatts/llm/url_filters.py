@@ -2,18 +2,19 @@
 
 Only DataFrame operations. Urls that a rule decides are the labels. For the others:
 
-1. The path tree of each host is walked level by level. A segment of digits, hex
-   digits, a date or a UUID becomes a wildcard of its class (a file ending is
-   kept); where a node has many children, the rare ones become ``*``. Segments
-   beyond MAX_DEPTH are one wildcard.
-2. Templates of a host that agree but for their literal segments are branches of
-   one family. A branch whose share of blocked labels doesn't differ significantly
-   from the family's (or that has no labels) is merged with the others like it.
-3. The share of blocked labels is smoothed from the whole table to the host, the
-   family and the template; from REJECT on a template is blocked.
-
-Work is done on (host, path) pairs after a map-side count, so repeated urls don't
-weigh on it; joins have no aggregate on top, so a hot host's rows can be split.
+1. Segments of digits, hex digits, a date or a UUID become wildcards of their class (a
+   file ending is kept). What is left of the paths of a host is its tree, of any depth.
+2. Branches of a node that don't differ are merged, from the leaves up: a literal segment becomes ``*``
+   together with its siblings unless its branch has labels and their blocked share
+   differs significantly from that of the node. A branch with no other to merge with keeps its name.
+   What is below a node doesn't change what it holds, and merging below it doesn't either, so one pass
+   over all nodes of all depths makes the same decisions as going up level by level.
+3. The share of blocked labels is smoothed from the whole table to the host and then branch by
+   branch down to the template; from REJECT on a template is blocked.
+
+The tree has a row per node, not per url: urls are counted (map-side) by host and path of
+wildcards. Nodes are keyed by the SHA-256 of their path, so deep paths stay small.
+Joins have no aggregate on top, so a hot host's rows can be split.
 
 A null url, or one without ``://``, has an empty host and path; such rows form one
 template and fit no rule. Repeated rows get equal results. Without labels nothing
@@ -29,9 +30,6 @@ from pyspark.sql import functions as F
 
 from sitewatts.llm.common import read, stored
 
-MAX_DEPTH = 8
-#: A node with so many children has its rare ones generalised: those with less than this share of its urls.
-MANY_CHILDREN, RARE_SHARE = 20, 0.05
 #: Labels that the level above counts for, z-value of a significant difference, and the share to reject from.
 SMOOTHING, SIGNIFICANT, REJECT = 4.0, 2.0, 0.8
 
@@ -92,72 +90,86 @@ def generalised(segment: Column) -> Column:
     return F.when(kind.isNotNull(), F.concat(kind, ending)).otherwise(segment)
 
 
-def templates(paths: DataFrame) -> DataFrame:
-    """``paths`` (host, path, n, ...) with the template of each path."""
-    df = paths.withColumn("segments", F.split(F.regexp_replace("path", "^/", ""), "/")).withColumn("template", F.lit(""))
-    depth = df.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(depth, MAX_DEPTH)):
-        # a path that has ended keeps its template, under a null token
-        df = df.withColumn("token", generalised(F.get("segments", F.lit(level))))
-        children = df.where("token is not null").groupBy("host", "template", "token").agg(F.sum("n").alias("child_n"))
-        children = stored(children, "children")
-        nodes = children.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum("child_n").alias("node_n"))
-        # only the children to be generalised, so this table is small where trees are regular
-        rare = (
-            children.where(~F.startswith("token", F.lit("{")) & (F.col("token") != ""))
-            .join(nodes.where(F.col("kids") >= MANY_CHILDREN), ["host", "template"])
-            .where(F.col("child_n") < RARE_SHARE * F.col("node_n"))
-            .select("host", "template", "token", F.lit("*").alias("wild"))
-        )
-        df = df.join(stored(rare, "rare"), ["host", "template", "token"], "left")
-        step = F.concat("template", F.lit("/"), F.coalesce("wild", "token"))
-        df = stored(df.withColumn("template", F.coalesce(step, F.col("template"))).drop("token", "wild"), "paths")
-    rest = F.when(F.size("segments") > MAX_DEPTH, "/{rest}").otherwise("")
-    return df.withColumn("template", F.concat("template", rest)).drop("segments")
-
-
-def judged(paths: DataFrame, reject: float = REJECT) -> DataFrame:
-    """Per host and template: family, merged, labels (blocked, all), smoothed purity and verdict.
-
-    ``paths`` has host, template, blocked and labelled (counts of labels).
+def tokens(path: Column) -> Column:
+    """The path's segments, with wildcards, put together again without the first slash."""
+    return F.array_join(F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), generalised), "/")
+
+
+def smooth(blocked: Column, labelled: Column, above: Column) -> Column:
+    """Share of blocked labels, where the level above counts as SMOOTHING labels."""
+    return (blocked + SMOOTHING * above) / (labelled + SMOOTHING)
+
+
+def _share(blocked: Column, labelled: Column) -> Column:
+    return F.coalesce(F.try_divide(blocked.cast("double"), labelled), F.lit(0.0))
+
+
+def _prefixes(column: str, out: str) -> Column:
+    """Explodes a path: (depth, key of the path above, segment), depth from 1."""
+    parts = F.split(column, "/")
+    above = lambda k: F.sha2(F.array_join(F.slice(parts, F.lit(1), k - 1), "/"), 256)
+    steps = F.transform(
+        F.sequence(F.lit(1), F.size(parts)),
+        lambda k: F.struct(k.alias("depth"), above(k).alias("above"), F.get(parts, k - 1).alias("segment")),
+    )
+    return F.explode(steps).alias(out)
+
+
+def templates(counted: DataFrame) -> DataFrame:
+    """``counted`` (host, tokens, blocked, labelled) with the template of each path."""
+    steps = counted.select("host", "tokens", "blocked", "labelled", _prefixes("tokens", "s")).select("*", "s.*").drop("s")
+    branches = steps.groupBy("host", "depth", "above", "segment").agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
+    branches = stored(branches, "branches")
+    hosts = counted.groupBy("host").agg(_share(F.sum("blocked"), F.sum("labelled")).alias("host_share"))
+    nodes = branches.groupBy("host", "depth", "above").agg(F.sum("b").alias("node_b"), F.sum("l").alias("node_l"))
+    share = smooth(F.col("node_b"), F.col("node_l"), F.col("host_share"))
+    error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-4)) / F.greatest("l", F.lit(1)))
+    apart = (F.col("l") > 0) & (F.abs(F.col("b") / F.greatest("l", F.lit(1)) - share) > SIGNIFICANT * error)
+    literal = ~F.startswith("segment", F.lit("{")) & (F.col("segment") != "")
+    like = branches.join(nodes, ["host", "depth", "above"]).join(hosts, "host").where(literal & ~apart)
+    like = stored(like.select("host", "depth", "above", "segment"), "like")
+    several = like.groupBy("host", "depth", "above").agg(F.count(F.lit(1)).alias("alike")).where("alike > 1")
+    merged = like.join(several, ["host", "depth", "above"], "left_semi").withColumn("wild", F.lit("*"))
+    named = steps.join(merged, ["host", "depth", "above", "segment"], "left")
+    segment = F.struct("depth", F.coalesce("wild", "segment").alias("segment"))
+    whole = named.groupBy("host", "tokens").agg(F.sort_array(F.collect_list(segment)).alias("segments"))
+    template = F.concat(F.lit("/"), F.array_join(F.transform("segments", lambda x: x["segment"]), "/"))
+    return counted.join(whole.select("host", "tokens", template.alias("template")), ["host", "tokens"])
+
+
+def judged(tree: DataFrame, reject: float = REJECT) -> DataFrame:
+    """Per host and template: urls, labels (blocked, all), smoothed purity and verdict.
+
+    ``tree`` has host, template, n, blocked and labelled (counts of labels).
     """
-    leaf = paths.groupBy("host", "template").agg(F.sum("n").alias("urls"), F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
-    leaf = stored(leaf.withColumn("family", F.regexp_replace("template", r"[^/{}*]+(?=/|$)", "+")), "templates")
-    total = leaf.agg(F.sum("blocked"), F.sum("labelled")).first()
-    overall = total[0] / total[1] if total[1] else 0.0
-
-    def smooth(blocked: Column, labelled: Column, above: Column) -> Column:
-        return (blocked + SMOOTHING * above) / (labelled + SMOOTHING)
-
-    hosts = leaf.groupBy("host").agg(smooth(F.sum("blocked"), F.sum("labelled"), F.lit(overall)).alias("host_share"))
-    families = leaf.groupBy("host", "family").agg(F.sum("blocked").alias("fb"), F.sum("labelled").alias("fl"))
-    families = families.join(hosts, "host").select("host", "family", smooth(F.col("fb"), F.col("fl"), F.col("host_share")).alias("share"))
-    df = leaf.join(families, ["host", "family"])
-    error = F.sqrt(F.greatest(F.col("share") * (1 - F.col("share")), F.lit(1e-4)) / F.greatest("labelled", F.lit(1)))
-    apart = (F.col("labelled") > 0) & (F.abs(F.col("blocked") / F.greatest("labelled", F.lit(1)) - F.col("share")) > SIGNIFICANT * error)
-    df = df.withColumn("merged", ~apart)
-    pool = df.where("merged").groupBy("host", "family").agg(F.sum("blocked").alias("mb"), F.sum("labelled").alias("ml"))
-    df = df.join(pool, ["host", "family"], "left")
-    own = smooth(F.col("blocked"), F.col("labelled"), F.col("share"))
-    merged = smooth(F.col("mb"), F.col("ml"), F.col("share"))
-    df = df.withColumn("purity", F.when(F.col("merged"), merged).otherwise(own))
-    return df.withColumn("judged", F.when(F.col("purity") >= reject, "block").otherwise("allow")).select(
-        "host", "template", "family", "merged", "urls", "blocked", "labelled", "purity", "judged"
+    leaf = tree.groupBy("host", "template").agg(
+        F.sum("n").alias("urls"), F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")
+    )
+    leaf = stored(leaf, "leaves")
+    overall = leaf.agg(_share(F.sum("blocked"), F.sum("labelled"))).first()[0]
+    steps = leaf.select("host", "template", "blocked", "labelled", _prefixes("template", "s")).select("*", "s.*").drop("s")
+    # depth 1 is the empty segment before the first slash: the whole host
+    nodes = steps.groupBy("host", "depth", "above", "segment").agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
+    way = steps.join(nodes, ["host", "depth", "above", "segment"]).groupBy("host", "template").agg(
+        F.sort_array(F.collect_list(F.struct("depth", "b", "l"))).alias("way")
     )
+    purity = F.aggregate("way", F.lit(float(overall or 0.0)), lambda above, x: smooth(x["b"], x["l"], above))
+    df = leaf.join(way.select("host", "template", purity.alias("purity")), ["host", "template"])
+    return df.withColumn("judged", F.when(F.col("purity") >= reject, "block").otherwise("allow"))
 
 
 def url_filter(pages: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "page_id", reject: float = REJECT) -> DataFrame:
     """One row per row of ``pages`` (key, url): key, host, path, rule, verdict, template, purity."""
-    urls = with_rule(parsed(pages, key), rules)
-    paths = urls.groupBy("host", "path").agg(
+    urls = with_rule(parsed(pages, key), rules).withColumn("tokens", tokens(F.col("path")))
+    counted = urls.groupBy("host", "tokens").agg(
         F.count("*").alias("n"),
         F.count(F.when(F.col("ruled") == "block", 1)).alias("blocked"),
         F.count("ruled").alias("labelled"),
     )
-    tree = stored(templates(stored(paths, "paths")), "tree")
+    tree = stored(templates(stored(counted, "paths")), "tree")
     verdicts = judged(tree, reject).select("host", "template", "purity", "judged")
-    by_path = stored(tree.select("host", "path", "template").join(verdicts, ["host", "template"]), "verdicts")
-    return urls.join(by_path, ["host", "path"]).select(
+    by_path = stored(tree.select("host", "tokens", "template").join(verdicts, ["host", "template"]), "verdicts")
+    return urls.join(by_path, ["host", "tokens"]).select(
         key, "host", "path", "rule", F.coalesce("ruled", "judged").alias("verdict"), "template", "purity"
     )
 
@@ -170,41 +182,22 @@ QUERIES = {"op8_url_filter": op8_url_filter}
 
 
 def _oracle() -> str:
-    """The same in DuckDB, level by level."""
+    """The same in DuckDB, on whole paths instead of their digests."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     rules = sorted(RULES, key=lambda r: (-len(r.text), r.text))
     fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in rules]
     rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, rules, strict=True))
     ruled = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, rules, strict=True))
-    ending = r"regexp_extract({0}, '(\.[A-Za-z]{{1,5}})$', 1)"
-    stem = r"regexp_replace({0}, '\.[A-Za-z]{{1,5}}$', '')"
+    ending = r"regexp_extract(seg, '(\.[A-Za-z]{1,5})$', 1)"
+    stem = r"regexp_replace(seg, '\.[A-Za-z]{1,5}$', '')"
     classes = (
-        ("{date}", "regexp_matches(stem, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')"),
-        ("{n}", "regexp_matches(stem, '^[0-9]+$')"),
-        ("{uuid}", "regexp_matches(stem, '^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$')"),
-        ("{hex}", "regexp_matches(stem, '^[0-9A-Fa-f]{8,}$') AND regexp_matches(stem, '[0-9]')"),
+        ("{date}", f"regexp_matches({stem}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')"),
+        ("{n}", f"regexp_matches({stem}, '^[0-9]+$')"),
+        ("{uuid}", f"regexp_matches({stem}, '^[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}$')"),
+        ("{hex}", f"regexp_matches({stem}, '^[0-9A-Fa-f]{{8,}}$') AND regexp_matches({stem}, '[0-9]')"),
     )
-    kinds = " ".join(f"WHEN {test} THEN '{name}' || ending" for name, test in classes)
-    levels = []
-    for k in range(1, MAX_DEPTH + 1):
-        before = f"t{k - 1}"
-        levels.append(f"""
-s{k} AS (
-  SELECT *, CASE WHEN seg IS NULL THEN NULL {kinds} ELSE seg END AS token
-  FROM (SELECT *, segments[{k}] AS seg, {ending.format(f"segments[{k}]")} AS ending, {stem.format(f"segments[{k}]")} AS stem FROM {before})
-),
-c{k} AS (SELECT host, template, token, sum(n) AS child_n FROM s{k} WHERE token IS NOT NULL GROUP BY ALL),
-n{k} AS (SELECT host, template, count(*) AS kids, sum(child_n) AS node_n FROM c{k} GROUP BY ALL),
-t{k} AS (
-  SELECT s.host, s.path, s.n, s.blocked, s.labelled, s.segments,
-         CASE WHEN s.token IS NULL THEN s.template ELSE s.template || '/' ||
-           CASE WHEN NOT starts_with(s.token, '{{') AND s.token <> '' AND m.kids >= {MANY_CHILDREN}
-                     AND c.child_n < {RARE_SHARE} * m.node_n THEN '*' ELSE s.token END END AS template
-  FROM s{k} s LEFT JOIN c{k} c ON s.host = c.host AND s.template = c.template AND s.token = c.token
-  LEFT JOIN n{k} m ON s.host = m.host AND s.template = m.template
-)""")
-    smooth = "({0} + {2}::DOUBLE * {1[1]}) / ({1[0]} + {2}::DOUBLE)"
-    mean = lambda blocked, labelled, above: smooth.format(blocked, (labelled, above), SMOOTHING)
+    kinds = " ".join(f"WHEN {test} THEN '{name}' || {ending}" for name, test in classes)
+    mean = lambda b, l, above: f"(({b}) + {SMOOTHING}::DOUBLE * ({above})) / (({l}) + {SMOOTHING}::DOUBLE)"
     return f"""
 WITH u AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -214,41 +207,58 @@ p AS (
          regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
   FROM u
 ),
-urls AS (SELECT *, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM p),
-t0 AS (
-  SELECT host, path, count(*) AS n, count(*) FILTER (WHERE ruled = 'block') AS blocked, count(ruled) AS labelled,
-         string_split(regexp_replace(path, '^/', ''), '/') AS segments, '' AS template
-  FROM urls GROUP BY host, path
-),{",".join(levels)},
-tree AS (
-  SELECT host, path, n, blocked, labelled,
-         template || CASE WHEN len(segments) > {MAX_DEPTH} THEN '/{{rest}}' ELSE '' END AS template FROM t{MAX_DEPTH}
+urls AS (
+  SELECT *, CASE {rule} END AS rule, CASE {ruled} END AS ruled,
+         list_transform(string_split(regexp_replace(path, '^/', ''), '/'), lambda seg: CASE {kinds} ELSE seg END) AS parts
+  FROM p
+),
+counted AS (
+  SELECT host, parts, count(*) AS n, count(*) FILTER (WHERE ruled = 'block') AS blocked, count(ruled) AS labelled
+  FROM urls GROUP BY host, parts
+),
+steps AS (
+  SELECT host, parts, blocked, labelled, k, parts[1:k - 1] AS above, parts[k] AS seg
+  FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS k FROM counted)
 ),
-leaf AS (
-  SELECT host, template, regexp_replace(template, '[^/{{}}*]+(/|$)', '+\\1', 'g') AS family,
-         CAST(sum(blocked) AS DOUBLE) AS blocked, CAST(sum(labelled) AS DOUBLE) AS labelled
-  FROM tree GROUP BY host, template
+branches AS (SELECT host, above, seg, sum(blocked) AS b, sum(labelled) AS l FROM steps GROUP BY ALL),
+hosts AS (
+  SELECT host, CASE WHEN sum(labelled) > 0 THEN CAST(sum(blocked) AS DOUBLE) / sum(labelled) ELSE 0 END AS host_share
+  FROM counted GROUP BY host
 ),
-o AS (SELECT CASE WHEN sum(labelled) > 0 THEN sum(blocked) / sum(labelled) ELSE 0 END AS overall FROM leaf),
-hosts AS (SELECT host, {mean("sum(blocked)", "sum(labelled)", "any_value(overall)")} AS host_share FROM leaf, o GROUP BY host),
-families AS (
-  SELECT l.host, family, {mean("sum(blocked)", "sum(labelled)", "any_value(host_share)")} AS share
-  FROM leaf l JOIN hosts h ON l.host = h.host GROUP BY l.host, family
+nodes AS (
+  SELECT host, above, {mean("sum(b)", "sum(l)", "any_value(host_share)")} AS share
+  FROM branches JOIN hosts USING (host) GROUP BY host, above
+),
+alike AS (
+  SELECT host, above, seg, count(*) OVER (PARTITION BY host, above) AS alike
+  FROM branches JOIN nodes USING (host, above)
+  WHERE NOT starts_with(seg, '{{') AND seg <> ''
+    AND NOT (l > 0 AND abs(CAST(b AS DOUBLE) / greatest(l, 1) - share)
+             > {SIGNIFICANT}::DOUBLE * sqrt(greatest(share * (1 - share), 1e-4::DOUBLE) / greatest(l, 1)))
+),
+tree AS (
+  SELECT s.host, s.parts, any_value(s.blocked) AS blocked, any_value(s.labelled) AS labelled,
+         list('' || CASE WHEN a.alike > 1 THEN '*' ELSE s.seg END ORDER BY s.k) AS names
+  FROM steps s LEFT JOIN alike a ON s.host = a.host AND s.above = a.above AND s.seg = a.seg
+  GROUP BY s.host, s.parts
 ),
-d AS (
-  SELECT l.*, share, NOT (labelled > 0 AND abs(blocked / greatest(labelled, 1) - share)
-           > {SIGNIFICANT}::DOUBLE * sqrt(greatest(share * (1 - share), 1e-4::DOUBLE) / greatest(labelled, 1))) AS merged
-  FROM leaf l JOIN families f ON l.host = f.host AND l.family = f.family
+leaf AS (SELECT host, names, sum(blocked) AS blocked, sum(labelled) AS labelled FROM tree GROUP BY host, names),
+way AS (
+  SELECT host, names, blocked, labelled, names[1:k] AS prefix, k
+  FROM (SELECT *, unnest(range(0, len(names) + 1)) AS k FROM leaf)
 ),
-pool AS (SELECT host, family, sum(blocked) AS mb, sum(labelled) AS ml FROM d WHERE merged GROUP BY host, family),
+sums AS (SELECT host, prefix, CAST(sum(blocked) AS DOUBLE) AS b, CAST(sum(labelled) AS DOUBLE) AS l FROM way GROUP BY host, prefix),
+o AS (SELECT CASE WHEN sum(labelled) > 0 THEN CAST(sum(blocked) AS DOUBLE) / sum(labelled) ELSE 0 END AS overall FROM leaf),
 judged AS (
-  SELECT d.host, d.template, CASE WHEN merged THEN {mean("mb", "ml", "share")} ELSE {mean("blocked", "labelled", "share")} END AS purity
-  FROM d LEFT JOIN pool ON d.host = pool.host AND d.family = pool.family
+  SELECT host, names,
+         list_reduce(list_prepend({{'b': any_value(overall), 'l': 0::DOUBLE}}, list({{'b': b, 'l': l}} ORDER BY k)),
+                     lambda x, y: {{'b': {mean("y.b", "y.l", "x.b")}, 'l': 0::DOUBLE}}).b AS purity
+  FROM way JOIN sums USING (host, prefix), o GROUP BY host, names
 )
 SELECT page_id, urls.host, urls.path, rule, coalesce(ruled, CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
-       tree.template, purity
-FROM urls JOIN tree ON urls.host = tree.host AND urls.path = tree.path
-JOIN judged ON tree.host = judged.host AND tree.template = judged.template
+       '/' || array_to_string(tree.names, '/') AS template, purity
+FROM urls JOIN tree ON urls.host = tree.host AND urls.parts = tree.parts
+JOIN judged ON tree.host = judged.host AND tree.names = judged.names
 """
 
 

@@ -32,59 +32,53 @@ def token(segment):
     return segment
 
 
-def brute(urls):
-    """Verdicts by the method's definition, on plain Python lists."""
-    rows = [(*parsed(u), None) for u in urls]
-    rows = [(host, path, rule(host, path)) for host, path, _ in rows]
-    template = {(host, path): "" for host, path, _ in rows}
-    for level in range(uf.MAX_DEPTH):
-        child = {}
-        for (host, path), t in template.items():
-            segments = path.removeprefix("/").split("/")
-            if level < len(segments):
-                child[host, path] = (host, t, token(segments[level]))
-        counts, nodes = {}, {}
-        for host, path, _ in rows:
-            key = child.get((host, path))
-            if key:
-                counts[key] = counts.get(key, 0) + 1
-                nodes.setdefault(key[:2], set()).add(key[2])
-        for at, key in child.items():
-            total = sum(counts[(*key[:2], k)] for k in nodes[key[:2]])
-            rare = len(nodes[key[:2]]) >= uf.MANY_CHILDREN and counts[key] < uf.RARE_SHARE * total
-            wild = rare and key[2] and not key[2].startswith("{")
-            template[at] = key[1] + "/" + ("*" if wild else key[2])
-    for (host, path), t in template.items():
-        if len(path.removeprefix("/").split("/")) > uf.MAX_DEPTH:
-            template[host, path] = t + "/{rest}"
-    leaf = {}
-    for host, path, r in rows:
-        b, n = leaf.get((host, template[host, path]), (0, 0))
-        leaf[host, template[host, path]] = (b + (r is not None and r.verdict == "block"), n + (r is not None))
-    family = {k: (k[0], re.sub(r"[^/{}*]+(?=/|$)", "+", k[1])) for k in leaf}
-    total = [sum(v[k] for v in leaf.values()) for k in (0, 1)]
-    overall = total[0] / total[1] if total[1] else 0.0
+def brute(urls, rules=uf.RULES):
+    """Verdicts by the method's definition, going up the tree level by level, on plain Python lists."""
+    rows = [parsed(u) for u in urls]
+    rows = [(host, path, rule(host, path, rules)) for host, path in rows]
+    names = {(host, path): [token(x) for x in path.removeprefix("/").split("/")] for host, path, _ in rows}
+    marks = [(r is not None and r.verdict == "block", r is not None) for _, _, r in rows]
     smooth = lambda b, n, above: (b + uf.SMOOTHING * above) / (n + uf.SMOOTHING)
-    add = lambda keys: [sum(leaf[k][j] for k in keys) for j in (0, 1)]
-    share, purity, merged = {}, {}, {}
-    for k in leaf:
-        host = smooth(*add([x for x in leaf if x[0] == k[0]]), overall)
-        share[k] = smooth(*add([x for x in leaf if family[x] == family[k]]), host)
-        b, n = leaf[k]
-        error = (max(share[k] * (1 - share[k]), 1e-4) / max(n, 1)) ** 0.5
-        merged[k] = not (n > 0 and abs(b / n - share[k]) > uf.SIGNIFICANT * error)
-    for k in leaf:
-        keys = [x for x in leaf if family[x] == family[k] and merged[x]] if merged[k] else [k]
-        purity[k] = smooth(*add(keys), share[k])
+
+    def sums(key):
+        out = {}
+        for row, m in zip(rows, marks, strict=True):
+            k = key(row)
+            if k is not None:
+                b, n = out.get(k, (0, 0))
+                out[k] = (b + m[0], n + m[1])
+        return out
+
+    hosts = {h: b / n if n else 0.0 for h, (b, n) in sums(lambda r: r[0]).items()}
+    for level in reversed(range(max(map(len, names.values()), default=0))):
+        deep = lambda r, level=level: len(names[r[:2]]) > level
+        nodes = sums(lambda r: (r[0], *names[r[:2]][:level]) if deep(r) else None)
+        alike = {}
+        for (host, *way), (b, n) in sums(lambda r: (r[0], *names[r[:2]][: level + 1]) if deep(r) else None).items():
+            share = smooth(*nodes[host, *way[:-1]], hosts[host])
+            error = (max(share * (1 - share), 1e-4) / max(n, 1)) ** 0.5
+            if way[-1] and not way[-1].startswith("{") and not (n and abs(b / n - share) > uf.SIGNIFICANT * error):
+                alike.setdefault((host, *way[:-1]), set()).add(way[-1])
+        for (host, _), way in names.items():
+            if len(way) > level and way[level] in alike.get((host, *way[:level]), ()) and len(alike[host, *way[:level]]) > 1:
+                way[level] = "*"
+    total = [sum(m[k] for m in marks) for k in (0, 1)]
+    overall = total[0] / total[1] if total[1] else 0.0
+    prefixes = {}
+    for level in range(1 + max(map(len, names.values()), default=0)):
+        prefixes |= sums(lambda r, level=level: (r[0], *names[r[:2]][:level]) if len(names[r[:2]]) >= level else None)
     out = []
     for host, path, r in rows:
-        p = purity[host, template[host, path]]
-        out.append((host, path, r.text if r else None, r.verdict if r else "block" if p >= uf.REJECT else "allow", template[host, path], p))
+        p, way = overall, names[host, path]
+        for level in range(len(way) + 1):
+            p = smooth(*prefixes[host, *way[:level]], p)
+        verdict = r.verdict if r else "block" if p >= uf.REJECT else "allow"
+        out.append((host, path, r.text if r else None, verdict, "/" + "/".join(way), p))
     return out
 
 
-def check(urls, out):
-    want = {k: v for k, v in enumerate(brute(urls))}
+def check(urls, out, rules=uf.RULES):
+    want = dict(enumerate(brute(urls, rules)))
     assert len(out) == len(urls)
     for r in out:
         host, path, text, verdict, template, purity = want[r.page_id]
@@ -113,6 +107,30 @@ def test_odd_urls_and_trees(spark, extra):
     out = uf.url_filter(df).collect()
     check(urls, out)
     by = {r.page_id: r for r in out}
-    assert any(r.template == "/p/*/{n}.html" for r in by.values()) and any(r.template == "/p/best/{n}.html" for r in by.values())
+    assert {r.template for r in by.values() if r.host == "shop.com"} == {"/p/*/{n}.html"}
+    assert any(r.template == "/*" + "/s" * 29 for r in by.values())
     assert [r.verdict for r in by.values() if r.host == "bad.com" and r.path.startswith("/en/")] == ["block"] * 8
     assert uf.url_filter(h.frame(spark, [], "page_id long, url string")).count() == 0
+
+
+def test_branches_are_told_apart_at_any_depth(spark):
+    """What lies below the ninth segment, and siblings from two on, whatever their number."""
+    deep = "/a/b/c/d/e/f/g/h"
+    rules = (uf.Rule("block", "x.com", f"{deep}/bad/old"), uf.Rule("allow", "x.com", f"{deep}/good/old"), uf.Rule("block", "y.com", "/s1/"),
+             uf.Rule("allow", "y.com", "/s2/a"))
+    urls = [f"http://x.com{deep}/{kind}/{age}/{k}" for kind in ("bad", "good", "none") for age in ("old", "new") for k in range(10)]
+    urls += [f"http://y.com/s{k}/{age}/{j}" for k in range(1, 20) for age in "ab" for j in range(6)]
+    out = uf.url_filter(h.frame(spark, list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    check(urls, out, rules)
+    verdicts = {}
+    for r in out:
+        verdicts.setdefault((r.host, r.path.split("/")[-3]), set()).add(r.verdict)
+    assert verdicts["x.com", "bad"] == {"block"} and verdicts["x.com", "good"] == {"allow"} == verdicts["x.com", "none"]
+    assert {r.template for r in out if "/none/" in r.path} == {f"{deep}/none/*/{{n}}"}
+    assert {r.template for r in out if r.host == "y.com"} == {"/s1/*/{n}", "/s2/*/{n}", "/*/*/{n}"}
+
+
+def test_a_very_deep_path(spark):
+    urls = ["http://x.com" + "/s" * 3000, "http://x.com" + "/s" * 2000 + "/t" * 1000]
+    got = {r.page_id: r.template for r in uf.url_filter(h.frame(spark, list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert got[0] == "/s" * 2000 + "/*" + "/s" * 999 and got[1] == "/s" * 2000 + "/*" + "/t" * 999
