@@ -4,7 +4,9 @@ Two texts are linked if the probability Jaccard similarity of their
 count-weighted five-word shingles, or the plain Jaccard similarity of the
 shingle sets, is at least the threshold (0.8). For texts without repeated
 shingles both are the same number. A class is a connected component of links
-and exact copies; its id is the smallest doc_id in it.
+and exact copies; its id is the smallest doc_id in it. Texts are told apart by their
+words, not by doc_id: rows that share a doc_id but not a text are judged each on its own
+(so two classes may have one id as their smallest).
 
 Steps (everything stays in Spark tables; nothing of a document comes to the driver):
 
@@ -27,10 +29,11 @@ Steps (everything stays in Spark tables; nothing of a document comes to the driv
    both sets of registers are far apart; the others are verified exactly. Only links
    leave the task, never pairs.
 
-Null and empty texts, and texts without words, have no shingles: each is its
-own class. Repeated rows with the same doc_id fall into one class and give one
-row each. A row without doc_id has a null class_id, size 1, and is kept. An
-empty table gives an empty result.
+Null and empty texts, and texts without words, have no shingles: each doc_id of such is a
+class of its own. Rows that repeat doc_id and text fall into one class and give one
+row each, with equal results. A row without doc_id has a null class_id, size 1, and is kept. An
+empty table gives an empty result. Other columns, however named, are ignored, and kept by
+``without_copies``.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewatts.llm.common import (
@@ -118,6 +121,29 @@ def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, rows: i
     return out
 
 
+def _text_keys(row: np.ndarray, word: np.ndarray, rows: int) -> pa.Array:
+    """A 128-bit hash of each row's words in their order; null where a row has none."""
+    start = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+    place = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
+    key = np.zeros((rows, 2), np.uint64)
+    for k, salt in enumerate((np.uint64(11), np.uint64(13))):
+        if len(row):
+            key[row[start], k] = np.add.reduceat(mix(word + mix(place.astype(np.uint64) * salt + salt)), start)
+    has = np.bincount(row, minlength=rows) > 0
+    return pa.array([x.tobytes() if ok else None for x, ok in zip(key, has, strict=True)], pa.binary())
+
+
+def text_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` (row, doc_id, text) as row, doc_id and text_key."""
+
+    def fn(batch: pa.RecordBatch) -> dict:
+        keys = _text_keys(*hashed_words(batch.column("text")), batch.num_rows)
+        return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "text_key": keys}
+
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    return map_rows(docs, fn, f"row {kinds['row']}, doc_id {kinds['doc_id']}, text_key binary")
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, text_key (hash of the words), bands, signature (two bytes a register), plain; nulls without words.
 
@@ -136,22 +162,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         twice = repeats[srow]
         flat = sig.copy()
         flat[repeats] = signatures(srow[twice], shingle[twice], np.ones(int(twice.sum()), np.int64), n)[repeats]
-        start = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
-        place = np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row))))
-        keys = []
-        for salt in (np.uint64(11), np.uint64(13)):
-            key = np.zeros(n, np.uint64)
-            if len(row):
-                key[row[start]] = np.add.reduceat(mix(word + mix(place.astype(np.uint64) * salt + salt)), start)
-            keys.append(key)
-        key = np.stack(keys, axis=1)
         bands = [b if ok else None for b, ok in zip(_bands(sig).view(np.int64), has, strict=True)]
         for r, more in zip(np.flatnonzero(repeats).tolist(), _bands(flat[repeats]).view(np.int64), strict=True):
             bands[r] = np.union1d(bands[r], more)
         low, flat_low = (x.astype(np.uint16).astype("<u2") for x in (sig, flat))
         return {
             "doc_id": batch.column("doc_id"),
-            "text_key": pa.array([k.tobytes() if ok else None for k, ok in zip(key, has, strict=True)], pa.binary()),
+            "text_key": _text_keys(row, word, n),
             "bands": pa.array(bands, pa.list_(pa.int64())),
             "signature": pa.array([s.tobytes() if ok else None for s, ok in zip(low, has, strict=True)], pa.binary()),
             "plain": pa.array([s.tobytes() if ok else None for s, ok in zip(flat_low, repeats, strict=True)], pa.binary()),
@@ -169,18 +186,18 @@ def _bands(sig: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, shingles (sorted), counts."""
+    """text_key, shingles (sorted), counts."""
 
     def fn(batch: pa.RecordBatch) -> dict:
         row, shingle, count = weighted(batch.column("text"))
         ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
         return {
-            "doc_id": batch.column("doc_id"),
+            "text_key": _text_keys(*hashed_words(batch.column("text")), batch.num_rows),
             "shingles": pa.ListArray.from_arrays(ends, pa.array(shingle.view(np.int64))),
             "counts": pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int32))),
         }
 
-    return map_rows(docs, fn, "doc_id long, shingles array<long>, counts array<int>")
+    return map_rows(docs, fn, "text_key binary, shingles array<long>, counts array<int>")
 
 
 def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> tuple[float, float]:
@@ -213,10 +230,10 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = (
         pairs.join(parts, "pivot")
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
-        .join(sets.select(F.col("doc_id").alias("id"), "shingles", "counts"), "id")
+        .join(sets, "id")
     )
     right = (
-        parts.join(sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("ps"), F.col("counts").alias("pc")), "pivot")
+        parts.join(sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("ps"), F.col("counts").alias("pc")), "pivot")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
         .drop("salts")
     )
@@ -286,7 +303,7 @@ def _family_links(compared: DataFrame, prints: DataFrame, sets: DataFrame, comp:
         compared.select(F.col("pivot").alias("id"), "pivot", F.lit(1.0).alias("weighted"), F.lit(1.0).alias("plain"))
     ).distinct()
     members = members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    lengths = sets.select(F.col("doc_id").alias("id"), F.size("shingles").alias("length"))
+    lengths = sets.select("id", F.size("shingles").alias("length"))
     families = members.join(lengths, "id").groupBy("pivot").agg(
         F.min("component").alias("lo"),
         F.max("component").alias("hi"),
@@ -298,8 +315,8 @@ def _family_links(compared: DataFrame, prints: DataFrame, sets: DataFrame, comp:
     open_rows = (
         members.join(families, "pivot")
         .withColumn("block", F.pmod(F.xxhash64("id", "pivot"), F.col("blocks")).cast("int"))
-        .join(prints.select(F.col("doc_id").alias("id"), "signature", F.col("plain").alias("flat")), "id")
-        .join(sets.select(F.col("doc_id").alias("id"), "shingles", "counts"), "id")
+        .join(prints.select("id", "signature", F.col("plain").alias("flat")), "id")
+        .join(sets, "id")
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "id", "component", "weighted", "plain", "signature", "flat", "shingles", "counts", "pivot",
@@ -309,23 +326,22 @@ def _family_links(compared: DataFrame, prints: DataFrame, sets: DataFrame, comp:
     return open_rows.groupBy("pivot", "a", "b").applyInPandas(_block_links, "u long, v long")
 
 
-def near_dups(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, class_id, class_size, kept.
+def _repeated(prints: DataFrame) -> DataFrame:
+    """doc_ids of several rows."""
+    return prints.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
 
-    ``kept`` is true for the document whose id is the class id. See the module
-    text for the definition of a class and for odd inputs.
-    """
-    docs = columns(docs, "doc_id", "text")
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, class_id, class_size, kept for each row; rows that repeat doc_id and text have equal results."""
     prints = stored(fingerprints(docs), "prints")
-    worded = prints.where("text_key is not null")
-    reps = stored(
-        worded.groupBy("text_key").agg(
-            F.min("doc_id").alias("doc_id"), *[F.any_value(c).alias(c) for c in ("bands", "signature", "plain")]
-        ),
-        "reps",
+    worded = prints.where("text_key is not null and doc_id is not null")
+    reps = worded.groupBy("text_key").agg(
+        F.min("doc_id").alias("doc_id"), *[F.any_value(c).alias(c) for c in ("bands", "signature", "plain")]
     )
+    # stored, so that a text keeps its number
+    reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
     # one row per band and representative
-    keys = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    keys = reps.select("id", F.explode("bands").alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = stored(keys.join(shared, "bucket"), "met")
     score = met.groupBy("id").agg(F.sum("n").alias("score"))
@@ -335,41 +351,73 @@ def near_dups(docs: DataFrame) -> DataFrame:
     )
     # stored, so that both sides of the next join are dealt anew and a hot bucket can be split
     pairs = stored(met.join(stored(pivots, "pivots"), "bucket").where("id <> pivot").select("id", "pivot").distinct(), "pairs")
-    wanted = pairs.select("id").union(pairs.select("pivot")).distinct()
-    # of several rows with one doc_id, the one whose words gave the representative
-    sources = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
-    sets = stored(shingle_sets(sources), "sets")
+    wanted = reps.join(pairs.select("id").union(pairs.select("pivot")).distinct(), "id", "left_semi")
+    wanted = stored(wanted.select("id", "text_key", "doc_id"), "wanted")
+    sources = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    repeated = stored(_repeated(prints), "repeated")
+    if not repeated.isEmpty():
+        again = sources.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        sources = sources.join(repeated, "doc_id", "left_anti").unionByName(again)
+    # of several texts under one doc_id those that are wanted; of several spellings of the same words one
+    sets = shingle_sets(sources).join(wanted.select("text_key", "id"), "text_key").drop("text_key")
+    if not repeated.isEmpty():
+        sets = sets.dropDuplicates(["id"])
+    sets = stored(sets.select("id", "shingles", "counts"), "sets")
     compared = stored(_compared(pairs, sets), "compared")
     links = compared.where(F.greatest("weighted", "plain") >= THRESHOLD).select(F.col("id").alias("u"), F.col("pivot").alias("v"))
     first = components(links)
     more = stored(_family_links(compared, reps, sets, first), "links")
     final = components(first.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more))
 
-    classes = reps.select("text_key", F.col("doc_id").alias("id")).join(final, "id", "left").select(
-        "text_key", F.coalesce("component", "id").alias("class_id")
+    texts = reps.select("text_key", "id").join(final, "id", "left").select("text_key", F.coalesce("component", "id").alias("class"))
+    found = prints.select("doc_id", "text_key").join(texts, "text_key", "left")
+    # a class's first row; texts without words are classes by doc_id. Stored, so that a large class can be split in the join
+    top = F.min(F.struct("doc_id", "text_key"))
+    sizes = found.where("doc_id is not null").groupBy("class", F.when(F.col("class").isNull(), F.col("doc_id")).alias("alone"))
+    sizes = stored(sizes.agg(F.count("*").alias("class_size"), top.alias("top")), "sizes")
+    some = sizes.where("class is not null").select("class", "class_size", "top")
+    none = sizes.where("class is null").select(F.col("alone").alias("doc_id"), "class_size")
+    with_words = found.where("class is not null and doc_id is not null").join(some, "class").select(
+        "doc_id", "text_key", F.col("top.doc_id").alias("class_id"), "class_size",
+        ((F.col("doc_id") == F.col("top.doc_id")) & (F.col("text_key") == F.col("top.text_key"))).alias("kept"),
+    )
+    without = found.where("class is null and doc_id is not null").join(none, "doc_id").select(
+        "doc_id", "text_key", F.col("doc_id").alias("class_id"), "class_size", F.lit(True).alias("kept")
     )
-    found = prints.select("doc_id", "text_key").join(classes, "text_key", "left")
-    found = found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    # stored, so that a large class can be split in the join
-    sizes = stored(found.groupBy("class_id").agg(F.count("*").alias("class_size")), "sizes")
-    return found.join(sizes, "class_id", "left").select(
-        "doc_id",
-        "class_id",
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"),
+    nameless = prints.where("doc_id is null").select(
+        "doc_id", "text_key", F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
     )
+    return with_words.unionByName(without).unionByName(nameless)
+
+
+def near_dups(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, class_id, class_size, kept.
+
+    ``kept`` is true for the row whose doc_id is the class id (of several the one with the smallest hash of
+    its words). See the module text for the definition of a class and for odd inputs.
+    """
+    return _classed(columns(docs, "doc_id", "text")).drop("text_key")
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """One row of each class of ``docs`` (any columns, among them doc_id and text): its smallest doc_id's.
 
-    Of rows with one doc_id the one with the smallest hash of the text stays; rows
-    without doc_id stay.
+    Rows without doc_id stay. Of rows that repeat doc_id and words one stays.
     """
-    gone = near_dups(docs).where("not kept").select(F.col("doc_id").alias("__gone"))
-    left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
-    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return left.withColumn("__copy", copy).where("doc_id is null or __copy = 1").drop("__copy")
+    judged = stored(_classed(columns(docs, "doc_id", "text")), "classed")
+    whole = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    nameless = whole.where("doc_id is null").select("row.*")
+    named = whole.where("doc_id is not null")
+    repeated = stored(_repeated(judged), "repeated")
+    gone = judged.where("not kept").select("doc_id")
+    if repeated.isEmpty():
+        return named.join(gone, "doc_id", "left_anti").select("row.*").unionByName(nameless)
+    once = named.join(repeated, "doc_id", "left_anti").join(gone, "doc_id", "left_anti").select("row.*")
+    # an id of several rows: which of its texts stays
+    stay = judged.where("kept").join(repeated, "doc_id", "left_semi").select("doc_id", F.coalesce("text_key", F.lit(b"")).alias("text_key"))
+    again = text_keys(named.join(repeated, "doc_id", "left_semi")).withColumn("text_key", F.coalesce("text_key", F.lit(b"")))
+    again = again.join(stay.distinct(), ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return once.unionByName(again.select("row.*")).unionByName(nameless)
 
 
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
