@@ -5,7 +5,8 @@
    frequencies are counted over all texts; a weight is at least FLOOR, so a passage
    that very many texts share stays visible, and at most CEILING; words that many
    items of different words have (stop words) weigh nothing.
-2. The benchmark goes to all texts in blocks of at most BLOCK_PASSAGES passages. A
+2. The benchmark is taken in blocks of at most BLOCK_PASSAGES passages; as many blocks as
+   PASS_BYTES of tables hold go to the texts in one pass over them. A
    randomised SVD finds the latent directions of a block's TF-IDF passages; tasks
    multiply their passages with a thin matrix and sum up what they get. The rank is
    the smallest that leaves every passage KEEP of its length, so each item can be
@@ -24,11 +25,15 @@
    PARAPHRASE on it counts if the answer (the item's ``answer`` column, else its last
    sentence) is there too, to ANSWER of its words in order.
 
+5. Items of fewer than LEAST_WORDS words are found exactly: all their words in a row, and the
+   answer near, if the item has one of its own. Fewer than LEAST_EXACT words without an
+   answer of their own stand in any text by chance: such items (and null and empty ones)
+   aren't searched.
+
 Texts are never shuffled.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters,
-lower-cased. Items of fewer than LEAST_WORDS words (null and empty ones too) can't
-be told from chance and aren't searched. Null and empty texts hold nothing.
+lower-cased. Null and empty texts hold nothing.
 Repeated rows and repeated items are reported each. Of several places in a text the
 best counts, the first of equals. An empty table on either side gives an empty result.
 """
@@ -58,7 +63,9 @@ BLOCK_PASSAGES = 512
 KEEP, POWERS, SEED = 0.7, 2, 7
 CANDIDATE = 0.25
 COPY, PARAPHRASE, ANSWER = 0.85, 0.6, 0.8
-LEAST_WORDS = 8
+LEAST_WORDS, LEAST_EXACT = 8, 4
+#: Bytes of the blocks' tables that one pass over the texts takes along.
+PASS_BYTES = 64 << 20
 #: Words in a row that make a place a candidate for an item that its weights may not find.
 RUN = 3
 #: Rows of the thin matrix that are shuffled together, and windows that are searched together.
@@ -216,10 +223,10 @@ def weak(weights: np.ndarray) -> bool:
     return bool(np.maximum(*reach).min() < CANDIDATE)
 
 
-def runs(word: np.ndarray) -> np.ndarray:
-    """The hash of the RUN words that begin at each place but the last ones."""
-    out = np.zeros(max(0, len(word) - RUN + 1), np.uint64)
-    for j in range(RUN):
+def runs(word: np.ndarray, n: int = RUN) -> np.ndarray:
+    """The hash of the ``n`` words that begin at each place but the last ones."""
+    out = np.zeros(max(0, len(word) - n + 1), np.uint64)
+    for j in range(n):
         out = mix(out * np.uint64(31) + word[j : j + len(out)])
     return out
 
@@ -256,6 +263,30 @@ class Items:
         self.run_owner = np.array([k for _, k in sorted(pairs)], np.int64)
         self.run_bits = np.zeros(DIMENSIONS, bool)
         self.run_bits[dims(self.runs)] = True
+        #: Short items by their number of words: hash of all of them -> items.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for k, (_, text, answer) in enumerate(rows):
+            n = len(self.words[k])
+            own = answer != last_sentence(text) and len(self.answers[k]) > 0
+            if (1 if own else LEAST_EXACT) <= n < LEAST_WORDS:
+                self.short.setdefault(n, {}).setdefault(int(runs(self.words[k], n)[0]), []).append(k)
+
+    @property
+    def size(self) -> int:
+        """Bytes of the tables."""
+        return self.table.nbytes + self.vectors.nbytes + self.runs.nbytes + self.run_owner.nbytes
+
+    def short_places(self, row: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(place of a word, short item) where all words of the item stand in a row."""
+        for n, items in self.short.items():
+            if len(word) < n:
+                continue
+            found = runs(word, n)
+            at = np.flatnonzero(np.isin(found, np.fromiter(items, np.uint64, len(items))) & (row[: len(found)] == row[n - 1 :]))
+            for place in at.tolist():
+                for k in items[int(found[place])]:
+                    if np.array_equal(word[place : place + n], self.words[k]):
+                        yield place, k
 
     def run_places(self, row: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
         """(place of a word, weak item) where a run of the item begins; one of each WINDOW places."""
@@ -318,8 +349,8 @@ def _matches(text: pa.Array, items: Items, weight: np.ndarray) -> dict[tuple[int
 
     def compare(r: int, k: int, start: int, cosine: float | None) -> None:
         key = (r, k)
-        if key in best and best[key][1] >= COPY:
-            return
+        if key in best and best[key][1:3] == (1.0, 1.0):
+            return  # no place is better
         low = max(passages.first_word[r], start - lengths[k])
         high = min(passages.first_word[r] + passages.counts[r], start + WINDOW + lengths[k])
         got = checked(*items.told[k], passages.words[low:high].tolist())
@@ -331,6 +362,14 @@ def _matches(text: pa.Array, items: Items, weight: np.ndarray) -> dict[tuple[int
     for place, k in items.run_places(row, word):
         # the first of the places that one of WINDOW stands for, so that all of them are in the surroundings
         compare(int(row[place]), k, place, None)
+    for place, k in items.short_places(row, word):
+        r = int(row[place])
+        low = max(passages.first_word[r], place - WINDOW)
+        answer = items.told[k][2]
+        around = passages.words[low : min(passages.first_word[r] + passages.counts[r], place + 2 * WINDOW)].tolist()
+        told = common_subsequence(answer, around) / len(answer) if answer else 1.0
+        if (r, k) not in best or told > best[r, k][2]:
+            best[r, k] = (None, 1.0, told, told >= ANSWER)
     return best
 
 
@@ -348,15 +387,16 @@ def _latent(passages: Passages, items: Items, weight: np.ndarray, compare: Calla
             compare(int(passages.half_row[half]), k, int(passages.half_start[half]), float(cosine[w, q]))
 
 
-def _search(docs: DataFrame, items: Items, weight: np.ndarray, only_found: bool) -> DataFrame:
+def _search(docs: DataFrame, group: list[Items], weight: np.ndarray, only_found: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "cosine", "lcs", "answer", "contaminated")}
             names = batch.column("doc_id").to_pylist()
-            for (r, k), (cosine, share, told, found) in sorted(_matches(batch.column("text"), items, weight).items()):
-                if found or not only_found:
-                    for c, v in zip(out, (names[r], items.ids[k], cosine, share, told, found), strict=True):
-                        out[c].append(v)
+            for items in group:
+                for (r, k), (cosine, share, told, found) in sorted(_matches(batch.column("text"), items, weight).items()):
+                    if found or not only_found:
+                        for c, v in zip(out, (names[r], items.ids[k], cosine, share, told, found), strict=True):
+                            out[c].append(v)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, v), t in zip(out.items(), kinds, strict=True)})
 
@@ -382,8 +422,8 @@ def last_sentence(text: str) -> str:
     return parts[-1] if parts else ""
 
 
-def indexed(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Items, np.ndarray]]:
-    """The fitted blocks of the benchmark (item_id, text, perhaps answer), with the weights of words."""
+def indexed(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[list[Items], np.ndarray]]:
+    """The fitted blocks of the benchmark (item_id, text, perhaps answer), those of one pass together, with the weights of words."""
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit(None).cast("string")
     benchmark = benchmark.select("item_id", "text", answer.alias("answer"))
     frequency, n = document_frequency(docs)
@@ -394,11 +434,17 @@ def indexed(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Items, np.n
     weight[in_items > max(STOP_SHARE * n_items, STOP_ITEMS)] = 0
     weight = weight.astype(np.float32)
     rows = ((r["item_id"], r["text"] or "", r["answer"] or last_sentence(r["text"] or "")) for r in benchmark.toLocalIterator())
+    group: list[Items] = []
     for block in blocks(rows):
         items = Items(block, weight)
         items.fit(docs.sparkSession, weight)
-        if len(items.vectors) or items.weak:
-            yield items, weight
+        if len(items.vectors) or items.weak or items.short:
+            if group and sum(i.size for i in group) + items.size > PASS_BYTES:
+                yield group, weight
+                group = []
+            group.append(items)
+    if group:
+        yield group, weight
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, only_found: bool = True) -> DataFrame:
@@ -410,26 +456,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, only_found: bool = True)
     docs = columns(docs, "doc_id", "text")
     schema = "doc_id long, item_id long, cosine double, lcs double, answer double, contaminated boolean"
     out = docs.sparkSession.createDataFrame([], schema)
-    for items, weight in indexed(docs, benchmark):
-        out = out.unionByName(_search(docs, items, weight, only_found))
+    for group, weight in indexed(docs, benchmark):
+        out = out.unionByName(_search(docs, group, weight, only_found))
     return out
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (any columns, among them text) that hold no benchmark item; nothing is shuffled."""
 
-    def kept(df: DataFrame, items: Items, weight: np.ndarray) -> DataFrame:
+    def kept(df: DataFrame, group: list[Items], weight: np.ndarray) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "carried"):
-                bad = {r for (r, _), got in _matches(field(batch, "carried", "text"), items, weight).items() if got[3]}
+                text = field(batch, "carried", "text")
+                bad = {r for items in group for (r, _), got in _matches(text, items, weight).items() if got[3]}
                 yield batch.filter(pa.array([r not in bad for r in range(batch.num_rows)]))
 
         return df.mapInArrow(run, df.schema)
 
     # the row travels as one struct, whatever its columns are called
     out = docs.select(F.struct("*").alias("carried"))
-    for items, weight in indexed(docs, benchmark):
-        out = kept(out, items, weight)
+    for group, weight in indexed(docs, benchmark):
+        out = kept(out, group, weight)
     return out.select("carried.*")
 
 

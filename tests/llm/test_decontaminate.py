@@ -67,7 +67,9 @@ def test_recall_of_copies_at_any_place_and_of_paraphrases(spark):
     bench = h.frame(spark, [(k, " ".join(w)) for k, w in items], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in dc.contaminated(h.frame(spark, rows), bench).collect()}
     assert sum((k, k) in got for k, _ in items) >= 0.99 * len(items)
-    assert sum((1000 + k, k) in got for k, _ in items) >= 0.9 * len(items)
+    paraphrases = sum((1000 + k, k) in got for k, _ in items)
+    print(f"{paraphrases} of {len(items)} paraphrases found")
+    assert paraphrases >= 0.9 * len(items)
     assert not any(i >= 2000 for i, _ in got)
 
 
@@ -128,3 +130,42 @@ def test_repeated_and_templated_items_are_found_in_other_prose(spark):
     assert want <= got
     assert all(i >= 1000 for i, _ in got)
     assert {r.doc_id for r in dc.without_contaminated(docs, bench).collect()} == set(range(200))
+
+
+def test_short_items_are_found_exactly(spark):
+    items = [(1, "who wrote the red book", None), (2, "seven green apples", "ten"), (3, "seven green apples", None), (4, "why?", "because"),
+             (5, "who wrote the red book", "nobody knows")]
+    bench = h.frame(spark, items, "item_id long, text string, answer string")
+    filler = " ".join(f"f{k}" for k in range(80))
+    texts = {
+        1: f"{filler} Who wrote the RED book? {filler}", 2: f"{filler} who wrote the old red book {filler}", 3: "who wrote the red book",
+        4: f"{filler} seven green apples make ten. {filler}", 5: f"seven green apples {filler} ten", 6: "why, because", 7: "why not",
+        8: f"who wrote the red book: nobody knows {filler}", 9: "who wrote the", 10: "red book",
+    }
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(h.frame(spark, list(texts.items())), bench).collect()}
+    assert got == {(1, 1), (3, 1), (4, 2), (6, 4), (8, 1), (8, 5)}
+    left = {r.doc_id for r in dc.without_contaminated(h.frame(spark, list(texts.items())), bench).collect()}
+    assert left == {2, 5, 7, 9, 10}
+
+
+def test_the_best_place_counts(spark):
+    rng = random.Random(21)
+    item = [f"w{rng.randrange(4000)}" for _ in range(40)]
+    filler = lambda n: [f"f{rng.randrange(4000)}" for _ in range(n)]
+    text = [*filler(100), *item[:35], *filler(200), *item, *filler(50)]
+    bench = h.frame(spark, [(1, " ".join(item))], "item_id long, text string")
+    got = dc.contaminated(h.frame(spark, [(1, " ".join(text))]), bench).collect()
+    assert [(r.lcs, r.answer, r.contaminated) for r in got] == [(1.0, 1.0, True)]
+
+
+@pytest.mark.parametrize(("size", "passes"), [(1 << 30, 1), (1, 6)])
+def test_blocks_of_the_benchmark_share_passes(spark, monkeypatch, size, passes):
+    monkeypatch.setattr(dc, "BLOCK_PASSAGES", 5)
+    monkeypatch.setattr(dc, "PASS_BYTES", size)
+    rng = random.Random(23)
+    items = [(k, " ".join(f"w{rng.randrange(4000)}" for _ in range(20))) for k in range(30)]
+    docs = h.frame(spark, [(k, f"before {t} after") for k, t in items] + [(99, "nothing")])
+    bench = h.frame(spark, items, "item_id long, text string")
+    assert len(list(dc.indexed(docs, bench))) == passes
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()} == {(k, k) for k, _ in items}
+    assert [r.doc_id for r in dc.without_contaminated(docs, bench).collect()] == [99]
