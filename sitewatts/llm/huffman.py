@@ -10,8 +10,8 @@ Format, two Parquet tables in one folder of the caller's:
               array<long>, doc_tokens array<long>, payload binary, checkpoints
               array<long> (bit offset of every STEP-th id).
 
-Every block is decoded on its own by table look-up of the next ``max_bits``
-bits; checkpoints let any id be reached, and many places be decoded at a time.
+``max_bits`` is 16, more only if more than 65,536 ids occur (25 at most). Every block is decoded
+on its own by table look-up of the next ``max_bits`` bits; checkpoints let any id be reached, and many places be decoded at a time.
 
 Counts come from all ids; only the counts (bounded by the vocabulary) reach the
 driver. Null and empty texts are the end id alone. Repeated rows are written
@@ -50,8 +50,8 @@ def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
     if len(used) <= 1:
         out[used] = 1
         return out
-    if len(used) > 1 << limit:
-        raise ValueError(f"{len(used)} ids don't fit {limit} bits")
+    if len(used) > 1 << limit or limit > 25:
+        raise ValueError(f"{len(used)} ids don't fit {min(limit, 25)} bits")
     weight = counts[used].astype(np.float64)
     leaves = np.argsort(weight, kind="stable")
     sorted_weight = weight[leaves]
@@ -77,6 +77,16 @@ def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
     return out
 
 
+def limit_for(counts: np.ndarray) -> int:
+    """Bits that codes are limited to: MAX_BITS, more if more ids occur than it has codes for."""
+    return max(MAX_BITS, int(np.count_nonzero(counts) - 1).bit_length())
+
+
+def _reach(max_bits: int) -> int:
+    """Bytes that hold any code, wherever in the first of them it begins."""
+    return 3 if max_bits <= 17 else 4
+
+
 def canonical(lengths: np.ndarray) -> np.ndarray:
     """The code of each id, from the lengths alone."""
     codes = np.zeros(len(lengths), np.int64)
@@ -104,16 +114,17 @@ def decoding_table(lengths: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.n
 
 
 def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray, step: int = STEP) -> tuple[bytes, int, np.ndarray]:
-    """(payload, bits, bit offset of every step-th id). Codes have at most 16 bits."""
+    """(payload, bits, bit offset of every step-th id)."""
     size = lengths[ids].astype(np.int64)
+    reach = _reach(int(lengths.max(initial=0)))
     end = np.cumsum(size)
     bits = int(end[-1]) if len(end) else 0
     at = end - size
-    value = codes[ids] << (24 - size - (at & 7))  # each code lies in three bytes from its first
+    value = codes[ids] << (8 * reach - size - (at & 7))  # each code lies in so many bytes from its first
     where = at >> 3
-    n = (bits + 7) // 8 + 2
+    n = (bits + 7) // 8 + reach - 1
     payload = np.zeros(n, np.int64)
-    for k, shift in enumerate((16, 8, 0)):
+    for k, shift in enumerate(range(8 * reach - 8, -1, -8)):
         payload += np.bincount(where + k, (value >> shift) & 255, n).astype(np.int64)
     return payload.astype(np.uint8)[: (bits + 7) // 8].tobytes(), bits, at[::step]
 
@@ -125,9 +136,11 @@ def decode(payloads: list[bytes], n_ids: list[int], checkpoints: list[np.ndarray
     if not total:
         return out
     base = np.cumsum([0, *(len(p) + 4 for p in payloads)])
-    data = np.frombuffer(b"".join(p + b"\0\0\0\0" for p in payloads), np.uint8).astype(np.int32)
-    three = np.zeros(len(data), np.int32)
-    three[:-2] = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
+    reach = _reach(max_bits)
+    data = np.frombuffer(b"".join(p + b"\0\0\0\0" for p in payloads), np.uint8).astype(np.int32 if reach == 3 else np.int64)
+    ahead = np.zeros(len(data), data.dtype)  # the next ``reach`` bytes of each place
+    for k in range(reach):
+        ahead[: len(data) - reach + 1] |= data[k : len(data) - reach + 1 + k] << (8 * (reach - 1 - k))
     lanes = [np.asarray(c, np.int64) + 8 * b for c, b in zip(checkpoints, base.tolist(), strict=False)]
     at = np.concatenate(lanes)
     first = np.cumsum([0, *n_ids])[:-1]
@@ -137,22 +150,26 @@ def decode(payloads: list[bytes], n_ids: list[int], checkpoints: list[np.ndarray
     at, target, left = at[order], target[order], left[order]
     ids, sizes = table
     mask = (1 << max_bits) - 1
-    shift = 24 - max_bits
+    shift = 8 * reach - max_bits
     for k in range(step):
         live = int(np.searchsorted(-left, -k, side="left"))
         if not live:
             break
         now = at[:live]
-        peek = (three[now >> 3] >> (shift - (now & 7))) & mask
+        peek = (ahead[now >> 3] >> (shift - (now & 7))) & mask
         out[target[:live] + k] = ids[peek]
         now += sizes[peek]
     return out
 
 
+def raw_kind(file: str, end_id: int) -> str:
+    """The type that raw ids are kept in."""
+    return "<u4" if max(vocab.library(file).get_vocab_size(), end_id + 1) > 1 << 16 else "<u2"
+
+
 def id_blocks(docs: DataFrame, file: str, end_id: int) -> DataFrame:
     """Whole documents in ascending doc_id order, as blocks of raw ids (16 or 32 bits each)."""
-    wide = vocab.library(file).get_vocab_size() > 1 << 16
-    kind = "<u4" if wide else "<u2"
+    kind = raw_kind(file, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocab.word_ids(file)
@@ -220,10 +237,12 @@ def write_ids(docs: DataFrame, folder: str, file: str | None = None, end_id: int
     file = file or vocab.path(VOCABULARY)
     blocks = stored(id_blocks(columns(docs, "doc_id", "text"), file, end_id), "ids")
     size = max(vocab.library(file).get_vocab_size(), end_id + 1)
-    kind = "<u4" if vocab.library(file).get_vocab_size() > 1 << 16 else "<u2"
-    lengths = code_lengths(id_counts(blocks, size, kind))
+    kind = raw_kind(file, end_id)
+    counts = id_counts(blocks, size, kind)
+    max_bits = limit_for(counts)
+    lengths = code_lengths(counts, max_bits)
     codes = canonical(lengths)
-    book = spark.createDataFrame([(MAX_BITS, bytearray(lengths.tobytes()))], "max_bits int, lengths binary")
+    book = spark.createDataFrame([(max_bits, bytearray(lengths.tobytes()))], "max_bits int, lengths binary")
     book.write.parquet(f"{folder}/codebook")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

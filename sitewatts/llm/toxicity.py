@@ -56,9 +56,9 @@ BIN = 0.02
 #: Labelled rows of each class that learning sees at most.
 SAMPLE = 10_000
 #: Bytes of word beginnings that the learned lexicon may hold, toxic texts that an entry needs,
-#: its least weighted log odds, and the entries kept at most (the best).
+#: and its least weighted log odds. (Entries come from the sample, so they are bounded by its words.)
 PREFIXES = (5, 7)
-LEAST_TEXTS, LEAST_ODDS, MOST_ENTRIES = 5, 1.5, 20_000
+LEAST_TEXTS, LEAST_ODDS = 5, 1.5
 #: Log odds from which on a word counts as one of the learned lexicon.
 STRONG = 2.5
 FEATURES = (
@@ -206,8 +206,8 @@ def sample(labels: DataFrame) -> DataFrame:
 def learned_lexicon(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(unit hashes, log odds) from ``texts`` (text, label, weight), sorted by hash.
 
-    Counts are of texts; each task sums up its own before they are shuffled. At
-    most MOST_ENTRIES rows reach the driver.
+    Counts are of texts; each task sums up its own before they are shuffled. What reaches the
+    driver are units of at least LEAST_TEXTS texts of the sample: at most a LEAST_TEXTS-th of its words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +229,7 @@ def learned_lexicon(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     counted = texts.select("text", "label", "weight").mapInArrow(run, "unit long, toxic double, clean double")
     counted = counted.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= LEAST_TEXTS)
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n_clean + 1.0))
-    rows = counted.select("unit", odds.alias("odds")).where(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "unit").limit(MOST_ENTRIES).collect()
+    rows = counted.select("unit", odds.alias("odds")).where(F.col("odds") >= LEAST_ODDS).collect()
     names = np.array([r["unit"] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(names)
     return names[order], np.array([r["odds"] for r in rows])[order]

@@ -100,3 +100,28 @@ def test_odd_rows(spark, extra, tmp_path):
     assert order[0] is None and order[1:] == sorted(order[1:])
     hf.write_ids(h.frame(spark, []), str(tmp_path / "empty"))
     assert hf.read_ids(spark, str(tmp_path / "empty")).count() == 0
+
+
+@pytest.mark.parametrize("used", [60_000, 70_000, 200_000])
+def test_more_ids_than_sixteen_bits_can_tell_apart(used):
+    rng = np.random.default_rng(used)
+    counts = np.zeros(used + 5, np.int64)
+    counts[:used] = rng.integers(1, 1000, used)
+    max_bits = hf.limit_for(counts)
+    assert max_bits == (16 if used <= 1 << 16 else int(used - 1).bit_length())
+    lengths = hf.code_lengths(counts, max_bits)
+    assert lengths.max() <= max_bits and sum(2.0 ** -lengths[:used].astype(float)) <= 1.0
+    ids = rng.permutation(np.repeat(np.arange(used), 2))
+    payload, bits, points = hf.encode(ids, hf.canonical(lengths), lengths)
+    assert bits == lengths[ids].sum()
+    got = hf.decode([payload, payload], [len(ids)] * 2, [points, points], hf.decoding_table(lengths, max_bits), max_bits)
+    assert (got == np.append(ids, ids)).all()
+    with pytest.raises(ValueError):
+        hf.code_lengths(np.ones(40, np.int64), 5)
+
+
+def test_an_end_id_beyond_the_vocabulary(spark):
+    folder = hf.scratch(spark, "huffman-test")
+    hf.write_ids(h.frame(spark, [(1, "some words"), (2, None)]), folder, end_id=70_000)
+    got = {r.doc_id: r.ids for r in hf.read_ids(spark, folder).collect()}
+    assert got[2] == [70_000] and got[1][-1] == 70_000 and len(got[1]) == 3
