@@ -1,7 +1,7 @@
 """License scans by an exact set-similarity join of text blocks with license templates.
 
 A block is a line of a text, or a run of lines that a notice may be wrapped over;
-templates are short notices. Both are sets of words.
+templates are notices, from a line to a whole license text. Both are sets of words.
 A block is joined with a template if it holds at least THRESHOLD of the template's
 words (containment). The join is exact:
 
@@ -50,26 +50,106 @@ from sitewatts.llm.common import columns, read, slices, texts
 #: Phrases and their labels. Fixed values.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 THRESHOLD = 0.8
-#: Label -> notices as they stand in source files and pages (public license texts).
+_WARRANTY = (
+    "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of "
+    "merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable "
+    "for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection "
+    "with the software or the use or other dealings in the software."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission. "
+)
+_BSD_WARRANTY = (
+    "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not "
+    "limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall the "
+    "copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages "
+    "(including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) "
+    "however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) "
+    "arising in any way out of the use of this software, even if advised of the possibility of such damage."
+)
+
+
+def _gnu(thing: str, name: str, version: str) -> str:
+    return (
+        f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free "
+        f"Software Foundation, either version {version} of the License, or (at your option) any later version. This {thing} is distributed in "
+        f"the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a "
+        f"particular purpose. See the GNU {name} for more details."
+    )
+
+
+#: Label -> notices as they stand in source files and pages: lines, headers and whole texts (public license texts). Fixed values.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "mit": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+        "so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. " + _WARRANTY,
+    ),
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies. The software is provided as is and the author disclaims "
+        "all warranties with regard to this software including all implied warranties of merchantability and fitness. In no event shall the "
+        "author be liable for any special, direct, indirect, or consequential damages or any damages whatsoever resulting from loss of use, "
+        "data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in connection with the use "
+        "or performance of this software.",
     ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         "You may not use this file except in compliance with the License. You may obtain a copy of the License at apache.org",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may "
+        "obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+        "software distributed under the License is distributed on an as is basis, without warranties or conditions of any kind, either express "
+        "or implied. See the License for the specific language governing permissions and limitations under the License.",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        _gnu("program", "General Public License", "3"),
     ),
-    "lgpl": ("Licensed under the GNU Lesser General Public License, version 3.",),
+    "lgpl": ("Licensed under the GNU Lesser General Public License, version 3.", _gnu("library", "Lesser General Public License", "2.1")),
+    "agpl": ("Licensed under the GNU Affero General Public License, version 3.", _gnu("program", "Affero General Public License", "3")),
     "bsd": (
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     ),
-    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "bsd-2-clause": (_BSD + _BSD_WARRANTY,),
+    "bsd-3-clause": (_BSD + _BSD_NAMES + _BSD_WARRANTY,),
+    "mpl": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+        "file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+        "means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in "
+        "the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and "
+        "successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        "software under copyright law.",
+    ),
+    "zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    ),
+    "boost": ("Distributed under the Boost Software License, Version 1.0.",),
     "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),

@@ -86,9 +86,10 @@ def test_wrapped_notices_are_found(spark):
     """Every template hard-wrapped, in comments, between other lines, and begun in the middle of a line."""
     notices = [(label, t) for label, ts in li.TEMPLATES.items() for t in ts]
     rows, want = [], {}
+    wrapped = lambda t, width: textwrap.wrap(t, width, break_long_words=False, break_on_hyphens=False)
     for width in (30, 50, 76):
         for label, t in notices:
-            for k, lines in enumerate((textwrap.wrap(t, width), textwrap.wrap(f"Some other prose stands here first. {t} Then more of it.", width))):
+            for k, lines in enumerate((wrapped(t, width), wrapped(f"Some other prose stands here first. {t} Then more of it.", width))):
                 i = len(rows)
                 body = [" * " + line for line in lines] if k else ["#", *lines, "#", "int main"]
                 rows.append((i, "\n".join(["first line of a file", *body, "last line of it"])))
@@ -104,3 +105,59 @@ def test_a_run_replaces_its_lines_only_if_better():
     assert met("one two three four five\nsix seven eight nine ten") == [[("a", 1.0, 5)], [("b", 1.0, 5)]]
     assert met("one two three four\n\nfive") == [[("a", 1.0, 5)]]
     assert met("one two\n" + "x " * 6 + "\nthree four five") == []
+
+
+def brute_blocks(lines, templates, threshold):
+    """Every line and every run of lines against every template, then the best of those that overlap."""
+    lines = [x for x in lines if x]
+    longest = max(len(t.split()) for t in templates.values())
+    found = []
+    for first in range(len(lines)):
+        for last in range(first, len(lines)):
+            between = lines[first + 1 : last]
+            if sum(map(len, between)) > longest:
+                continue
+            block = set(lines[first]) if first == last else {*lines[first][-longest:], *lines[last][:longest], *sum(between, [])}
+            hits = []
+            for label, t in templates.items():
+                common = len(set(t.split()) & block)
+                if common >= threshold * len(set(t.split())) - 1e-9:
+                    hits.append((label, common / len(set(t.split())), common))
+            if hits:
+                share, common = max(h[1:] for h in hits)
+                found.append((-share, -common, last - first, first, last, sorted(hits)))
+    out, taken = [], set()
+    for *_, first, last, hits in sorted(found):
+        if taken.isdisjoint(range(first, last + 1)):
+            taken.update(range(first, last + 1))
+            out.append(hits)
+    return out
+
+
+def test_runs_of_lines_match_brute_force():
+    """Templates of different lengths, cut up, wrapped and mixed with other lines at random."""
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(25)]
+    seen = 0
+    for _ in range(400):
+        templates = {str(k): " ".join(rng.choices(vocabulary, k=rng.randrange(2, 12))) for k in range(rng.randrange(1, 5))}
+        join = li.Join({k: (t,) for k, t in templates.items()}, Counter({w: rng.randrange(9) for w in vocabulary}), 0.8)
+        words = sum((rng.choice([*templates.values(), " ".join(rng.choices(vocabulary, k=4))]).split() for _ in range(4)), [])
+        lines, k = [], 0
+        while k < len(words):
+            n = rng.randrange(0, 7)
+            lines.append(words[k : k + n])
+            k += n
+        got = [sorted(x) for x in li.blocks(lines, join, frozenset(join.prefix_words))]
+        want = brute_blocks(lines, templates, 0.8)
+        assert got == want
+        seen += len(want)
+    assert seen > 400
+
+
+def test_licenses_that_hold_one_another_are_told_apart(spark):
+    full = {label: max(notices, key=len) for label, notices in li.TEMPLATES.items()}
+    rows = [(k, "\n".join(["int main", *textwrap.wrap(full[label].upper(), 70), "end"])) for k, label in enumerate(full)]
+    got = {r.doc_id: (r.labels, r.n_blocks) for r in li.scan(h.frame(spark, rows), phrases={}).collect()}
+    assert got == {k: (label, 1) for k, label in enumerate(full)}
+    assert len(full) == 19 and sum(len(t.split()) > 60 for t in full.values()) >= 9
