@@ -20,9 +20,13 @@ def _date(value: DateLike) -> Column:
     return F.lit(value if isinstance(value, dt.date) else dt.date.fromisoformat(value))
 
 
+def not_error() -> Column:
+    return F.col("status") != "error"
+
+
 def drop_errors(df: DataFrame) -> DataFrame:
     """Keep ``status != 'error'``; a NULL status is dropped too (FLT1, T1)."""
-    return df.filter(F.col("status") != "error")
+    return df.filter(not_error())
 
 
 def anomalies(df: DataFrame) -> DataFrame:

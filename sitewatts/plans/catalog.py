@@ -1142,6 +1142,14 @@ triage AS (
 
 
 def _triage(spark, sf_dir):
+    t = star(spark, sf_dir)
+    base = [t[n] for n in ("meter_readings", "sites", "regions", "business_units")]
+    return triage.triage_readings(*base, filters.triage_window(AS_OF))
+
+
+@register("cmp5_triage_of_gold", TRIAGE_SQL + "SELECT * FROM triage")
+def cmp5_triage_of_gold(spark, sf_dir):
+    """From a gold table and the readings of its flagged sites."""
     t = star(spark, sf_dir)
     return triage.triage(gold_of(spark, sf_dir), t["sites"], t["meter_readings"], filters.triage_window(AS_OF))
 

@@ -68,17 +68,25 @@ def silver_unchecked(readings: DataFrame, sites: DataFrame, regions: DataFrame,
     return with_reading_date(joins.enrich(filters.drop_errors(readings), dim))
 
 
-def _daily_aggs() -> list[Column]:
+def clean_condition() -> Column:
+    """What ``clean_readings`` keeps, as one condition."""
+    kept = filters.not_error()
+    for cond, action in quality.silver_rules().values():
+        kept = kept & cond if action == "drop" else kept
+    return kept
+
+
+def daily_aggs(warning: str = "status = 'warning'") -> list[Column]:
     """AGG1a-d. kWh is summed exactly (see module doc)."""
     return [
         *parts("kwh_consumed", "total"),
         F.expr("round(max(kw_demand), 2) AS peak_kw"),
         F.expr("round(avg(voltage), 2) AS avg_voltage"),
-        F.expr("sum(CASE WHEN status = 'warning' THEN 1 ELSE 0 END) AS warning_count"),
+        F.expr(f"sum(CASE WHEN {warning} THEN 1 ELSE 0 END) AS warning_count"),
     ]
 
 
-def _with_total(df: DataFrame) -> DataFrame:
+def with_total(df: DataFrame) -> DataFrame:
     """total_kwh from the exact sums, rounded half up once, and total_cents (null from 1e12 kWh on)."""
     near = near_sql("total")
     kwh = (
@@ -100,8 +108,8 @@ def daily(silver_df: DataFrame) -> DataFrame:
     shuffled.
     """
     keys = [F.concat("site_id", F.lit("")).alias("_site"), *schemas.GOLD_ATTRIBUTES, "reading_date"]
-    rolled = silver_df.groupBy(*keys).agg(*_daily_aggs())
-    return _with_total(rolled.withColumnRenamed("_site", "site_id"))
+    rolled = silver_df.groupBy(*keys).agg(*daily_aggs())
+    return with_total(rolled.withColumnRenamed("_site", "site_id"))
 
 
 def with_baseline(df: DataFrame, sigmas: int = ANOMALY_SIGMAS) -> DataFrame:
@@ -169,8 +177,8 @@ def gold(silver_df: DataFrame) -> DataFrame:
 
 def daily_by_site(readings: DataFrame) -> DataFrame:
     """Clean raw readings rolled up by (site_id, reading_date) only."""
-    return _with_total(
-        with_reading_date(clean_readings(readings)).groupBy("site_id", "reading_date").agg(*_daily_aggs())
+    return with_total(
+        with_reading_date(clean_readings(readings)).groupBy("site_id", "reading_date").agg(*daily_aggs())
     )
 
 

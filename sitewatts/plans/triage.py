@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitewatts import schemas
 from sitewatts.functions.columns import utc_date
 from sitewatts.operators import aggregates, filters, measures
-from sitewatts.operators.joins import meter_health, with_site_details
+from sitewatts.operators.joins import meter_health, site_dim, with_site_details
+from sitewatts.plans import pipeline
 
 DateLike = str | dt.date
 
@@ -45,6 +47,28 @@ TRIAGE_COLUMNS = [
 ]
 
 
+_T_OK = "CASE WHEN status <> 'error' THEN temperature_c END"
+
+
+def evidence_sums() -> list[Column]:
+    """Per (site, day): warning and error readings of all rows (T15), temperature sums of the non-error rows."""
+    return [
+        F.count_if(F.col("status") == "warning").alias("warning_readings"),
+        F.count_if(F.col("status") == "error").alias("error_readings"),
+        *aggregates.temperature_sums(_T_OK),
+        F.expr(f"max({_T_OK})").alias("max_temp_c"),
+    ]
+
+
+def _with_evidence(per_day: DataFrame, k_sigma: int = 1) -> DataFrame:
+    """Rows of ``evidence_sums`` with the day's and the site's temperature, and the site's day count and issues."""
+    w = "OVER (PARTITION BY site_id)"
+    staged = per_day.selectExpr(
+        "*", f"count(1) {w} AS _issue_days", f"sum(warning_readings + error_readings) {w} AS _issue_total"
+    )
+    return aggregates.with_temperature_flags(staged, k_sigma)
+
+
 def daily_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     """Per (site, UTC day) evidence from raw readings, one aggregation (AGG12 + AGG14).
 
@@ -55,20 +79,8 @@ def daily_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     Grouping is by (site, day) with map-side partial aggregation, so a hot
     site costs one row per day per task in the shuffle.
     """
-    t_ok = "CASE WHEN status <> 'error' THEN temperature_c END"
-    per_day = readings.withColumn("reading_date", utc_date("reading_timestamp")).groupBy(
-        "site_id", "reading_date"
-    ).agg(
-        F.count_if(F.col("status") == "warning").alias("warning_readings"),
-        F.count_if(F.col("status") == "error").alias("error_readings"),
-        *aggregates.temperature_sums(t_ok),
-        F.expr(f"max({t_ok})").alias("max_temp_c"),
-    )
-    w = "OVER (PARTITION BY site_id)"
-    staged = per_day.selectExpr(
-        "*", f"count(1) {w} AS _issue_days", f"sum(warning_readings + error_readings) {w} AS _issue_total"
-    )
-    return aggregates.with_temperature_flags(staged, k_sigma).select(
+    per_day = readings.withColumn("reading_date", utc_date("reading_timestamp")).groupBy("site_id", "reading_date")
+    return _with_evidence(per_day.agg(*evidence_sums()), k_sigma).select(
         "site_id",
         "reading_date",
         "warning_readings",
@@ -81,6 +93,9 @@ def daily_evidence(readings: DataFrame, k_sigma: int = 1) -> DataFrame:
     )
 
 
+DETAILS = ["site_name", "city", "state", "square_footage"]
+
+
 def triage(
     gold: DataFrame,
     sites: DataFrame,
@@ -97,9 +112,40 @@ def triage(
     """
     anoms = filters.in_window(filters.anomalies(gold), window)
     anoms = measures.ensure_deviation(anoms)
-    detailed = with_site_details(anoms, sites, ["site_name", "city", "state", "square_footage"])
+    detailed = with_site_details(anoms, sites, DETAILS)
     flagged = readings.join(anoms.select("site_id").distinct(), on="site_id", how="left_semi")
-    out = meter_health(detailed, daily_evidence(flagged))
+    return _classified(meter_health(detailed, daily_evidence(flagged)), ratio)
+
+
+def triage_readings(
+    readings: DataFrame,
+    sites: DataFrame,
+    regions: DataFrame,
+    business_units: DataFrame,
+    window: tuple[dt.date, dt.date],
+    ratio: int = 2,
+) -> DataFrame:
+    """CMP5 without a gold table: one scan and one roll-up of the readings give gold and the evidence (CMP5).
+
+    The sums of gold look at clean rows, those of the evidence at all rows of the same (site, day). A day
+    without a clean row counts as evidence, but isn't a day of gold.
+    """
+    usable = pipeline.clean_condition()
+    rows = pipeline.with_reading_date(readings).withColumn("_usable", F.coalesce(usable, F.lit(False)))
+    clean = {c: F.when(F.col("_usable"), F.col(c)) for c in ("kwh_consumed", "kw_demand", "voltage")}
+    rows = rows.withColumns(clean)
+    per_day = rows.groupBy("site_id", "reading_date").agg(
+        *pipeline.daily_aggs(warning="_usable AND status = 'warning'"), F.count_if("_usable").alias("_usable_rows"), *evidence_sums()
+    )
+    evident = _with_evidence(per_day).where("_usable_rows > 0").drop("_usable_rows")
+    gold = pipeline.with_baseline(pipeline.with_total(evident))
+    anoms = filters.in_window(filters.anomalies(gold), window)
+    dim = site_dim(sites, regions, business_units).select("site_id", *schemas.GOLD_ATTRIBUTES)
+    detailed = with_site_details(anoms.join(dim, on="site_id", how="left"), sites, DETAILS)
+    return _classified(detailed, ratio)
+
+
+def _classified(out: DataFrame, ratio: int) -> DataFrame:
     issues = F.col("warning_readings") + F.col("error_readings")
     meter = issues * F.col("_issue_days") > F.lit(ratio) * F.col("_issue_total")
     out = out.withColumn(
