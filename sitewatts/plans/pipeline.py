@@ -118,8 +118,8 @@ def with_baseline(df: DataFrame, sigmas: int = ANOMALY_SIGMAS) -> DataFrame:
     Adds site_mean_kwh (WIN1), site_stddev_kwh (population, WIN2),
     anomaly_flag (strict, never NULL, WIN3) and deviation_pct (1 dp, NULL when
     the mean is 0, WIN4). Mean and sigma cover the whole site partition,
-    current day included (T10). The window sums share one sort of the daily rows
-    per site.
+    current day included (T10). A site's largest total decides its unit, which its sums are
+    counted in: two windows that share one sort of the daily rows per site.
     """
     w = "OVER (PARTITION BY site_id)"
     scaled = _counted(df.selectExpr("*", f"max(abs(total_kwh)) {w} AS _most", f"sum({_ODD}) {w} AS _odd"))

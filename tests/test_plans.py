@@ -56,10 +56,12 @@ def test_gold_aggregates_readings_before_any_join(lab):
     assert "partial_sum" in plan
 
 
-def test_window_shares_one_operator(lab):
-    plan = _plan(pipeline.build(lab))
-    tree = plan.split("\n\n")[0]
-    assert tree.count("Window (") == 1
+def test_windows_share_one_sort(lab):
+    """The largest total of a site, then its sums in the unit that follows from it: two passes over one sorted partition."""
+    tree = _plan(pipeline.build(lab)).split("\n\n")[0]
+    assert tree.count("Window (") == 2
+    windows_ = tree[tree.index("Window (") : tree.index("Join")]
+    assert "Sort (" not in windows_ and "Exchange (" not in windows_
 
 
 def test_top_k_is_take_ordered(lab):
