@@ -23,8 +23,10 @@ Steps (everything stays in Spark tables; nothing of a document comes to the driv
    exactly with one pivot, the member that meets the most others; the pivot's
    side of the join is salted.
 4. What is then still open is a family (all that met one pivot) that is in two
-   or more components. Its members are compared block by block: pairs of blocks
-   of bounded size are spread over tasks, a pair is skipped if it's already
+   or more components. Its members outside the pivot's component are compared with each other
+   and with those inside, block by block (members inside it need no comparing with one
+   another, so a large group with few strays costs no more than its members times the
+   strays): pairs of blocks of bounded size are spread over tasks, a pair is skipped if it's already
    connected, if the triangle inequality through the pivot rules it out, or if
    both sets of registers are far apart; the others are verified exactly. Only links
    leave the task, never pairs.
@@ -43,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewatts.llm.common import (
@@ -304,20 +306,27 @@ def _family_links(compared: DataFrame, prints: DataFrame, sets: DataFrame, comp:
     ).distinct()
     members = members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
     lengths = sets.select("id", F.size("shingles").alias("length"))
-    families = members.join(lengths, "id").groupBy("pivot").agg(
-        F.min("component").alias("lo"),
-        F.max("component").alias("hi"),
-        F.count("*").alias("n"),
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("length") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+    center = members.where("id = pivot").select("pivot", F.col("component").alias("center"))
+    members = stored(members.join(lengths, "id").join(center, "pivot").withColumn("inside", F.col("component") == F.col("center")), "members")
+
+    def blocks(inside: Column) -> Column:
+        count, total = F.count(F.when(inside, 1)), F.coalesce(F.sum(F.when(inside, F.col("length"))), F.lit(0))
+        return F.ceil(F.greatest(count / BLOCK, total / BLOCK_SHINGLES)).cast("int")
+
+    families = members.groupBy("pivot").agg(
+        F.count("*").alias("n"), blocks(F.col("inside")).alias("inner"), blocks(~F.col("inside")).alias("outer")
     )
     # a family of two has been compared already
-    families = stored(families.where("lo < hi and n > 2").select("pivot", "blocks"), "families")
+    families = stored(families.where("outer > 0 and n > 2").select("pivot", "inner", "outer"), "families")
+    # blocks from 0: the pivot's component, from ``inner`` on: the others, which meet all blocks
+    place = F.pmod(F.xxhash64("id", "pivot"), F.when(F.col("inside"), F.col("inner")).otherwise(F.col("outer"))).cast("int")
+    others = F.sequence(F.when(F.col("inside"), F.col("inner")).otherwise(F.lit(0)), F.col("inner") + F.col("outer") - 1)
     open_rows = (
         members.join(families, "pivot")
-        .withColumn("block", F.pmod(F.xxhash64("id", "pivot"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.when(F.col("inside"), place).otherwise(F.col("inner") + place))
         .join(prints.select("id", "signature", F.col("plain").alias("flat")), "id")
         .join(sets, "id")
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("with", F.explode(others))
         .select(
             "id", "component", "weighted", "plain", "signature", "flat", "shingles", "counts", "pivot",
             F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"), F.col("block").alias("side"),

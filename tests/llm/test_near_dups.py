@@ -78,6 +78,39 @@ def test_family_blocks_find_links_that_the_pivot_misses(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_a_large_group_with_few_strays_is_not_compared_with_itself(spark, monkeypatch):
+    """Rows that the block step takes in: the group's members once for each block of strays."""
+    monkeypatch.setattr(nd, "BLOCK", 10)
+    taken = []
+    blocks = nd._block_links
+
+    def counted(group):
+        return nd.pd.DataFrame([(len(group), 0)], columns=["u", "v"], dtype="int64")
+
+    rng = random.Random(19)
+    base = [f"w{rng.randrange(999)}" for _ in range(200)]
+    rows = [(k, " ".join([*base, f"end{k}"])) for k in range(300)]
+    for k in range(6):  # strays: near enough to meet the pivot, too far to be linked to it
+        text = list(base)
+        for j in range(4):
+            text[20 + 45 * j + k] = f"x{rng.randrange(9999)}"
+        rows.append((1000 + k, " ".join(text + [f"y{j}{k}" for j in range(25)])))
+    sets = {i: set(h.shingle_counts(t)) for i, t in rows}  # no shingle repeats: both similarities are the same
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= nd.THRESHOLD * len(sets[a] | sets[b])]
+    want = h.classes(links, list(sets))
+    real = nd._family_links
+
+    def spied(*tables):
+        monkeypatch.setattr(nd, "_block_links", counted)
+        taken.extend(r.u for r in real(*tables).collect())
+        monkeypatch.setattr(nd, "_block_links", blocks)
+        return real(*tables)
+
+    monkeypatch.setattr(nd, "_family_links", spied)
+    assert {r.doc_id: r.class_id for r in nd.near_dups(h.frame(spark, rows)).collect()} == want
+    assert sum(taken) <= 4 * len(rows)
+
+
 def test_copies_with_a_line_repeated_many_times(spark):
     """Plain Jaccard stays high and the weighted similarity falls: the plain registers have to find them."""
     rng = random.Random(13)
