@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that a Python worker looks at in one go; its arrays take some fifty times that.
 SLICE_BYTES = 1 << 20
@@ -78,7 +79,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 
 def map_rows(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text"
+    df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str | StructType, column: str = "text"
 ) -> DataFrame:
     """``mapInArrow`` over slices: ``fn`` gets a record batch and returns arrays by column name."""
 

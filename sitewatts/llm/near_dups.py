@@ -47,6 +47,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sitewatts.llm.common import (
     columns,
@@ -142,8 +143,8 @@ def text_keys(docs: DataFrame) -> DataFrame:
         keys = _text_keys(*hashed_words(batch.column("text")), batch.num_rows)
         return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "text_key": keys}
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    return map_rows(docs, fn, f"row {kinds['row']}, doc_id {kinds['doc_id']}, text_key binary")
+    schema = T.StructType([docs.schema["row"], docs.schema["doc_id"], T.StructField("text_key", T.BinaryType())])
+    return map_rows(docs, fn, schema)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
