@@ -62,7 +62,13 @@ def pct_text(c: str | Column) -> Column:
 
 
 def reading_id(n: str | Column) -> Column:
-    """Zero-padded reading id ``R-00000001`` (SCL8)."""
-    return F.format_string("R-%08d", col(n))
+    """Zero-padded reading id ``R-00000001`` (SCL8).
+
+    Padding is made of string built-ins; a formatter is set up only for null and negative numbers.
+    """
+    number = col(n)
+    digits = number.cast("string")
+    padded = F.when(number < 100_000_000, F.lpad(digits, 8, "0")).otherwise(digits)
+    return F.when(number >= 0, F.concat(F.lit("R-"), padded)).otherwise(F.format_string("R-%08d", number))
 
 

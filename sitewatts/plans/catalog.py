@@ -107,9 +107,11 @@ FROM (SELECT site_id, CAST(row_number() OVER (ORDER BY site_id) - 1 AS BIGINT) A
 def src4_generate_readings(spark, sf_dir):
     """Readings generated for every driver site (30 days), checked per site against the formula's bounds."""
     sites = adapter.sites(spark, sf_dir)
-    # what the bounds need comes along with the readings
-    gen = generate.generate_readings(spark, sites, GEN_END, days=GEN_DAYS, carry=("site_type", "voltage_nominal"))
-    bad = ~generate.in_range(F.col("site_type"), F.col("voltage_nominal"))
+    # what the bounds need is worked out once for each site and comes along with the readings
+    lo, hi = generate.base_range(F.col("site_type"))
+    sites = sites.withColumns({"base_lo": lo, "base_hi": hi})
+    gen = generate.generate_readings(spark, sites, GEN_END, days=GEN_DAYS, carry=("base_lo", "base_hi", "voltage_nominal"))
+    bad = ~generate.in_range(F.col("base_lo"), F.col("base_hi"), F.col("voltage_nominal"))
     number = F.expr("CAST(substr(reading_id, 3) AS BIGINT)")
     per_site = gen.groupBy("site_id").agg(
         F.count(F.lit(1)).alias("n_readings"),

@@ -150,6 +150,13 @@ def with_rank(df: DataFrame, key: str, out: str) -> DataFrame:
     return numbered.withColumn(out, F.expr(f"_place + {offset}")).drop("_place", "_sizes", "_range")
 
 
+def base_range(site_type: Column) -> tuple[Column, Column]:
+    """(least, largest) base kWh of a site type per 15 minutes; NULL for other types."""
+    lo = F.coalesce(*[F.when(site_type == t, F.lit(float(a))) for t, (a, _b) in BASE_KWH.items()])
+    hi = F.coalesce(*[F.when(site_type == t, F.lit(float(b))) for t, (_a, b) in BASE_KWH.items()])
+    return lo, hi
+
+
 def generate_readings(
     spark: SparkSession,
     sites: DataFrame,
@@ -167,7 +174,7 @@ def generate_readings(
     U(lo, hi) by type x hour factor x spike, 3 dp; kW = kWh x U(3, 5), 3 dp;
     voltage = nominal x U(0.98, 1.02), 2 dp; temperature 22 + U(-7, 12), 2 dp;
     status error / warning / normal by one roll. ``reading_id`` is
-    ``R-%08d`` of site_seq * steps + step + 1, site_seq being the site's place
+    ``R-%08d`` (``columns.reading_id``) of site_seq * steps + step + 1, site_seq being the site's place
     (from 0) in the order of site ids, so ids are distinct and gapless whatever the
     site ids look like. Sites are spread over ``partitions`` tasks (default: the
     session's shuffle partitions). Columns of ``sites`` named in ``carry`` follow the
@@ -177,10 +184,7 @@ def generate_readings(
     if end_ts.tzinfo is None:
         end_ts = end_ts.replace(tzinfo=dt.timezone.utc)
     end_us = int(end_ts.timestamp()) * 1_000_000
-    lo = hi = None
-    for stype, (a, b) in BASE_KWH.items():
-        lo = F.when(F.col("site_type") == stype, F.lit(float(a))) if lo is None else lo.when(F.col("site_type") == stype, F.lit(float(a)))
-        hi = F.when(F.col("site_type") == stype, F.lit(float(b))) if hi is None else hi.when(F.col("site_type") == stype, F.lit(float(b)))
+    lo, hi = base_range(F.col("site_type"))
     spike_start, spike_end = spike_window(seed, anomalous)
     base = with_rank(sites, "site_id", "site_seq").select(
         "site_id",
@@ -235,10 +239,11 @@ def generate_readings(
     )
 
 
-def in_range(site_type: Column, voltage_nominal: Column) -> Column:
-    """Whether a generated reading lies within the formula's bounds (rounding allowed for)."""
-    lo = F.coalesce(*[F.when(site_type == t, F.lit(float(a))) for t, (a, _b) in BASE_KWH.items()])
-    hi = F.coalesce(*[F.when(site_type == t, F.lit(float(b))) for t, (_a, b) in BASE_KWH.items()])
+def in_range(lo: Column, hi: Column, voltage_nominal: Column) -> Column:
+    """Whether a generated reading lies within the formula's bounds (rounding allowed for).
+
+    ``lo`` and ``hi`` are the site's ``base_range``; they cost least where they come along with the site.
+    """
     kwh, kw, half = F.col("kwh_consumed"), F.col("kw_demand"), 0.0005
     low_volt, high_volt = (voltage_nominal * f for f in VOLTAGE_BAND)
     return (

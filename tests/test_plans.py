@@ -105,3 +105,31 @@ def test_silver_table_prunes_date_partitions(spark, lab):
     back = tables.materialize(silver, "sw_plans.silver_by_date", partition_by=["reading_date"])
     plan = _plan(back.filter(F.col("reading_date") >= F.lit(dt.date(2024, 1, 29))))
     assert "PartitionFilters: [isnotnull(reading_date" in plan and "2024-01-29" in plan
+
+
+def test_generated_readings_set_up_no_formatter_and_look_up_no_site_type(spark, lab):
+    from pyspark.sql import functions as F
+
+    lo, hi = generate.base_range(F.col("site_type"))
+    sites = lab["sites"].withColumns({"lo": lo, "hi": hi})
+    gen = generate.generate_readings(spark, sites, dt.datetime(2024, 1, 30, 12), days=1, carry=("lo", "hi", "voltage_nominal"))
+    checked = gen.groupBy("site_id").agg(
+        F.max("reading_id"), F.count_if(~generate.in_range(F.col("lo"), F.col("hi"), F.col("voltage_nominal"))).alias("bad")
+    )
+    plan = _plan(checked)
+    assert "lpad(" in plan  # ids are padded by a string built-in, the formatter is for null and negative numbers
+    assert not [line for line in plan.splitlines() if line.startswith("Functions") and "factory" in line]
+    assert {r["bad"] for r in checked.collect()} == {0}
+
+
+def test_reading_ids_are_those_of_the_formatter(spark):
+    from pyspark.sql import functions as F
+
+    from sitewatts.functions import columns as C
+
+    numbers = [None, -(2**63), -123456789, -1, 0, 7, 99_999_999, 100_000_000, 2**63 - 1]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    for kind in ("long", "int"):
+        some = df.where("n is null or abs(try_add(n, 1)) < 1000000000") if kind == "int" else df
+        got = some.withColumn("n", F.col("n").cast(kind)).select(C.reading_id("n"), F.format_string("R-%08d", "n")).collect()
+        assert len(got) >= 7 and all(a == b for a, b in got)
