@@ -31,8 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.union(least.select("u", F.col("m").alias("v")))
+        # each neighbour and the node itself point to the least, in one pass over the join
+        small = large.join(least, "u").select(F.inline(F.expr("array(struct(v AS u, m AS v), struct(u, m AS v))")))
         edges = stored(small.where("u <> v").distinct(), "edges")
         after = _state(edges)
         if after == before:

@@ -167,14 +167,22 @@ def _multiplied(passages: DataFrame, thin: np.ndarray) -> np.ndarray:
 
     chunks = passages.mapInArrow(run, "chunk int, part binary").groupBy("chunk").applyInPandas(summed, "chunk int, part binary")
     out = np.zeros((height, width))
-    for r in chunks.collect():  # a block's vocabulary times its rank: both bounded by BLOCK_PASSAGES
-        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(r["part"])).reshape(-1, width)
+    # a block's vocabulary times its rank: both bounded by BLOCK_PASSAGES. As Arrow, whose bytes are neither pickled nor copied
+    for batch in chunks.toArrow().to_batches():
+        for chunk, part in zip(batch.column("chunk").to_pylist(), batch.column("part"), strict=True):
+            out[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(part.as_buffer()).reshape(-1, width)
     return out
 
 
 def basis(spark: SparkSession, matrix: list[tuple[np.ndarray, np.ndarray]], height: int) -> np.ndarray:
     """height x rank: right singular vectors of sparse rows (columns, values), by randomised subspace iteration."""
-    rows = [([int(c) for c in at], [float(v) for v in x]) for at, x in matrix]
+    ends = np.append(0, np.cumsum([len(at) for at, _ in matrix])).astype(np.int32)
+    rows = pa.table(
+        {
+            "columns": pa.ListArray.from_arrays(ends, pa.array(np.concatenate([at for at, _ in matrix]), pa.int32())),
+            "values": pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x for _, x in matrix]), pa.float64())),
+        }
+    )
     passages = stored(spark.createDataFrame(rows, "columns array<int>, values array<double>"), "passages")
     thin = np.random.default_rng(SEED).standard_normal((height, min(height, len(matrix))))
     for _ in range(POWERS):

@@ -169,3 +169,25 @@ def test_blocks_of_the_benchmark_share_passes(spark, monkeypatch, size, passes):
     assert len(list(dc.indexed(docs, bench))) == passes
     assert {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()} == {(k, k) for k, _ in items}
     assert [r.doc_id for r in dc.without_contaminated(docs, bench).collect()] == [99]
+
+
+def test_directions_come_to_the_driver_without_rows(spark, monkeypatch):
+    """The sums reach the driver as Arrow; the directions are the right singular vectors."""
+    import numpy as np
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng = np.random.default_rng(3)
+    height, dense = 1100, np.zeros((9, 1100))
+    matrix = []
+    for k in range(9):
+        at = np.sort(rng.choice(height, 40, replace=False))
+        matrix.append((at, rng.random(40) + 1 + k))
+        dense[k, at] = matrix[-1][1]
+
+    def refuse(self):
+        raise AssertionError("rows were collected")
+
+    monkeypatch.setattr(DataFrame, "collect", refuse)
+    got = dc.basis(spark, matrix, height)
+    want = np.linalg.svd(dense, full_matrices=False)[2][: got.shape[1]]
+    assert np.allclose(np.abs((got.T * want).sum(axis=1)), 1)

@@ -173,3 +173,20 @@ def test_recall_and_copies_below_the_threshold(spark):
     assert len(linked) > 1000 and all(got[a] == got[b] for a, b in linked)
     below = [p for p, j in alike.items() if 0.5 <= j < nd.THRESHOLD]
     print(f"{len(linked)} pairs from 0.8 on, all found; {len(below)} from 0.5 to 0.8, {sum(got[a] == got[b] for a, b in below)} in one class")
+
+
+def test_star_steps_read_their_join_once(spark, monkeypatch):
+    """Each round makes one pass over the joined edges, no union of two."""
+    from sitewatts.llm import components as c
+
+    plans = []
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(c, "stored", noted)
+    chain = [(k, k + 1) for k in range(20)] + [(40, 41), (41, 42), (7, 7)]
+    got = dict(c.components(h.frame(spark, chain, "u long, v long")).collect())
+    assert got == {k: 0 for k in range(21)} | {k: 40 for k in (40, 41, 42)}
+    assert len(plans) > 2 and all("Generate inline" in p for p in plans[1:])
